@@ -1 +1,346 @@
-"""Registered queries (filled in below)."""
+"""Registered data-quality queries (2.10) and reconciliation.
+
+Each rule is declared once with its Spark form and the DuckDB text of its
+violating rows; the report oracle is the UNION ALL of their counts.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, functions as F
+
+from silverline.functions.reference import (
+    BOOLEAN_VALUES, DRIVER_PRODUCTS, DRIVER_QUANTITIES, MILITARY_STATES, SEX_CODES,
+)
+from silverline.operators import quality as Q
+from silverline.operators import reconcile as R
+from silverline.plans import silver
+from silverline.plans.registry import query
+from silverline.plans.views import Views
+
+def _in_list(values) -> str:
+    return ", ".join(repr(v) if isinstance(v, str) else str(v).lower() for v in values)
+
+
+# ---------------------------------------------------------------- singular tests
+
+
+def birthdate_cleaning_violations(users: DataFrame, orders: DataFrame) -> DataFrame:
+    """Recompute flag and replacement independently; NULL-safe compare."""
+    fo = orders.groupBy("user_id").agg(F.min(F.to_date("ordered_at")).alias("first_order_date"))
+    j = users.join(fo, "user_id", "left")
+    bo, fod = F.col("birthdate_original"), F.col("first_order_date")
+    expected_flag = bo.isNotNull() & (fod.isNull() | (bo <= fod))
+    expected_date = F.when(fod.isNotNull() & (bo > fod), F.lit(None).cast("date")).otherwise(bo)
+    bad = ~F.col("birthdate_is_valid").eqNullSafe(expected_flag) | ~F.col("birthdate").eqNullSafe(expected_date)
+    return j.filter(bad).select("user_id", "birthdate_original", "birthdate", "birthdate_is_valid", "first_order_date")
+
+
+def events_before_birth(orders: DataFrame, users: DataFrame, birth_col: str) -> DataFrame:
+    """Equi-join with an inequality residual (timestamp < date widens
+    the date to midnight)."""
+    u = users.select("user_id", F.col(birth_col).alias("birthdate"))
+    j = orders.join(u, "user_id")
+    return j.filter(F.col("ordered_at") < F.col("birthdate")).select("order_id", "ordered_at", "user_id", "birthdate")
+
+
+def zip_state_violations(users: DataFrame, zip_states: DataFrame, exclude=MILITARY_STATES) -> DataFrame:
+    """Users whose (zip, state) pair is not in the reference,
+    classified as an unknown ZIP or a ZIP known under another state.
+    Both lookups are anti/left joins against distinct reference keys; the
+    reference grows with the data, so no forced broadcast (AQE decides)."""
+    u = users.filter(~F.col("state").isin(*exclude)) if exclude else users
+    pairs = zip_states.select("zip_code", "state").distinct()
+    known = zip_states.select("zip_code").distinct().withColumn("_known", F.lit(True))
+    bad = u.select("user_id", "state", "zip_code").join(pairs, ["zip_code", "state"], "left_anti")
+    return bad.join(known, "zip_code", "left").select(
+        "user_id", "state", "zip_code",
+        F.when(F.col("_known").isNull(), F.lit("unknown_zip_in_reference"))
+        .otherwise(F.lit("state_zip_mismatch")).alias("issue"),
+    )
+
+
+# ---------------------------------------------------------------- the silver contract
+
+
+@dataclass(frozen=True)
+class RuleSpec:
+    name: str
+    severity: str
+    oracle: str  # DuckDB: violating rows, first column is the record key
+
+
+_PRODS, _QTY = _in_list(DRIVER_PRODUCTS), _in_list(DRIVER_QUANTITIES)
+_SEXES, _BOOLS, _MIL = _in_list(SEX_CODES), _in_list(BOOLEAN_VALUES), _in_list(MILITARY_STATES)
+
+BIRTHDATE_CLEANING_SQL = """
+SELECT * FROM (WITH first_orders AS (
+    SELECT user_id, min(CAST(ordered_at AS DATE)) AS first_order_date FROM stg_orders GROUP BY user_id)
+SELECT u.user_id, u.birthdate_original, u.birthdate, u.birthdate_is_valid, o.first_order_date
+FROM stg_users u LEFT JOIN first_orders o ON u.user_id = o.user_id
+WHERE u.birthdate_is_valid IS DISTINCT FROM
+      (u.birthdate_original IS NOT NULL AND (o.first_order_date IS NULL OR u.birthdate_original <= o.first_order_date))
+   OR u.birthdate IS DISTINCT FROM
+      (CASE WHEN o.first_order_date IS NOT NULL AND u.birthdate_original > o.first_order_date
+            THEN NULL ELSE u.birthdate_original END))"""
+
+EVENT_BEFORE_BIRTH_SQL = """
+SELECT o.order_id, o.ordered_at, u.user_id, u.{col} AS birthdate
+FROM stg_orders o JOIN stg_users u ON o.user_id = u.user_id WHERE o.ordered_at < u.{col}"""
+
+ZIP_CLASSIFIED_SQL = f"""
+SELECT u.user_id, u.state, u.zip_code,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM zip_states z WHERE z.zip_code = u.zip_code)
+            THEN 'unknown_zip_in_reference' ELSE 'state_zip_mismatch' END AS issue
+FROM stg_users u
+WHERE u.state NOT IN ({_MIL})
+  AND NOT EXISTS (SELECT 1 FROM zip_states z WHERE z.zip_code = u.zip_code AND z.state = u.state)"""
+
+
+def _nn(table, col, key):
+    return RuleSpec(f"not_null_{table}_{col}", "error", f"SELECT {key} FROM {table} WHERE {col} IS NULL")
+
+
+def _uq(table, col):
+    return RuleSpec(f"unique_{table}_{col}", "error",
+                    f"SELECT {col} FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+
+
+def _av(table, col, key, values):
+    return RuleSpec(f"accepted_values_{table}_{col}", "error", f"SELECT {key} FROM {table} WHERE {col} NOT IN ({values})")
+
+
+# The silver layer's 28 checks (declarative column tests on both models and
+# the seeds, then the singular SQL tests), as DuckDB text of violating rows.
+CONTRACT_SPECS = [
+    _uq("stg_users", "user_id"), _nn("stg_users", "user_id", "user_id"),
+    _nn("stg_users", "username_normalized", "user_id"),
+    _nn("stg_users", "birthdate_is_valid", "user_id"), _av("stg_users", "birthdate_is_valid", "user_id", _BOOLS),
+    _uq("stg_users", "email"), _nn("stg_users", "email", "user_id"),
+    _av("stg_users", "sex", "user_id", _SEXES),
+    _nn("stg_users", "state", "user_id"),
+    RuleSpec("relationships_stg_users_state__code__states", "error",
+             "SELECT user_id FROM stg_users WHERE state IS NOT NULL AND state NOT IN (SELECT code FROM states)"),
+    _uq("stg_orders", "order_id"), _nn("stg_orders", "order_id", "order_id"),
+    _nn("stg_orders", "user_id", "order_id"),
+    RuleSpec("relationships_stg_orders_user_id__user_id__stg_users", "error",
+             "SELECT order_id FROM stg_orders o WHERE user_id IS NOT NULL AND NOT EXISTS "
+             "(SELECT 1 FROM stg_users u WHERE u.user_id = o.user_id)"),
+    _nn("stg_orders", "quantity", "order_id"), _av("stg_orders", "quantity", "order_id", _QTY),
+    _nn("stg_orders", "product", "order_id"), _av("stg_orders", "product", "order_id", _PRODS),
+    _uq("states", "code"), _nn("states", "code", "code"),
+    _nn("zip_states", "zip_code", "zip_code"), _nn("zip_states", "state", "zip_code"),
+    RuleSpec("assert_birthdate_cleaning", "error", BIRTHDATE_CLEANING_SQL),
+    RuleSpec("assert_orders_after_user_birth", "error", EVENT_BEFORE_BIRTH_SQL.format(col="birthdate")),
+    RuleSpec("assert_orders_have_users", "error",
+             "SELECT o.order_id FROM stg_orders o LEFT JOIN stg_users u ON o.user_id = u.user_id WHERE u.user_id IS NULL"),
+    RuleSpec("assert_quantity_positive", "error", "SELECT order_id FROM stg_orders WHERE quantity IS NULL OR quantity <= 0"),
+    RuleSpec("assert_username_normalized", "error",
+             "SELECT user_id FROM stg_users WHERE username_normalized IS NULL OR username_normalized != lower(trim(username))"),
+    RuleSpec("assert_zip_matches_state", "warn", ZIP_CLASSIFIED_SQL),
+]
+SPEC_BY_NAME = {s.name: s for s in CONTRACT_SPECS}
+
+# Rules on the bronze layer, where real violations exist.
+BRONZE_SPECS = {
+    "not_null_bronze_users_birthdate": "SELECT uuid FROM bronze_users WHERE birthdate IS NULL",
+    "unique_bronze_orders_uuid": "SELECT uuid FROM bronze_orders WHERE uuid IS NOT NULL GROUP BY uuid HAVING count(*) > 1",
+    "accepted_values_bronze_users_sex": f"SELECT uuid FROM bronze_users WHERE sex NOT IN ({_SEXES})",
+    "relationships_sales_user_id__uuid__bronze_users":
+        "SELECT order_id FROM sales s WHERE user_id IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM bronze_users u WHERE u.uuid = s.user_id)",
+}
+
+
+def contract(v: Views) -> list[Q.Rule]:
+    """Spark form of CONTRACT_SPECS, same names and order."""
+    u, o, st, zs = v.stg_users, v.stg_orders, v.states, v.zip_states
+    return [
+        Q.unique(u, "user_id", "unique_stg_users_user_id"),
+        Q.not_null(u, "user_id", "user_id", "not_null_stg_users_user_id"),
+        Q.not_null(u, "username_normalized", "user_id", "not_null_stg_users_username_normalized"),
+        Q.not_null(u, "birthdate_is_valid", "user_id", "not_null_stg_users_birthdate_is_valid"),
+        Q.accepted_values(u, "birthdate_is_valid", BOOLEAN_VALUES, "user_id", "accepted_values_stg_users_birthdate_is_valid"),
+        Q.unique(u, "email", "unique_stg_users_email"),
+        Q.not_null(u, "email", "user_id", "not_null_stg_users_email"),
+        Q.accepted_values(u, "sex", SEX_CODES, "user_id", "accepted_values_stg_users_sex"),
+        Q.not_null(u, "state", "user_id", "not_null_stg_users_state"),
+        Q.relationships(u, "state", st, "code", "user_id", "relationships_stg_users_state__code__states"),
+        Q.unique(o, "order_id", "unique_stg_orders_order_id"),
+        Q.not_null(o, "order_id", "order_id", "not_null_stg_orders_order_id"),
+        Q.not_null(o, "user_id", "order_id", "not_null_stg_orders_user_id"),
+        Q.relationships(o, "user_id", u, "user_id", "order_id", "relationships_stg_orders_user_id__user_id__stg_users"),
+        Q.not_null(o, "quantity", "order_id", "not_null_stg_orders_quantity"),
+        Q.accepted_values(o, "quantity", DRIVER_QUANTITIES, "order_id", "accepted_values_stg_orders_quantity"),
+        Q.not_null(o, "product", "order_id", "not_null_stg_orders_product"),
+        Q.accepted_values(o, "product", DRIVER_PRODUCTS, "order_id", "accepted_values_stg_orders_product"),
+        Q.unique(st, "code", "unique_states_code"),
+        Q.not_null(st, "code", "code", "not_null_states_code"),
+        Q.not_null(zs, "zip_code", "zip_code", "not_null_zip_states_zip_code"),
+        Q.not_null(zs, "state", "zip_code", "not_null_zip_states_state"),
+        Q.custom(u, "assert_birthdate_cleaning", lambda: birthdate_cleaning_violations(u, o), "user_id"),
+        Q.custom(o, "assert_orders_after_user_birth", lambda: events_before_birth(o, u, "birthdate"), "order_id"),
+        Q.custom(o, "assert_orders_have_users", lambda: o.join(u.select("user_id"), "user_id", "left_anti"), "order_id"),
+        Q.expression(o, "assert_quantity_positive", F.col("quantity").isNull() | (F.col("quantity") <= 0), "order_id"),
+        Q.expression(u, "assert_username_normalized",
+                     F.col("username_normalized").isNull() | (F.col("username_normalized") != F.lower(F.trim("username"))),
+                     "user_id"),
+        Q.custom(u, "assert_zip_matches_state", lambda: zip_state_violations(u, zs), "user_id", severity="warn"),
+    ]
+
+
+def bronze_rules(v: Views) -> dict[str, Q.Rule]:
+    bu, bo = v.bronze_users, v.bronze_orders
+    return {
+        "not_null_bronze_users_birthdate": Q.not_null(bu, "birthdate", "uuid", "not_null_bronze_users_birthdate"),
+        "unique_bronze_orders_uuid": Q.unique(bo, "uuid", "unique_bronze_orders_uuid"),
+        "accepted_values_bronze_users_sex": Q.accepted_values(bu, "sex", SEX_CODES, "uuid", "accepted_values_bronze_users_sex"),
+        "relationships_sales_user_id__uuid__bronze_users": Q.relationships(
+            v.sales, "user_id", bu, "uuid", "order_id", "relationships_sales_user_id__uuid__bronze_users"),
+    }
+
+
+def _report_oracle() -> str:
+    rows = "\nUNION ALL\n".join(
+        f"SELECT '{s.name}' AS rule, '{s.severity}' AS severity, count(*) AS failures FROM ({s.oracle})"
+        for s in CONTRACT_SPECS)
+    return f"""
+SELECT rule, severity, failures,
+       CASE WHEN failures = 0 THEN 'PASS' WHEN severity = 'warn' THEN 'WARN' ELSE 'ERROR' END AS status
+FROM ({rows})"""
+
+
+# ---------------------------------------------------------------- queries
+
+_VIEWS_ALL = ("stg_users", "sales", "zip_states", "states", "bronze_orders", "bronze_users")
+
+
+def _long_query(key: str, prefix: str, bronze: str):
+    names = [s.name for s in CONTRACT_SPECS if s.name.startswith(prefix) and not s.name.startswith("assert")]
+
+    def run(spark, sf_dir):
+        v = Views(spark, sf_dir)
+        rules = [r for r in contract(v) if r.name in names] + [bronze_rules(v)[bronze]]
+        return Q.violations_long(rules)
+
+    texts = [f"SELECT '{n}' AS rule, CAST(k AS VARCHAR) AS record_key FROM ({SPEC_BY_NAME[n].oracle}) AS x(k)"
+             for n in names]
+    texts.append(f"SELECT '{bronze}' AS rule, CAST(k AS VARCHAR) AS record_key FROM ({BRONZE_SPECS[bronze]}) AS x(k)")
+    run.__name__ = f"q_{key}"
+    query(key, oracle="\nUNION ALL\n".join(texts), views=_VIEWS_ALL)(run)
+
+
+_long_query("dq_not_null", "not_null_", "not_null_bronze_users_birthdate")
+_long_query("dq_unique", "unique_", "unique_bronze_orders_uuid")
+_long_query("dq_accepted_values", "accepted_values_", "accepted_values_bronze_users_sex")
+_long_query("dq_relationships", "relationships_", "relationships_sales_user_id__uuid__bronze_users")
+
+
+@query("dq_quantity_positive", oracle="SELECT order_id, quantity FROM stg_orders WHERE quantity IS NULL OR quantity <= 0",
+       views=("stg_orders",))
+def q_dq_quantity_positive(spark, sf_dir):
+    o = Views(spark, sf_dir).stg_orders
+    return Q.expression(o, "assert_quantity_positive", F.col("quantity").isNull() | (F.col("quantity") <= 0),
+                        "order_id").violations().select("order_id", "quantity")
+
+
+@query("dq_derived_column", oracle="""
+SELECT user_id, username, username_normalized FROM stg_users
+WHERE username_normalized IS NULL OR username_normalized != lower(trim(username))""", views=("stg_users",))
+def q_dq_derived_column(spark, sf_dir):
+    u = Views(spark, sf_dir).stg_users
+    bad = F.col("username_normalized").isNull() | (F.col("username_normalized") != F.lower(F.trim("username")))
+    return Q.expression(u, "assert_username_normalized", bad, "user_id").violations().select(
+        "user_id", "username", "username_normalized")
+
+
+@query("dq_event_before_birth", oracle=EVENT_BEFORE_BIRTH_SQL.format(col="birthdate_original"), views=("stg_users",))
+def q_dq_event_before_birth(spark, sf_dir):
+    """Q7 on the raw (original) birthdates: the violations cleaning removes."""
+    v = Views(spark, sf_dir)
+    return events_before_birth(v.stg_orders, v.stg_users, "birthdate_original")
+
+
+@query("dq_event_before_birth_clean", oracle=EVENT_BEFORE_BIRTH_SQL.format(col="birthdate"), views=("stg_users",))
+def q_dq_event_before_birth_clean(spark, sf_dir):
+    """Q7 on the cleaned birthdates: must be empty."""
+    v = Views(spark, sf_dir)
+    return events_before_birth(v.stg_orders, v.stg_users, "birthdate")
+
+
+@query("dq_birthdate_cleaning", oracle=BIRTHDATE_CLEANING_SQL, views=("stg_users",))
+def q_dq_birthdate_cleaning(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return birthdate_cleaning_violations(v.stg_users, v.stg_orders)
+
+
+@query("dq_zip_state_classified", oracle=ZIP_CLASSIFIED_SQL, views=("stg_users", "zip_states"))
+def q_dq_zip_state_classified(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return zip_state_violations(v.stg_users, v.zip_states)
+
+
+@query("dq_zip_state_summary", oracle="SELECT issue, count(*) AS users FROM (" + ZIP_CLASSIFIED_SQL + ") GROUP BY issue",
+       views=("stg_users", "zip_states"))
+def q_dq_zip_state_summary(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return zip_state_violations(v.stg_users, v.zip_states).groupBy("issue").agg(F.count(F.lit(1)).alias("users"))
+
+
+@query("dq_pair_not_in_reference", oracle="""
+SELECT u.user_id, u.state, u.zip_code FROM stg_users u
+WHERE NOT EXISTS (SELECT 1 FROM zip_states z WHERE z.zip_code = u.zip_code AND z.state = u.state)""",
+       views=("stg_users", "zip_states"))
+def q_dq_pair_not_in_reference(spark, sf_dir):
+    """Correlated NOT EXISTS on two keys -> left_anti on both."""
+    v = Views(spark, sf_dir)
+    pairs = v.zip_states.select("zip_code", "state").distinct()
+    return v.stg_users.select("user_id", "state", "zip_code").join(pairs, ["zip_code", "state"], "left_anti").select(
+        "user_id", "state", "zip_code")
+
+
+@query("dq_report", oracle=_report_oracle(), views=("stg_users", "zip_states", "states"))
+def q_dq_report(spark, sf_dir):
+    """Q11/Q12/M6: the whole silver contract as one report frame."""
+    return Q.run_checks(contract(Views(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- reconciliation
+
+
+@query("reconcile_same", oracle="SELECT 'orders' AS model, 0::BIGINT AS different_rows UNION ALL SELECT 'users', 0::BIGINT")
+def q_reconcile_same(spark, sf_dir):
+    """The DataFrame-API models equal their SQL-text versions
+    (EXCEPT ALL both ways, counted)."""
+    v = Views(spark, sf_dir)
+    bronze_o = v.bronze_orders
+    bronze_u = v.bronze_users
+    so = silver.stg_orders_sql(spark, bronze_o)
+    su = silver.stg_users_sql(spark, bronze_u, so)
+    return R.different_row_count(v.stg_orders, so, "orders").unionByName(
+        R.different_row_count(v.stg_users, su, "users"))
+
+
+@query("reconcile_diff", oracle="""
+SELECT *, 'left_only' AS side FROM (
+  SELECT uuid AS order_id, user_uuid AS user_id, date AS ordered_at, quantity, lower(trim(product)) AS product FROM bronze_orders
+  EXCEPT ALL SELECT * FROM stg_orders)
+UNION ALL
+SELECT *, 'right_only' AS side FROM (
+  SELECT * FROM stg_orders EXCEPT ALL
+  SELECT uuid AS order_id, user_uuid AS user_id, date AS ordered_at, quantity, lower(trim(product)) AS product FROM bronze_orders)""",
+       views=("stg_orders",))
+def q_reconcile_diff(spark, sf_dir):
+    """M4: rows that differ between the typed bronze orders and the silver
+    model (the duplicates the dedupe removed), labelled by side."""
+    v = Views(spark, sf_dir)
+    return R.diff_rows(silver.typed_orders(v.bronze_orders), v.stg_orders)
+
+
+@query("reconcile_summary", oracle="""
+SELECT 'bronze' AS engine, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS sum_quantity FROM bronze_orders
+UNION ALL SELECT 'silver', count(*), CAST(sum(quantity) AS BIGINT) FROM stg_orders""", views=("stg_orders",))
+def q_reconcile_summary(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return R.summary(v.bronze_orders, v.stg_orders, "quantity", "bronze", "silver")
