@@ -1 +1,333 @@
-"""Registered queries (filled in below)."""
+"""Registered source / sink queries (2.1, 2.2).
+
+Queries that write use a fresh folder under the session's shared checkpoint
+directory and return a DataFrame that reads the written data back, so the
+result stays valid after the call.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    TimestampNTZType,
+)
+
+from silverline.catalog import Tables, scratch_path
+from silverline.operators import reconcile as R
+from silverline.plans.registry import query
+from silverline.plans.views import Views
+from silverline.sinks import files as K
+from silverline.sources import landing as L
+from silverline.sources import text as T
+
+BRONZE_USERS_SCHEMA = StructType([
+    StructField("uuid", LongType()), StructField("username", StringType()), StructField("name", StringType()),
+    StructField("sex", StringType()), StructField("address", StringType()), StructField("mail", StringType()),
+    StructField("birthdate", DateType()),
+])
+BRONZE_ORDERS_SCHEMA = StructType([
+    StructField("uuid", LongType()), StructField("user_uuid", LongType()), StructField("date", TimestampNTZType()),
+    StructField("quantity", IntegerType()), StructField("product", StringType()), StructField("l_partkey", LongType()),
+    StructField("l_suppkey", LongType()), StructField("l_extendedprice", DoubleType()),
+])
+STG_USERS_SCHEMA = StructType([
+    StructField("user_id", LongType()), StructField("username", StringType()),
+    StructField("username_normalized", StringType()), StructField("name", StringType()),
+    StructField("sex", StringType()), StructField("email", StringType()),
+    StructField("birthdate_original", DateType()), StructField("birthdate", DateType()),
+    StructField("birthdate_is_valid", BooleanType()), StructField("street", StringType()),
+    StructField("city", StringType()), StructField("state", StringType()), StructField("zip_code", StringType()),
+])
+USERS_HEADER = ",".join(BRONZE_USERS_SCHEMA.fieldNames())
+RECORD_START = r"^[0-9]+,"  # a bronze users record starts with its numeric key
+
+
+def _users_csv(spark, sf_dir, label="users-csv") -> str:
+    path = scratch_path(spark, label)
+    T.write_csv(Views(spark, sf_dir).bronze_users, path)
+    return path
+
+
+# ---------------------------------------------------------------- CSV / JSON / text
+
+
+@query("csv_inferred_read", oracle="""
+SELECT CAST(uuid AS INTEGER) AS uuid, username, name, sex, address, mail, birthdate FROM bronze_users""",
+       views=("bronze_users",))
+def q_csv_inferred_read(spark, sf_dir):
+    """Header + inferred types over a multi-line quoted CSV (the key is
+    inferred as int at this scale; dates as date)."""
+    return T.read_csv_inferred(spark, _users_csv(spark, sf_dir))
+
+
+@query("csv_typed_read", oracle="SELECT * FROM bronze_orders", views=("bronze_orders",))
+def q_csv_typed_read(spark, sf_dir):
+    """Explicit schema, FAILFAST."""
+    path = scratch_path(spark, "orders-csv")
+    T.write_csv(Views(spark, sf_dir).bronze_orders, path)
+    return T.read_csv_typed(spark, path, BRONZE_ORDERS_SCHEMA, multiline=False)
+
+
+@query("csv_round_trip", oracle="SELECT * FROM bronze_users", views=("bronze_users",))
+def q_csv_round_trip(spark, sf_dir):
+    """K6: CSV write + typed read gives back every row unchanged (padding,
+    quotes and embedded newlines included)."""
+    return T.read_csv_typed(spark, _users_csv(spark, sf_dir), BRONZE_USERS_SCHEMA)
+
+
+@query("jsonl_round_trip", oracle="SELECT * FROM stg_users", views=("stg_users",))
+def q_jsonl_round_trip(spark, sf_dir):
+    """K6: JSON Lines write + read with schema."""
+    path = scratch_path(spark, "users-jsonl")
+    T.write_rows(Views(spark, sf_dir).stg_users, path, "jsonl")
+    return spark.read.schema(STG_USERS_SCHEMA).json(path)
+
+
+@query("text_lines_without_header", oracle="""
+SELECT count(*) AS lines FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE trim(line) <> ''""")
+def q_text_lines_without_header(spark, sf_dir):
+    """S3: land whole document texts as text files, read physical lines back,
+    drop blank lines (text files have no header line)."""
+    path = scratch_path(spark, "documents-text")
+    Tables(spark, sf_dir).documents.select("text").write.mode("overwrite").text(path)
+    lines = T.read_lines(spark, path)
+    return T.drop_header_and_blank(lines, header="\u0000").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("record_start_lines", oracle="""
+SELECT 2 * count(*) AS physical_lines, count(*) AS records FROM customer""")
+def q_record_start_lines(spark, sf_dir):
+    """A multi-line CSV read as physical lines has two lines per record;
+    only record-start lines match the key pattern."""
+    lines = T.drop_header_and_blank(T.read_lines(spark, _users_csv(spark, sf_dir)), USERS_HEADER)
+    return T.record_start_counts(lines, RECORD_START)
+
+
+@query("parse_delimited_lines", oracle="SELECT * FROM bronze_orders", views=("bronze_orders",))
+def q_parse_delimited_lines(spark, sf_dir):
+    """Delimited lines parsed to typed records with from_csv."""
+    path = scratch_path(spark, "orders-lines")
+    T.write_csv(Views(spark, sf_dir).bronze_orders, path)
+    header = ",".join(BRONZE_ORDERS_SCHEMA.fieldNames())
+    lines = T.drop_header_and_blank(T.read_lines(spark, path), header)
+    good, _bad = T.split_quarantine(T.parse_delimited(lines, BRONZE_ORDERS_SCHEMA))
+    return good
+
+
+@query("quarantine_malformed", oracle="""
+SELECT 'multiline' AS reader, count(*) AS parsed, CAST(0 AS BIGINT) AS quarantined FROM customer
+UNION ALL SELECT 'line_by_line', CAST(0 AS BIGINT), 2 * count(*) FROM customer""")
+def q_quarantine_malformed(spark, sf_dir):
+    """The same users CSV parsed record-aware (multiLine) and line by line.
+    Line by line every physical line has the wrong arity, so each goes to the
+    quarantine instead of failing the job."""
+    path = _users_csv(spark, sf_dir)
+    whole = T.read_csv_typed(spark, path, T.string_schema(BRONZE_USERS_SCHEMA.fieldNames()).add("_corrupt_record", StringType()),
+                             multiline=True, mode="PERMISSIVE")
+    lines = T.drop_header_and_blank(T.read_lines(spark, path), USERS_HEADER)
+    parsed = T.parse_delimited(lines, T.string_schema(BRONZE_USERS_SCHEMA.fieldNames()))
+
+    def counts(df, label):
+        # A data column is referenced too: Spark refuses plans that read only
+        # the corrupt-record column of a raw CSV.
+        return df.agg(F.lit(label).alias("reader"),
+                      F.count_if(F.col("_corrupt_record").isNull() & F.col("uuid").isNotNull()).alias("parsed"),
+                      F.count_if(F.col("_corrupt_record").isNotNull()).alias("quarantined"))
+
+    return counts(whole, "multiline").unionByName(counts(parsed, "line_by_line"))
+
+
+@query("csv_dialect_profile")
+def q_csv_dialect_profile(spark, sf_dir):
+    """Sniff delimiter / quote / header per landed file."""
+    users = _users_csv(spark, sf_dir)
+    orders = scratch_path(spark, "orders-csv-dialect")
+    T.write_csv(Views(spark, sf_dir).bronze_orders, orders)
+    return T.sniff_dialect(T.read_lines(spark, users).unionByName(T.read_lines(spark, orders)))
+
+
+@query("describe_schema")
+def q_describe_schema(spark, sf_dir):
+    """A relation's schema as rows (position, name, type, nullable).
+    Schema metadata only: bounded by the column count."""
+    df = Views(spark, sf_dir).stg_users
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "position int, column_name string, column_type string, nullable boolean")
+
+
+# ---------------------------------------------------------------- Parquet
+
+
+@query("parquet_scan", oracle="""
+SELECT l_returnflag, CAST(sum(l_quantity) AS DOUBLE) AS sum_quantity, count(*) AS lines
+FROM lineitem GROUP BY l_returnflag""")
+def q_parquet_scan(spark, sf_dir):
+    """Read Parquet through a glob; only the two used columns are read
+    (ReadSchema) and the sum is partial-aggregated per task."""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/line*.parquet")
+    return li.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("sum_quantity"), F.count(F.lit(1)).alias("lines"))
+
+
+def _write_by_product(spark, sf_dir) -> str:
+    path = scratch_path(spark, "orders-by-product")
+    K.write_partitioned(Views(spark, sf_dir).stg_orders, path, ["product"])
+    return path
+
+
+@query("partitioned_write", oracle="SELECT product, count(*) AS orders FROM stg_orders GROUP BY product",
+       views=("stg_orders",))
+def q_partitioned_write(spark, sf_dir):
+    """K4: Hive-partitioned write by product; the product column comes back
+    from the directory names."""
+    back = spark.read.parquet(_write_by_product(spark, sf_dir))
+    return back.groupBy("product").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("partitioned_scan_filtered", oracle="SELECT count(*) AS orders FROM stg_orders WHERE product = 'large'",
+       views=("stg_orders",))
+def q_partitioned_scan_filtered(spark, sf_dir):
+    """Equality filter on the partition column -> PartitionFilters,
+    only one directory is listed and read."""
+    back = spark.read.parquet(_write_by_product(spark, sf_dir))
+    return back.filter(F.col("product") == "large").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("partitioned_write_by_month", oracle="""
+SELECT CAST(date_trunc('month', ordered_at) AS DATE) AS month, count(*) AS orders FROM stg_orders GROUP BY 1""",
+       views=("stg_orders",))
+def q_partitioned_write_by_month(spark, sf_dir):
+    """K5: partition growing data by month (salted so a hot month still has
+    several writers)."""
+    path = scratch_path(spark, "orders-by-month")
+    K.write_partitioned(K.with_month(Views(spark, sf_dir).stg_orders, "ordered_at"), path, ["month"])
+    back = spark.read.parquet(path)
+    return back.groupBy("month").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("parquet_round_trip", oracle="SELECT * FROM stg_users", views=("stg_users",))
+def q_parquet_round_trip(spark, sf_dir):
+    """K1/K2: overwrite, read back, assert identical rows both ways."""
+    users = Views(spark, sf_dir).stg_users
+    path = scratch_path(spark, "users-parquet")
+    K.write_parquet(users, path)
+    back = spark.read.parquet(path)
+    R.assert_identical(users, back, "users Parquet round trip")
+    return back
+
+
+@query("parquet_append", oracle="""
+SELECT * FROM stg_orders
+UNION ALL SELECT -order_id, user_id, ordered_at, quantity, product FROM (SELECT * FROM stg_orders ORDER BY order_id LIMIT 3)""",
+       views=("stg_orders",))
+def q_parquet_append(spark, sf_dir):
+    """K3: append new rows to a Parquet directory; earlier files stay."""
+    orders = Views(spark, sf_dir).stg_orders
+    path = scratch_path(spark, "orders-append")
+    K.write_parquet(orders, path)
+    new = orders.orderBy("order_id").limit(3).withColumn("order_id", -F.col("order_id"))
+    K.write_parquet(new, path, mode="append")
+    return spark.read.parquet(path)
+
+
+@query("range_clustered_write", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
+def q_range_clustered_write(spark, sf_dir):
+    """K9: range-partition + sort on the timestamp before writing."""
+    path = scratch_path(spark, "orders-clustered")
+    K.write_range_clustered(Views(spark, sf_dir).stg_orders, path, "ordered_at")
+    return spark.read.parquet(path)
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """K7: files of a partitioned output with size and records."""
+    return K.file_inventory(spark, _write_by_product(spark, sf_dir))
+
+
+@query("parquet_footer_profile")
+def q_parquet_footer_profile(spark, sf_dir):
+    """K8: footer metadata of the driver tables themselves."""
+    return K.parquet_footer_profile(spark, sf_dir)
+
+
+@query("footer_row_counts", oracle="""
+SELECT 'lineitem' AS table_name, count(*) AS num_rows FROM lineitem
+UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'customer', count(*) FROM customer""")
+def q_footer_row_counts(spark, sf_dir):
+    """K8 (exact part): per-table row counts from footers only, no data read."""
+    prof = K.parquet_footer_profile(spark, sf_dir)
+    per_group = prof.select("file_path", "row_group", "num_rows").distinct()
+    named = per_group.withColumn("table_name", F.regexp_extract("file_path", r"([^/]+)\.parquet$", 1))
+    return (named.filter(F.col("table_name").isin("lineitem", "orders", "customer"))
+            .groupBy("table_name").agg(F.sum("num_rows").cast("long").alias("num_rows")))
+
+
+@query("partition_balance")
+def q_partition_balance(spark, sf_dir):
+    """Repartition (shuffle) versus coalesce (no shuffle)."""
+    return K.partition_balance(Views(spark, sf_dir).stg_orders, 4)
+
+
+@query("view_table_equal", oracle="SELECT CAST(0 AS BIGINT) AS different_rows")
+def q_view_table_equal(spark, sf_dir):
+    """The same model materialised as a view and as a table agree."""
+    users = Views(spark, sf_dir).stg_users
+    view = K.materialize(users, "silverline_stg_users_view", "view")
+    table = K.materialize(users, "stg_users", "table")
+    return R.diff_rows(view, table).agg(F.count(F.lit(1)).alias("different_rows"))
+
+
+# ---------------------------------------------------------------- landing
+
+
+INGEST_DATE = "2024-02-01"
+
+
+def _land(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    sources = {"users": f"{root}/local/users", "orders": f"{root}/local/orders"}
+    T.write_csv(v.bronze_users, sources["users"])
+    T.write_csv(v.bronze_orders, sources["orders"])
+    bronze = f"{root}/bronze"
+    for name, src in sources.items():
+        L.land_files(spark, src, bronze, name, INGEST_DATE)
+    return sources, bronze
+
+
+@query("land_bronze", oracle=f"SELECT *, DATE '{INGEST_DATE}' AS ingest_date FROM bronze_orders",
+       views=("bronze_orders",))
+def q_land_bronze(spark, sf_dir):
+    """Landing copy into bronze/<dataset>/ingest_date=<d>/, read back
+    with partition discovery."""
+    _sources, bronze = _land(spark, sf_dir)
+    schema = StructType(BRONZE_ORDERS_SCHEMA.fields + [StructField("ingest_date", DateType())])
+    return T.read_csv_typed(spark, f"{bronze}/orders", schema, multiline=False)
+
+
+@query("verify_landing", oracle="""
+SELECT 'users' AS dataset, true AS identical, count(*) AS records, CAST(0 AS BIGINT) AS orphan_records FROM bronze_users
+UNION ALL
+SELECT 'orders', true, count(*),
+       (SELECT count(*) FROM bronze_orders o ANTI JOIN bronze_users u ON o.user_uuid = u.uuid) FROM bronze_orders""",
+       views=("bronze_users", "bronze_orders"))
+def q_verify_landing(spark, sf_dir):
+    """Bytes equal (SHA-256 per file), record counts, every order's
+    user present (anti join)."""
+    sources, bronze = _land(spark, sf_dir)
+    users = T.read_csv_typed(spark, f"{bronze}/users", BRONZE_USERS_SCHEMA)
+    orders = T.read_csv_typed(spark, f"{bronze}/orders", BRONZE_ORDERS_SCHEMA, multiline=False)
+    orphans = orders.join(users.select(F.col("uuid").alias("user_uuid")), "user_uuid", "left_anti")
+
+    def row(name, records, orphan_count):
+        same = L.identical_files(spark, sources[name], f"{bronze}/{name}/ingest_date={INGEST_DATE}")
+        ident = same.select(((F.col("source_files") == F.col("identical_files"))
+                             & (F.col("landed_files") == F.col("identical_files"))).alias("identical"))
+        return ident.select(F.lit(name).alias("dataset"), "identical",
+                            records.alias("records"), orphan_count.alias("orphan_records"))
+
+    u_count = users.select(F.count(F.lit(1))).scalar()
+    o_count = orders.select(F.count(F.lit(1))).scalar()
+    orphan_count = orphans.select(F.count(F.lit(1))).scalar()
+    return row("users", u_count, F.lit(0).cast("long")).unionByName(row("orders", o_count, orphan_count))
