@@ -1 +1,57 @@
-"""Registered queries (filled in below)."""
+"""Registered incremental-landing queries (2.13)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from silverline.catalog import scratch_path
+from silverline.plans import silver
+from silverline.plans.q_io import BRONZE_ORDERS_SCHEMA
+from silverline.plans.registry import query
+from silverline.plans.views import Views
+from silverline.sources import text as T
+from silverline.streaming import incremental as I
+
+CUT = "1998-01-01"  # first increment: orders shipped before this date
+
+
+def _land_batch(df, landing):
+    T.write_csv(df, landing, mode="append")
+
+
+def _read_options():
+    return dict(T.CSV_OPTIONS)
+
+
+@query("incremental_landing", oracle="SELECT * FROM bronze_orders", views=("bronze_orders",))
+def q_incremental_landing(spark, sf_dir):
+    """ST1: two landings, two availableNow runs; the second run only picks up
+    the new files, and the bronze table ends with every record once."""
+    bronze = Views(spark, sf_dir).bronze_orders
+    root = scratch_path(spark, "incremental")
+    landing, target, ckpt = f"{root}/landing", f"{root}/bronze_orders", f"{root}/_checkpoint"
+    early = bronze.filter(F.col("date") < F.lit(CUT).cast("timestamp_ntz"))
+    late = bronze.filter(F.col("date") >= F.lit(CUT).cast("timestamp_ntz"))
+    _land_batch(early, landing)
+    I.land_increment(spark, landing, target, ckpt, BRONZE_ORDERS_SCHEMA, options=_read_options())
+    _land_batch(late, landing)
+    I.land_increment(spark, landing, target, ckpt, BRONZE_ORDERS_SCHEMA, options=_read_options())
+    return spark.read.parquet(target)
+
+
+@query("incremental_dedupe", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
+def q_incremental_dedupe(spark, sf_dir):
+    """ST2: increments with natural duplicates plus a full replay of the first
+    increment (new files, same records); silver keeps the latest copy per
+    key and the replay adds no rows."""
+    bronze = Views(spark, sf_dir).bronze_orders
+    root = scratch_path(spark, "incremental-dedupe")
+    landing, changes, ckpt = f"{root}/landing", f"{root}/changes", f"{root}/_checkpoint"
+    early = bronze.filter(F.col("date") < F.lit(CUT).cast("timestamp_ntz"))
+    late = bronze.filter(F.col("date") >= F.lit(CUT).cast("timestamp_ntz"))
+    for batch in (early, late, early):
+        _land_batch(batch, landing)
+        I.dedupe_increment(spark, landing, changes, ckpt, BRONZE_ORDERS_SCHEMA, ["uuid"], silver.ORDER_TIES,
+                           options=_read_options())
+    latest = I.merged_view(spark, changes, ["uuid"], silver.ORDER_TIES)
+    return silver.typed_orders(latest)

@@ -1 +1,71 @@
-"""Registered queries (filled in below)."""
+"""Registered UDF-variant queries (2.14) and synthetic generators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from silverline.functions import udfs as U
+from silverline.operators import reconcile as R
+from silverline.plans.registry import query
+from silverline.plans.views import Views
+from silverline.sources import generate as G
+
+_NATIVE = "regexp_extract(address, '([A-Z]{2}) ([0-9]{5})$', 2)"
+_TAIL = "regexp_extract(address, '([0-9]{5})$', 1)"
+
+
+@query("zip_native", oracle=f"SELECT uuid, {_NATIVE} AS zip_code FROM bronze_users", views=("bronze_users",))
+def q_zip_native(spark, sf_dir):
+    """F1."""
+    return Views(spark, sf_dir).bronze_users.select("uuid", U.zip_native("address").alias("zip_code"))
+
+
+@query("zip_python_udf", oracle=f"SELECT uuid, {_NATIVE} AS zip_code FROM bronze_users", views=("bronze_users",))
+def q_zip_python_udf(spark, sf_dir):
+    """row-at-a-time Python UDF (the slow path, for comparison)."""
+    return Views(spark, sf_dir).bronze_users.select("uuid", U.zip_python_udf("address").alias("zip_code"))
+
+
+@query("zip_pandas_udf", oracle=f"SELECT uuid, {_TAIL} AS zip_code FROM bronze_users", views=("bronze_users",))
+def q_zip_pandas_udf(spark, sf_dir):
+    """Arrow-batched pandas UDF."""
+    return Views(spark, sf_dir).bronze_users.select("uuid", U.zip_pandas_udf("address").alias("zip_code"))
+
+
+@query("zip_variants_equal", oracle=f"""
+SELECT 'native' AS variant, CAST(sum(length({_NATIVE})) AS BIGINT) AS total_length, CAST(0 AS BIGINT) AS different_rows
+FROM bronze_users
+UNION ALL SELECT 'python_udf', CAST(sum(length({_NATIVE})) AS BIGINT), CAST(0 AS BIGINT) FROM bronze_users
+UNION ALL SELECT 'pandas_udf', CAST(sum(length({_TAIL})) AS BIGINT),
+       2 * count(*) FILTER (WHERE {_NATIVE} IS DISTINCT FROM {_TAIL}) FROM bronze_users""", views=("bronze_users",))
+def q_zip_variants_equal(spark, sf_dir):
+    """every variant against the native one (EXCEPT ALL both ways on
+    (key, zip)), and a forced evaluation (sum of lengths: a bare count could
+    skip the column)."""
+    users = Views(spark, sf_dir).bronze_users
+    variants = {
+        "native": U.zip_native("address"),
+        "python_udf": U.zip_python_udf("address"),
+        "pandas_udf": U.zip_pandas_udf("address"),
+    }
+    frames = {k: users.select("uuid", c.alias("zip_code")) for k, c in variants.items()}
+    out = None
+    for name, frame in frames.items():
+        diff = R.diff_rows(frames["native"], frame).select(F.count(F.lit(1))).scalar()
+        row = frame.agg(F.lit(name).alias("variant"), F.sum(F.length("zip_code")).cast("long").alias("total_length"),
+                        diff.alias("different_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("generate_users")
+def q_generate_users(spark, sf_dir):
+    """One seeded synthetic user per customer key."""
+    return G.generate_users(Views(spark, sf_dir).t.customer.select("c_custkey"), "c_custkey", seed=42)
+
+
+@query("generate_orders")
+def q_generate_orders(spark, sf_dir):
+    """Seeded orders for those users, one per global hour slot."""
+    users = G.generate_users(Views(spark, sf_dir).t.customer.select("c_custkey"), "c_custkey", seed=42)
+    return G.generate_orders(users, count_min=0, count_max=100, seed=42)
