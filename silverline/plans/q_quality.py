@@ -344,3 +344,12 @@ UNION ALL SELECT 'silver', count(*), CAST(sum(quantity) AS BIGINT) FROM stg_orde
 def q_reconcile_summary(spark, sf_dir):
     v = Views(spark, sf_dir)
     return R.summary(v.bronze_orders, v.stg_orders, "quantity", "bronze", "silver")
+
+
+@query("silver_build", oracle=_report_oracle(), views=("stg_users", "zip_states", "states"))
+def q_silver_build(spark, sf_dir):
+    """M6: the whole silver build; returns the check report of the stored tables."""
+    from silverline.catalog import scratch_path
+    from silverline.plans.build import build_silver
+
+    return build_silver(spark, sf_dir, scratch_path(spark, "silver-build"))
