@@ -4,8 +4,10 @@ A rule is a lazily built DataFrame of *violating rows*: empty means pass.
 `run_checks` turns a list of rules into one report DataFrame
 (rule, severity, failures, status), evaluated in as few passes as possible:
 row-level rules over the same frame are fused into a single aggregation
-(`count_if` per rule), while rules that need a shuffle (unique,
-relationships) contribute one aggregate each. Nothing is collected.
+(`count_if` per rule), `unique` rules over the same frame share one
+grouping-sets aggregation, and only custom set-level rules contribute an
+aggregate each. Joins a check needs are done once, in a "checked" frame
+whose predicates then fuse like any row-level rule. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ class Rule:
     key: str | None = None
     severity: str = "error"  # "error" | "warn"
     columns: Sequence[str] = field(default_factory=tuple)
+    kind: str = "predicate"  # "predicate" | "unique" | "custom"
 
     def violations(self) -> DataFrame:
         if self.build is not None:
@@ -66,7 +69,8 @@ def unique(df: DataFrame, column: str, name: str | None = None, severity="error"
         return (df.filter(F.col(column).isNotNull()).groupBy(column)
                 .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
 
-    return Rule(name or f"unique_{column}", df, build=build, key=column, severity=severity, columns=(column,))
+    return Rule(name or f"unique_{column}", df, build=build, key=column, severity=severity, columns=(column,),
+                kind="unique")
 
 
 def relationships(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str, key: str,
@@ -80,12 +84,12 @@ def relationships(child: DataFrame, child_col: str, parent: DataFrame, parent_co
         return c.join(parents, c[child_col] == parents["_pk"], "left_anti")
 
     return Rule(name or f"relationships_{child_col}", child, build=build, key=key, severity=severity,
-                columns=(child_col,))
+                columns=(child_col,), kind="custom")
 
 
 def custom(df: DataFrame, name: str, build: Callable[[], DataFrame], key: str, severity="error") -> Rule:
     """Singular SQL-style test: any DataFrame of violating rows."""
-    return Rule(name, df, build=build, key=key, severity=severity)
+    return Rule(name, df, build=build, key=key, severity=severity, kind="custom")
 
 
 def _status(failures: Column, severity: Column) -> Column:
@@ -94,25 +98,48 @@ def _status(failures: Column, severity: Column) -> Column:
             .otherwise(F.lit("ERROR")))
 
 
+def _stacked(wide: DataFrame, group: Sequence[Rule]) -> DataFrame:
+    stack = ", ".join(f"'{r.name}', '{r.severity}', CAST(c{i} AS BIGINT)" for i, r in enumerate(group))
+    return wide.selectExpr(f"stack({len(group)}, {stack}) AS (rule, severity, failures)")
+
+
+def _unique_counts(src: DataFrame, group: Sequence[Rule]) -> DataFrame:
+    """All `unique` rules of one frame in a single aggregation: one grouping
+    set per column (Expand + one shuffle), then duplicated non-null values
+    counted per set."""
+    cols = [r.columns[0] for r in group]
+    per_value = src.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(c).alias(f"_g{i}") for i, c in enumerate(cols)])
+    wide = per_value.agg(*[
+        F.count_if((F.col(f"_g{i}") == 0) & F.col(c).isNotNull() & (F.col("_n") > 1)).alias(f"c{i}")
+        for i, c in enumerate(cols)])
+    return _stacked(wide, group)
+
+
 def run_checks(rules: Sequence[Rule]) -> DataFrame:
     """Q11: report (rule, severity, failures, status) for all rules.
 
     Row-level rules sharing a source frame are evaluated in one aggregation
-    pass; the result is tiny (one row per rule) and fully lazy."""
+    pass and `unique` rules sharing a frame in one grouping-sets pass; only
+    custom set-level rules get a pass of their own. The result is tiny (one
+    row per rule) and fully lazy."""
     parts: list[DataFrame] = []
     fused: dict[int, list[Rule]] = {}
+    uniques: dict[int, list[Rule]] = {}
     for r in rules:
         if r.predicate is not None:
             fused.setdefault(id(r.source), []).append(r)
+        elif r.kind == "unique":
+            uniques.setdefault(id(r.source), []).append(r)
         else:
             parts.append(r.violations().agg(
                 F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"),
                 F.count(F.lit(1)).alias("failures")))
     for group in fused.values():
-        src = group[0].source
-        wide = src.agg(*[F.count_if(r.predicate).alias(f"c{i}") for i, r in enumerate(group)])
-        stack = ", ".join(f"'{r.name}', '{r.severity}', CAST(c{i} AS BIGINT)" for i, r in enumerate(group))
-        parts.append(wide.selectExpr(f"stack({len(group)}, {stack}) AS (rule, severity, failures)"))
+        wide = group[0].source.agg(*[F.count_if(r.predicate).alias(f"c{i}") for i, r in enumerate(group)])
+        parts.append(_stacked(wide, group))
+    for group in uniques.values():
+        parts.append(_unique_counts(group[0].source, group))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
