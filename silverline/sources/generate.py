@@ -64,11 +64,16 @@ def generate_users(keys: DataFrame, key_col: str, seed: int = 42) -> DataFrame:
 
 
 def generate_orders(users: DataFrame, count_min: int = 0, count_max: int = 100, seed: int = 42,
-                    start: str = "2020-01-01 00:00:00", buckets: int = 64,
+                    start: str = "2020-01-01 00:00:00", buckets: int | None = None,
                     products=REFERENCE_PRODUCTS) -> DataFrame:
     """Orders of every user, one per global hour slot."""
     if count_max < count_min:
         raise ValueError("count_max < count_min")
+    if buckets is None:
+        # ~1M users per in-bucket window at most; the bucket-offset frame
+        # (one row per bucket) stays small enough to broadcast.
+        n_users = users.select(F.count(F.lit(1))).first()[0]
+        buckets = max(8, min(100_000, n_users // 1_000_000 + 1))
     u = users.select("uuid").withColumn(
         "n", (F.lit(count_min) + F.pmod(_h(F.col("uuid"), seed=seed, salt="count"),
                                         F.lit(count_max - count_min + 1))).cast("long")

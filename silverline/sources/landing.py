@@ -53,11 +53,31 @@ def land_files(spark: SparkSession, source_dir: str, bronze_root: str, dataset:
     return spark.read.parquet(log_path)
 
 
+def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import hashlib
+
+    for batch in batches:
+        out = []
+        for path in batch["path"]:
+            fs_, local = _local_or_uri(path)
+            h, n = hashlib.sha256(), 0
+            with fs_.open_input_stream(local) as fin:
+                while True:
+                    chunk = fin.read(8 << 20)
+                    if not chunk:
+                        break
+                    h.update(chunk)
+                    n += len(chunk)
+            out.append((path.rsplit("/", 1)[-1], n, h.hexdigest()))
+        yield pd.DataFrame(out, columns=["name", "bytes", "sha256"])
+
+
 def file_digests(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
-    """(name, bytes, sha256) of every file; digests are computed in tasks."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-            .select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"),
-                    F.sha2("content", 256).alias("sha256")))
+    """(name, bytes, sha256) of every file. Each task streams its files
+    through SHA-256 in 8 MiB chunks, so file size is not bounded by a row
+    (binaryFile's `content` would hold a whole file in one row)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory).select("path"))
+    return files.repartition(F.col("path")).mapInPandas(_digest, "name string, bytes long, sha256 string")
 
 
 def identical_files(spark: SparkSession, source_dir: str, landed_dir: str, glob: str = "*.csv") -> DataFrame:
