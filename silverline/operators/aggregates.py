@@ -84,9 +84,12 @@ def count_distinct_per_group(df: DataFrame, keys: Sequence, c: str, alias: str)
 
 def every_value_groups(df: DataFrame, keys: Sequence[str], c: str, alias: str) -> DataFrame:
     """A11 relational division: groups whose distinct `c` count equals the
-    global distinct count (scalar subquery, HAVING)."""
-    everything = df.select(F.count_distinct(c)).scalar()
-    return df.groupBy(*keys).agg(F.count_distinct(c).alias(alias)).filter(F.col(alias) == everything)
+    global distinct count (scalar subquery, HAVING). Both counts come from
+    one distinct (keys, c) frame, which is at most keys x values rows and is
+    built with partial aggregation (a hot key contributes one row per value)."""
+    pairs = df.select(*keys, c).distinct()
+    everything = pairs.select(F.count_distinct(c)).scalar()
+    return pairs.groupBy(*keys).agg(F.count(c).alias(alias)).filter(F.col(alias) == everything)
 
 
 def conditional_count(df: DataFrame, keys: Sequence[str], predicate: Column, alias: str,

@@ -1,9 +1,9 @@
 """Row-level reconciliation of two outputs.
 
 `diff_rows` is the multiset difference in both directions (EXCEPT ALL), so
-duplicates count: two frames are identical iff it is empty. EXCEPT ALL plans
-as a union + hash aggregate over all columns (partial aggregation first), so
-repeated rows are counted map-side rather than shuffled one by one.
+duplicates count: two frames are identical iff it is empty. Both directions
+come from one union + aggregate over all columns (partial aggregation
+first), so each input is read once and repeated rows are counted map-side.
 """
 
 from __future__ import annotations
@@ -17,25 +17,42 @@ def align(left: DataFrame, right: DataFrame) -> DataFrame:
     return right.select(*[F.col(c).cast(types[c]).alias(c) for c in left.columns])
 
 
-def diff_rows(left: DataFrame, right: DataFrame, side_col: str = "side") -> DataFrame:
+def _side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Per distinct row: how many copies each side has, in ONE aggregation
+    over the union of both inputs (NULLs group together, as in EXCEPT ALL).
+    Partial aggregation runs before the shuffle, so heavily repeated rows
+    are counted map-side."""
     r = align(left, right)
-    lo = left.exceptAll(r).withColumn(side_col, F.lit("left_only"))
-    ro = r.exceptAll(left).withColumn(side_col, F.lit("right_only"))
-    return lo.unionByName(ro)
+    tagged = (left.withColumn("_l", F.lit(1)).withColumn("_r", F.lit(0))
+              .unionByName(r.withColumn("_l", F.lit(0)).withColumn("_r", F.lit(1))))
+    counts = tagged.groupBy(*left.columns).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
+    return counts.filter(F.col("_nl") != F.col("_nr"))
+
+
+def diff_rows(left: DataFrame, right: DataFrame, side_col: str = "side") -> DataFrame:
+    """Multiset difference in both directions (left EXCEPT ALL right, and the
+    reverse), labelled by side. Each input is read once (plain `exceptAll`
+    twice would read both inputs twice)."""
+    d = _side_counts(left, right)
+    surplus = F.abs(F.col("_nl") - F.col("_nr"))
+    side = F.when(F.col("_nl") > F.col("_nr"), F.lit("left_only")).otherwise(F.lit("right_only"))
+    return d.select(*left.columns, side.alias(side_col),
+                    F.explode(F.sequence(F.lit(1).cast("long"), surplus)).alias("_copy")).drop("_copy")
 
 
 def different_row_count(left: DataFrame, right: DataFrame, label: str, label_col: str = "model") -> DataFrame:
-    """One row (label, different_rows)."""
-    return diff_rows(left, right).agg(F.lit(label).alias(label_col), F.count(F.lit(1)).alias("different_rows"))
+    """One row (label, different_rows): rows only on one side, with copies."""
+    d = _side_counts(left, right)
+    return d.agg(F.lit(label).alias(label_col),
+                 F.coalesce(F.sum(F.abs(F.col("_nl") - F.col("_nr"))), F.lit(0)).cast("long").alias("different_rows"))
 
 
 def assert_identical(left: DataFrame, right: DataFrame, label: str) -> None:
-    """Raise if the frames differ; looks at most one differing row per side."""
-    r = align(left, right)
-    if left.exceptAll(r).take(1):
-        raise AssertionError(f"{label}: left-only rows")
-    if r.exceptAll(left).take(1):
-        raise AssertionError(f"{label}: right-only rows")
+    """Raise if the frames differ as multisets (looks at one differing row)."""
+    bad = _side_counts(left, right).take(1)
+    if bad:
+        side = "left" if bad[0]["_nl"] > bad[0]["_nr"] else "right"
+        raise AssertionError(f"{label}: {side}-only rows")
 
 
 def summary(left: DataFrame, right: DataFrame, measure: str, left_label="left", right_label="right") -> DataFrame:
