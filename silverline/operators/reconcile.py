@@ -29,15 +29,26 @@ def _side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     return counts.filter(F.col("_nl") != F.col("_nr"))
 
 
+# Copies of one differing row are re-expanded in chunks of this size, so no
+# task ever builds an array longer than this (a row repeated a billion times
+# becomes ~250k chunk rows, each expanded lazily).
+EXPAND_CHUNK = 4096
+
+
 def diff_rows(left: DataFrame, right: DataFrame, side_col: str = "side") -> DataFrame:
     """Multiset difference in both directions (left EXCEPT ALL right, and the
     reverse), labelled by side. Each input is read once (plain `exceptAll`
     twice would read both inputs twice)."""
     d = _side_counts(left, right)
-    surplus = F.abs(F.col("_nl") - F.col("_nr"))
+    surplus = F.abs(F.col("_nl") - F.col("_nr")).cast("long")
     side = F.when(F.col("_nl") > F.col("_nr"), F.lit("left_only")).otherwise(F.lit("right_only"))
-    return d.select(*left.columns, side.alias(side_col),
-                    F.explode(F.sequence(F.lit(1).cast("long"), surplus)).alias("_copy")).drop("_copy")
+    chunk = F.lit(EXPAND_CHUNK).cast("long")
+    n_chunks = F.floor((surplus + chunk - 1) / chunk).cast("long")
+    chunks = d.select(*left.columns, side.alias(side_col), surplus.alias("_k"),
+                      F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)).alias("_c"))
+    in_chunk = F.least(chunk, F.col("_k") - F.col("_c") * chunk)
+    return chunks.select(*left.columns, side_col,
+                         F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)).alias("_copy")).drop("_copy")
 
 
 def different_row_count(left: DataFrame, right: DataFrame, label: str, label_col: str = "model") -> DataFrame:
