@@ -90,21 +90,20 @@ def balanced_scan(df: DataFrame) -> DataFrame:
     thousands of files/row groups: the file-count test returns immediately
     and the plan is unchanged. Only footers of at most `parallelism` files are
     read, on the driver, and only in that small case."""
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= parallelism:
-        return df
     try:
         from silverline.sinks.files import _local_or_uri
 
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        files = df.inputFiles()
+        if not files or len(files) >= parallelism:
+            return df
         sizes = 0
         for f in files:
             fs, local = _local_or_uri(f)
             sizes += fs.get_file_info(local).size or 0
         if sizes < MIN_BALANCE_BYTES or sum(_row_groups(f) for f in files) >= parallelism:
             return df
-    except Exception:  # noqa: BLE001 - unknown file system: leave the plan as is
+    except Exception:  # noqa: BLE001 - no context / unknown file system: leave the plan as is
         return df
     # Hash on the leading key-like columns: deterministic under task retries
     # without the per-task sort a round-robin repartition needs, and two
