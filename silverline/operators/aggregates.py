@@ -84,17 +84,10 @@ def count_distinct_per_group(df: DataFrame, keys: Sequence, c: str, alias: str)
 
 def every_value_groups(df: DataFrame, keys: Sequence[str], c: str, alias: str) -> DataFrame:
     """A11 relational division: groups whose distinct `c` count equals the
-    global distinct count (scalar subquery, HAVING).
-
-    Both counts come from one distinct (keys, c) frame, at most
-    keys x values rows, built with partial aggregation (a hot key contributes
-    one row per value). It is stored once with a reliable checkpoint so the
-    expensive input is read once, not once for the subquery and once for the
-    groups."""
-    from silverline.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    pairs = df.select(*keys, c).distinct().checkpoint(eager=True)
+    global distinct count (scalar subquery, HAVING). Both counts come from
+    one distinct (keys, c) frame, at most keys x values rows, built with
+    partial aggregation (a hot key contributes one row per value)."""
+    pairs = df.select(*keys, c).distinct()
     everything = pairs.select(F.count_distinct(c)).scalar()
     return pairs.groupBy(*keys).agg(F.count(c).alias(alias)).filter(F.col(alias) == everything)
 
