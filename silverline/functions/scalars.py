@@ -82,9 +82,3 @@ def day_of(ts) -> Column:
 def days_between(start, end) -> Column:
     """date_diff('day', start::DATE, end::DATE)."""
     return F.datediff(F.to_date(col(end)), F.to_date(col(start)))
-
-
-def pct(numerator, denominator, digits: int) -> Column:
-    """round(100 * n / d, digits); NULL when d is 0 or NULL (nullif)."""
-    ratio = F.lit(100.0) * col(numerator) / F.nullif(col(denominator), F.lit(0))
-    return F.round(ratio, digits)

@@ -78,10 +78,6 @@ def per_key_sum_without_combine(df: DataFrame, key: str, measure: str, alias: st
     return partial.groupBy(key).agg(F.sum("_s").cast("long").alias(alias))
 
 
-def count_distinct_per_group(df: DataFrame, keys: Sequence, c: str, alias: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count_distinct(c).alias(alias))
-
-
 def every_value_groups(df: DataFrame, keys: Sequence[str], c: str, alias: str) -> DataFrame:
     """A11 relational division: groups whose distinct `c` count equals the
     global distinct count (scalar subquery, HAVING). Both counts come from
