@@ -57,8 +57,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
-                          extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_JAVA_OPTS"):
+        extra["spark.driver.extraJavaOptions"] = os.environ["BENCH_JAVA_OPTS"]
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), extra_conf=extra)
     qs = all_queries()
     names = only or HEADLINE
     # Warm-up: JVM start, class loading and file listing are not query time.

@@ -45,7 +45,11 @@ def build_session(
         shuffle_partitions or os.environ.get("SILVERLINE_SHUFFLE_PARTITIONS", 8)
     )
     if master.startswith("local"):
+        # Local mode: the driver JVM is the only executor. The throughput
+        # collector measured ~15% faster and far steadier than G1 on these
+        # batch plans. On a cluster, JVM options are the platform's call.
         conf.setdefault("spark.driver.memory", os.environ.get("SILVERLINE_DRIVER_MEMORY", "8g"))
+        conf.setdefault("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
