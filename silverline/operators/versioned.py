@@ -253,6 +253,20 @@ class VersionedTable:
         return self.spark.read.schema(METADATA_SCHEMA).json(f"{self._meta_dir}/v{versions[-1]}.json")
 
 
+def metadata_log_of(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """V11 over many tables at once: one JSON read of every metadata version
+    of every table, exploded to one row per snapshot-log entry, labelled with
+    the table folder name."""
+    paths = [f"{r.rstrip('/')}/metadata/v*.json" for r in roots]
+    meta = spark.read.schema(METADATA_SCHEMA).json(paths)
+    table = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/metadata/v[0-9]+\.json$", 1)
+    return meta.select(table.alias("table_name"), "version",
+                       F.posexplode("snapshot_log").alias("pos", "e")).select(
+        "table_name", F.col("version").alias("metadata_version"), (F.col("pos") + 1).alias("position"),
+        F.col("e.snapshot_id").alias("snapshot_id"),
+        F.timestamp_millis(F.col("e.timestamp_ms")).alias("made_current_at"))
+
+
 def key_collisions(new_rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of `new_rows` already present in `table` (left_semi);
     uniqueness is not enforced by the table itself, so guard before append."""

@@ -9,7 +9,7 @@ import time
 from pyspark.sql import functions as F
 
 from silverline.catalog import scratch_path
-from silverline.operators.versioned import VersionedTable, key_collisions
+from silverline.operators.versioned import VersionedTable, key_collisions, metadata_log_of
 from silverline.plans.registry import query
 from silverline.plans.views import Views
 
@@ -138,16 +138,28 @@ def q_ver_manifest_counts(spark, sf_dir):
 
 
 @query("snapshot_log_from_json", oracle="""
-SELECT * FROM (VALUES (1, 1, 1), (2, 1, 1), (2, 2, 2), (3, 1, 1), (3, 2, 2), (3, 3, 1))
-  AS t(metadata_version, position, snapshot_id)""")
+SELECT * FROM (VALUES ('orders', 1, 1, 1), ('orders', 2, 1, 1), ('orders', 2, 2, 2), ('orders', 3, 1, 1),
+                      ('orders', 3, 2, 2), ('orders', 3, 3, 1), ('users', 1, 1, 1), ('users', 2, 1, 1),
+                      ('users', 2, 2, 2))
+  AS t(table_name, metadata_version, position, snapshot_id)""")
 def q_snapshot_log_from_json(spark, sf_dir):
-    """All metadata versions read as JSON data and exploded."""
-    vt, _, base = _appended(spark, sf_dir)
-    vt.rollback_to(base)
-    return vt.metadata_log().select(
-        F.col("metadata_version").cast("int").alias("metadata_version"),
-        F.col("position").cast("int").alias("position"),
-        F.col("snapshot_id").cast("int").alias("snapshot_id"))
+    """Every metadata version of two tables (orders: create, append,
+    rollback; users: create, append) read as JSON data in one pass and
+    exploded to snapshot-log entries."""
+    v = Views(spark, sf_dir)
+    root = scratch_path(spark, "versioned-tables")
+    orders = VersionedTable(spark, f"{root}/orders")
+    base = orders.create(v.stg_orders)
+    orders.append(_new_orders(v.stg_orders))
+    orders.rollback_to(base)
+    users = VersionedTable(spark, f"{root}/users")
+    users.create(v.stg_users)
+    users.append(v.stg_users.orderBy("user_id").limit(3).withColumn("user_id", -F.col("user_id")))
+    log = metadata_log_of(spark, [orders.root, users.root])
+    return log.select("table_name",
+                      F.col("metadata_version").cast("int").alias("metadata_version"),
+                      F.col("position").cast("int").alias("position"),
+                      F.col("snapshot_id").cast("int").alias("snapshot_id"))
 
 
 @query("ver_expirable")
