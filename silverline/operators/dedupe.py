@@ -45,7 +45,11 @@ def latest_per_key(
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per `keys`: the first row by `order` (e.g. newest timestamp,
-    then tie columns). Returns `keys + keep` columns (default: all)."""
+    then tie columns). Returns `keys + keep` columns (default: all).
+
+    The result is deterministic when `order` (plus `keys`) determines the
+    kept columns; rows that tie on every order column must be identical in
+    `keep`, so include tie-breakers until that holds."""
     keys = list(keys)
     keep = list(keep) if keep is not None else [c for c in df.columns if c not in keys]
     if method == "window":
