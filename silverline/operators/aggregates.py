@@ -78,12 +78,21 @@ def per_key_sum_without_combine(df: DataFrame, key: str, measure: str, alias: st
     return partial.groupBy(key).agg(F.sum("_s").cast("long").alias(alias))
 
 
-def every_value_groups(df: DataFrame, keys: Sequence[str], c: str, alias: str) -> DataFrame:
+def every_value_groups(df: DataFrame, keys: Sequence[str], c: str, alias: str,
+                       materialize: bool = True) -> DataFrame:
     """A11 relational division: groups whose distinct `c` count equals the
-    global distinct count (scalar subquery, HAVING). Both counts come from
-    one distinct (keys, c) frame, at most keys x values rows, built with
-    partial aggregation (a hot key contributes one row per value)."""
+    global distinct count (scalar subquery, HAVING).
+
+    Both counts come from one distinct (keys, c) frame, at most keys x values
+    rows, built with partial aggregation (a hot key contributes one row per
+    value). That frame is stored once (Parquet in the shared checkpoint
+    folder), so the expensive input is read once rather than once for the
+    subquery and once for the groups."""
     pairs = df.select(*keys, c).distinct()
+    if materialize:
+        from silverline.catalog import stored
+
+        pairs = stored(pairs, "division-pairs")
     everything = pairs.select(F.count_distinct(c)).scalar()
     return pairs.groupBy(*keys).agg(F.count(c).alias(alias)).filter(F.col(alias) == everything)
 

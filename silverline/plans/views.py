@@ -21,10 +21,9 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from silverline.catalog import Tables
+from silverline.catalog import Tables, stored
 from silverline.functions.reference import STATE_CODES
 from silverline.plans import silver
-from silverline.session import ensure_checkpoint_dir
 
 _CODES = ",".join(STATE_CODES)
 
@@ -140,13 +139,12 @@ class Views:
 
     def checkpointed(self) -> "Views":
         """Same views with the two silver models computed once and stored
-        (reliable `checkpoint()` under the session's checkpoint folder), for
-        consumers that read them many times, like the check report: the
-        bronze joins and the dedupe then run once instead of once per
-        branch, and the stored rows survive executor loss."""
-        ensure_checkpoint_dir(self.spark)
+        (Parquet under the session's checkpoint folder), for consumers that
+        read them many times, like the check report: the bronze joins and the
+        dedupe then run once instead of once per branch, and the stored rows
+        survive executor loss."""
         out = Views(self.spark, self.sf_dir)
-        orders = self.stg_orders.checkpoint(eager=True)
+        orders = stored(self.stg_orders, "stg-orders")
         out.__dict__["stg_orders"] = orders
-        out.__dict__["stg_users"] = silver.stg_users(out.bronze_users, orders).checkpoint(eager=True)
+        out.__dict__["stg_users"] = stored(silver.stg_users(out.bronze_users, orders), "stg-users")
         return out
