@@ -229,11 +229,7 @@ class VersionedTable:
     def metadata_log(self) -> DataFrame:
         """Every metadata version read as data (explicit schema, so the
         string map stays a map), one row per snapshot-log entry."""
-        meta = self.spark.read.schema(METADATA_SCHEMA).json(f"{self._meta_dir}/v*.json")
-        return meta.select("version", F.posexplode("snapshot_log").alias("pos", "e")).select(
-            F.col("version").alias("metadata_version"), (F.col("pos") + 1).alias("position"),
-            F.col("e.snapshot_id").alias("snapshot_id"),
-            F.timestamp_millis(F.col("e.timestamp_ms")).alias("made_current_at"))
+        return metadata_log_of(self.spark, [self.root])
 
     def expirable(self, older_than_ms: int) -> DataFrame:
         """Snapshots older than the cutoff (never the current one) and
