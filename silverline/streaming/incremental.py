@@ -10,7 +10,8 @@ plus idempotent sinks:
 * ST2 (`foreachBatch`) writes each micro-batch's deduplicated rows to its own
   `epoch=<id>` folder with overwrite, so a retried epoch replaces itself
   instead of doubling rows. Silver is merge-on-read: the latest version per
-  key over all epochs (a partial + final aggregate, skew-safe).
+  key over all epochs (a partial + final aggregate, skew-safe); `compact`
+  folds the epochs into a base so reads stay bounded.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from silverline.operators.dedupe import latest_per_key
+from silverline.sources import fs
 
 
 def _file_stream(spark: SparkSession, landing_dir: str, schema: StructType, fmt: str, options: dict) -> DataFrame:
@@ -52,8 +54,40 @@ def dedupe_increment(spark: SparkSession, landing_dir: str, changes_dir: str, ch
     q.awaitTermination()
 
 
-def merged_view(spark: SparkSession, changes_dir: str, keys: Sequence[str], order) -> DataFrame:
-    """Latest row per key across every stored epoch (replays and older copies
-    lose to newer ones; equal copies collapse)."""
-    changes = spark.read.parquet(changes_dir).drop("epoch")
-    return latest_per_key(changes, keys, order)
+def _latest_compaction(spark: SparkSession, changes_dir: str) -> int | None:
+    names = fs.list_names(spark, f"{changes_dir}/_compacted")
+    done = [int(n.split("=", 1)[1]) for n in names if n.startswith("upto=")
+            and fs.exists(spark, f"{changes_dir}/_compacted/{n}/_SUCCESS")]
+    return max(done) if done else None
+
+
+def merged_view(spark: SparkSession, changes_dir: str, keys: Sequence[str], order,
+                upto: int | None = None) -> DataFrame:
+    """Latest row per key across the stored epochs (replays and older copies
+    lose to newer ones; equal copies collapse), optionally only epochs
+    <= `upto`. After a compaction only the compacted base and the epochs
+    after it are read (partition pruning on `epoch`), so read cost stays
+    bounded as epochs accumulate."""
+    base_upto = _latest_compaction(spark, changes_dir)
+    deltas = spark.read.parquet(changes_dir)
+    if upto is not None:
+        deltas = deltas.filter(F.col("epoch") <= upto)
+    if base_upto is None:
+        return latest_per_key(deltas.drop("epoch"), keys, order)
+    base = spark.read.parquet(f"{changes_dir}/_compacted/upto={base_upto}")
+    newer = deltas.filter(F.col("epoch") > base_upto).drop("epoch")
+    return latest_per_key(base.unionByName(newer), keys, order)
+
+
+def compact(spark: SparkSession, changes_dir: str, keys: Sequence[str], order) -> int:
+    """Fold every stored epoch into one base (`_compacted/upto=<epoch>`,
+    hidden from the delta listing) and return that epoch. Readers switch to
+    the base only once its `_SUCCESS` marker exists, so a failed or partial
+    compaction changes nothing; re-running it overwrites the same folder."""
+    epochs = [int(n.split("=", 1)[1]) for n in fs.list_names(spark, changes_dir) if n.startswith("epoch=")]
+    if not epochs:
+        raise ValueError("nothing to compact")
+    upto = max(epochs)
+    merged_view(spark, changes_dir, keys, order, upto).write.mode("overwrite").parquet(
+        f"{changes_dir}/_compacted/upto={upto}")
+    return upto

@@ -62,6 +62,29 @@ def test_incremental_dedupe_replay_is_idempotent(spark, tmp_path):
     assert run() == {1: 4, 2: 3}  # nothing new: no change
 
 
+def test_compaction_keeps_the_merged_view(spark, tmp_path):
+    t1, t2, t3 = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2), dt.datetime(2020, 1, 3)
+    landing, changes, ckpt = str(tmp_path / "in"), str(tmp_path / "chg"), str(tmp_path / "ck")
+    opts = dict(T.CSV_OPTIONS)
+
+    def land_and_run(rows):
+        T.write_csv(_orders(spark, rows), landing, mode="append")
+        I.dedupe_increment(spark, landing, changes, ckpt, BRONZE_ORDERS_SCHEMA, ["uuid"], ORDER_TIES, options=opts)
+
+    def view():
+        return {r.uuid: r.quantity for r in I.merged_view(spark, changes, ["uuid"], ORDER_TIES).collect()}
+
+    land_and_run([(1, 10, t1, 2, " a", 5, 6, 1.0), (2, 10, t1, 3, " b", 5, 6, 1.0)])
+    land_and_run([(1, 10, t2, 4, " a", 5, 6, 1.0)])
+    before = view()
+    upto = I.compact(spark, changes, ["uuid"], ORDER_TIES)
+    assert view() == before == {1: 4, 2: 3}
+    land_and_run([(2, 10, t3, 9, " b", 5, 6, 1.0), (1, 10, t1, 1, " a", 5, 6, 1.0)])  # newer 2, stale 1
+    assert view() == {1: 4, 2: 9}
+    assert I.compact(spark, changes, ["uuid"], ORDER_TIES) > upto
+    assert view() == {1: 4, 2: 9}
+
+
 def test_incremental_landing_only_new_files(spark, tmp_path):
     t1 = dt.datetime(2020, 1, 1)
     batch = _orders(spark, [(i, 1, t1, 1, " a", 1, 1, 1.0) for i in range(5)])
