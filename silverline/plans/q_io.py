@@ -139,13 +139,19 @@ def q_quarantine_malformed(spark, sf_dir):
     return counts(whole, "multiline").unionByName(counts(parsed, "line_by_line"))
 
 
-@query("csv_dialect_profile")
+@query("csv_dialect_profile", oracle="""
+SELECT * FROM (VALUES ('orders', ',', '', true), ('users', ',', '"', true))
+  AS t(dataset, delimiter, quote, has_header)""")
 def q_csv_dialect_profile(spark, sf_dir):
-    """Sniff delimiter / quote / header per landed file."""
+    """Sniff delimiter / quote / header of every landed file, reported
+    per dataset (the distinct dialects of its files: one row when they
+    agree, whatever the number of part files)."""
     users = _users_csv(spark, sf_dir)
     orders = scratch_path(spark, "orders-csv-dialect")
     T.write_csv(Views(spark, sf_dir).bronze_orders, orders)
-    return T.sniff_dialect(T.read_lines(spark, users).unionByName(T.read_lines(spark, orders)))
+    per_file = T.sniff_dialect(T.read_lines(spark, users).unionByName(T.read_lines(spark, orders)))
+    dataset = F.when(F.col("file_path").contains("/users-csv-"), F.lit("users")).otherwise(F.lit("orders"))
+    return per_file.select(dataset.alias("dataset"), "delimiter", "quote", "has_header").distinct()
 
 
 @query("describe_schema")
