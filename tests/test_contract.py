@@ -62,3 +62,10 @@ def test_rows_only_queries_run(spark, key):
     df = QUERIES[key](spark, SF_SMALL)
     assert df.count() >= 0
     assert len(df.columns) > 0
+
+
+def test_bench_headline_queries_are_registered():
+    import bench
+
+    assert set(bench.HEADLINE) <= set(QUERIES)
+    assert "parquet_scan" in QUERIES  # used as the warm-up
