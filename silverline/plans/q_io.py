@@ -154,7 +154,16 @@ def q_csv_dialect_profile(spark, sf_dir):
     return per_file.select(dataset.alias("dataset"), "delimiter", "quote", "has_header").distinct()
 
 
-@query("describe_schema")
+# The silver users schema contract: position, name, Spark type, nullability.
+@query("describe_schema", oracle="""
+SELECT * FROM (VALUES
+  (1, 'user_id', 'bigint', true), (2, 'username', 'string', true),
+  (3, 'username_normalized', 'string', true), (4, 'name', 'string', true),
+  (5, 'sex', 'string', false), (6, 'email', 'string', true),
+  (7, 'birthdate_original', 'date', true), (8, 'birthdate', 'date', true),
+  (9, 'birthdate_is_valid', 'boolean', true), (10, 'street', 'string', true),
+  (11, 'city', 'string', true), (12, 'state', 'string', true), (13, 'zip_code', 'string', true))
+  AS t(position, column_name, column_type, nullable)""")
 def q_describe_schema(spark, sf_dir):
     """A relation's schema as rows (position, name, type, nullable).
     Schema metadata only: bounded by the column count."""
