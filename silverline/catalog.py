@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
 
 from silverline.session import ensure_checkpoint_dir
 
@@ -58,61 +57,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
-        return balanced_scan(self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(self.path(name)))
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(self.path(name))
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
 
-# Below this size a scan is cheap enough that one task is fine.
-MIN_BALANCE_BYTES = 8 << 20
-
-
-def _row_groups(path: str) -> int:
-    import pyarrow.parquet as pq
-
-    from silverline.sinks.files import _local_or_uri
-
-    fs, local = _local_or_uri(path)
-    with fs.open_input_file(local) as fh:
-        return pq.ParquetFile(fh).metadata.num_row_groups
-
-
-def balanced_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that cannot use the cluster's cores.
-
-    A Parquet row group is the unit of scan parallelism, so a table stored as
-    a few large row groups is read by a few tasks and everything up to the
-    first shuffle runs there. When a table has fewer row groups than the
-    default parallelism (and is big enough to matter) the rows are
-    redistributed right after the scan; Catalyst still pushes filters and
-    column pruning below that exchange. Real inputs at scale have
-    thousands of files/row groups: the file-count test returns immediately
-    and the plan is unchanged. Only footers of at most `parallelism` files are
-    read, on the driver, and only in that small case."""
-    try:
-        from silverline.sinks.files import _local_or_uri
-
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        files = df.inputFiles()
-        if not files or len(files) >= parallelism:
-            return df
-        sizes = 0
-        for f in files:
-            fs, local = _local_or_uri(f)
-            sizes += fs.get_file_info(local).size or 0
-        if sizes < MIN_BALANCE_BYTES or sum(_row_groups(f) for f in files) >= parallelism:
-            return df
-    except Exception:  # noqa: BLE001 - no context / unknown file system: leave the plan as is
-        return df
-    # Hash on the leading key-like columns: deterministic under task retries
-    # without the per-task sort a round-robin repartition needs, and two
-    # leading keys together are close to unique, so no hot value piles up.
-    keys = [f.name for f in df.schema.fields
-            if isinstance(f.dataType, (IntegralType, DateType, TimestampType, TimestampNTZType))][:2]
-    return df.repartition(parallelism, *keys) if keys else df.repartition(parallelism)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's shared checkpoint directory.
 
@@ -131,4 +81,4 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     instead of recomputing the plan."""
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -71,12 +71,26 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when
-    the session has none (local runs and tests). On a cluster the setting is
-    always provided and used as is."""
+    """The session's shared checkpoint folder.
+
+    Local sessions without one get a temporary folder (driver and executor are
+    one process there). On any other master a missing setting is an error: a
+    machine-local folder would be invisible to the other executors."""
     existing = checkpoint_dir(spark)
     if existing:
         return existing
+    master = spark.conf.get("spark.master", "")
+    if not is_single_process(master):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set and the master is {master!r}: "
+            "name a folder that the driver and all executors share"
+        )
     local = tempfile.mkdtemp(prefix="silverline-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
+
+
+def is_single_process(master: str) -> bool:
+    """True for `local`, `local[n]`, `local[n,f]`; false for `local-cluster[...]`
+    and every real cluster."""
+    return master == "local" or master.startswith("local[")
