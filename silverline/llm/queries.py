@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from silverline.llm import positional_index, superminhash
+from silverline.llm import positional_index, rule_ledger, superminhash
 
 QUERIES = {
     "op2_superminhash_near_dedup": superminhash.op2,
+    "op9_rule_bitmask_ledger": rule_ledger.op9,
     "op10_positional_index_decontamination": positional_index.op10,
 }
 
 ORACLES = {
     "op2_superminhash_near_dedup": superminhash.ORACLE,
+    "op9_rule_bitmask_ledger": rule_ledger.ORACLE,
     "op10_positional_index_decontamination": positional_index.ORACLE,
 }
