@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from silverline.llm import positional_index, rule_ledger, superminhash
+from silverline.llm import crf_language, positional_index, rule_ledger, superminhash, toxicity_pu
 
 QUERIES = {
+    "op1_nnpu_toxicity": toxicity_pu.op1,
     "op2_superminhash_near_dedup": superminhash.op2,
+    "op7_crf_language_id": crf_language.op7,
     "op9_rule_bitmask_ledger": rule_ledger.op9,
     "op10_positional_index_decontamination": positional_index.op10,
 }
