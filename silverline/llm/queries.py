@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from silverline.llm import crf_language, piece_bpe, positional_index, rule_ledger, superminhash, toxicity_pu
+from silverline.llm import crf_language, piece_bpe, positional_index, rule_ledger, suffix_tree_lm, superminhash, toxicity_pu
 
 QUERIES = {
     "op1_nnpu_toxicity": toxicity_pu.op1,
     "op2_superminhash_near_dedup": superminhash.op2,
+    "op4_suffix_tree_lm": suffix_tree_lm.op4,
     "op5_sentencepiece_merge_rounds": piece_bpe.op5,
     "op7_crf_language_id": crf_language.op7,
     "op9_rule_bitmask_ledger": rule_ledger.op9,
