@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from silverline.llm import crf_language, piece_bpe, positional_index, rule_ledger, suffix_tree_lm, superminhash, toxicity_pu
+from silverline.llm import arc_convert, crf_language, piece_bpe, positional_index, rule_ledger, suffix_tree_lm, superminhash, toxicity_pu
 
 QUERIES = {
     "op1_nnpu_toxicity": toxicity_pu.op1,
@@ -10,12 +10,14 @@ QUERIES = {
     "op4_suffix_tree_lm": suffix_tree_lm.op4,
     "op5_sentencepiece_merge_rounds": piece_bpe.op5,
     "op7_crf_language_id": crf_language.op7,
+    "op8_arc_to_warc": arc_convert.op8,
     "op9_rule_bitmask_ledger": rule_ledger.op9,
     "op10_positional_index_decontamination": positional_index.op10,
 }
 
 ORACLES = {
     "op2_superminhash_near_dedup": superminhash.ORACLE,
+    "op8_arc_to_warc": arc_convert.ORACLE,
     "op9_rule_bitmask_ledger": rule_ledger.ORACLE,
     "op10_positional_index_decontamination": positional_index.ORACLE,
 }
