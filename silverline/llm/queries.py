@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from silverline.llm import arc_convert, crf_language, piece_bpe, positional_index, rule_ledger, suffix_tree_lm, superminhash, toxicity_pu
+from silverline.llm import arc_convert, chat_parts, crf_language, license_model, piece_bpe, positional_index, rule_ledger, suffix_tree_lm, superminhash, toxicity_pu
 
 QUERIES = {
     "op1_nnpu_toxicity": toxicity_pu.op1,
     "op2_superminhash_near_dedup": superminhash.op2,
+    "op3_license_paragraph_model": license_model.op3,
     "op4_suffix_tree_lm": suffix_tree_lm.op4,
     "op5_sentencepiece_merge_rounds": piece_bpe.op5,
+    "op6_chat_parts": chat_parts.op6,
     "op7_crf_language_id": crf_language.op7,
     "op8_arc_to_warc": arc_convert.op8,
     "op9_rule_bitmask_ledger": rule_ledger.op9,
