@@ -17,9 +17,8 @@ STATE_CODES = (
 # --- fixed values: military state codes excluded from the ZIP/state check.
 MILITARY_STATES = ("AA", "AE", "AP")
 
-# --- fixed values: the reference orders contract (products and quantities).
+# --- fixed values: products of the generated orders.
 REFERENCE_PRODUCTS = ("bread", "brioche", "cookie", "croissant", "donut", "drink")
-REFERENCE_QUANTITIES = (1, 2, 3, 4, 5)
 
 # --- fixed values: the same contract for the driver tables, whose products
 # --- are the six part types (lower-cased) and quantities 1 to 50.
@@ -33,10 +32,7 @@ BOOLEAN_VALUES = (True, False)
 # --- fixed values: address line-2 patterns (city and state/zip tail).
 CITY_PATTERN = r"^(.+), [A-Z]{2} [0-9]{5}$"
 STATE_ZIP_PATTERN = r"([A-Z]{2}) ([0-9]{5})$"
-ZIP_TAIL_PATTERN = r"([0-9]{5})$"
-UUID_PREFIX_PATTERN = (
-    r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
-)
+UUID_PATTERN = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 
 # --- fixed values: reference date of the age-group report.
 AGE_REFERENCE_DATE = "2020-01-01"

@@ -8,15 +8,14 @@ built-in expression exists.
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
-from silverline.functions.reference import STATE_ZIP_PATTERN, ZIP_TAIL_PATTERN
+from silverline.functions.reference import STATE_ZIP_PATTERN
 
-_STATE_ZIP = re.compile(STATE_ZIP_PATTERN)
+DIGITS, CAPITALS = frozenset("0123456789"), frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+ZIP_LENGTH = 5
 
 
 def zip_native(address) -> Column:
@@ -25,13 +24,21 @@ def zip_native(address) -> Column:
     return F.regexp_extract(col, STATE_ZIP_PATTERN, 2)
 
 
-def _zip_of(address):
-    m = _STATE_ZIP.search(address or "")
-    return m.group(2) if m else ""
+def trailing_zip(address: str | None) -> str:
+    """The five digits that end the address, if a two-letter code and one
+    space stand before them; else empty."""
+    text = address or ""
+    code, digits = text[-ZIP_LENGTH - 3:-ZIP_LENGTH], text[-ZIP_LENGTH:]
+    ends_in_zip = len(digits) == ZIP_LENGTH and DIGITS.issuperset(digits)
+    follows_code = len(code) == 3 and code[2] == " " and CAPITALS.issuperset(code[:2])
+    return digits if ends_in_zip and follows_code else ""
 
 
-def _zip_tail(addresses: pd.Series) -> pd.Series:
-    return addresses.fillna("").str.extract(ZIP_TAIL_PATTERN, expand=False).fillna("")
+def trailing_digits(addresses: pd.Series) -> pd.Series:
+    """The five digits that end each address, whatever stands before them."""
+    tail = addresses.astype("string").str.slice(start=-ZIP_LENGTH)
+    is_zip = tail.map(lambda t: isinstance(t, str) and len(t) == ZIP_LENGTH and DIGITS.issuperset(t))
+    return tail.where(is_zip.astype(bool), "").astype(object)
 
 
 # UDF objects are built on call, not at import: Python workers import this
@@ -40,10 +47,10 @@ def _zip_tail(addresses: pd.Series) -> pd.Series:
 
 def zip_python_udf(address) -> Column:
     """one Python call per row."""
-    return F.udf(_zip_of, StringType())(address)
+    return F.udf(trailing_zip, StringType())(address)
 
 
 def zip_pandas_udf(address) -> Column:
     """vectorised over an Arrow batch. Matches only the ZIP tail (no state
     part), so it differs from F1 on malformed addresses."""
-    return F.pandas_udf(_zip_tail, "string")(address)
+    return F.pandas_udf(trailing_digits, "string")(address)

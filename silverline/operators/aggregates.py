@@ -65,17 +65,12 @@ def per_key_sum(df: DataFrame, key: str, measure: str, alias: str = "quantity")
     return df.groupBy(key).agg(sum_long(measure, alias))
 
 
-def per_key_sum_without_combine(df: DataFrame, key: str, measure: str, alias: str = "quantity",
-                                salt_buckets: int = 16) -> DataFrame:
-    """A17 groupByKey + sum: every row crosses the shuffle before it is summed
-    (no map-side combine), which is what groupByKey costs. Rows are spread
-    over (key, salt) so a hot key is summed by `salt_buckets` tasks, then the
-    per-salt sums (a few rows per key) are added up. No group is ever
-    materialised as a list."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    spread = df.repartition(F.col(key), salt.alias("_salt")).withColumn("_salt", salt)
-    partial = spread.groupBy(key, "_salt").agg(F.sum(measure).alias("_s"))
-    return partial.groupBy(key).agg(F.sum("_s").cast("long").alias(alias))
+def per_key_sum_without_combine(df: DataFrame, key: str, measure: str, alias: str = "quantity") -> DataFrame:
+    """A17 groupByKey + sum: every row crosses the shuffle before it is summed.
+    The shuffle is a rebalance on the key, so AQE splits a hot key over several
+    tasks; each sums its share and the shares (a few rows per key) are added
+    up. No group is ever materialised as a list."""
+    return df.select(key, measure).hint("rebalance", F.col(key)).groupBy(key).agg(F.sum(measure).cast("long").alias(alias))
 
 
 def every_value_groups(df: DataFrame, keys: Sequence[str], c: str, alias: str,

@@ -1,276 +1,69 @@
-"""Versioned Parquet datasets (V1-V13): append, snapshots, time travel,
-rollback and added columns, as user-level operators.
+"""Batches of an ordinary Parquet table.
 
-Layout under `root`:
+A table is a Parquet folder partitioned by `batch`: every load appends one
+batch, and nothing is rewritten. Reading up to a batch is a partition filter
+(pruned at listing), so an earlier state, or the state before a batch that was
+taken back, is the same read with another bound. Columns that a later batch
+adds are null in the earlier ones (schema merging).
 
-* ``data/snap-<id>/``          immutable Parquet generation written by Spark
-* ``metadata/v<N>.json``       full table state after commit N (one line of
-  JSON, so Spark's JSON reader can load every version as data: V11)
-* ``metadata/version-hint.text`` pointer to the latest N (an optimisation;
-  the listing is authoritative)
-
-A commit writes a new generation (tasks, in parallel) and then publishes a new
-metadata file with create-if-absent semantics, so a half-written generation is
-never visible and a second writer racing on the same N fails instead of
-overwriting. Snapshots are never deleted by rollback; rollback only adds a
-history entry. Metadata is bounded by the number of commits, never by data.
-Multi-writer atomicity beyond create-if-absent is out of scope.
+This is plain DataFrame use, not a table format: there is no commit protocol,
+so give each batch one writer. A batch is written with overwrite into its own
+folder, so a repeated load of the same batch replaces itself.
 """
 
 from __future__ import annotations
 
-import json
-import time
-from typing import Any
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (
-    ArrayType, LongType, MapType, StringType, StructField, StructType,
-)
-
-from silverline.sources import fs
-
-SNAPSHOT_STRUCT = StructType([
-    StructField("snapshot_id", LongType()), StructField("parent_id", LongType()),
-    StructField("sequence_number", LongType()), StructField("operation", StringType()),
-    StructField("timestamp_ms", LongType()), StructField("schema_id", LongType()),
-    StructField("generations", ArrayType(StringType())),
-    StructField("summary", MapType(StringType(), StringType())),
-])
-METADATA_SCHEMA = StructType([
-    StructField("format_version", LongType()), StructField("version", LongType()),
-    StructField("location", StringType()), StructField("last_updated_ms", LongType()),
-    StructField("current_snapshot_id", LongType()), StructField("current_schema_id", LongType()),
-    StructField("schemas", ArrayType(StructType([StructField("schema_id", LongType()),
-                                                  StructField("ddl", StringType())]))),
-    StructField("snapshots", ArrayType(SNAPSHOT_STRUCT)),
-    StructField("snapshot_log", ArrayType(StructType([StructField("timestamp_ms", LongType()),
-                                                       StructField("snapshot_id", LongType())]))),
-])
-
-
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    # ------------------------------------------------------------ metadata io
-
-    @property
-    def _meta_dir(self) -> str:
-        return f"{self.root}/metadata"
-
-    def _versions(self) -> list[int]:
-        names = fs.list_names(self.spark, self._meta_dir)
-        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
-
-    def exists(self) -> bool:
-        return bool(self._versions())
-
-    def state(self) -> dict[str, Any]:
-        versions = self._versions()
-        if not versions:
-            raise FileNotFoundError(f"no versioned table at {self.root}")
-        return json.loads(fs.read_text(self.spark, f"{self._meta_dir}/v{versions[-1]}.json"))
-
-    def _commit(self, state: dict[str, Any]) -> dict[str, Any]:
-        versions = self._versions()
-        n = (versions[-1] if versions else 0) + 1
-        state = dict(state, version=n, last_updated_ms=int(time.time() * 1000), format_version=1, location=self.root)
-        fs.write_text(self.spark, f"{self._meta_dir}/v{n}.json", json.dumps(state, separators=(",", ":")) + "\n",
-                      overwrite=False)
-        fs.write_text(self.spark, f"{self._meta_dir}/version-hint.text", str(n), overwrite=True)
-        return state
-
-    # ------------------------------------------------------------ writes
-
-    def _write_generation(self, df: DataFrame, snapshot_id: int) -> tuple[str, int]:
-        rel = f"data/snap-{snapshot_id}"
-        path = f"{self.root}/{rel}"
-        df.write.mode("overwrite").parquet(path)
-        records = self.spark.read.parquet(path).count()
-        return rel, records
-
-    def _conform(self, df: DataFrame, schema: StructType) -> DataFrame:
-        """Columns in table order and type; absent ones become NULL."""
-        have = set(df.columns)
-        extra = have - set(schema.fieldNames())
-        if extra:
-            raise ValueError(f"columns not in the table schema: {sorted(extra)}")
-        return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                           for f in schema.fields])
-
-    def create(self, df: DataFrame) -> int:
-        """V1: create or replace; the new snapshot's generation is the only live one."""
-        prev = self.state() if self.exists() else None
-        snaps = list(prev["snapshots"]) if prev else []
-        schemas = list(prev["schemas"]) if prev else []
-        schema_id = (max(s["schema_id"] for s in schemas) + 1) if schemas else 0
-        schemas.append({"schema_id": schema_id, "ddl": _ddl(df.schema)})
-        sid = (max(s["snapshot_id"] for s in snaps) + 1) if snaps else 1
-        gen, records = self._write_generation(df, sid)
-        now = int(time.time() * 1000)
-        snaps.append({"snapshot_id": sid, "parent_id": prev["current_snapshot_id"] if prev else None,
-                      "sequence_number": sid, "operation": "overwrite", "timestamp_ms": now,
-                      "schema_id": schema_id, "generations": [gen],
-                      "summary": {"added-records": str(records), "total-records": str(records),
-                                  "added-generations": "1"}})
-        log = list(prev["snapshot_log"]) if prev else []
-        log.append({"timestamp_ms": now, "snapshot_id": sid})
-        self._commit({"current_snapshot_id": sid, "current_schema_id": schema_id, "schemas": schemas,
-                      "snapshots": snaps, "snapshot_log": log})
-        return sid
-
-    def append(self, df: DataFrame) -> int:
-        """V2/V8: new generation; the live list is the parent's plus the new one."""
-        st = self.state()
-        schema = self.schema()
-        sid = max(s["snapshot_id"] for s in st["snapshots"]) + 1
-        gen, records = self._write_generation(self._conform(df, schema), sid)
-        parent = self._snapshot(st, st["current_snapshot_id"])
-        total = int(parent["summary"]["total-records"]) + records
-        now = int(time.time() * 1000)
-        snap = {"snapshot_id": sid, "parent_id": parent["snapshot_id"], "sequence_number": sid,
-                "operation": "append", "timestamp_ms": now, "schema_id": st["current_schema_id"],
-                "generations": list(parent["generations"]) + [gen],
-                "summary": {"added-records": str(records), "total-records": str(total), "added-generations": "1"}}
-        self._commit(dict(st, current_snapshot_id=sid, snapshots=st["snapshots"] + [snap],
-                          snapshot_log=st["snapshot_log"] + [{"timestamp_ms": now, "snapshot_id": sid}]))
-        return sid
-
-    def add_column(self, name: str, dtype: str) -> None:
-        """V7: schema change only; no data file is rewritten, old rows read NULL."""
-        st = self.state()
-        current = self.schema()
-        if name in current.fieldNames():
-            raise ValueError(f"column {name} exists")
-        new = StructType(current.fields + [StructField(name, StructType.fromDDL(f"x {dtype}").fields[0].dataType)])
-        schema_id = max(s["schema_id"] for s in st["schemas"]) + 1
-        self._commit(dict(st, current_schema_id=schema_id,
-                          schemas=st["schemas"] + [{"schema_id": schema_id, "ddl": _ddl(new)}]))
-
-    def rollback_to(self, snapshot_id: int) -> None:
-        """V6: make an earlier snapshot current. The undone snapshot stays in
-        the snapshot list; the history gains an entry."""
-        st = self.state()
-        self._snapshot(st, snapshot_id)
-        now = int(time.time() * 1000)
-        self._commit(dict(st, current_snapshot_id=snapshot_id,
-                          snapshot_log=st["snapshot_log"] + [{"timestamp_ms": now, "snapshot_id": snapshot_id}]))
-
-    # ------------------------------------------------------------ reads
-
-    @staticmethod
-    def _snapshot(st, snapshot_id):
-        for s in st["snapshots"]:
-            if s["snapshot_id"] == snapshot_id:
-                return s
-        raise KeyError(f"snapshot {snapshot_id} not found")
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-    def schema(self, schema_id: int | None = None) -> StructType:
-        st = self.state()
-        sid = st["current_schema_id"] if schema_id is None else schema_id
-        ddl = next(s["ddl"] for s in st["schemas"] if s["schema_id"] == sid)
-        return StructType.fromDDL(ddl)
+BATCH = "batch"
 
-    def read(self, snapshot_id: int | None = None) -> DataFrame:
-        """Current table, or V5 time travel to `snapshot_id` (with the schema
-        that snapshot was written with)."""
-        st = self.state()
-        if snapshot_id is None:
-            snap, schema = self._snapshot(st, st["current_snapshot_id"]), self.schema()
-        else:
-            snap = self._snapshot(st, snapshot_id)
-            schema = self.schema(snap["schema_id"])
-        paths = [f"{self.root}/{g}" for g in snap["generations"]]
-        return self.spark.read.schema(schema).parquet(*paths)
 
-    def snapshots(self) -> DataFrame:
-        """V3: (snapshot_id, parent_id, operation, committed_at, added_records, total_records)."""
-        return self._state_frame().select(F.explode("snapshots").alias("s")).select(
-            F.col("s.snapshot_id").alias("snapshot_id"), F.col("s.parent_id").alias("parent_id"),
-            F.col("s.operation").alias("operation"),
-            F.timestamp_millis(F.col("s.timestamp_ms")).alias("committed_at"),
-            F.col("s.summary")["added-records"].cast("long").alias("added_records"),
-            F.col("s.summary")["total-records"].cast("long").alias("total_records"),
-        )
+def write_batch(df: DataFrame, root: str, batch: int) -> None:
+    """V1/V2/V8: store `df` as one batch of the table at `root`."""
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{BATCH}={batch}")
 
-    def history(self) -> DataFrame:
-        """V9: history entries with is_current_ancestor (walk of parent ids
-        from the current snapshot, done on the small metadata)."""
-        st = self.state()
-        parents = {s["snapshot_id"]: s["parent_id"] for s in st["snapshots"]}
-        ancestors, cur = set(), st["current_snapshot_id"]
-        while cur is not None:
-            ancestors.add(cur)
-            cur = parents.get(cur)
-        rows = [(i + 1, e["timestamp_ms"], e["snapshot_id"], parents.get(e["snapshot_id"]), e["snapshot_id"] in ancestors)
-                for i, e in enumerate(st["snapshot_log"])]
-        df = self.spark.createDataFrame(
-            rows, "position int, made_current_ms long, snapshot_id long, parent_id long, is_current_ancestor boolean")
-        return df.withColumn("made_current_at", F.timestamp_millis("made_current_ms")).drop("made_current_ms")
 
-    def files(self, snapshot_id: int | None = None) -> DataFrame:
-        """V4: live data files with record count and size."""
-        df = self.read(snapshot_id)
-        return df.groupBy(F.col("_metadata.file_path").alias("file_path"),
-                          F.col("_metadata.file_size").alias("file_size_in_bytes")).agg(
-            F.count(F.lit(1)).alias("record_count"))
+def read_batches(spark: SparkSession, root: str, upto: int | None = None, keep_batch: bool = False) -> DataFrame:
+    """V5/V6: the table, or its state after batch `upto`; columns of all batches (V7)."""
+    rows = spark.read.option("mergeSchema", "true").parquet(root)
+    if upto is not None:
+        rows = rows.where(F.col(BATCH) <= upto)
+    return rows if keep_batch else rows.drop(BATCH)
 
-    def generations_per_operation(self) -> DataFrame:
-        """Generations written per operation kind (the manifest count)."""
-        return self._state_frame().select(F.explode("snapshots").alias("s")).groupBy(
-            F.col("s.operation").alias("operation")).agg(F.count(F.lit(1)).alias("generations"))
 
-    def metadata_log(self) -> DataFrame:
-        """Every metadata version read as data (explicit schema, so the
-        string map stays a map), one row per snapshot-log entry."""
-        return metadata_log_of(self.spark, [self.root])
+def with_null_column(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """V7: the rows with one more, empty column."""
+    if name in df.columns:
+        raise ValueError(f"column {name} exists")
+    return df.withColumn(name, F.lit(None).cast(kind))
 
-    def expirable(self, older_than_ms: int) -> DataFrame:
-        """Snapshots older than the cutoff (never the current one) and
-        generations that no retained snapshot still references."""
-        st = self.state()
-        cur = st["current_snapshot_id"]
-        expired = {s["snapshot_id"] for s in st["snapshots"]
-                   if s["timestamp_ms"] < older_than_ms and s["snapshot_id"] != cur}
-        kept_gens = {g for s in st["snapshots"] if s["snapshot_id"] not in expired for g in s["generations"]}
-        rows = [(s["snapshot_id"], g, s["snapshot_id"] in expired, g not in kept_gens)
-                for s in st["snapshots"] for g in s["generations"]]
-        return self.spark.createDataFrame(
-            rows, "snapshot_id long, generation string, snapshot_expired boolean, generation_deletable boolean")
 
-    def _state_frame(self) -> DataFrame:
-        versions = self._versions()
-        return self.spark.read.schema(METADATA_SCHEMA).json(f"{self._meta_dir}/v{versions[-1]}.json")
+def batch_summary(spark: SparkSession, root: str) -> DataFrame:
+    """V3: batch, the batch before it, rows added and rows in total, counted from the data."""
+    per = read_batches(spark, root, keep_batch=True).groupBy(BATCH).agg(F.count(F.lit(1)).alias("added_records"))
+    # one row per load: a window over as many rows as there were batches
+    order = Window.orderBy(BATCH)
+    return per.select(
+        BATCH, F.lag(BATCH).over(order).alias("parent"), "added_records",
+        F.sum("added_records").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("total_records"))
 
 
-def metadata_log_of(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """V11 over many tables at once: one JSON read of every metadata version
-    of every table, exploded to one row per snapshot-log entry, labelled with
-    the table folder name."""
-    paths = [f"{r.rstrip('/')}/metadata/v*.json" for r in roots]
-    meta = spark.read.schema(METADATA_SCHEMA).json(paths)
-    table = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/metadata/v[0-9]+\.json$", 1)
-    return meta.select(table.alias("table_name"), "version",
-                       F.posexplode("snapshot_log").alias("pos", "e")).select(
-        "table_name", F.col("version").alias("metadata_version"), (F.col("pos") + 1).alias("position"),
-        F.col("e.snapshot_id").alias("snapshot_id"),
-        F.timestamp_millis(F.col("e.timestamp_ms")).alias("made_current_at"))
+def batch_files(spark: SparkSession, root: str) -> DataFrame:
+    """V4: files with their batch, record count and size."""
+    rows = read_batches(spark, root, keep_batch=True)
+    return rows.groupBy(BATCH, F.col("_metadata.file_path").alias("file_path"),
+                        F.col("_metadata.file_size").alias("file_size_in_bytes")).agg(F.count(F.lit(1)).alias("record_count"))
 
 
 def key_collisions(new_rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of `new_rows` already present in `table` (left_semi);
-    uniqueness is not enforced by the table itself, so guard before append."""
-    return new_rows.select(*keys).join(table.select(*keys).distinct(), keys, "left_semi")
+    """Keys of `new_rows` already present in `table`. The table is
+    reduced to the new keys first (a semi join whose right side is the small
+    load, which AQE broadcasts), and only what is left is made distinct."""
+    return table.select(*keys).join(new_rows.select(*keys), keys, "left_semi").distinct()
 
 
-def guarded_append(vt: VersionedTable, new_rows: DataFrame, keys: list[str]) -> int:
-    """Append only if no key collides (checks at most one colliding row)."""
-    if key_collisions(new_rows, vt.read(), keys).take(1):
+def guarded_append(spark: SparkSession, root: str, new_rows: DataFrame, keys: list[str], batch: int) -> None:
+    """Append a batch only if no key collides (looks at one colliding row at most)."""
+    if key_collisions(new_rows, read_batches(spark, root), keys).take(1):
         raise ValueError("append would duplicate existing keys")
-    return vt.append(new_rows)
+    write_batch(new_rows, root, batch)

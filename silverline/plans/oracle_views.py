@@ -36,19 +36,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY uuid
         ORDER BY date DESC, l_partkey, l_suppkey, l_extendedprice, quantity) AS rn FROM bronze_orders) q
 WHERE rn = 1""",
     "stg_users": """
-SELECT * FROM (
-WITH t AS (
-  SELECT uuid AS user_id, trim(username) AS username, trim(name) AS name, upper(trim(sex)) AS sex,
-    lower(trim(mail)) AS email, birthdate AS birthdate_original,
-    split_part(address, chr(10), 1) AS street, split_part(address, chr(10), 2) AS l2 FROM bronze_users),
-f AS (SELECT user_id, CAST(min(ordered_at) AS DATE) AS fo FROM stg_orders GROUP BY user_id)
-SELECT t.user_id, username, lower(trim(username)) AS username_normalized, name, sex, email, birthdate_original,
-  CASE WHEN fo IS NOT NULL AND birthdate_original > fo THEN NULL ELSE birthdate_original END AS birthdate,
-  birthdate_original IS NOT NULL AND (fo IS NULL OR birthdate_original <= fo) AS birthdate_is_valid, street,
-  nullif(regexp_extract(l2, '^(.+), [A-Z]{2} [0-9]{5}$', 1), '') AS city,
-  nullif(regexp_extract(l2, '([A-Z]{2}) ([0-9]{5})$', 1), '') AS state,
-  nullif(regexp_extract(l2, '([A-Z]{2}) ([0-9]{5})$', 2), '') AS zip_code
-FROM t LEFT JOIN f ON t.user_id = f.user_id)""",
+SELECT c.uuid AS user_id, trim(c.username) AS username, lower(trim(c.username)) AS username_normalized, trim(c.name) AS name,
+  upper(trim(c.sex)) AS sex, lower(trim(c.mail)) AS email, c.birthdate AS birthdate_original,
+  CASE WHEN c.first_day < c.birthdate THEN NULL ELSE c.birthdate END AS birthdate,
+  c.birthdate IS NOT NULL AND NOT coalesce(c.first_day < c.birthdate, false) AS birthdate_is_valid,
+  c.lines[1] AS street,
+  CASE WHEN regexp_matches(c.lines[2], '^.+, [A-Z]{2} [0-9]{5}$') THEN c.lines[2][: -11] END AS city,
+  CASE WHEN regexp_matches(c.lines[2], '[A-Z]{2} [0-9]{5}$') THEN c.lines[2][-8:-7] END AS state,
+  CASE WHEN regexp_matches(c.lines[2], '[A-Z]{2} [0-9]{5}$') THEN c.lines[2][-5:] END AS zip_code
+FROM (SELECT *, string_split(address, chr(10)) AS lines,
+        (SELECT CAST(min(ordered_at) AS DATE) FROM stg_orders WHERE stg_orders.user_id = bronze_users.uuid) AS first_day
+      FROM bronze_users) c""",
     "sales": """
 SELECT event_id AS order_id, user_id, ts AS ordered_at, CAST(floor(value) AS INT) + 1 AS quantity,
   event_type AS product FROM events""",
@@ -56,12 +54,23 @@ SELECT event_id AS order_id, user_id, ts AS ordered_at, CAST(floor(value) AS INT
 SELECT lpad(CAST(c_custkey * 37 % 100000 AS VARCHAR), 5, '0') AS zip_code,
   split_part('{CODES}', ',', CAST((c_custkey + CASE WHEN c_custkey % 5 = 3 THEN 1 ELSE 0 END) % 62 AS INT) + 1) AS state
 FROM customer WHERE c_custkey % 5 <> 4""",
+    "dirty_orders": """
+SELECT order_id, CASE WHEN order_id % 17 = 0 THEN -user_id ELSE user_id END AS user_id, ordered_at,
+  CASE WHEN order_id % 19 = 0 THEN NULL WHEN order_id % 23 = 0 THEN 0 ELSE quantity END AS quantity, product
+FROM stg_orders""",
+    "dirty_users": """
+SELECT user_id, username, CASE WHEN user_id % 13 = 0 THEN upper(username) ELSE username_normalized END AS username_normalized,
+  birthdate_original, CASE WHEN user_id % 7 = 0 THEN birthdate_original ELSE birthdate END AS birthdate,
+  CASE WHEN user_id % 11 = 0 THEN NOT birthdate_is_valid ELSE birthdate_is_valid END AS birthdate_is_valid
+FROM stg_users""",
     "states": "SELECT unnest(string_split('" + CODES + "', ',')) AS code",
 }
 
 DEPENDS = {
     "stg_orders": ("bronze_orders",),
     "stg_users": ("bronze_users", "stg_orders"),
+    "dirty_orders": ("stg_orders",),
+    "dirty_users": ("stg_users",),
 }
 
 

@@ -13,8 +13,10 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from silverline.catalog import Tables, scratch_path
+from silverline.catalog import DRIVER_TABLES, Tables, scratch_path, stored
+from silverline.operators import casting as C
 from silverline.operators import reconcile as R
+from silverline.plans import silver
 from silverline.plans.registry import query
 from silverline.plans.views import Views
 from silverline.sinks import files as K
@@ -254,10 +256,14 @@ def q_range_clustered_write(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("file_inventory")
+@query("file_inventory", oracle="SELECT product, true AS has_bytes, count(*) AS record_count FROM stg_orders GROUP BY product",
+       views=("stg_orders",))
 def q_file_inventory(spark, sf_dir):
-    """K7: files of a partitioned output with size and records."""
-    return K.file_inventory(spark, _write_by_product(spark, sf_dir))
+    """K7: files of a partitioned output with size and records, summed per partition folder."""
+    files = K.file_inventory(spark, _write_by_product(spark, sf_dir))
+    product = F.regexp_extract("file_path", "product=([^/]+)/", 1)
+    return files.groupBy(product.alias("product")).agg(
+        (F.min("file_size_in_bytes") > 0).alias("has_bytes"), F.sum("record_count").alias("record_count"))
 
 
 @query("parquet_footer_profile")
@@ -266,22 +272,40 @@ def q_parquet_footer_profile(spark, sf_dir):
     return K.parquet_footer_profile(spark, sf_dir)
 
 
-@query("footer_row_counts", oracle="""
-SELECT 'lineitem' AS table_name, count(*) AS num_rows FROM lineitem
-UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'customer', count(*) FROM customer""")
+@query("footer_row_counts", oracle="\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in DRIVER_TABLES))
 def q_footer_row_counts(spark, sf_dir):
-    """K8 (exact part): per-table row counts from footers only, no data read."""
+    """K8 (exact part): row counts of every table from footers only, no data read."""
     prof = K.parquet_footer_profile(spark, sf_dir)
     per_group = prof.select("file_path", "row_group", "num_rows").distinct()
     named = per_group.withColumn("table_name", F.regexp_extract("file_path", r"([^/]+)\.parquet$", 1))
-    return (named.filter(F.col("table_name").isin("lineitem", "orders", "customer"))
-            .groupBy("table_name").agg(F.sum("num_rows").cast("long").alias("num_rows")))
+    return named.groupBy("table_name").agg(F.sum("num_rows").cast("long").alias("num_rows"))
 
 
-@query("partition_balance")
+@query("partition_balance", oracle="""
+SELECT 'repartition' AS method, true AS within_four, count(*) AS rows FROM stg_orders
+UNION ALL SELECT 'coalesce', true, count(*) FROM stg_orders""", views=("stg_orders",))
 def q_partition_balance(spark, sf_dir):
-    """Repartition (shuffle) versus coalesce (no shuffle)."""
-    return K.partition_balance(Views(spark, sf_dir).stg_orders, 4)
+    """Repartition (shuffle) versus coalesce (no shuffle): at most four
+    partitions either way, and no row lost."""
+    per = K.partition_balance(Views(spark, sf_dir).stg_orders, 4)
+    return per.groupBy("method").agg((F.count(F.lit(1)) <= 4).alias("within_four"), F.sum("rows").alias("rows"))
+
+
+@query("persisted_reuse", oracle="""
+SELECT 'by product' AS report, count(DISTINCT product) AS groups, count(*) AS orders FROM stg_orders
+UNION ALL SELECT 'by user', count(DISTINCT user_id), count(*) FROM stg_orders""", views=("stg_orders",))
+def q_persisted_reuse(spark, sf_dir):
+    """A frame persisted for two actions (memory, then executor disk) and
+    released after them; the results are stored, so they outlive it."""
+    orders = Views(spark, sf_dir).stg_orders.persist()
+    try:
+        def report(label, key):
+            per = orders.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+            return stored(per.agg(F.lit(label).alias("report"), F.count(F.lit(1)).alias("groups"), F.sum("n").alias("orders")), "persisted")
+        return report("by product", "product").unionByName(report("by user", "user_id"))
+    finally:
+        orders.unpersist()
 
 
 @query("view_table_equal", oracle="SELECT CAST(0 AS BIGINT) AS different_rows")
@@ -342,7 +366,67 @@ def q_verify_landing(spark, sf_dir):
         return ident.select(F.lit(name).alias("dataset"), "identical",
                             records.alias("records"), orphan_count.alias("orphan_records"))
 
-    u_count = users.select(F.count(F.lit(1))).scalar()
-    o_count = orders.select(F.count(F.lit(1))).scalar()
+    u_count = users.select(T.parsed_count(users)).scalar()
+    o_count = orders.select(T.parsed_count(orders)).scalar()
     orphan_count = orphans.select(F.count(F.lit(1))).scalar()
     return row("users", u_count, F.lit(0).cast("long")).unionByName(row("orders", o_count, orphan_count))
+
+
+# ---------------------------------------------------------------- typed from text
+
+
+@query("cast_text_columns", oracle="""
+WITH t AS (
+  SELECT o_orderkey AS k,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'x' || o_orderkey ELSE ' ' || o_orderkey || ' ' END AS key_text,
+    CASE WHEN o_orderkey % 13 = 0 THEN '1996-02-31' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day_text,
+    CASE WHEN o_orderkey % 17 = 0 THEN 'yesterday' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+02:00' END AS at_text,
+    CASE WHEN o_orderkey % 7 = 0 THEN md5(CAST(o_orderkey AS VARCHAR))
+         ELSE regexp_replace(md5(CAST(o_orderkey AS VARCHAR)), '^(.{8})(.{4})(.{4})(.{4})', '\\1-\\2-\\3-\\4-') END AS id_text
+  FROM orders)
+SELECT k, TRY_CAST(trim(key_text) AS BIGINT) AS key, TRY_CAST(day_text AS DATE) AS day,
+  TRY_CAST(at_text AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS at,
+  len(string_split(id_text, '-')) = 5 AS is_uuid FROM t""")
+def q_cast_text_columns(spark, sf_dir):
+    """Text to bigint, date, offset timestamp and UUID shape, bad values included."""
+    k = F.col("o_orderkey")
+    digest = F.md5(k.cast("string"))
+    text = Tables(spark, sf_dir).orders.select(
+        k.alias("k"),
+        F.when(k % 11 == 0, F.concat(F.lit("x"), k)).otherwise(F.concat(F.lit(" "), k, F.lit(" "))).alias("key"),
+        F.when(k % 13 == 0, "1996-02-31").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.when(k % 17 == 0, "yesterday").otherwise(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))).alias("at"),
+        F.when(k % 7 == 0, digest).otherwise(F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")).alias("id"))
+    return text.select("k", C.try_long("key").alias("key"), C.try_day("day").alias("day"), C.try_instant("at").alias("at"),
+                       C.is_uuid("id").alias("is_uuid"))
+
+
+@query("silver_from_bronze_csv", oracle="SELECT * FROM stg_orders WHERE order_id % 29 <> 0", views=("stg_orders",))
+def q_silver_from_bronze_csv(spark, sf_dir):
+    """M6: silver orders from landed text: CSV with string columns, padded
+    texts and offset timestamps; rows whose quantity is no number are
+    quarantined, the rest is cast and deduplicated."""
+    v = Views(spark, sf_dir)
+    path = scratch_path(spark, "bronze-text")
+    names = v.bronze_orders.columns
+    text = v.bronze_orders.select(*[F.col(c).cast("string").alias(c) for c in names if c not in ("date", "quantity")], 
+        F.concat(F.date_format(F.col("date") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")).alias("date"),
+        F.when(F.col("uuid") % 29 == 0, "many").otherwise(F.concat(F.lit(" "), F.col("quantity"))).alias("quantity"))
+    T.write_csv(text, path)
+    landed = T.read_csv_typed(spark, path, T.string_schema(text.columns), multiline=False)
+    casts = {"uuid": C.try_long("uuid"), "user_uuid": C.try_long("user_uuid"), "date": C.try_instant("date"),
+             "quantity": C.try_int("quantity"), "l_partkey": C.try_long("l_partkey"), "l_suppkey": C.try_long("l_suppkey"),
+             "l_extendedprice": C.try_double("l_extendedprice")}
+    good, _bad = C.cast_columns(landed, casts)
+    return silver.stg_orders(good)
+
+
+@query("quarantined_text_rows", oracle="SELECT CAST(uuid AS VARCHAR) AS uuid, 'many' AS quantity FROM bronze_orders WHERE uuid % 29 = 0",
+       views=("bronze_orders",))
+def q_quarantined_text_rows(spark, sf_dir):
+    """Q11: the rows that a cast refuses, stored as they came and read back."""
+    orders = Views(spark, sf_dir).bronze_orders.select(
+        F.col("uuid").cast("string").alias("uuid"),
+        F.when(F.col("uuid") % 29 == 0, "many").otherwise(F.col("quantity").cast("string")).alias("quantity"))
+    _good, bad = C.cast_columns(orders, {"uuid": C.try_long("uuid"), "quantity": C.try_int("quantity")})
+    return stored(bad, "quarantine")

@@ -36,7 +36,7 @@ def q_incremental_landing(spark, sf_dir):
     I.land_increment(spark, landing, target, ckpt, BRONZE_ORDERS_SCHEMA, options=_read_options())
     _land_batch(late, landing)
     I.land_increment(spark, landing, target, ckpt, BRONZE_ORDERS_SCHEMA, options=_read_options())
-    return spark.read.parquet(target)
+    return I.good_rows(spark.read.parquet(target))
 
 
 @query("incremental_dedupe", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
@@ -58,3 +58,29 @@ def q_incremental_dedupe(spark, sf_dir):
             I.compact(spark, changes, ["uuid"], silver.ORDER_TIES)
     latest = I.merged_view(spark, changes, ["uuid"], silver.ORDER_TIES)
     return silver.typed_orders(latest)
+
+
+@query("incremental_quarantine", oracle="""
+SELECT 'good' AS part, count(*) AS records FROM bronze_orders
+UNION ALL SELECT 'quarantined', 2 * count(*) FROM region
+UNION ALL SELECT 'landed', (SELECT count(*) FROM bronze_orders) + 2 * (SELECT count(*) FROM region)""", views=("bronze_orders",))
+def q_incremental_quarantine(spark, sf_dir):
+    """ST1 with malformed records among the landed ones (wrong arity, bad
+    integer; two per region): good and quarantined rows add up."""
+    v = Views(spark, sf_dir)
+    root = scratch_path(spark, "incremental-bad")
+    landing, target, ckpt = f"{root}/landing", f"{root}/bronze_orders", f"{root}/_checkpoint"
+    _land_batch(v.bronze_orders, landing)
+    short = F.concat(F.col("r_regionkey").cast("string"), F.lit(",only two"))
+    wrong = F.concat(F.lit("not-a-number,"), F.col("r_regionkey").cast("string"), F.lit(",1996-01-01T00:00:00.000,5,tea,1,2,3.0"))
+    header = ",".join(BRONZE_ORDERS_SCHEMA.fieldNames())
+    # the header is each file's first line, so one file
+    bad = v.t.region.select(F.explode(F.array(short, wrong)).alias("value"))
+    spark.sql("SELECT :h AS value", args={"h": header}).unionAll(bad).coalesce(1).write.mode("append").text(landing)
+    I.land_increment(spark, landing, target, ckpt, BRONZE_ORDERS_SCHEMA,
+                     options=dict(_read_options(), pathGlobFilter="part-*"))
+    landed = spark.read.parquet(target)
+    n = F.count(F.lit(1)).alias("records")
+    return (I.good_rows(landed).agg(F.lit("good").alias("part"), n)
+            .unionByName(I.quarantined(landed).agg(F.lit("quarantined").alias("part"), n))
+            .unionByName(landed.agg(F.lit("landed").alias("part"), n)))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from silverline.catalog import stored
 from silverline.functions import udfs as U
+from silverline.functions.reference import UUID_PATTERN
 from silverline.operators import reconcile as R
 from silverline.plans.registry import query
 from silverline.plans.views import Views
@@ -58,14 +60,28 @@ def q_zip_variants_equal(spark, sf_dir):
     return out
 
 
-@query("generate_users")
+@query("generate_users", oracle="""
+SELECT count(*) AS users, count(*) AS distinct_ids, true AS well_formed FROM customer""")
 def q_generate_users(spark, sf_dir):
-    """One seeded synthetic user per customer key."""
-    return G.generate_users(Views(spark, sf_dir).t.customer.select("c_custkey"), "c_custkey", seed=42)
+    """One seeded synthetic user per customer key: ids distinct and
+    UUID-shaped, ZIP of five digits, birthdates within their range."""
+    users = G.generate_users(Views(spark, sf_dir).t.customer.select("c_custkey"), "c_custkey", seed=42)
+    fine = (F.col("uuid").rlike(f"^{UUID_PATTERN}$") & F.col("address").rlike("[A-Z]{2} [0-9]{5}$") & F.col("sex").isin("F", "M")
+            & F.col("birthdate").between("1930-01-01", "2012-02-20"))
+    return users.agg(F.count(F.lit(1)).alias("users"), F.count_distinct("uuid").alias("distinct_ids"), F.every(fine).alias("well_formed"))
 
 
-@query("generate_orders")
+@query("generate_orders", oracle="""
+SELECT 0 AS orphans, true AS ids_distinct, true AS slots_consecutive, true AS at_most_hundred, true AS well_formed FROM region LIMIT 1""")
 def q_generate_orders(spark, sf_dir):
-    """Seeded orders for those users, one per global hour slot."""
+    """Seeded orders for those users, one per global hour slot: every
+    order's user exists, ids are distinct, slots run from 0 without a gap."""
     users = G.generate_users(Views(spark, sf_dir).t.customer.select("c_custkey"), "c_custkey", seed=42)
-    return G.generate_orders(users, count_min=0, count_max=100, seed=42)
+    orders = stored(G.generate_orders(users, count_min=0, count_max=100, seed=42), "generated-orders")
+    n = F.count(F.lit(1))
+    orphans = orders.join(users.select(F.col("uuid").alias("user_uuid")), "user_uuid", "left_anti").select(n.cast("int")).scalar()
+    most = orders.groupBy("user_uuid").agg(n.alias("n")).select(F.max("n")).scalar()
+    return orders.agg(
+        orphans.alias("orphans"), (F.count_distinct("uuid") == n).alias("ids_distinct"),
+        ((F.min("hour_slot") == 0) & (F.max("hour_slot") == n - 1) & (F.count_distinct("hour_slot") == n)).alias("slots_consecutive"),
+        (most <= 100).alias("at_most_hundred"), F.every(F.col("quantity").between(1, 5)).alias("well_formed"))

@@ -1,15 +1,12 @@
-"""Registered versioned-dataset queries (2.11) and the streaming-free
-table scenarios they need: create -> append -> time travel / rollback ->
-add column -> insert with the evolved schema."""
+"""Registered queries on batched tables (2.11): load, append, earlier states,
+an added column, an insert with it, and the key guard."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
 from silverline.catalog import scratch_path
-from silverline.operators.versioned import VersionedTable, key_collisions, metadata_log_of
+from silverline.operators import versioned as V
 from silverline.plans.registry import query
 from silverline.plans.views import Views
 
@@ -21,160 +18,91 @@ _INSERTED = ("SELECT order_id, user_id, ordered_at, quantity, product, 'spark' A
 _EVOLVED = f"SELECT *, CAST(NULL AS VARCHAR) AS source FROM ({_AFTER_APPEND}) UNION ALL {_INSERTED}"
 
 
-def _new_orders(orders, n=3):
-    """Three distinct new orders derived from the lowest keys (new ids)."""
-    return orders.orderBy("order_id").limit(n).withColumn("order_id", -F.col("order_id"))
-
-
-def _table(spark, sf_dir):
-    orders = Views(spark, sf_dir).stg_orders
-    vt = VersionedTable(spark, scratch_path(spark, "versioned-orders"))
-    base = vt.create(orders)
-    return vt, orders, base
+def _loaded(spark, sf_dir) -> str:
+    root = scratch_path(spark, "batched-orders")
+    V.write_batch(Views(spark, sf_dir).stg_orders, root, 1)
+    return root
 
 
-def _appended(spark, sf_dir):
-    vt, orders, base = _table(spark, sf_dir)
-    vt.append(_new_orders(orders))
-    return vt, orders, base
+def _appended(spark, sf_dir) -> str:
+    """Three new orders derived from the lowest keys, as batch 2."""
+    root = _loaded(spark, sf_dir)
+    lowest = V.read_batches(spark, root).orderBy("order_id").limit(3)
+    V.write_batch(lowest.withColumn("order_id", -F.col("order_id")), root, 2)
+    return root
 
 
-def _evolved(spark, sf_dir):
-    vt, orders, base = _appended(spark, sf_dir)
-    vt.add_column("source", "string")
-    current = vt.read()
-    one = current.filter(F.col("order_id") > 0).orderBy("order_id").limit(1).withColumn("source", F.lit("spark"))
-    vt.append(one)
-    return vt
+def _evolved(spark, sf_dir) -> str:
+    """One more row with a new column, as batch 3."""
+    root = _appended(spark, sf_dir)
+    one = V.read_batches(spark, root, upto=1).orderBy("order_id").limit(1)
+    V.write_batch(one.withColumn("source", F.lit("spark")), root, 3)
+    return root
 
 
 @query("ver_create", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
 def q_ver_create(spark, sf_dir):
     """V1."""
-    vt, _, _ = _table(spark, sf_dir)
-    return vt.read()
+    return V.read_batches(spark, _loaded(spark, sf_dir))
 
 
 @query("ver_append", oracle=_AFTER_APPEND, views=("stg_orders",))
 def q_ver_append(spark, sf_dir):
     """V2: append; earlier files stay."""
-    vt, _, _ = _appended(spark, sf_dir)
-    return vt.read()
+    return V.read_batches(spark, _appended(spark, sf_dir))
 
 
 @query("ver_as_of", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
 def q_ver_as_of(spark, sf_dir):
-    """V5: read the pre-append snapshot after the append."""
-    vt, _, base = _appended(spark, sf_dir)
-    return vt.read(base)
+    """V5: the state before the append, read after it."""
+    return V.read_batches(spark, _appended(spark, sf_dir), upto=1)
 
 
-@query("ver_rollback", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
+@query("ver_rollback", oracle=_AFTER_APPEND, views=("stg_orders",))
 def q_ver_rollback(spark, sf_dir):
-    """V6: append then roll back -> baseline rows."""
-    vt, _, base = _appended(spark, sf_dir)
-    vt.rollback_to(base)
-    return vt.read()
+    """V6: the third batch taken back: later reads stop before it."""
+    return V.read_batches(spark, _evolved(spark, sf_dir), upto=2).drop("source")
 
 
-@query("ver_snapshots", oracle=f"""
-SELECT CAST(1 AS BIGINT) AS snapshot_id, CAST(NULL AS BIGINT) AS parent_id, 'overwrite' AS operation,
-       count(*) AS added_records, count(*) AS total_records FROM stg_orders
+@query("ver_snapshots", oracle="""
+SELECT CAST(1 AS INT) AS batch, CAST(NULL AS INT) AS parent, count(*) AS added_records, count(*) AS total_records FROM stg_orders
 UNION ALL
-SELECT 2, 1, 'append', 3, count(*) + 3 FROM stg_orders""", views=("stg_orders",))
+SELECT 2, 1, 3, count(*) + 3 FROM stg_orders""", views=("stg_orders",))
 def q_ver_snapshots(spark, sf_dir):
-    """V3: the snapshot list after append + rollback (the undone snapshot
-    stays listed)."""
-    vt, _, base = _appended(spark, sf_dir)
-    vt.rollback_to(base)
-    return vt.snapshots().drop("committed_at")
+    """V3: batches with added and total records."""
+    return V.batch_summary(spark, _appended(spark, sf_dir))
 
 
-@query("ver_history", oracle="""
-SELECT * FROM (VALUES (1, CAST(1 AS BIGINT), true), (2, CAST(2 AS BIGINT), false), (3, CAST(1 AS BIGINT), true))
-  AS t(position, snapshot_id, is_current_ancestor)""")
-def q_ver_history(spark, sf_dir):
-    """V9: history after append + rollback: 3 entries, the appended snapshot
-    is no longer a current ancestor."""
-    vt, _, base = _appended(spark, sf_dir)
-    vt.rollback_to(base)
-    return vt.history().select("position", "snapshot_id", "is_current_ancestor")
-
-
-@query("ver_files")
+@query("ver_files", oracle="""
+SELECT CAST(1 AS INT) AS batch, true AS has_files, count(*) AS record_count FROM stg_orders UNION ALL SELECT 2, true, 3""",
+       views=("stg_orders",))
 def q_ver_files(spark, sf_dir):
-    """V4: live files with record count and size."""
-    vt, _, _ = _appended(spark, sf_dir)
-    return vt.files()
+    """V4: files per batch and the records they hold."""
+    files = V.batch_files(spark, _appended(spark, sf_dir))
+    return files.groupBy("batch").agg((F.min("file_size_in_bytes") > 0).alias("has_files"),
+                                      F.sum("record_count").alias("record_count"))
 
 
-@query("ver_add_column", oracle=f"SELECT *, CAST(NULL AS VARCHAR) AS source FROM ({_AFTER_APPEND})",
-       views=("stg_orders",))
+@query("ver_add_column", oracle=f"SELECT *, CAST(NULL AS VARCHAR) AS source FROM ({_AFTER_APPEND})", views=("stg_orders",))
 def q_ver_add_column(spark, sf_dir):
-    """V7: add a nullable column without rewriting files; old rows read NULL."""
-    vt, _, _ = _appended(spark, sf_dir)
-    vt.add_column("source", "string")
-    return vt.read()
+    """V7: a nullable column; stored rows read NULL, no file is rewritten."""
+    return V.with_null_column(V.read_batches(spark, _appended(spark, sf_dir)), "source", "string")
 
 
 @query("ver_insert_evolved", oracle=_EVOLVED, views=("stg_orders",))
 def q_ver_insert_evolved(spark, sf_dir):
-    """V8: insert a row written with the evolved schema."""
-    return _evolved(spark, sf_dir).read()
+    """V8: a row written with the added column."""
+    return V.read_batches(spark, _evolved(spark, sf_dir))
 
 
-@query("rows_by_source", oracle=f"SELECT source, count(*) AS rows FROM ({_EVOLVED}) GROUP BY source",
-       views=("stg_orders",))
+@query("rows_by_source", oracle=f"SELECT source, count(*) AS rows FROM ({_EVOLVED}) GROUP BY source", views=("stg_orders",))
 def q_rows_by_source(spark, sf_dir):
     """Group count over a nullable column; NULL is its own group."""
-    return _evolved(spark, sf_dir).read().groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-
-
-@query("ver_manifest_counts", oracle="""
-SELECT * FROM (VALUES ('overwrite', CAST(1 AS BIGINT)), ('append', CAST(2 AS BIGINT))) AS t(operation, generations)""")
-def q_ver_manifest_counts(spark, sf_dir):
-    """V10."""
-    return _evolved(spark, sf_dir).generations_per_operation()
-
-
-@query("snapshot_log_from_json", oracle="""
-SELECT * FROM (VALUES ('orders', 1, 1, 1), ('orders', 2, 1, 1), ('orders', 2, 2, 2), ('orders', 3, 1, 1),
-                      ('orders', 3, 2, 2), ('orders', 3, 3, 1), ('users', 1, 1, 1), ('users', 2, 1, 1),
-                      ('users', 2, 2, 2))
-  AS t(table_name, metadata_version, position, snapshot_id)""")
-def q_snapshot_log_from_json(spark, sf_dir):
-    """Every metadata version of two tables (orders: create, append,
-    rollback; users: create, append) read as JSON data in one pass and
-    exploded to snapshot-log entries."""
-    v = Views(spark, sf_dir)
-    root = scratch_path(spark, "versioned-tables")
-    orders = VersionedTable(spark, f"{root}/orders")
-    base = orders.create(v.stg_orders)
-    orders.append(_new_orders(v.stg_orders))
-    orders.rollback_to(base)
-    users = VersionedTable(spark, f"{root}/users")
-    users.create(v.stg_users)
-    users.append(v.stg_users.orderBy("user_id").limit(3).withColumn("user_id", -F.col("user_id")))
-    log = metadata_log_of(spark, [orders.root, users.root])
-    return log.select("table_name",
-                      F.col("metadata_version").cast("int").alias("metadata_version"),
-                      F.col("position").cast("int").alias("position"),
-                      F.col("snapshot_id").cast("int").alias("snapshot_id"))
-
-
-@query("ver_expirable")
-def q_ver_expirable(spark, sf_dir):
-    """After append + rollback, expire everything older than now: the
-    appended snapshot's own generation becomes deletable."""
-    vt, _, base = _appended(spark, sf_dir)
-    vt.rollback_to(base)
-    return vt.expirable(int(time.time() * 1000) + 1)
-
-
-@query("append_key_collisions", oracle="SELECT order_id FROM stg_orders ORDER BY order_id LIMIT 3",
-       views=("stg_orders",))
+    return V.read_batches(spark, _evolved(spark, sf_dir)).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("append_key_collisions", oracle="SELECT order_id FROM stg_orders ORDER BY order_id LIMIT 3", views=("stg_orders",))
 def q_append_key_collisions(spark, sf_dir):
     """Replayed rows (same keys) collide with the table."""
-    vt, orders, _ = _table(spark, sf_dir)
-    replay = orders.orderBy("order_id").limit(3)
-    return key_collisions(replay, vt.read(), ["order_id"])
+    table = V.read_batches(spark, _loaded(spark, sf_dir))
+    return V.key_collisions(table.orderBy("order_id").limit(3), table, ["order_id"])

@@ -125,6 +125,27 @@ class Views:
     def stg_users(self) -> DataFrame:
         return silver.stg_users(self.bronze_users, self.stg_orders)
 
+    @cached_property
+    def dirty_orders(self) -> DataFrame:
+        """Silver orders with planted faults: unknown users, missing and zero quantities."""
+        k = F.col("order_id")
+        return self.stg_orders.select(
+            "order_id", F.when(k % 17 == 0, -F.col("user_id")).otherwise(F.col("user_id")).alias("user_id"), "ordered_at",
+            F.when(k % 19 == 0, F.lit(None)).when(k % 23 == 0, F.lit(0)).otherwise(F.col("quantity")).cast("int").alias("quantity"),
+            "product")
+
+    @cached_property
+    def dirty_users(self) -> DataFrame:
+        """Silver users with planted faults: names not normalised, uncleaned
+        birthdates, wrong flags."""
+        k = F.col("user_id")
+        return self.stg_users.select(
+            "user_id", "username",
+            F.when(k % 13 == 0, F.upper("username")).otherwise(F.col("username_normalized")).alias("username_normalized"),
+            "birthdate_original",
+            F.when(k % 7 == 0, F.col("birthdate_original")).otherwise(F.col("birthdate")).alias("birthdate"),
+            F.when(k % 11 == 0, ~F.col("birthdate_is_valid")).otherwise(F.col("birthdate_is_valid")).alias("birthdate_is_valid"))
+
     @cached_property
     def sales(self) -> DataFrame:
         return sales(self.t.events)

@@ -1,9 +1,9 @@
 """Parquet sinks and file layout.
 
 Layout choices are made for scale:
-* partitioned writes spread each partition value over several writer tasks
-  (hash of the row as a salt) so one hot value (a third of the rows) does not
-  land in a single task/file;
+* partitioned writes are rebalanced by the partition columns: AQE splits a hot
+  value (a third of the rows) over as many writers as its bytes need and packs
+  small values together, with no fixed fan-out;
 * range-clustered writes sort within range partitions so row-group min/max
   statistics prune date filters;
 * file inventories and footer profiles read metadata only (file listing,
@@ -25,12 +25,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], writers_per_value: int = 4,
+def write_partitioned(df: DataFrame, path: str, columns: Sequence[str],
                       mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
-    """K4/K5: `partitionBy(columns)`; rows of one partition value are spread
-    over `writers_per_value` tasks and files are capped in size."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(writers_per_value))
-    (df.repartition(*[F.col(c) for c in columns], salt)
+    """K4/K5: `partitionBy(columns)` after a rebalance on the same columns; AQE
+    sizes the writer partitions at run time."""
+    (df.hint("rebalance", *[F.col(c) for c in columns])
        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*columns).parquet(path))
 

@@ -64,16 +64,13 @@ def generate_users(keys: DataFrame, key_col: str, seed: int = 42) -> DataFrame:
 
 
 def generate_orders(users: DataFrame, count_min: int = 0, count_max: int = 100, seed: int = 42,
-                    start: str = "2020-01-01 00:00:00", buckets: int | None = None,
+                    start: str = "2020-01-01 00:00:00", buckets: int = 1024,
                     products=REFERENCE_PRODUCTS) -> DataFrame:
-    """Orders of every user, one per global hour slot."""
+    """Orders of every user, one per global hour slot. `buckets` is part of
+    the slot order, like the seed: choose it once for a dataset, so that
+    users / buckets rows fit a window partition."""
     if count_max < count_min:
         raise ValueError("count_max < count_min")
-    if buckets is None:
-        # ~1M users per in-bucket window at most; the bucket-offset frame
-        # (one row per bucket) stays small enough to broadcast.
-        n_users = users.select(F.count(F.lit(1))).first()[0]
-        buckets = max(8, min(100_000, n_users // 1_000_000 + 1))
     u = users.select("uuid").withColumn(
         "n", (F.lit(count_min) + F.pmod(_h(F.col("uuid"), seed=seed, salt="count"),
                                         F.lit(count_max - count_min + 1))).cast("long")
@@ -81,7 +78,7 @@ def generate_orders(users: DataFrame, count_min: int = 0, count_max: int = 100,
     in_bucket = Window.partitionBy("bucket").orderBy("uuid").rowsBetween(Window.unboundedPreceding, -1)
     u = u.withColumn("prefix", F.coalesce(F.sum("n").over(in_bucket), F.lit(0)))
     totals = u.groupBy("bucket").agg(F.sum("n").alias("bucket_total"))
-    # `buckets` rows: a fixed-size frame, safe for an unpartitioned window and a broadcast.
+    # `buckets` rows: a frame of a size the caller fixes, safe for an unpartitioned window and a broadcast.
     offsets = totals.withColumn(
         "offset", F.coalesce(F.sum("bucket_total").over(
             Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("bucket", "offset")

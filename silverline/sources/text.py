@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CSV_OPTIONS = {
@@ -55,19 +55,28 @@ def read_csv_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.
 
 def read_csv_typed(spark: SparkSession, path: str, schema, multiline: bool = True,
                    mode: str = "FAILFAST") -> DataFrame:
-    """Explicit schema, no inference pass."""
+    """Explicit schema, no inference pass. Spark converts only the columns
+    that a query uses, so FAILFAST sees bad values in those only; count with
+    `parsed_count` to see all of them."""
     return (spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
             .option("mode", mode).schema(schema).csv(path))
 
 
+def parsed_count(df: DataFrame) -> Column:
+    """Row count over every column: an aggregate that no pruning can narrow, so
+    a bad value in any column fails the read."""
+    return F.count_if(F.xxhash64(*[F.col(c) for c in df.columns]) != F.lit(0))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines (`value`) with the file they came from."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    """Physical lines (`value`) with the file and the block of it they came from."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"),
+                                        F.col("_metadata.file_block_start").alias("block_start"))
 
 
 def drop_header_and_blank(lines: DataFrame, header: str) -> DataFrame:
-    """S3: drop header lines (one per file) and blank lines."""
-    return lines.filter((F.col("value") != F.lit(header)) & (F.trim("value") != ""))
+    """S3: drop header lines (one per file) and lines of white space only."""
+    return lines.filter((F.col("value") != F.lit(header)) & F.col("value").rlike(r"\S"))
 
 
 def record_start_counts(lines: DataFrame, record_start_pattern: str) -> DataFrame:
@@ -102,18 +111,19 @@ def sniff_dialect(lines: DataFrame, candidates: Sequence[str] = (",", ";", "\t",
     """Per file, the delimiter whose per-line count is most consistent
     (lowest variance, mean > 0), whether a quote char appears, and whether
     the first line looks like a header (no digit in any field while most
-    data lines have one). One grouped Spark job over a sample of lines."""
-    positioned = lines.withColumn("_pos", F.monotonically_increasing_id())
-    sample = positioned if sample_fraction >= 1 else positioned.sample(fraction=sample_fraction, seed=seed)
-    per_line = sample.select(
-        "file_path", "value", "_pos",
+    data lines have one). One grouped Spark job; the statistics use a sample
+    of the lines, the header is the first line of the file's first block."""
+    positioned = lines.withColumn("_pos", F.struct("block_start", F.monotonically_increasing_id()))
+    sampled = F.lit(True) if sample_fraction >= 1 else F.rand(seed) < sample_fraction
+    per_line = positioned.withColumn("_in", sampled).select(
+        "file_path", "value", "_pos", "_in",
         *[(F.size(F.split("value", _regex_escape(d), -1)) - 1).alias(f"d{i}") for i, d in enumerate(candidates)],
     )
     stats = per_line.groupBy("file_path").agg(
-        *[F.avg(f"d{i}").alias(f"m{i}") for i in range(len(candidates))],
-        *[F.variance(f"d{i}").alias(f"v{i}") for i in range(len(candidates))],
-        F.max(F.col("value").contains('"').cast("int")).alias("has_quote"),
-        F.avg(F.col("value").rlike("[0-9]").cast("int")).alias("digit_share"),
+        *[F.avg(F.when(F.col("_in"), F.col(f"d{i}"))).alias(f"m{i}") for i in range(len(candidates))],
+        *[F.variance(F.when(F.col("_in"), F.col(f"d{i}"))).alias(f"v{i}") for i in range(len(candidates))],
+        F.max(F.when(F.col("_in"), F.col("value").contains('"').cast("int"))).alias("has_quote"),
+        F.avg(F.when(F.col("_in"), F.col("value").rlike("[0-9]").cast("int"))).alias("digit_share"),
         F.min_by("value", "_pos").alias("first_line"),
     )
     score = F.array(*[

@@ -19,19 +19,37 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from silverline.operators.dedupe import latest_per_key
 from silverline.sources import fs
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _file_stream(spark: SparkSession, landing_dir: str, schema: StructType, fmt: str, options: dict) -> DataFrame:
-    return spark.readStream.schema(schema).options(**options).format(fmt).load(landing_dir)
+    """New files as rows of `schema` plus CORRUPT: the raw record where it does
+    not parse (wrong arity, bad value), else null. Nothing is silently nulled."""
+    full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
+    parsing = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return spark.readStream.schema(full).options(**options).options(**parsing).format(fmt).load(landing_dir)
+
+
+def good_rows(landed: DataFrame) -> DataFrame:
+    return landed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def quarantined(landed: DataFrame) -> DataFrame:
+    """Raw records that did not parse."""
+    return landed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def land_increment(spark: SparkSession, landing_dir: str, target_dir: str, checkpoint: str,
                    schema: StructType, fmt: str = "csv", options: dict | None = None) -> None:
-    """ST1: append every new landed file's records to the bronze table."""
+    """ST1: append every new landed file's records to the bronze table, parsed
+    and malformed ones alike; `good_rows` and `quarantined` tell them apart, and
+    together they are every landed record."""
     stream = _file_stream(spark, landing_dir, schema, fmt, options or {})
     q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(target_dir))
@@ -42,11 +60,15 @@ def dedupe_increment(spark: SparkSession, landing_dir: str, changes_dir: str, ch
                      schema: StructType, keys: Sequence[str], order, fmt: str = "csv",
                      options: dict | None = None) -> None:
     """ST2: per micro-batch keep the latest row per key and store it under
-    `changes_dir/epoch=<id>` (idempotent overwrite per epoch)."""
+    `changes_dir/epoch=<id>`, malformed records under `changes_dir/_quarantine`
+    (idempotent overwrite per epoch)."""
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        latest = latest_per_key(batch, keys, order)
+        batch.persist()
+        latest = latest_per_key(good_rows(batch), keys, order)
         latest.write.mode("overwrite").parquet(f"{changes_dir}/epoch={epoch_id}")
+        quarantined(batch).write.mode("overwrite").parquet(f"{changes_dir}/_quarantine/epoch={epoch_id}")
+        batch.unpersist()
 
     stream = _file_stream(spark, landing_dir, schema, fmt, options or {})
     q = (stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)

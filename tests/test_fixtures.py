@@ -8,7 +8,7 @@ from silverline.functions import scalars as S
 from silverline.operators import quality as Q
 from silverline.operators import windows as W
 from silverline.operators.dedupe import latest_per_key
-from silverline.operators.versioned import VersionedTable
+from silverline.operators import versioned as V
 from silverline.sources import text as T
 
 
@@ -118,15 +118,12 @@ def test_previous_zero_gives_null_change(spark):
     assert rows[1]["previous_quantity"] == 0 and rows[1]["mom_pct"] is None
 
 
-def test_rollback_after_append(spark, tmp_path):
+def test_earlier_state_after_append(spark, tmp_path):
     base = spark.createDataFrame([(i, i * 2) for i in range(10)], "id long, v long")
-    vt = VersionedTable(spark, str(tmp_path / "t"))
-    first = vt.create(base)
-    vt.append(spark.createDataFrame([(100, 1)], "id long, v long"))
-    assert vt.read().count() == 11
-    vt.rollback_to(first)
-    assert vt.snapshots().count() == 2
-    assert vt.history().count() == 3
-    assert vt.read().exceptAll(base).count() == 0 and base.exceptAll(vt.read()).count() == 0
-    vt.add_column("source", "string")
-    assert vt.read().filter(F.col("source").isNotNull()).count() == 0
+    root = str(tmp_path / "t")
+    V.write_batch(base, root, 1)
+    V.write_batch(spark.createDataFrame([(100, 1)], "id long, v long"), root, 2)
+    assert V.read_batches(spark, root).count() == 11
+    before = V.read_batches(spark, root, upto=1)
+    assert before.exceptAll(base).count() == 0 and base.exceptAll(before).count() == 0
+    assert V.with_null_column(before, "source", "string").filter(F.col("source").isNotNull()).count() == 0

@@ -1,4 +1,4 @@
-"""Unit tests for reconciliation, streaming, versioned tables and landing."""
+"""Unit tests for reconciliation, streaming, batched tables and landing."""
 
 import datetime as dt
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverline.operators import reconcile as R
-from silverline.operators.versioned import VersionedTable, guarded_append
+from silverline.operators import versioned as V
 from silverline.plans.q_io import BRONZE_ORDERS_SCHEMA
 from silverline.plans.silver import ORDER_TIES
 from silverline.sources import landing as L
@@ -95,35 +95,80 @@ def test_incremental_landing_only_new_files(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
 
 
-def test_commit_conflict_is_refused(spark, tmp_path):
-    vt = VersionedTable(spark, str(tmp_path / "t"))
-    vt.create(spark.createDataFrame([(1,)], "id long"))
-    state = vt.state()
-    from silverline.sources import fs
+def test_guarded_append_rejects_duplicate_keys(spark, tmp_path):
+    root = str(tmp_path / "t")
+    V.write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), root, 1)
+    with pytest.raises(ValueError):
+        V.guarded_append(spark, root, spark.createDataFrame([(2, "x")], "id long, v string"), ["id"], 2)
+    V.guarded_append(spark, root, spark.createDataFrame([(3, "c")], "id long, v string"), ["id"], 2)
+    assert V.read_batches(spark, root).count() == 3
+
+
+def test_batches_keep_their_state_and_merge_columns(spark, tmp_path):
+    root = str(tmp_path / "t")
+    V.write_batch(spark.createDataFrame([(1,)], "id long"), root, 1)
+    for _ in range(2):   # a repeated load replaces itself
+        V.write_batch(spark.createDataFrame([(2, "spark")], "id long, source string"), root, 2)
+    assert sorted(tuple(r) for r in V.read_batches(spark, root).collect()) == [(1, None), (2, "spark")]
+    assert [r["id"] for r in V.read_batches(spark, root, upto=1).collect()] == [1]
+    assert [tuple(r) for r in V.batch_summary(spark, root).orderBy("batch").collect()] == [(1, None, 1, 1), (2, 1, 1, 2)]
+    with pytest.raises(ValueError):
+        V.with_null_column(V.read_batches(spark, root), "source", "string")
+
+
+def test_malformed_records_are_quarantined(spark, tmp_path):
+    from pyspark.sql.types import StructType
 
-    # Another writer published version 2 first: writing the same file fails.
-    fs.write_text(spark, f"{vt._meta_dir}/v2.json", "{}", overwrite=False)
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    (landing / "a.csv").write_text("a,b,c\n1,2,good\nx,5,tea\n3,4\n")
+    I.land_increment(spark, str(landing), target, str(tmp_path / "ck"), StructType.fromDDL("a int, b int, c string"),
+                     options=dict(T.CSV_OPTIONS))
+    landed = spark.read.parquet(target)
+    assert [tuple(r) for r in I.good_rows(landed).collect()] == [(1, 2, "good")]
+    assert sorted(r[0] for r in I.quarantined(landed).collect()) == ["3,4", "x,5,tea"]
+
+
+def test_failfast_sees_columns_that_are_not_used(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,qty\n1,2\n2,bad\n")
+    rows = T.read_csv_typed(spark, str(tmp_path / "a.csv"), "id int, qty int", multiline=False)
     with pytest.raises(Exception):
-        fs.write_text(spark, f"{vt._meta_dir}/v2.json", "{}", overwrite=False)
-    assert state["version"] == 1
+        rows.agg(T.parsed_count(rows)).collect()
+    (tmp_path / "a.csv").write_text("id,qty\n1,2\n2,\n")
+    assert rows.agg(T.parsed_count(rows)).collect()[0][0] == 2
 
 
-def test_guarded_append_rejects_duplicate_keys(spark, tmp_path):
-    vt = VersionedTable(spark, str(tmp_path / "t"))
-    vt.create(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
-    with pytest.raises(ValueError):
-        guarded_append(vt, spark.createDataFrame([(2, "x")], "id long, v string"), ["id"])
-    guarded_append(vt, spark.createDataFrame([(3, "c")], "id long, v string"), ["id"])
-    assert vt.read().count() == 3
-
-
-def test_time_travel_uses_snapshot_schema(spark, tmp_path):
-    vt = VersionedTable(spark, str(tmp_path / "t"))
-    first = vt.create(spark.createDataFrame([(1,)], "id long"))
-    vt.add_column("source", "string")
-    vt.append(spark.createDataFrame([(2, "spark")], "id long, source string"))
-    assert vt.read(first).columns == ["id"]
-    assert sorted(tuple(r) for r in vt.read().collect()) == [(1, None), (2, "spark")]
+def test_blank_lines_of_any_white_space(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("head\n\t\n \nx\n")
+    assert [r["value"] for r in T.drop_header_and_blank(T.read_lines(spark, str(tmp_path)), "head").collect()] == ["x"]
+
+
+def test_header_is_found_whatever_the_sample(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,qty\n" + "".join(f"n{i},{i}\n" for i in range(300)))
+    for fraction in (1.0, 0.5, 0.2):
+        row = T.sniff_dialect(T.read_lines(spark, str(tmp_path)), sample_fraction=fraction).collect()[0]
+        assert row["has_header"] and row["delimiter"] == ","
+
+
+def test_checkpoint_folder_must_be_named_outside_local_masters():
+    from silverline import session
+
+    assert session.is_single_process("local[4]") and session.is_single_process("local") and session.is_single_process("local[2,3]")
+    assert not session.is_single_process("local-cluster[3,2,1000]") and not session.is_single_process("yarn")
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_landing_copy_is_byte_identical_and_idempotent(spark, tmp_path):
