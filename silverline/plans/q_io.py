@@ -157,21 +157,22 @@ def q_csv_dialect_profile(spark, sf_dir):
 
 
 # The silver users schema contract: position, name, Spark type, nullability.
-@query("describe_schema", oracle="""
-SELECT * FROM (VALUES
-  (1, 'user_id', 'bigint', true), (2, 'username', 'string', true),
-  (3, 'username_normalized', 'string', true), (4, 'name', 'string', true),
-  (5, 'sex', 'string', false), (6, 'email', 'string', true),
-  (7, 'birthdate_original', 'date', true), (8, 'birthdate', 'date', true),
-  (9, 'birthdate_is_valid', 'boolean', true), (10, 'street', 'string', true),
-  (11, 'city', 'string', true), (12, 'state', 'string', true), (13, 'zip_code', 'string', true))
-  AS t(position, column_name, column_type, nullable)""")
+_USER_TYPES = (("user_id", "bigint"), ("username", "string"), ("username_normalized", "string"), ("name", "string"), ("sex", "string"),
+               ("email", "string"), ("birthdate_original", "date"), ("birthdate", "date"), ("birthdate_is_valid", "boolean"),
+               ("street", "string"), ("city", "string"), ("state", "string"), ("zip_code", "string"))
+
+
+@query("describe_schema", oracle="\nUNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS filled, CAST(any_value({c}) AS VARCHAR) IS NOT NULL AS used "
+    f"FROM stg_users" for i, (c, t) in enumerate(_USER_TYPES, 1)), views=("stg_users",))
 def q_describe_schema(spark, sf_dir):
-    """A relation's schema as rows (position, name, type, nullable).
-    Schema metadata only: bounded by the column count."""
-    df = Views(spark, sf_dir).stg_users
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, column_type string, nullable boolean")
+    """A stored relation's columns in order, with type and filled values,
+    from one aggregation over the data."""
+    df = stored(Views(spark, sf_dir).stg_users, "described")
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                              F.lit(f.dataType.simpleString()).alias("column_type"), F.count(f.name).alias("filled"),
+                              (F.count(f.name) > 0).alias("used")) for i, f in enumerate(df.schema.fields, 1)])
+    return df.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------- Parquet
