@@ -12,10 +12,13 @@ Exact copies collapse first: equal sets (128-bit digest) are one class, held by
 its smallest doc_id. Classes are banded (32 bands of 4 values: two sets of
 similarity 0.75 share no band with probability 5e-6). In each bucket the
 members are compared with the bucket's smallest class, so a group of thousands
-of near copies costs a pair per member, not all pairs. Buckets that still hold
-more than one component afterwards are then compared member by member across
-components, filtered inside the join by set size and by a 256-bit sketch of the
-signature (bound: 5 standard deviations below similarity 0.75). Every
+of near copies costs a pair per member, not all pairs. Members of buckets that
+still hold several components are compared with further heads, drawn by hash
+per bucket and round, as long as that finds links and many pairs remain. What
+then remains is compared member by member across components. Pairs are filtered
+inside the joins by bounds that no link breaks: set sizes, the odd sketch (512
+parities; its distance never exceeds the sets'), and a 256-bit sketch of the
+signature at five standard deviations below similarity 0.75. Every
 candidate is confirmed on the full shingle sets of the two whole texts.
 
 Defined cases: null or word-less texts have the empty set and link with
@@ -42,12 +45,14 @@ SIMILAR = 75          # percent
 M, BANDS = 128, 32
 ROWS = M // BANDS
 CHUNK = 1 << 16       # elements ranked at a time
+# Rounds against bucket heads go on while more pairs than this remain per member.
+PAIRS_PER_MEMBER = 1_000
 # Of the 128 two-bit cells, sets of similarity 0.75 agree in 104 on average
 # (standard deviation 4.4).
 SKETCH_AGREE = 82
 
 SIGNATURE = ("doc_id bigint, n_shingles bigint, d0 bigint, d1 bigint, bands array<bigint>, "
-             "s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+             + ", ".join(f"s{k} bigint" for k in range(4)) + ", " + ", ".join(f"p{k} bigint" for k in range(8)))
 _GOLD = 0x9E3779B97F4A7C15
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -106,6 +111,14 @@ def sketches(held: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(len(held), -1, 32) << shift, axis=2).view(np.int64)
 
 
+def parities(doc: np.ndarray, element: np.ndarray, n_docs: int) -> np.ndarray:
+    """Odd sketches: 512 cells that hold the parity of the elements hashed there.
+    Two sets differ in at least as many elements as their sketches in cells."""
+    cell = (ft.mix64(element ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(55)).astype(np.int64)
+    odd = np.bincount(doc * 512 + cell, minlength=n_docs * 512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n_docs, 8)
+
+
 def band_keys(held: np.ndarray) -> np.ndarray:
     out = np.zeros((len(held), BANDS), np.uint64)
     by_band = held.reshape(len(held), BANDS, ROWS)
@@ -126,13 +139,14 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest = [np.append(np.cumsum(ft.mix64(x ^ np.uint64(c))), np.uint64(0)) for c in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
             sums = [np.where(first > 0, s[first - 1], np.uint64(0)) for s in digest]
             held = superminhash(doc, x, n)
-            s = sketches(held)
+            s, odd = sketches(held), parities(doc, x, n)
             offs = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 ids[low:high].cast(pa.int64()), pa.array(size.astype(np.int64)),
                 *[pa.array(np.diff(v).view(np.int64)) for v in sums],
                 pa.ListArray.from_arrays(pa.array(offs), pa.array(band_keys(held)[size > 0].reshape(-1))),
-                *[pa.array(np.ascontiguousarray(s[:, k])) for k in range(4)]], names)
+                *[pa.array(np.ascontiguousarray(s[:, k])) for k in range(4)],
+                *[pa.array(np.ascontiguousarray(odd[:, k])) for k in range(8)]], names)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -177,16 +191,55 @@ def _agree(x: str, y: str) -> Column:
 
 
 def _plausible(x: str, y: str) -> Column:
-    """Sizes within the similarity bound, sketches within five deviations of it."""
-    low, high = F.least(f"{x}.n_shingles", f"{y}.n_shingles"), F.greatest(f"{x}.n_shingles", f"{y}.n_shingles")
-    return (low * 100 >= high * SIMILAR) & (_agree(x, y) >= SKETCH_AGREE)
+    """What two linked sets must satisfy. Exactly: sizes within the similarity,
+    and odd sketches no further apart than the sets may be (a link leaves at
+    most (100 - SIMILAR) / (100 + SIMILAR) of both sizes outside the
+    intersection). And, at five standard deviations, agreeing sketches."""
+    a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    apart = F.lit(0)
+    for k in range(8):
+        apart = apart + F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}")))
+    return ((F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR) & (apart * (100 + SIMILAR) <= (a + b) * (100 - SIMILAR))
+            & (_agree(x, y) >= SKETCH_AGREE))
+
+
+def _mixed(shared: DataFrame, found: DataFrame, of: DataFrame, k: int) -> DataFrame:
+    """Members (key, id, c, size, sketch) of the buckets that hold several components."""
+    member = (shared.join(found, shared["id"] == found["node"], "left")
+              .select("key", "id", F.coalesce("component", "id").alias("c")))
+    several = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+               .where("lo < hi").select("key"))
+    return stored(member.join(several, "key").join(of, "id"), f"mixed-{k}")
+
+
+def _remaining(rest: DataFrame) -> tuple[int, int]:
+    """Members of the mixed buckets, and pairs of them across components."""
+    per = rest.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+    got = per.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
+    return int(got[0] or 0), int(got[1] or 0)
+
+
+def _to_heads(rest: DataFrame, k: int) -> DataFrame:
+    """Pairs of every member with its bucket's head of round k, drawn by hash,
+    where they are in different components: a pair per member and bucket at most."""
+    head = rest.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key", F.lit(k))).alias("head"))
+    y = rest.join(head.withColumnRenamed("key", "in"), (F.col("key") == F.col("in")) & (F.col("id") == F.col("head"))).alias("y")
+    return (rest.alias("x").join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & _plausible("x", "y"))
+            .select(F.greatest("x.id", "y.id").alias("u"), F.least("x.id", "y.id").alias("v")).distinct())
+
+
+def _across(rest: DataFrame) -> DataFrame:
+    """All plausible pairs across components within a bucket."""
+    return (rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & _plausible("x", "y"))
+            .select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest
     doc_id reachable over links) and kept (doc_id = component_id)."""
     sig = stored(signatures(docs), "superminhash")
-    sketch = ["n_shingles", "s0", "s1", "s2", "s3"]
+    sketch = ["n_shingles", *[f"s{k}" for k in range(4)], *[f"p{k}" for k in range(8)]]
     classes = stored(
         sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("d0", "d1", "bands", *sketch).agg(F.min("doc_id").alias("id")), "classes")
@@ -202,20 +255,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = stored(verified(star, docs), "links-1")
     found = components(first)
 
-    member = (shared.join(found, shared["id"] == found["node"], "left")
-              .select("key", "id", F.coalesce("component", "id").alias("c")))
-    mixed = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .where("lo < hi").select("key"))
-    rest = stored(member.join(mixed, "key").join(of, "id"), "mixed")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & _plausible("x", "y"))
-              .select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct())
-    across = across.join(first.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct(),
-                         (F.greatest("u", "v") == F.col("a")) & (F.least("u", "v") == F.col("b")), "left_anti")
-    second = stored(verified(across, docs), "links-2")
-    final = components(first.unionByName(second)) if not second.isEmpty() else found
-
-    label = (classes.select("d0", "d1", "id").join(final, F.col("id") == F.col("node"), "left")
+    links, pool, k, stuck = first, None, 0, False
+    while k >= 0:
+        rest = _mixed(shared, found, of, k)
+        members, pairs = _remaining(rest)
+        if not pairs:
+            break
+        if pool is None:
+            texts = only(docs, "doc_id", "text")
+            pool = stored(texts.join(rest.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "pool")
+        k += 1
+        if pairs > PAIRS_PER_MEMBER * members and not stuck:
+            new = stored(verified(_to_heads(rest, k), pool), f"links-{k + 1}")
+            stuck = new.isEmpty()
+        else:
+            new = stored(verified(_across(rest), pool), "links-last")
+            k = -1
+        if new.isEmpty():
+            continue
+        links = links.unionByName(new)
+        found = components(links)
+    label = (classes.select("d0", "d1", "id").join(found, F.col("id") == F.col("node"), "left")
              .select("d0", "d1", F.coalesce("component", "id").alias("component")))
     return (sig.join(label, ["d0", "d1"], "left")
             .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")))
