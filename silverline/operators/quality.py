@@ -147,11 +147,23 @@ def run_checks(rules: Sequence[Rule]) -> DataFrame:
 
 
 def violations_long(rules: Sequence[Rule]) -> DataFrame:
-    """All violating rows of `rules` as (rule, record_key)."""
-    out = None
+    """All violating rows of `rules` as (rule, record_key). Row-level rules of
+    one frame are evaluated in one pass over it: every row yields the names of
+    the rules it fails. Set-level rules contribute a pass each."""
+    parts: list[DataFrame] = []
+    fused: dict[int, list[Rule]] = {}
     for r in rules:
-        v = r.violation_keys()
-        out = v if out is None else out.unionByName(v)
+        if r.predicate is not None:
+            fused.setdefault(id(r.source), []).append(r)
+        else:
+            parts.append(r.violation_keys())
+    for group in fused.values():
+        failed = F.array(*[F.when(r.predicate, F.struct(F.lit(r.name).alias("rule"), F.col(r.key).cast("string").alias("record_key")))
+                           for r in group])
+        parts.append(group[0].source.select(F.explode(F.filter(failed, lambda x: x.isNotNull())).alias("f")).select("f.rule", "f.record_key"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

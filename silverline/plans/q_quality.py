@@ -143,9 +143,8 @@ BRONZE_SPECS = {
     "not_null_bronze_users_birthdate": "SELECT uuid FROM bronze_users WHERE birthdate IS NULL",
     "unique_bronze_orders_uuid": "SELECT uuid FROM bronze_orders WHERE uuid IS NOT NULL GROUP BY uuid HAVING count(*) > 1",
     "accepted_values_bronze_users_sex": f"SELECT uuid FROM bronze_users WHERE sex NOT IN ({_SEXES})",
-    "relationships_sales_user_id__uuid__bronze_users":
-        "SELECT order_id FROM sales s WHERE user_id IS NOT NULL AND NOT EXISTS "
-        "(SELECT 1 FROM bronze_users u WHERE u.uuid = s.user_id)",
+    "relationships_dirty_orders_user_id__user_id__stg_users":
+        "SELECT order_id FROM dirty_orders WHERE user_id NOT IN (SELECT user_id FROM stg_users)",
 }
 
 
@@ -228,8 +227,8 @@ def bronze_rules(v: Views) -> dict[str, Q.Rule]:
         "not_null_bronze_users_birthdate": Q.not_null(bu, "birthdate", "uuid", "not_null_bronze_users_birthdate"),
         "unique_bronze_orders_uuid": Q.unique(bo, "uuid", "unique_bronze_orders_uuid"),
         "accepted_values_bronze_users_sex": Q.accepted_values(bu, "sex", SEX_CODES, "uuid", "accepted_values_bronze_users_sex"),
-        "relationships_sales_user_id__uuid__bronze_users": Q.relationships(
-            v.sales, "user_id", bu, "uuid", "order_id", "relationships_sales_user_id__uuid__bronze_users"),
+        "relationships_dirty_orders_user_id__user_id__stg_users": Q.relationships(
+            v.dirty_orders, "user_id", v.stg_users, "user_id", "order_id", "relationships_dirty_orders_user_id__user_id__stg_users"),
     }
 
 
@@ -245,7 +244,7 @@ FROM ({rows})"""
 
 # ---------------------------------------------------------------- queries
 
-_VIEWS_ALL = ("stg_users", "sales", "zip_states", "states", "bronze_orders", "bronze_users")
+_VIEWS_ALL = ("stg_users", "dirty_orders", "sales", "zip_states", "states", "bronze_orders", "bronze_users")
 
 
 def _long_query(key: str, prefix: str, bronze: str):
@@ -266,7 +265,7 @@ def _long_query(key: str, prefix: str, bronze: str):
 _long_query("dq_not_null", "not_null_", "not_null_bronze_users_birthdate")
 _long_query("dq_unique", "unique_", "unique_bronze_orders_uuid")
 _long_query("dq_accepted_values", "accepted_values_", "accepted_values_bronze_users_sex")
-_long_query("dq_relationships", "relationships_", "relationships_sales_user_id__uuid__bronze_users")
+_long_query("dq_relationships", "relationships_", "relationships_dirty_orders_user_id__user_id__stg_users")
 
 
 @query("dq_quantity_positive", oracle="SELECT order_id, quantity FROM dirty_orders WHERE NOT coalesce(quantity > 0, false)",
