@@ -378,6 +378,24 @@ def q_reconcile_diff(spark, sf_dir):
     return R.diff_rows(silver.typed_orders(v.bronze_orders), v.stg_orders)
 
 
+_USER_COLUMNS = ("user_id", "username", "username_normalized", "birthdate_original", "birthdate", "birthdate_is_valid")
+
+
+@query("reconcile_users_diff", oracle=f"""
+SELECT u.*, 'left_only' AS side FROM (SELECT {", ".join(_USER_COLUMNS)} FROM stg_users) u
+WHERE user_id IN (SELECT d.user_id FROM dirty_users d JOIN stg_users s USING (user_id) WHERE d.birthdate IS DISTINCT FROM s.birthdate
+  OR d.birthdate_is_valid IS DISTINCT FROM s.birthdate_is_valid OR d.username_normalized IS DISTINCT FROM s.username_normalized)
+UNION ALL
+SELECT d.*, 'right_only' FROM (SELECT {", ".join(_USER_COLUMNS)} FROM dirty_users) d
+WHERE user_id IN (SELECT d.user_id FROM dirty_users d JOIN stg_users s USING (user_id) WHERE d.birthdate IS DISTINCT FROM s.birthdate
+  OR d.birthdate_is_valid IS DISTINCT FROM s.birthdate_is_valid OR d.username_normalized IS DISTINCT FROM s.username_normalized)""",
+       views=("stg_users", "dirty_users"))
+def q_reconcile_users_diff(spark, sf_dir):
+    """M4, users: rows that differ between the silver users and a faulty copy, by side."""
+    v = Views(spark, sf_dir)
+    return R.diff_rows(v.stg_users.select(*_USER_COLUMNS), v.dirty_users.select(*_USER_COLUMNS))
+
+
 @query("reconcile_summary", oracle="""
 SELECT 'bronze' AS engine, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS sum_quantity FROM bronze_orders
 UNION ALL SELECT 'silver', count(*), CAST(sum(quantity) AS BIGINT) FROM stg_orders""", views=("stg_orders",))
