@@ -155,14 +155,39 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- verification
 
+_CODEC = "zstd"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to (doc_id, packed): byte length, then the compressed bytes."""
+    codec = pa.Codec(_CODEC, compression_level=3)
+    for batch in rows_in(batches):
+        for low, high, data, offsets in ft.blocks(batch.column(1)):
+            packed = [int(e - s).to_bytes(8, "little") + codec.compress(data[s:e].tobytes(), asbytes=True) for s, e in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[low:high].cast(pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "packed"])
+
+
+def _unpacked(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    codec = pa.Codec(_CODEC)
+    sizes = [int.from_bytes(v[:8], "little") for v in values]
+    raw = b"".join([codec.decompress(v[8:], n, asbytes=True) for v, n in zip(values, sizes)])
+    return np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the pairs (u, v, text_u, text_v) whose sets are similar enough."""
+    """Keeps the pairs (u, v, packed text of u, of v) whose sets are similar enough."""
     for batch in rows_in(batches):
-        u, v, a, b = (batch.column(i) for i in range(4))
-        for low, high, data, offsets in ft.blocks(a, ft.BLOCK_BYTES // 2):
+        u, v = batch.column(0), batch.column(1)
+        a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        low = 0
+        while low < len(a):
+            high, size = low, 0
+            while high < len(a) and (high == low or size < ft.BLOCK_BYTES // 2):
+                size += int.from_bytes(a[high][:8], "little")
+                high += 1
             n = high - low
-            d1, x1 = shingles(data, offsets)
-            d2, x2 = shingles(*ft.flatten(b[low:high]))
+            d1, x1 = shingles(*_unpacked(a[low:high]))
+            d2, x2 = shingles(*_unpacked(b[low:high]))
             size = np.bincount(d1, minlength=n) + np.bincount(d2, minlength=n)
             d, x = np.concatenate([d1, d2]), np.concatenate([x1, x2])
             order = np.lexsort((x, d))
@@ -170,13 +195,21 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.bincount(d[1:][(x[1:] == x[:-1]) & (d[1:] == d[:-1])], minlength=n)
             keep = pa.array((both > 0) & (100 * both >= SIMILAR * (size - both)))
             yield pa.RecordBatch.from_arrays([u[low:high].filter(keep), v[low:high].filter(keep)], ["u", "v"])
+            low = high
+
+
+def text_pool(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Packed texts of the documents named in `ids` (id), stored. The texts are
+    packed before the shuffle that meets them with their ids, once for all
+    verifications."""
+    texts = only(docs, "doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(_packed, "doc_id bigint, packed binary")
+    return stored(texts.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "pool")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, pool: DataFrame) -> DataFrame:
     """The pairs (u, v) of doc_ids whose whole texts are linked."""
-    t = only(docs, "doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    a = t.select(F.col("doc_id").alias("u"), F.col("text").alias("a"))
-    b = t.select(F.col("doc_id").alias("v"), F.col("text").alias("b"))
+    a = pool.select(F.col("doc_id").alias("u"), F.col("packed").alias("a"))
+    b = pool.select(F.col("doc_id").alias("v"), F.col("packed").alias("b"))
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_verify, "u bigint, v bigint")
 
 
@@ -252,18 +285,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = (star.join(of.alias("x"), F.col("p.id") == F.col("x.id"))
             .join(of.alias("y"), F.col("p.head") == F.col("y.id"))
             .where(_plausible("x", "y")).select(F.col("p.id").alias("u"), F.col("p.head").alias("v")))
-    first = stored(verified(star, docs), "links-1")
+    pool = text_pool(docs, shared)
+    first = stored(verified(star, pool), "links-1")
     found = components(first)
 
-    links, pool, k, stuck = first, None, 0, False
+    links, k, stuck = first, 0, False
     while k >= 0:
         rest = _mixed(shared, found, of, k)
         members, pairs = _remaining(rest)
         if not pairs:
             break
-        if pool is None:
-            texts = only(docs, "doc_id", "text")
-            pool = stored(texts.join(rest.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "pool")
         k += 1
         if pairs > PAIRS_PER_MEMBER * members and not stuck:
             new = stored(verified(_to_heads(rest, k), pool), f"links-{k + 1}")
