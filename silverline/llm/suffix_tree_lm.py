@@ -14,8 +14,8 @@ The root is the unigram distribution with absolute discounting, whose discount
 Contexts and followers enter with at least SHARE of all training tokens, so at
 most 1 / SHARE of each length exist: a proven bound on what is collected and
 sent to tasks. They are found exactly in two passes: a sequence with that share
-of all tokens has it in some partition, so each partition names its own; then
-all named ones are counted everywhere. A context is retained when its
+of all tokens has it in some part of them, so each part names its own; then all
+named ones are counted everywhere. A context is retained when its
 distribution diverges from its suffix's by more than chance explains (weighted
 divergence over its followers against the chi-square mean plus three
 deviations); suffixes of retained contexts are retained too. A word is scored
@@ -49,7 +49,8 @@ DEPTH = 3
 SHARE = 4e-6
 LEAST = 2               # a sequence seen once is no context
 DISCOUNT = 0.5
-TASK_TOKENS = 4_000_000  # tokens a partition names its frequent sequences from
+PART_TOKENS = 1_500_000  # least tokens of a part that names its frequent sequences
+LOOSE_KEYS = 1_000_000   # counted keys held before they are merged
 NAMED_BLOCK = 1_000_000  # named sequences counted per pass
 END = int(ft.hash_words([b"\x00end"])[0])
 LN10 = float(np.log(10.0))
@@ -69,7 +70,7 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Tally:
-    """Counts of 64-bit keys, compacted as they come."""
+    """Counts of 64-bit keys, merged as they come."""
 
     def __init__(self) -> None:
         self.keys, self.counts, self.loose = [], [], 0
@@ -77,13 +78,17 @@ class Tally:
     def add(self, keys: np.ndarray) -> None:
         k, c = np.unique(keys, return_counts=True)
         self.keys.append(k)
-        self.counts.append(c)
+        self.counts.append(c.astype(np.int32))
         self.loose += len(k)
-        if self.loose > 2 * TASK_TOKENS:
+        if self.loose > LOOSE_KEYS:
             self.total()
 
+    def absorb(self, other: "Tally") -> None:
+        self.keys += other.keys
+        self.counts += other.counts
+
     def total(self) -> tuple[np.ndarray, np.ndarray]:
-        k, c = _merged(np.concatenate(self.keys or [np.zeros(0, np.uint64)]), np.concatenate(self.counts or [np.zeros(0, np.int64)]))
+        k, c = _merged(np.concatenate(self.keys or [np.zeros(0, np.uint64)]), np.concatenate(self.counts or [np.zeros(0, np.int32)]))
         self.keys, self.counts, self.loose = [k], [c], 0
         return k, c
 
@@ -95,7 +100,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tally.add(tokens(data, offsets)[0])
     k, c = tally.total()
     for low in range(0, len(k), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(k[low:low + (1 << 16)].view(np.int64)), pa.array(c[low:low + (1 << 16)])], ["h", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(k[low:low + (1 << 16)].view(np.int64)), pa.array(c[low:low + (1 << 16)].astype(np.int64))], ["h", "c"])
 
 
 def _grams(t: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,19 +109,45 @@ def _grams(t: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.
     return at, ft.window_hash(t, at, size)
 
 
+class Part:
+    """Sequences of 2 to DEPTH + 1 tokens of some texts, counted."""
+
+    def __init__(self) -> None:
+        self.tallies, self.n = [Tally() for _ in range(DEPTH)], 0
+
+    def add(self, t: np.ndarray, first: np.ndarray) -> None:
+        self.n += len(t)
+        for k, tally in enumerate(self.tallies):
+            tally.add(_grams(t, first, k + 2)[1])
+
+    def absorb(self, other: "Part") -> None:
+        self.n += other.n
+        for mine, more in zip(self.tallies, other.tallies):
+            mine.absorb(more)
+
+    def named(self) -> Iterator[pa.RecordBatch]:
+        """Those with SHARE of the part's tokens."""
+        for k, tally in enumerate(self.tallies):
+            keys, counts = tally.total()
+            keys = keys[counts >= SHARE * self.n]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k + 2, np.int32)), pa.array(keys.view(np.int64))], ["size", "gram"])
+
+
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequences of 2 to DEPTH + 1 tokens with SHARE of this partition's tokens."""
-    tallies, n = [Tally() for _ in range(DEPTH)], 0
+    """Every part of PART_TOKENS (the last one takes the remainder) names its
+    sequences, so memory does not grow with the partition."""
+    held, part = None, Part()
     for batch in rows_in(batches):
         for _, _, data, offsets in ft.blocks(batch.column(0)):
-            t, first = tokens(data, offsets)
-            n += len(t)
-            for k, tally in enumerate(tallies):
-                tally.add(_grams(t, first, k + 2)[1])
-    for k, tally in enumerate(tallies):
-        keys, counts = tally.total()
-        keys = keys[counts >= SHARE * n]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k + 2, np.int32)), pa.array(keys.view(np.int64))], ["size", "gram"])
+            part.add(*tokens(data, offsets))
+            if part.n >= PART_TOKENS:
+                if held is not None:
+                    yield from held.named()
+                held, part = part, Part()
+    if held is not None:
+        held.absorb(part)
+        part = held
+    yield from part.named()
 
 
 def _gram_counts(named: dict[int, np.ndarray]) -> Callable:
@@ -243,7 +274,7 @@ def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
     words = {int(np.int64(r["h"]).view(np.uint64)): r["c"] for r in counts.where(F.col("c") >= least).toLocalIterator()}
     grams: dict[int, dict[int, tuple[int, int, int]]] = {}
     if n:
-        named = stored(texts.coalesce(max(1, int(n // TASK_TOKENS))).mapInArrow(_named, "size int, gram bigint").distinct(), "named")
+        named = stored(texts.coalesce(max(1, int(n // PART_TOKENS))).mapInArrow(_named, "size int, gram bigint").distinct(), "named")
         parts = -(-named.count() // NAMED_BLOCK) or 1
         for part in range(parts):
             found = defaultdict(list)
