@@ -11,19 +11,19 @@ shorter context's distribution, down to the root:
 The root is the unigram distribution with absolute discounting, whose discount
 (estimated from the counts of counts) is the probability of an unseen word.
 
-Contexts and followers enter with at least SHARE of all training tokens, so at
-most 1 / SHARE of each length exist: a proven bound on what is collected and
-sent to tasks. They are found exactly in two passes: a sequence with that share
-of all tokens has it in some part of them, so each part names its own; then all
-named ones are counted everywhere. A context is retained when its
+Contexts and followers enter with LEAST occurrences at any corpus size, so the
+model grows with the corpus; it is a table and never on the driver. Sequences
+are counted by one aggregation. A sequence's id is the hash of the ids of its
+context (all but its last word) and of its tail (all but its first), so every
+sequence links to its suffix by a join. A context is retained when its
 distribution diverges from its suffix's by more than chance explains (weighted
 divergence over its followers against the chi-square mean plus three
 deviations); suffixes of retained contexts are retained too. A word is scored
 from the state of the longest retained suffix of the words before it.
 
-Word counts are a table (it grows with the corpus). Words with SHARE of the
-tokens are known to the scoring tasks; all others are joined to the table, each
-once per document and state weight, so no join key is frequent.
+Texts are scored in blocks of BLOCK_TEXT bytes: a block asks for the ids of its
+sequences, each once, and gets the model's rows of them, so a frequent sequence
+has one row per block in the join, and a task holds one block and its rows.
 
 Defined cases: a null, empty or word-less text is its end mark alone. With no
 training row N = V = 0 and every score is 0. A null doc_id is not held out.
@@ -32,12 +32,12 @@ Repeated documents are rows of their own; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silverline.catalog import stored
@@ -46,14 +46,12 @@ from silverline.llm.frames import held_out, only, rows_in
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
-SHARE = 4e-6
 LEAST = 2               # a sequence seen once is no context
 DISCOUNT = 0.5
-PART_TOKENS = 1_500_000  # least tokens of a part that names its frequent sequences
-LOOSE_KEYS = 1_000_000   # counted keys held before they are merged
-NAMED_BLOCK = 1_000_000  # named sequences counted per pass
+COUNT_BYTES = 8 << 20   # text counted at once
+BLOCK_TEXT = 4 << 20    # bytes of a scored block; a longer text is a block of its own
+ROW_BYTES = 64          # what a row adds to its block besides its text
 END = int(ft.hash_words([b"\x00end"])[0])
-LN10 = float(np.log(10.0))
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,297 +60,227 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.insert(ft.word_hashes(w), w.first[1:], np.uint64(END)), w.first + np.arange(len(w.first))
 
 
-def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[cut], np.add.reduceat(counts, cut) if len(cut) else counts
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
-class Tally:
-    """Counts of 64-bit keys, merged as they come."""
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 
-    def __init__(self) -> None:
-        self.keys, self.counts, self.loose = [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        k, c = np.unique(keys, return_counts=True)
-        self.keys.append(k)
-        self.counts.append(c.astype(np.int32))
-        self.loose += len(k)
-        if self.loose > LOOSE_KEYS:
-            self.total()
+def linked_id(context: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64(context, tail)."""
+    h = np.full(len(context), 42, np.uint64)
+    for x in (context, tail):
+        h = (h + _P5 + np.uint64(8)) ^ (_turned(x * _P2, 31) * _P1)
+        h = _turned(h, 27) * _P1 + _P4
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        h ^= h >> np.uint64(32)
+    return h
 
-    def absorb(self, other: "Tally") -> None:
-        self.keys += other.keys
-        self.counts += other.counts
 
-    def total(self) -> tuple[np.ndarray, np.ndarray]:
-        k, c = _merged(np.concatenate(self.keys or [np.zeros(0, np.uint64)]), np.concatenate(self.counts or [np.zeros(0, np.int32)]))
-        self.keys, self.counts, self.loose = [k], [c], 0
-        return k, c
+def sequences(t: np.ndarray) -> list[np.ndarray]:
+    """Ids of the sequences of 1 to DEPTH + 1 tokens by their first token, across documents too."""
+    ids = [t]
+    for _ in range(DEPTH):
+        ids.append(linked_id(ids[-1][:-1], ids[-1][1:]))
+    return ids
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tally = Tally()
-    for batch in rows_in(batches):
-        for _, _, data, offsets in ft.blocks(batch.column(0)):
-            tally.add(tokens(data, offsets)[0])
-    k, c = tally.total()
-    for low in range(0, len(k), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(k[low:low + (1 << 16)].view(np.int64)), pa.array(c[low:low + (1 << 16)].astype(np.int64))], ["h", "c"])
-
-
-def _grams(t: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of all sequences of `size` tokens within a document."""
-    at, _ = ft.window_starts(first, size)
-    return at, ft.window_hash(t, at, size)
-
+def _signed(keys: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(keys).view(np.int64))
 
-class Part:
-    """Sequences of 2 to DEPTH + 1 tokens of some texts, counted."""
 
-    def __init__(self) -> None:
-        self.tallies, self.n = [Tally() for _ in range(DEPTH)], 0
+COUNTED = "size int, context bigint, tail bigint, c bigint"
 
-    def add(self, t: np.ndarray, first: np.ndarray) -> None:
-        self.n += len(t)
-        for k, tally in enumerate(self.tallies):
-            tally.add(_grams(t, first, k + 2)[1])
 
-    def absorb(self, other: "Part") -> None:
-        self.n += other.n
-        for mine, more in zip(self.tallies, other.tallies):
-            mine.absorb(more)
-
-    def named(self) -> Iterator[pa.RecordBatch]:
-        """Those with SHARE of the part's tokens."""
-        for k, tally in enumerate(self.tallies):
-            keys, counts = tally.total()
-            keys = keys[counts >= SHARE * self.n]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k + 2, np.int32)), pa.array(keys.view(np.int64))], ["size", "gram"])
-
-
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every part of PART_TOKENS (the last one takes the remainder) names its
-    sequences, so memory does not grow with the partition."""
-    held, part = None, Part()
+def _sequence_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences of some texts, counted; context and tail of a word are the word."""
+    names = [c.split()[0] for c in COUNTED.split(", ")]
     for batch in rows_in(batches):
-        for _, _, data, offsets in ft.blocks(batch.column(0)):
-            part.add(*tokens(data, offsets))
-            if part.n >= PART_TOKENS:
-                if held is not None:
-                    yield from held.named()
-                held, part = part, Part()
-    if held is not None:
-        held.absorb(part)
-        part = held
-    yield from part.named()
-
-
-def _gram_counts(named: dict[int, np.ndarray]) -> Callable:
-    """Counts of the named sequences, with their context and their tail."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {k: np.zeros(len(v), np.int64) for k, v in named.items()}
-        links = {k: np.zeros((len(v), 2), np.uint64) for k, v in named.items()}
-        for batch in rows_in(batches):
-            for _, _, data, offsets in ft.blocks(batch.column(0)):
-                t, first = tokens(data, offsets)
-                for k, keys in named.items():
-                    at, g = _grams(t, first, k)
-                    slot = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-                    hit = keys[slot] == g
-                    at, slot = at[hit], slot[hit]
-                    total[k] += np.bincount(slot, minlength=len(keys))
-                    links[k][slot, 0] = ft.window_hash(t, at, k - 1)
-                    links[k][slot, 1] = ft.window_hash(t, at + 1, k - 1)
-        for k, keys in named.items():
-            seen = total[k] > 0
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(int(seen.sum()), k, np.int32)), pa.array(keys[seen].view(np.int64)),
-                *[pa.array(np.ascontiguousarray(links[k][seen, j]).view(np.int64)) for j in (0, 1)],
-                pa.array(total[k][seen])], ["size", "gram", "context", "tail", "c"])
-    return run
+        for _, _, data, offsets in ft.blocks(batch.column(0), COUNT_BYTES):
+            t, first = tokens(data, offsets)
+            ids = sequences(t)
+            for size in range(1, DEPTH + 2):
+                at, _ = ft.window_starts(first, size)
+                _, one, c = np.unique(ids[size - 1][at], return_index=True, return_counts=True)
+                at = at[one]
+                shorter = ids[max(size - 2, 0)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(at), size, np.int32)), _signed(shorter[at]), _signed(shorter[at + (size > 1)]),
+                    pa.array(c.astype(np.int64))], names)
 
 
 # ---------------------------------------------------------------- the tree
 
 @dataclass
-class Tree:
-    n: int                                  # training tokens
-    v: int                                  # distinct ones
-    discount: float                         # of the root
-    words: np.ndarray                       # sorted hashes of frequent words
+class Rows:
+    """Rows of the model by sorted id: word count (0: none), rest mass of a state and share of a follower (NaN: none)."""
+    keys: np.ndarray
     counts: np.ndarray
-    states: list[tuple[np.ndarray, np.ndarray]]      # per context length: sorted keys, rest mass
-    followers: list[tuple[np.ndarray, np.ndarray]]   # per context length: sorted sequence keys, discounted share
-
-    def root(self, c: np.ndarray) -> np.ndarray:
-        """Root probability of words by training count; 0: unseen."""
-        return np.where(c > 0, np.maximum(c - self.discount, 0), self.discount * self.v) / max(self.n, 1)
+    rest: np.ndarray
+    share: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> "Rows":
+        keys = table["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        return cls(keys[order], table["c"].fill_null(0).to_numpy()[order],
+                   *[table[x].fill_null(float("nan")).to_numpy()[order] for x in ("rest", "share")])
+
+    def at(self, values: np.ndarray, ids: np.ndarray, none: float) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(ids), none)
+        slot = np.minimum(np.searchsorted(self.keys, ids), len(self.keys) - 1)
+        return np.where(self.keys[slot] == ids, values[slot], none)
 
     def weights(self, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(a, b) of every token: its probability is a + b * root."""
         a, b = np.zeros(len(t)), np.ones(len(t))
         live = np.arange(len(t))
         start = np.repeat(first[:-1], np.diff(first))
+        ids = sequences(t)
         for d in range(1, DEPTH + 1):
-            keys, rest = self.states[d - 1]
             live = live[live - start[live] >= d]
-            if not len(keys) or not len(live):
-                break
-            context = ft.window_hash(t, live - d, d)
-            slot = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
-            hit = keys[slot] == context
-            live, slot = live[hit], slot[hit]
-            grams, share = self.followers[d - 1]
-            g = ft.window_hash(t, live - d, d + 1)
-            at = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
-            a[live] = np.where(grams[at] == g, share[at], 0.0) + rest[slot] * a[live]
-            b[live] *= rest[slot]
+            rest = self.at(self.rest, ids[d - 1][live - d], np.nan)
+            live, rest = live[~np.isnan(rest)], rest[~np.isnan(rest)]
+            a[live] = np.nan_to_num(self.at(self.share, ids[d][live - d], 0.0)) + rest * a[live]
+            b[live] *= rest
         return a, b
 
 
-def _sorted(table: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.array(sorted(table), np.uint64)
-    return keys, np.array([table[int(k)] for k in keys], np.float64)
-
-
-def build_tree(n: int, v: int, discount: float, words: dict[int, int], grams: dict[int, dict[int, tuple[int, int, int]]]) -> Tree:
-    """`words`: counts of frequent words; `grams`: per length, sequence ->
-    (context, tail, count). Keeps the contexts that pass the divergence test."""
-    h = np.array(sorted(words), np.uint64)
-    single = dict(zip(ft.window_hash(h, np.arange(len(h)), 1).tolist(), [words[int(x)] for x in h]))
-    count = {1: single} | {k: {g: row[2] for g, row in table.items()} for k, table in grams.items()}
-    retained: dict[int, set[int]] = defaultdict(set)
-    followers = {d: defaultdict(list) for d in range(1, DEPTH + 1)}
-    for d in range(1, DEPTH + 1):
-        for g, (context, tail, c) in grams.get(d + 1, {}).items():
-            followers[d][context].append((g, tail, c))
-    for d in range(DEPTH, 0, -1):
-        for context, rows in followers[d].items():
-            total = count[d].get(context)
-            if not total:
-                continue
-            suffix_total = n if d == 1 else count[d - 1].get(grams[d][context][1])
-            divergence, kept, below = 0.0, 0, 0.0
-            for _, tail, c in rows:
-                shorter = count[d].get(tail)
-                if not shorter or not suffix_total:
-                    continue
-                divergence += c * np.log(c / total * suffix_total / shorter)
-                kept += c
-                below += shorter / suffix_total
-            if kept < total and below < 1:
-                divergence += (total - kept) * np.log((total - kept) / total / (1 - below))
-            if divergence > len(rows) / 2 + 3 * np.sqrt(len(rows) / 2) + 3:
-                retained[d].add(context)
-        if d > 1:      # a state's suffix is a state
-            retained[d - 1].update(grams[d][context][1] for context in retained[d])
-    states, shares = [], []
-    for d in range(1, DEPTH + 1):
-        rest, share = {}, {}
-        for context in retained[d]:
-            total, rows = count[d].get(context), followers[d].get(context, [])
-            if not total:
-                continue
-            for g, _, c in rows:
-                share[g] = max(c - DISCOUNT, 0.0) / total
-            rest[context] = 1.0 - sum(share[g] for g, _, _ in rows)
-        states.append(_sorted(rest))
-        shares.append(_sorted(share) if share else (np.zeros(1, np.uint64), np.zeros(1)))
-    return Tree(n, v, discount, h, np.array([words[int(x)] for x in h], np.int64), states, shares)
+@dataclass
+class Tree:
+    n: int                                  # training tokens
+    v: int                                  # distinct ones
+    discount: float                         # of the root
+    model: DataFrame                        # key, context, c, rest, share
+    _seen: dict[bytes, Rows] = field(default_factory=dict)
+
+    def root(self, c: np.ndarray) -> np.ndarray:
+        """Root probability of words by training count; 0: unseen."""
+        return root(self.n, self.v, self.discount, c)
+
+    def weights(self, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As `Rows.weights`, for a few tokens: reads the states of their contexts and these' followers."""
+        contexts = np.unique(np.concatenate([ids[:-1] for ids in sequences(t)[:DEPTH]]))
+        if contexts.tobytes() not in self._seen:
+            wanted = contexts.view(np.int64).tolist()
+            rows = self.model.where(F.col("key").isin(wanted) | F.col("context").isin(wanted))
+            self._seen[contexts.tobytes()] = Rows.of(rows.toArrow())
+        return self._seen[contexts.tobytes()].weights(t, first)
+
+
+def root(n: int, v: int, discount: float, c: np.ndarray) -> np.ndarray:
+    unseen = discount * v if n and discount else max(n, 1)
+    return np.where(c > 0, np.maximum(c - discount, 0), unseen) / max(n, 1)
+
+
+def _states(grams: DataFrame, n: int) -> DataFrame:
+    """key, total and rest of the retained contexts."""
+    tails = grams.where(F.col("size") <= DEPTH).select(F.col("key").alias("_key"), F.col("c").alias("tail_c"))
+    linked = grams.where("size > 1").join(tails, F.col("tail") == F.col("_key"))
+    c = F.col("c").cast("double")
+    followed = linked.groupBy((F.col("size") - 1).alias("d"), "context").agg(
+        F.count("*").alias("m"), F.sum("c").alias("kept"), F.sum("tail_c").alias("below"),
+        F.sum(c * F.ln(c / F.col("tail_c"))).alias("gain"), F.sum(F.greatest(c - DISCOUNT, F.lit(0.0))).alias("mass"))
+    contexts = (grams.where("size = 1").select("key", F.col("c").alias("total"), F.lit(None).cast("bigint").alias("suffix"), F.lit(n).cast("bigint").alias("suffix_total"))
+                .unionByName(linked.where(F.col("size") <= DEPTH).select("key", F.col("c").alias("total"), F.col("tail").alias("suffix"), F.col("tail_c").alias("suffix_total"))))
+    lost = (F.col("total") - F.col("kept")).cast("double")
+    left = (F.col("suffix_total") - F.col("below")).cast("double")
+    divergence = F.col("gain") + F.col("kept") * F.ln(F.col("suffix_total").cast("double") / F.col("total")) + F.when(
+        (lost > 0) & (left > 0), lost * F.ln(F.try_divide(lost * F.col("suffix_total"), left * F.col("total")))).otherwise(0.0)
+    tested = stored(followed.join(contexts, F.col("context") == F.col("key")).select(
+        "d", "key", "suffix", "total", (1.0 - F.col("mass") / F.col("total")).alias("rest"),
+        (divergence > F.col("m") / 2 + 3 * F.sqrt(F.col("m") / 2) + 3).alias("passed")), "contexts")
+    retained = tested.where((F.col("d") == DEPTH) & F.col("passed"))
+    states = retained
+    for d in range(DEPTH - 1, 0, -1):      # a state's suffix is a state
+        needed = retained.select(F.col("suffix").alias("needed")).distinct()
+        retained = tested.where(F.col("d") == d).join(needed, F.col("key") == F.col("needed"), "left") \
+            .where(F.col("passed") | F.col("needed").isNotNull()).drop("needed")
+        states = states.unionByName(retained)
+    return stored(states.select("key", "total", "rest"), "states")
 
 
 def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
-    """The tree, and the table of all word counts (h, c)."""
+    """The tree, and its table: key, context, c (of words), rest (of states), share (of their followers)."""
     texts = only(docs, "doc_id", "text").where(learn).select("text")
-    counts = stored(texts.mapInArrow(_word_counts, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")), "word-counts")
-    n, v, once, twice = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    grams = stored(texts.mapInArrow(_sequence_counts, COUNTED).groupBy("size", "context", "tail").agg(F.sum("c").alias("c"))
+                   .where(f"size = 1 OR c >= {LEAST}"), "sequences")
+    grams = grams.withColumn("key", F.when(F.col("size") == 1, F.col("tail")).otherwise(F.xxhash64("context", "tail")))
+    n, v, once, twice = grams.where("size = 1").agg(
+        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
     discount = once / (once + 2 * twice) if once else 0.0
-    least = max(SHARE * n, LEAST)
-    words = {int(np.int64(r["h"]).view(np.uint64)): r["c"] for r in counts.where(F.col("c") >= least).toLocalIterator()}
-    grams: dict[int, dict[int, tuple[int, int, int]]] = {}
-    if n:
-        named = stored(texts.coalesce(max(1, int(n // PART_TOKENS))).mapInArrow(_named, "size int, gram bigint").distinct(), "named")
-        parts = -(-named.count() // NAMED_BLOCK) or 1
-        for part in range(parts):
-            found = defaultdict(list)
-            for r in named.where(F.pmod("gram", F.lit(parts)) == part).toLocalIterator():
-                found[r["size"]].append(r["gram"])
-            keys = {k: np.sort(np.array(g, np.int64).view(np.uint64)) for k, g in found.items()}
-            rows = (texts.mapInArrow(_gram_counts(keys), "size int, gram bigint, context bigint, tail bigint, c bigint")
-                    .groupBy("size", "gram").agg(F.min("context").alias("context"), F.min("tail").alias("tail"), F.sum("c").alias("c"))
-                    .where(F.col("c") >= least))
-            for r in rows.toLocalIterator():
-                unsigned = [int(np.int64(r[x]).view(np.uint64)) for x in ("gram", "context", "tail")]
-                grams.setdefault(r["size"], {})[unsigned[0]] = (unsigned[1], unsigned[2], r["c"])
-    return build_tree(n, v, discount, words, grams), counts
+    states = _states(grams, n)
+    own = states.select(F.col("key").alias("own"), "rest")
+    above = states.select(F.col("key").alias("above"), "total")
+    word = F.col("size") == 1
+    model = stored(
+        grams.join(own, F.col("key") == F.col("own"), "left").join(above, F.col("context") == F.col("above"), "left").select(
+            "key", F.when(~word, F.col("context")).alias("context"), F.when(word, F.col("c")).alias("c"), "rest",
+            F.when(~word, F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("share"))
+        .where("c IS NOT NULL OR rest IS NOT NULL OR share IS NOT NULL"), "model")
+    return Tree(n, v, discount, model), model
 
 
 # ---------------------------------------------------------------- scoring
 
-PARTS = ("row bigint, doc_id bigint, h bigint, b double, times bigint, n_tokens bigint, n_known bigint, "
-         "base double, score double")
+SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
 
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their block."""
+    task, size = TaskContext.get().partitionId(), 0
+    for batch in rows_in(batches):
+        _, offsets = ft.flatten(batch.column(1))
+        end = size + np.cumsum(np.diff(offsets) + ROW_BYTES)
+        block = (task << 32) + np.concatenate([[size], end[:-1]]) // BLOCK_TEXT
+        size = int(end[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int64)), *batch.columns], ["block", "doc_id", "text"])
 
-def _parts(tree: Tree) -> Callable:
-    """Per document one row of sums over its frequent words, and one row per
-    other word and state weight (a = 0 for those: no frequent sequence ends in
-    a rare word)."""
-    names = [c.split()[0] for c in PARTS.split(", ")]
-    floor = np.log10(max(tree.n + tree.v + 1, 1))
-    root = tree.root(tree.counts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_in(batches):
-            rows, ids = batch.column(0).to_numpy(), batch.column(1).cast(pa.int64())
-            for low, high, data, offsets in ft.blocks(batch.column(2)):
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of all sequences of each block."""
+    for batch in rows_in(batches):
+        block = batch.column(0).to_numpy()
+        edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        for low, high in zip(edge[:-1], edge[1:]):
+            for _, _, data, offsets in ft.blocks(batch.column(1).slice(low, high - low), 2 * BLOCK_TEXT):
                 t, first = tokens(data, offsets)
-                doc = np.repeat(np.arange(high - low), np.diff(first))
-                a, b = tree.weights(t, first)
-                slot = np.minimum(np.searchsorted(tree.words, t), max(len(tree.words) - 1, 0))
-                known = tree.words[slot] == t if len(tree.words) else np.zeros(len(t), bool)
-                c = np.where(known, tree.counts[slot] if len(tree.words) else 0, 0)
-                p = np.where(known, a + b * (root[slot] if len(tree.words) else 0.0), 1.0)
-                sums = [np.bincount(doc, x, high - low) for x in
-                        (known, np.where(known, np.log10(c + 1.0) - floor, 0.0), np.log10(np.maximum(p, 1e-300)))]
-                n = high - low
-                none = pa.nulls(n)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rows[low:high]), ids[low:high], none.cast(pa.int64()), none.cast(pa.float64()), pa.array(np.zeros(n, np.int64)),
-                    pa.array(np.diff(first)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names)
-                rare = np.flatnonzero(~known)
-                order = rare[np.lexsort((b[rare], t[rare], doc[rare]))]
-                d, h, w = doc[order], t[order], b[order]
-                cut = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (w[1:] != w[:-1])])) if len(order) else order
-                times = np.diff(np.append(cut, len(order)))
-                n = len(cut)
-                none, zero = pa.nulls(n, pa.int64()), pa.array(np.zeros(n, np.int64))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(rows[low:high][d[cut]]), none, pa.array(h[cut].view(np.int64)), pa.array(w[cut]), pa.array(times),
-                    zero, zero, pa.array(np.zeros(n)), pa.array(np.zeros(n))], names)
+                for size, ids in enumerate(sequences(t), 1):
+                    keys = np.unique(ids[ft.window_starts(first, size)[0]])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block[low])), _signed(keys)], ["block", "key"])
+
+
+def _scored(n: int, v: int, discount: float) -> Callable:
+    names = [c.split()[0] for c in SCORED.split(", ")]
+    floor = np.log10(n + v + 1)
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        model, parts = Rows.of(found), []
+        ids = texts["doc_id"].combine_chunks()
+        for low, high, data, offsets in ft.blocks(texts["text"]):
+            t, first = tokens(data, offsets)
+            doc = np.repeat(np.arange(high - low), np.diff(first))
+            a, b = model.weights(t, first)
+            c = model.at(model.counts, t, 0)
+            p = a + b * root(n, v, discount, c)
+            known, base, score = (np.bincount(doc, x, high - low) for x in (c > 0, np.log10(c + 1.0) - floor, np.log10(np.maximum(p, 1e-300))))
+            parts.append(pa.Table.from_arrays([
+                ids.slice(low, high - low), pa.array(np.diff(first)), pa.array(known.astype(np.int64)),
+                pa.array(np.full(high - low, n, np.int64)), pa.array(base), pa.array(score)], names))
+        return pa.concat_tables(parts)
     return run
 
 
-def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
+def score(docs: DataFrame, tree: Tree, model: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every document row."""
-    parts = only(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(_parts(tree), PARTS)
-    least = max(SHARE * tree.n, LEAST)
-    joined = parts.join(counts.where(F.col("c") < least).withColumnRenamed("h", "word"), F.col("h") == F.col("word"), "left")
-    c = F.coalesce("c", F.lit(0))
-    n = float(max(tree.n, 1))
-    unseen = tree.discount * tree.v / n if tree.n and tree.discount else 1.0
-    root = F.when(c > 0, (c - F.lit(tree.discount)) / F.lit(n)).otherwise(F.lit(unseen))
-    rare = F.col("h").isNotNull()
-    return joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(rare & (c > 0), F.col("times")).otherwise(0)).alias("n_known"),
-        F.lit(tree.n).cast("bigint").alias("train_tokens"),
-        F.sum(F.col("base") + F.when(rare, F.col("times") * (F.log10(c + 1.0) - F.log10(F.lit(float(tree.n + tree.v + 1))))).otherwise(0.0)).alias("base_score"),
-        F.sum(F.col("score") + F.when(rare, F.col("times") * F.log10(F.col("b") * root)).otherwise(0.0)).alias("score"),
-    ).drop("row")
+    texts = stored(only(docs, "doc_id", "text").mapInArrow(_blocked, "block bigint, doc_id bigint, text string"), "blocks")
+    asked = texts.select("block", "text").mapInArrow(_asked, "block bigint, key bigint")
+    found = asked.join(model.select("key", "c", "rest", "share"), "key").select("block", "key", "c", "rest", "share")
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_scored(tree.n, tree.v, tree.discount), SCORED)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,5 +288,5 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = Tables(spark, sf_dir).documents
     out = held_out(F.col("doc_id"), FOLDS, HELD_OUT)
-    tree, counts = train(docs, ~out)
-    return score(docs, tree, counts).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    tree, model = train(docs, ~out)
+    return score(docs, tree, model).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

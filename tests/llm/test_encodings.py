@@ -123,6 +123,29 @@ def test_suffix_tree_without_training_rows(spark, frame):
     assert M.score(docs.limit(0), tree, counts).collect() == []
 
 
+def test_suffix_tree_keeps_rare_contexts_of_large_input(spark, frame):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 8000))) for i in range(100)]
+    rows += [(1000 + i, "alpha beta gamma delta") for i in range(2)]
+    tree, model = M.train(frame(rows), F.lit(True))
+    assert tree.n > 800_000
+    h = M.ft.hash_words([b"alpha", b"beta", b"gamma", b"delta"])
+    for end in (2, 3, 4):
+        a, _ = tree.weights(h[:end], np.array([0, end]))
+        assert a[-1] >= 0.75          # (2 - 0.5) / 2 of the longest context
+    got = {r["doc_id"]: r["score"] for r in M.score(frame([(1, "alpha beta gamma delta"), (2, "delta gamma beta alpha")]), tree, model).collect()}
+    assert got[1] > got[2] + 9
+
+
+def test_sequence_ids_are_those_of_spark(spark):
+    from pyspark.sql import functions as F
+    x = np.random.default_rng(1).integers(0, 1 << 63, 200).astype(np.uint64) * np.uint64(2)
+    pairs = list(zip(x[:-1].view(np.int64).tolist(), x[1:].view(np.int64).tolist()))
+    got = [r[0] for r in spark.createDataFrame(pairs, "a bigint, b bigint").coalesce(1).select(F.xxhash64("a", "b")).collect()]
+    assert got == M.linked_id(x[:-1], x[1:]).view(np.int64).tolist()
+
+
 # ---------------------------------------------------------------- ARC and WARC
 
 @settings(max_examples=60, deadline=None)
