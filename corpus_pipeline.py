@@ -20,8 +20,8 @@ from silverline.llm import crf_language, piece_bpe, positional_index, superminha
 from silverline.llm.frames import held_out
 
 COLUMNS = [c.split()[0] for c in TABLE_SCHEMAS["documents"].split(", ")]
-# Mean word posterior below which a text's language is not determined.
-LEAST_LANGUAGE_SCORE = 0.5
+# Mean over words of the largest posterior, below which a text's language is not determined.
+LEAST_LANGUAGE_CERTAINTY = 0.5
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter (null and empty ones too) go."""
     rows = _documents(docs)
     learn = ~held_out(F.col("doc_id"), crf_language.FOLDS, crf_language.HELD_OUT)
-    return crf_language.identified(rows, crf_language.train(rows, learn), LEAST_LANGUAGE_SCORE)
+    return crf_language.identified(rows, crf_language.train(rows, learn), LEAST_LANGUAGE_CERTAINTY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

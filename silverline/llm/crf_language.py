@@ -158,19 +158,22 @@ class Model:
         word, bucket = features(w.data, w.start[first], w.end[first])
         return summed(self.weights[bucket], word, len(first))[number]
 
-    def label(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first row, end row, language number or -1, score)."""
+    def label(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first row, end row, language number or -1, score, certainty): the
+        score is the language's mean word posterior, the certainty the mean of
+        every word's largest one, whatever its language."""
         for low, high, data, offsets in ft.blocks(column):
             n = high - low
             if not self.languages:
-                yield low, high, np.full(n, -1), np.zeros(n)
+                yield low, high, np.full(n, -1), np.zeros(n), np.zeros(n)
                 continue
             w = ft.words_of(data, offsets, ft.LETTERS_LOWER)
             p = posteriors(self.word_scores(w), w.first, self.trans)
             mean = summed(p, w.doc, n) / np.maximum(w.per_doc, 1)[:, None]
             best = mean.argmax(axis=1)
             best[~has_letter(w.data, offsets, column, low)] = -1
-            yield low, high, best, np.where(best < 0, 0.0, np.clip(mean.max(axis=1), 0, 1))
+            sure = np.bincount(w.doc, p.max(axis=1), n) / np.maximum(w.per_doc, 1)
+            yield low, high, best, *[np.where(best < 0, 0.0, np.clip(x, 0, 1)) for x in (mean.max(axis=1), sure)]
 
 
 def has_letter(lowered: np.ndarray, offsets: np.ndarray, column: pa.Array, low: int) -> np.ndarray:
@@ -275,7 +278,7 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in(batches):
-            for low, high, best, score in model.label(batch.column(1)):
+            for low, high, best, score, _ in model.label(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[low:high].cast(pa.int64()), pa.array([names[b] for b in best], pa.string()),
                     pa.array(score)], ["doc_id", "lang_pred", "score"])
@@ -283,12 +286,13 @@ def label(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of `docs`, all columns, with a determined language of at least that score."""
+    """The rows of `docs`, all columns, with a determined language and words of at least that mean
+    certainty; how many languages share the words does not matter."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in(batches):
-            keep = np.concatenate([(b >= 0) & (s >= least) for _, _, b, s in model.label(batch.column(at))])
+            keep = np.concatenate([(b >= 0) & (s >= least) for _, _, b, _, s in model.label(batch.column(at))])
             yield batch.filter(pa.array(keep))
     return docs.mapInArrow(run, docs.schema)
 

@@ -222,6 +222,20 @@ def test_language_of_held_out_and_switched_text(spark, frame):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.select("doc_id").collect()}.isdisjoint({100, 101, 102, 103})
 
 
+def test_clean_text_of_three_languages_stays(spark, frame):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    lexicon = {"aa": ["blonk", "trazu", "mivvo"], "bb": ["sheque", "dorphy", "lunth"], "cc": ["gjikra", "wexxa", "pazzo"]}
+    run = {lang: lambda n, words=words: " ".join(rng.choice(words) for _ in range(n)) for lang, words in lexicon.items()}
+    model = C.train(frame([(i, run[lang](30), lang) for i, lang in enumerate(list(lexicon) * 30)]), F.lit(True))
+    mixed = " ".join([run["aa"](40), run["bb"](35), run["cc"](25)])
+    docs = frame([(1, mixed), (2, "12 34"), (3, None), (4, run["bb"](20))])
+    score = {r["doc_id"]: r["score"] for r in C.label(docs, model).collect()}
+    assert 0.3 < score[1] < 0.5
+    assert {r["doc_id"] for r in C.identified(docs, model, 0.5).collect()} == {1, 4}
+
+
 def test_language_without_training_rows(spark, frame):
     from pyspark.sql import functions as F
     model = C.train(frame([(1, "a", None)]), F.lit(True))
