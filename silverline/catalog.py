@@ -74,11 +74,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/silverline-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write `df` once as Parquet under the shared checkpoint folder and
     return a frame that reads it back: lineage is cut by a written table, the
     rows survive executor loss, and later consumers read columnar files
     instead of recomputing the plan."""
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

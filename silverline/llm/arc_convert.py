@@ -172,9 +172,12 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def arc_to_warc(converted: DataFrame, path: str, least: int = LEAST_DUPLICATE_BYTES) -> None:
     """Writes converted ARC records as WARC files below `path`.
 
-    The smallest key of each payload is found by an aggregation of digests; the
+    The records are stored first: their ids hold the task that made them, so a
+    second conversion, dealt otherwise, would not have the same ones. The
+    smallest key of each payload is found by an aggregation of digests; the
     records themselves are shuffled once, by key, to meet their type."""
-    slim = stored(converted.select("key", "id", "digest", "bytes").where(F.col("bytes") >= least), "digests")
+    converted = stored(converted, "converted", compression="zstd")
+    slim = converted.select("key", "id", "digest", "bytes").where(F.col("bytes") >= least)
     first = slim.groupBy("digest", "bytes").agg(F.min(F.struct("key", "id")).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = slim.join(first, ["digest", "bytes"]).where("id <> first.id").select(
         F.col("id").alias("again"), F.col("first.id").alias("to"), F.col("first.key").alias("to_key"))

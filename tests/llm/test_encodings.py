@@ -196,6 +196,24 @@ def test_least_duplicate_bytes(spark, tmp_path):
     assert got == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
+def test_duplicates_are_found_whatever_ids_a_second_conversion_gives(spark, tmp_path):
+    import uuid
+
+    import pyarrow as pa
+
+    def other_tasks(batches):
+        for batch in A._convert(batches):
+            run = uuid.uuid4().hex
+            ids = pa.array([f"{x}-{run}" for x in batch.column("id").to_pylist()])
+            yield pa.RecordBatch.from_arrays([ids if n == "id" else batch.column(n) for n in batch.schema.names], batch.schema.names)
+
+    pages = spark.createDataFrame([(1, "u", "same"), (2, "u", "same"), (3, "u", "other")], "page_id bigint, url string, html string").repartition(2)
+    path = str(tmp_path / "warc")
+    A.arc_to_warc(pages.mapInArrow(other_tasks, A.CONVERTED), path)
+    assert {r["key"]: (r["type"], r["to_key"]) for r in A.read_warc(spark, path).collect()} == {
+        1: ("response", None), 2: ("revisit", 1), 3: ("response", None)}
+
+
 # ---------------------------------------------------------------- chat
 
 @settings(max_examples=200, deadline=None)
