@@ -1,8 +1,11 @@
 """Licence scan: a trained paragraph classifier, native to Spark.
 
-Every paragraph (line) of a document that names a licensing term is scored by a
-multinomial logistic regression over word 1- and 2-grams; its classes are
-licence families and `unknown`. Training is Spark's own, over the family
+Every paragraph (line) of a document that names a licensing term or holds
+2-grams of the templates (two, or the only one of a template: fewer cannot be
+confirmed) is scored by a multinomial logistic regression over word 1- and
+2-grams; its classes are licence families and `unknown`. Lines longer than a
+window of WINDOWS are scored window by window, at both sizes, so a notice inside
+a long line counts as one on its own. Training is Spark's own, over the family
 templates below with words left out in several ways, against paragraphs that
 are no licence: sentences that use the same terms otherwise, and a bounded
 sample of corpus lines without any (BACKGROUND lines, smallest hashes).
@@ -11,8 +14,8 @@ The probabilities are calibrated by a temperature chosen on variants left out of
 training, and the unknown class by a threshold: the highest probability that a
 left-out non-licence paragraph gives any family, but at least LEAST. A family
 that passes is confirmed by comparison with the family's templates: the share
-of the paragraph's 2-grams that one template holds must reach CONFIRM.
-Paragraphs without a licensing term are `unknown` by definition.
+of one template's 2-grams that the window holds, or of the window's that one
+template holds, must reach CONFIRM.
 
 Reading, scoring and comparison are DataFrame expressions and joins with the
 weight and template tables, whose sizes are fixed by the templates.
@@ -25,6 +28,7 @@ result. Other columns are ignored. Ties between families go to the first in orde
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -40,11 +44,14 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "This project is licensed under the terms of the Apache License 2.0.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Released under the BSD 3-Clause License.",
         "Licensed under the BSD 2-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
@@ -72,18 +79,22 @@ TEMPLATES = {
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU General Public License along with this program.",
         "Released under the GPL version 2 license.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "You can redistribute it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
         "SPDX-License-Identifier: LGPL-2.1-only",
     ),
     "MIT": (
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "SPDX-License-Identifier: MIT",
     ),
     "MPL-2.0": (
@@ -120,6 +131,7 @@ LEFT_OUT = 3            # of these, kept for calibration
 BACKGROUND = 1_500
 VOCABULARY = 4_096
 LEAST, CONFIRM = 0.5, 0.6
+WINDOWS = ((24, 12), (160, 80))      # words of a window, and from one to the next
 TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0)
 FAMILIES = sorted(TEMPLATES)
 CLASSES = [*FAMILIES, UNKNOWN]
@@ -168,7 +180,7 @@ def _examples(spark: SparkSession, docs: DataFrame) -> DataFrame:
     lines = lines.where(~has_term(F.col("line")) & F.col("line").rlike("[A-Za-z]"))
     key = F.xxhash64("doc_id", "at")
     sample = lines.orderBy(key, "doc_id", "at").limit(BACKGROUND).select(
-        F.lit(float(len(FAMILIES))).alias("label"), F.slice(plain(words(F.substring("line", 1, 400))), 1, 60).alias("w"),
+        F.lit(float(len(FAMILIES))).alias("label"), plain(words(F.col("line"))).alias("w"),
         F.pmod(key, F.lit(VARIANTS)).cast("int").alias("variant"))
     return varied.select("label", dropped.alias("w"), "variant").unionByName(sample).where("size(w) > 0") \
         .select("label", "variant", "w", grams(F.col("w")).alias("grams"))
@@ -209,22 +221,55 @@ def train(spark: SparkSession, docs: DataFrame) -> Model:
     highest = left.where(F.col("label") == len(FAMILIES)).agg(F.max(family)).first()[0]
     shapes = [{"family": f, "template": f"{f}/{k}", "text": t} for f in FAMILIES for k, t in enumerate(TEMPLATES[f])]
     templates = _rows(spark, shapes, "family:string,template:string,text:string").select(
-        "family", "template", F.explode(F.array_distinct(pairs(plain(words(F.col("text")))))).alias("pair"))
+        "family", "template", F.array_distinct(pairs(plain(words(F.col("text"))))).alias("all")).select(
+        "family", "template", F.explode("all").alias("pair"), F.size("all").alias("held"))
     return Model(weights, intercepts, temperature, max(LEAST, min(float(highest or 0.0), 0.99)), templates)
 
 
-PARAGRAPHS = "doc_id", "paragraph", "line"
+LINE = "doc_id", "paragraph", "line"
+PARAGRAPHS = *LINE, "at"
+
+
+def _template_pairs() -> tuple[list[str], list[str]]:
+    """2-grams of the templates, and those that are all of one template."""
+    every, alone = set(), set()
+    for texts in TEMPLATES.values():
+        for text in texts:
+            w = [re.sub(r"^[.+-]+|[.+-]+$", "", x) for x in re.split(r"[^a-z0-9.+-]+", text.lower()) if re.search("[a-z0-9]", x)]
+            found = {f"{a} {b}" for a, b in zip(w, w[1:])}
+            every |= found
+            alone |= found if len(found) == 1 else set()
+    return sorted(every), sorted(alone)
+
+
+def _windows(w: Column) -> Column:
+    """The words, where they fit the smallest window; else all windows of them."""
+    def cut(size: int, step: int) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(w) - 1) / step).cast("int"))
+        return F.when(F.size(w) > size, F.transform(starts, lambda i: F.slice(w, i * step + 1, size))).otherwise(F.array(w))
+    return F.array_distinct(F.concat(*[cut(size, step) for size, step in WINDOWS]))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """Distinct paragraphs that hold a licensing term: doc_id, number, text, words."""
-    rows = only(docs, "doc_id", "text").where(F.col("doc_id").isNotNull() & has_term(F.col("text")))
-    return (rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-            .where(has_term(F.col("line"))).distinct().select(*PARAGRAPHS, plain(words(F.col("line"))).alias("w")))
+    """Distinct windows of the paragraphs that may hold a notice: doc_id, number, hash of the line, number of the window, words."""
+    every, alone = _template_pairs()
+    lines = (only(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
+             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")))
+    # the one-element explode keeps filters on the words from computing them anew for every pair
+    told = lines.select("doc_id", "paragraph", F.xxhash64("line").alias("line"), has_term(F.col("line")).alias("term"),
+                        F.explode(F.array(plain(words(F.col("line"))))).alias("w"))
+
+    def near(w: Column) -> Column:
+        two = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+        found = F.array_distinct(F.filter(two, lambda p: p.isin(every)))
+        return (F.size(found) > 1) | F.exists(found, lambda p: p.isin(alone))
+    return (told.where(F.col("term") | near(F.col("w")))
+            .select(*LINE, "term", F.posexplode(_windows(F.col("w"))).alias("at", "w"))
+            .where(F.col("term") | near(F.col("w"))).select(*PARAGRAPHS, "w").dropDuplicates([*PARAGRAPHS]))
 
 
 def classify(found: DataFrame, model: Model) -> DataFrame:
-    """Family, probability, best template, its similarity and whether it confirms, per paragraph."""
+    """Family, probability, best template, its similarity and whether it confirms, per window."""
     marked = found.select(*PARAGRAPHS, F.explode_outer(grams(F.col("w"))).alias("gram"))
     known = marked.join(F.broadcast(model.weights), "gram", "left")
     sums = known.groupBy(*PARAGRAPHS).agg(*[F.coalesce(F.sum(F.col("weight")[k]), F.lit(0.0)).alias(f"m{k}") for k in range(len(CLASSES))])
@@ -233,7 +278,8 @@ def classify(found: DataFrame, model: Model) -> DataFrame:
         *PARAGRAPHS, F.array_max("p").alias("probability"),
         F.element_at(F.lit(FAMILIES), F.array_position("p", F.array_max("p")).cast("int")).alias("family"))
     shared = (found.select(*PARAGRAPHS, F.explode(F.array_distinct(pairs(F.col("w")))).alias("pair"), F.size(F.array_distinct(pairs(F.col("w")))).alias("of"))
-              .join(F.broadcast(model.templates), "pair").groupBy(*PARAGRAPHS, "family", "template").agg((F.count("*") / F.first("of")).alias("similarity"))
+              .join(F.broadcast(model.templates), "pair").groupBy(*PARAGRAPHS, "family", "template")
+              .agg((F.count("*") / F.least(F.first("of"), F.first("held"))).alias("similarity"))
               .groupBy(*PARAGRAPHS, "family").agg(F.max("similarity").alias("similarity"), F.max_by("template", F.struct("similarity", "template")).alias("template")))
     both = told.join(shared, [*PARAGRAPHS, "family"], "left").withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
     named = F.col("probability") >= F.lit(model.threshold)
@@ -243,10 +289,13 @@ def classify(found: DataFrame, model: Model) -> DataFrame:
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document row: the confirmed families (sorted, comma-joined),
-    paragraphs with a licensing term, confirmed ones, and the highest probability."""
-    per = classify(paragraphs(docs), model).groupBy("doc_id").agg(
+    paragraphs that were scored, confirmed ones, and the highest probability."""
+    lines = classify(paragraphs(docs), model).groupBy(*LINE).agg(
+        F.bool_or("confirmed").alias("confirmed"), F.max("probability").alias("probability"),
+        F.collect_set(F.when(F.col("confirmed"), F.col("family"))).alias("families"))
+    per = lines.groupBy("doc_id").agg(
         F.count("*").alias("n_candidates"), F.count_if("confirmed").alias("n_confirmed"), F.max("probability").alias("best_probability"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"))
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("families")))), ",").alias("families"))
     return only(docs, "doc_id").join(per, "doc_id", "left").select(
         "doc_id", F.coalesce("families", F.lit("")).alias("families"), F.coalesce("n_candidates", F.lit(0)).cast("bigint").alias("n_candidates"),
         F.coalesce("n_confirmed", F.lit(0)).cast("bigint").alias("n_confirmed"), F.coalesce("best_probability", F.lit(0.0)).alias("best_probability"))

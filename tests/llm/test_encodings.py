@@ -274,6 +274,26 @@ def test_licence_families(spark, frame):
     assert told[202] == ""
 
 
+def test_licence_notices_that_are_no_template(spark, frame):
+    rng = random.Random(5)
+    prose = [" ".join(rng.choice(["river", "stone", "walked", "and", "the", "house", "was", "of"]) for _ in range(300)) for _ in range(40)]
+    mit = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+           'to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, '
+           'and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:')
+    cases = {100: (mit, "MIT"),
+             101: ("Except where otherwise noted, content on this site is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY"),
+             102: ("Released under the MIT License. See the LICENSE file in the repository root for details.", "MIT"),
+             103: ("Copyright 2019 Acme Publishing Ltd. All rights reserved.", "proprietary"),
+             104: (f"{prose[0]} Released under the MIT License. {prose[1]}", "MIT"),
+             106: (f"{prose[2]} license {prose[3]}", "")}
+    docs = frame(list(enumerate(prose)) + [(i, t) for i, (t, _) in cases.items()] + [(105, "Published under CC BY 4.0.")])
+    got = {r["doc_id"]: r for r in L.scan(docs, L.train(spark, docs)).collect()}
+    told = {i: r["families"] for i, r in got.items()}
+    assert got[105]["n_candidates"] == 1          # no licensing term, scored all the same
+    assert {i: told[i] for i in cases} == {i: f for i, (_, f) in cases.items()}
+    assert all(told[i] == "" for i in range(40))
+
+
 def test_licence_plan_has_no_python(spark, frame):
     docs = frame([(1, "Released under the MIT License.")])
     plan = L.scan(docs, L.train(spark, docs))._jdf.queryExecution().executedPlan().toString()
