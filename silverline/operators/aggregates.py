@@ -104,9 +104,9 @@ def pivot_sum(df: DataFrame, row_key, pivot_col: str, values: Sequence[str], mea
     return df.groupBy(row_key).pivot(pivot_col, list(values)).agg(F.sum(measure).cast("long"))
 
 
-def profile_columns(df: DataFrame, exact: bool = False) -> DataFrame:
+def profile_columns(df: DataFrame, exact: bool = False, nulls: bool = False) -> DataFrame:
     """One aggregation pass for every column's distinct estimate and null
-    percentage, then `stack` to one row per column."""
+    percentage (with `nulls`, the number too), then `stack` to one row per column."""
     aggs = []
     for f in df.schema.fields:
         distinct = F.count_distinct(f.name) if exact else F.approx_count_distinct(f.name)
@@ -127,6 +127,6 @@ def profile_columns(df: DataFrame, exact: bool = False) -> DataFrame:
     ).cast("decimal(9,2)")
     return stacked.select(
         "column_name", "column_type",
-        F.col("distinct_values").alias("approx_unique" if not exact else "distinct_values"),
+        F.col("distinct_values").alias("approx_unique" if not exact else "distinct_values"), *(["nulls"] if nulls else []),
         null_pct.alias("null_percentage"),
     )

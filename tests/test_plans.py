@@ -112,3 +112,13 @@ def test_generated_orders_invariants(spark):
     again = G.generate_orders(G.generate_users(keys, "c_custkey", seed=7), count_min=1, count_max=5, seed=7)
     assert orders.exceptAll(again).count() == 0
     assert users.select("uuid").distinct().count() == keys.count()
+
+
+def test_every_column_of_the_orders_is_profiled(spark):
+    from silverline.plans.registry import all_queries
+    from silverline.plans.views import Views
+
+    orders = Views(spark, "/root/testdata/sf0.001").bronze_orders
+    got = {r["column_name"]: r for r in all_queries()["profile_all_columns"](spark, "/root/testdata/sf0.001").collect()}
+    assert {n: r["column_type"] for n, r in got.items()} == dict(orders.dtypes)
+    assert all(r["close"] and r["approx_unique"] > 0 and r["nulls"] == 0 and r["null_percentage"] == 0 for r in got.values())
