@@ -54,6 +54,11 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return _LOWER[data]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser of 64-bit values (murmur3 constants)."""
     x = x ^ (x >> np.uint64(33))
