@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from silverline.llm import arc_convert, chat_parts, crf_language, license_model, piece_bpe, positional_index, rule_ledger, suffix_tree_lm, superminhash, toxicity_pu
+from silverline.llm import (arc_convert, bit_planes, chat_parts, crf_language, license_model, line_bitmaps, piece_bpe, positional_index,
+                            rule_ledger, spelling_chunks, suffix_tree_lm, superminhash, toxicity_pu)
 
 QUERIES = {
     "op1_nnpu_toxicity": toxicity_pu.op1,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_arc_to_warc": arc_convert.op8,
     "op9_rule_bitmask_ledger": rule_ledger.op9,
     "op10_positional_index_decontamination": positional_index.op10,
+    "op11_spelling_chunks": spelling_chunks.op11,
+    "op12_bit_plane_hard_negatives": bit_planes.op12,
+    "op13_line_keep_bitmaps": line_bitmaps.op13,
 }
 
 ORACLES = {
@@ -22,4 +26,7 @@ ORACLES = {
     "op8_arc_to_warc": arc_convert.ORACLE,
     "op9_rule_bitmask_ledger": rule_ledger.ORACLE,
     "op10_positional_index_decontamination": positional_index.ORACLE,
+    "op11_spelling_chunks": spelling_chunks.ORACLE,
+    "op12_bit_plane_hard_negatives": bit_planes.ORACLE,
+    "op13_line_keep_bitmaps": line_bitmaps.ORACLE,
 }
