@@ -277,7 +277,9 @@ def classify(found: DataFrame, model: Model) -> DataFrame:
     told = sums.select(*PARAGRAPHS, F.slice(p, 1, len(FAMILIES)).alias("p")).select(
         *PARAGRAPHS, F.array_max("p").alias("probability"),
         F.element_at(F.lit(FAMILIES), F.array_position("p", F.array_max("p")).cast("int")).alias("family"))
-    shared = (found.select(*PARAGRAPHS, F.explode(F.array_distinct(pairs(F.col("w")))).alias("pair"), F.size(F.array_distinct(pairs(F.col("w")))).alias("of"))
+    # 2-grams and their number are made below the explode: once a window, not once a 2-gram
+    held = found.select(*PARAGRAPHS, F.array_distinct(pairs(F.col("w"))).alias("two")).select(*PARAGRAPHS, "two", F.size("two").alias("of"))
+    shared = (held.select(*PARAGRAPHS, "of", F.explode("two").alias("pair"))
               .join(F.broadcast(model.templates), "pair").groupBy(*PARAGRAPHS, "family", "template")
               .agg((F.count("*") / F.least(F.first("of"), F.first("held"))).alias("similarity"))
               .groupBy(*PARAGRAPHS, "family").agg(F.max("similarity").alias("similarity"), F.max_by("template", F.struct("similarity", "template")).alias("template")))
