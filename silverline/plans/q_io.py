@@ -20,6 +20,7 @@ from silverline.plans import silver
 from silverline.plans.registry import query
 from silverline.plans.views import Views
 from silverline.sinks import files as K
+from silverline.sources import csv_split as CS
 from silverline.sources import landing as L
 from silverline.sources import text as T
 
@@ -71,6 +72,31 @@ def q_csv_typed_read(spark, sf_dir):
     return T.read_csv_typed(spark, path, BRONZE_ORDERS_SCHEMA, multiline=False)
 
 
+DOCUMENTS_SCHEMA = StructType([
+    StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()),
+    StructField("source", StringType()), StructField("n_chars", LongType()),
+])
+
+
+@query("csv_split_multiline", oracle="SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_split_multiline(spark, sf_dir):
+    """Whole documents as CSV with quoted newlines and quotes, each file
+    read by as many tasks as it has blocks."""
+    path = scratch_path(spark, "documents-csv")
+    T.write_csv(Tables(spark, sf_dir).documents.select(*DOCUMENTS_SCHEMA.fieldNames()), path)
+    return CS.read_csv_split(spark, path, DOCUMENTS_SCHEMA)
+
+
+@query("csv_record_lines", oracle="""
+SELECT least(n, 4) AS lines, count(*) AS records FROM (SELECT len(string_split(text, chr(10))) AS n FROM documents) GROUP BY 1""")
+def q_csv_record_lines(spark, sf_dir):
+    """Records of a multi-line CSV by their number of physical lines (four and more together)."""
+    path = scratch_path(spark, "documents-csv")
+    T.write_csv(Tables(spark, sf_dir).documents.select("doc_id", "text"), path)
+    records, _long = CS.csv_records(spark, path)
+    return records.groupBy(F.least("n_lines", F.lit(4)).alias("lines")).agg(F.count("*").alias("records"))
+
+
 @query("csv_round_trip", oracle="SELECT * FROM bronze_users", views=("bronze_users",))
 def q_csv_round_trip(spark, sf_dir):
     """K6: CSV write + typed read gives back every row unchanged (padding,
@@ -422,6 +448,22 @@ def q_silver_from_bronze_csv(spark, sf_dir):
     return silver.stg_orders(good)
 
 
+@query("silver_users_from_bronze_csv", oracle="SELECT * FROM stg_users WHERE user_id % 31 <> 0", views=("stg_users",))
+def q_silver_users_from_bronze_csv(spark, sf_dir):
+    """M6: silver users from landed text: CSV with two-line addresses, padded
+    keys and dates as text; rows whose birthdate is no date are quarantined,
+    the rest is cast and joined to the silver orders."""
+    v = Views(spark, sf_dir)
+    text = v.bronze_users.select(
+        F.concat(F.lit(" "), F.col("uuid")).alias("uuid"), "username", "name", "sex", "address", "mail",
+        F.when(F.col("uuid") % 31 == 0, "1990-02-30").otherwise(F.col("birthdate").cast("string")).alias("birthdate"))
+    path = scratch_path(spark, "bronze-users-text")
+    T.write_csv(text, path)
+    landed = CS.read_csv_split(spark, path, T.string_schema(text.columns))
+    good, _bad = C.cast_columns(landed, {"uuid": C.try_long("uuid"), "birthdate": C.try_day("birthdate")})
+    return silver.stg_users(good, v.stg_orders)
+
+
 @query("quarantined_text_rows", oracle="SELECT CAST(uuid AS VARCHAR) AS uuid, 'many' AS quantity FROM bronze_orders WHERE uuid % 29 = 0",
        views=("bronze_orders",))
 def q_quarantined_text_rows(spark, sf_dir):
