@@ -23,7 +23,8 @@ from pyspark.sql.types import NumericType
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc")
 
 
-def _rank_struct(df: DataFrame, order: Order) -> Column:
+def rank_struct(df: DataFrame, order: Order) -> Column:
+    """The struct that is largest on the row that sorts first by `order`."""
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
     for i, (name, direction) in enumerate(order):
@@ -63,5 +64,5 @@ def latest_per_key(
         )
     if method != "aggregate":
         raise ValueError(method)
-    winner = F.max_by(F.struct(*[F.col(c) for c in keep]), _rank_struct(df, order))
+    winner = F.max_by(F.struct(*[F.col(c) for c in keep]), rank_struct(df, order))
     return df.groupBy(*keys).agg(winner.alias("_w")).select(*keys, *[F.col(f"_w.{c}").alias(c) for c in keep])

@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -56,9 +56,10 @@ def accepted_values(df: DataFrame, column: str, values: Sequence, key: str, name
                 severity=severity, columns=(column,))
 
 
-def expression(df: DataFrame, name: str, failing: Column, key: str, severity="error") -> Rule:
-    """Q5/Q6/Q12: any row-level predicate (NULLs count as they evaluate)."""
-    return Rule(name, df, predicate=F.coalesce(failing, F.lit(False)), key=key, severity=severity)
+def expression(df: DataFrame, name: str, failing: Column, key: str, severity="error", columns: Sequence[str] = ()) -> Rule:
+    """Q5/Q6/Q12: any row-level predicate (NULLs count as they evaluate). With
+    `columns`, all that it reads, it can ride on the write of a frame that has them."""
+    return Rule(name, df, predicate=F.coalesce(failing, F.lit(False)), key=key, severity=severity, columns=tuple(columns))
 
 
 def unique(df: DataFrame, column: str, name: str | None = None, severity="error") -> Rule:
@@ -146,6 +147,38 @@ def run_checks(rules: Sequence[Rule]) -> DataFrame:
     return report.withColumn("status", _status(F.col("failures"), F.col("severity")))
 
 
+def observable(rules: Sequence[Rule], df: DataFrame) -> list[Rule]:
+    """The row-level rules on the rows of `df` (joined to others or not) that read its own columns only."""
+    own = set(df.columns)
+    return [r for r in rules if r.predicate is not None and r.columns and set(r.columns) <= own <= set(r.source.columns)]
+
+
+def write_observed(df: DataFrame, path: str, rules: Sequence[Rule]) -> tuple[DataFrame, dict[str, int]]:
+    """Stores `df` and evaluates row-level rules on the rows as they are written:
+    (the stored table, violations by rule name). The counts are metrics of the
+    write's own tasks, which count once however often a task is run, so the
+    rules cost no scan. Where the optimizer leaves no rows to observe, they are
+    counted on the stored table."""
+    spark = df.sparkSession
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(r.predicate).alias(f"c{i}") for i, r in enumerate(rules)]) \
+        .write.mode("overwrite").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    found = seen.get
+    if "rows" not in found:
+        found = table.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(r.predicate).alias(f"c{i}") for i, r in enumerate(rules)]).first().asDict()
+    return table, {r.name: int(found[f"c{i}"]) for i, r in enumerate(rules)}
+
+
+def report_of(spark: SparkSession, rules: Sequence[Rule], counted: dict[str, int]) -> DataFrame:
+    """The report of `run_checks` where `counted` holds the violations of some rules already."""
+    known = [(r.name, r.severity, counted[r.name]) for r in rules if r.name in counted]
+    report = spark.createDataFrame(known, "rule string, severity string, failures bigint")
+    report = report.withColumn("status", _status(F.col("failures"), F.col("severity")))
+    rest = [r for r in rules if r.name not in counted]
+    return report.unionByName(run_checks(rest)) if rest else report
+
+
 def violations_long(rules: Sequence[Rule]) -> DataFrame:
     """All violating rows of `rules` as (rule, record_key). Row-level rules of
     one frame are evaluated in one pass over it: every row yields the names of
@@ -171,3 +204,62 @@ def store_failures(rules: Sequence[Rule], audit_path: str) -> None:
     """dbt's store_failures: write every rule's violating rows under
     `audit_path/rule=<name>/` in one job (partitioned write of the long form)."""
     violations_long(rules).write.mode("overwrite").partitionBy("rule").parquet(audit_path)
+
+
+# ---------------------------------------------------------------- failures by run
+
+AUDIT = "rule string, run string, record_key string, record string"
+
+
+def violations_with_rows(rules: Sequence[Rule]) -> DataFrame:
+    """All violating rows of `rules` as (rule, record_key, record): the record is
+    the row as JSON, nulls included. Row-level rules of one frame share a pass."""
+    def told(df: DataFrame) -> Column:
+        return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+
+    parts: list[DataFrame] = []
+    fused: dict[int, list[Rule]] = {}
+    for r in rules:
+        if r.predicate is not None:
+            fused.setdefault(id(r.source), []).append(r)
+        else:
+            v = r.violations()
+            parts.append(v.select(F.lit(r.name).alias("rule"), F.col(r.key).cast("string").alias("record_key"), told(v).alias("record")))
+    for group in fused.values():
+        source = group[0].source
+        failed = F.filter(F.array(*[F.when(r.predicate, F.struct(F.lit(r.name).alias("rule"), F.col(r.key).cast("string").alias("record_key")))
+                                    for r in group]), lambda x: x.isNotNull())
+        rows = source.select(failed.alias("_failed"), told(source).alias("record")).where(F.size("_failed") > 0)
+        parts.append(rows.select("record", F.explode("_failed").alias("f")).select("f.rule", "f.record_key", "record"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def store_failures_of_run(rules: Sequence[Rule], audit_path: str, run: str) -> None:
+    """Adds the failures of one run to an audit table partitioned by (rule, run).
+
+    Partitions are overwritten dynamically: a repeated run replaces its own
+    partitions of the rules it checked and no others. Every rule writes a marker
+    without a record, so that one which fails no more leaves an empty partition
+    and not its earlier rows, and a rule that passed is told from one not run."""
+    found = violations_with_rows(rules)
+    spark = found.sparkSession
+    markers = spark.createDataFrame([(r.name, None, None) for r in rules], found.schema)
+    (found.unionByName(markers).select("rule", F.lit(run).alias("run"), "record_key", "record")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("rule", "run").parquet(audit_path))
+
+
+def read_failures(spark: SparkSession, audit_path: str) -> DataFrame:
+    """rule, run, record_key, record of the stored failures of all runs; rule and run prune partitions."""
+    return _audit(spark, audit_path).where("record IS NOT NULL").select("rule", "run", "record_key", "record")
+
+
+def failures_by_run(spark: SparkSession, audit_path: str) -> DataFrame:
+    """rule, run, failures of every rule of every run, those that passed included."""
+    return _audit(spark, audit_path).groupBy("rule", "run").agg(F.count("record").alias("failures"))
+
+
+def _audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    return spark.read.schema(AUDIT).parquet(audit_path)

@@ -212,10 +212,11 @@ def contract(v: Views) -> list[Q.Rule]:
                      "user_id"),
         Q.expression(o, "assert_orders_after_user_birth", F.col("ordered_at") < F.col("_u_birthdate"), "order_id"),
         Q.expression(o, "assert_orders_have_users", F.col("_u_found").isNull(), "order_id"),
-        Q.expression(o, "assert_quantity_positive", F.col("quantity").isNull() | (F.col("quantity") <= 0), "order_id"),
+        Q.expression(o, "assert_quantity_positive", F.col("quantity").isNull() | (F.col("quantity") <= 0), "order_id",
+                     columns=("quantity",)),
         Q.expression(u, "assert_username_normalized",
                      F.col("username_normalized").isNull() | (F.col("username_normalized") != F.lower(F.trim("username"))),
-                     "user_id"),
+                     "user_id", columns=("username", "username_normalized")),
         Q.expression(u, "assert_zip_matches_state",
                      ~F.col("state").isin(*MILITARY_STATES) & F.col("_pair_known").isNull(), "user_id", severity="warn"),
     ]
@@ -411,3 +412,69 @@ def q_silver_build(spark, sf_dir):
     from silverline.plans.build import build_silver
 
     return build_silver(spark, sf_dir, scratch_path(spark, "silver-build"))
+
+
+@query("silver_build_observed", oracle=_report_oracle(), views=("stg_users", "zip_states", "states"))
+def q_silver_build_observed(spark, sf_dir):
+    """Q11/M6: the silver build with its row-level checks counted while the models are written."""
+    from silverline.catalog import scratch_path
+    from silverline.plans.build import build_silver_observed
+
+    return build_silver_observed(spark, sf_dir, scratch_path(spark, "silver-observed"))
+
+
+_RUN_RULES = ("not_null_quantity", "quantity_positive", "unknown_user", "product_listed")
+_RUN_SQL = f"""
+SELECT 'not_null_quantity' AS rule, order_id FROM {{o}} WHERE quantity IS NULL
+UNION ALL SELECT 'quantity_positive', order_id FROM {{o}} WHERE quantity <= 0
+UNION ALL SELECT 'unknown_user', order_id FROM {{o}} WHERE user_id NOT IN (SELECT user_id FROM stg_users)
+UNION ALL SELECT 'product_listed', order_id FROM {{o}} WHERE product NOT IN ({_PRODS})"""
+
+
+def _run_rules(orders: DataFrame, users: DataFrame) -> list[Q.Rule]:
+    return [Q.not_null(orders, "quantity", "order_id", "not_null_quantity"),
+            Q.expression(orders, "quantity_positive", F.col("quantity") <= 0, "order_id"),
+            Q.relationships(orders, "user_id", users, "user_id", "order_id", "unknown_user"),
+            Q.accepted_values(orders, "product", DRIVER_PRODUCTS, "order_id", "product_listed")]
+
+
+def _audited_runs(spark, sf_dir) -> str:
+    """Three builds on orders with planted faults: the first; a second; the second again, after its missing quantities were filled."""
+    from silverline.catalog import scratch_path, stored
+
+    v = Views(spark, sf_dir)
+    orders = stored(v.dirty_orders, "dirty-orders")
+    audit = scratch_path(spark, "audit")
+    Q.store_failures_of_run(_run_rules(orders, v.bronze_users.select(F.col("uuid").alias("user_id"))), audit, "2024-01-01")
+    late = orders.where("order_id % 2 = 0")
+    Q.store_failures_of_run(_run_rules(late, v.bronze_users.select(F.col("uuid").alias("user_id"))), audit, "2024-01-02")
+    filled = late.withColumn("quantity", F.coalesce("quantity", F.lit(1)))
+    Q.store_failures_of_run(_run_rules(filled, v.bronze_users.select(F.col("uuid").alias("user_id"))), audit, "2024-01-02")
+    return audit
+
+
+_LATE = "(SELECT * REPLACE (coalesce(quantity, 1) AS quantity) FROM dirty_orders WHERE order_id % 2 = 0)"
+
+
+@query("stored_failures_by_run", oracle=f"""
+SELECT f.rule, '2024-01-01' AS run, CAST(f.order_id AS VARCHAR) AS record_key, o.user_id, o.quantity, o.product
+FROM ({_RUN_SQL.format(o="dirty_orders")}) f JOIN dirty_orders o USING (order_id)
+UNION ALL
+SELECT f.rule, '2024-01-02', CAST(f.order_id AS VARCHAR), o.user_id, o.quantity, o.product
+FROM ({_RUN_SQL.format(o=_LATE)}) f JOIN {_LATE} o USING (order_id)""", views=("stg_users", "dirty_orders"))
+def q_stored_failures_by_run(spark, sf_dir):
+    """Q11: stored failures of two runs, the second one repeated, read back with their rows."""
+    rows = Q.read_failures(spark, _audited_runs(spark, sf_dir))
+    record = F.from_json("record", "user_id bigint, quantity int, product string").alias("r")
+    return rows.select("rule", "run", "record_key", record).select("rule", "run", "record_key", "r.user_id", "r.quantity", "r.product")
+
+
+@query("failures_by_run", oracle=f"""
+WITH rules AS (SELECT unnest({list(_RUN_RULES)}) AS rule), runs AS (SELECT unnest(['2024-01-01', '2024-01-02']) AS run),
+found AS (SELECT rule, '2024-01-01' AS run FROM ({_RUN_SQL.format(o="dirty_orders")})
+          UNION ALL SELECT rule, '2024-01-02' FROM ({_RUN_SQL.format(o=_LATE)}))
+SELECT rule, run, (SELECT count(*) FROM found f WHERE f.rule = rules.rule AND f.run = runs.run) AS failures FROM rules, runs""",
+       views=("stg_users", "dirty_orders"))
+def q_failures_by_run(spark, sf_dir):
+    """Q11: number of failures by rule and run, rules that passed included."""
+    return Q.failures_by_run(spark, _audited_runs(spark, sf_dir))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from silverline.catalog import scratch_path
 from silverline.plans import silver
@@ -84,3 +85,24 @@ def q_incremental_quarantine(spark, sf_dir):
     return (I.good_rows(landed).agg(F.lit("good").alias("part"), n)
             .unionByName(I.quarantined(landed).agg(F.lit("quarantined").alias("part"), n))
             .unionByName(landed.agg(F.lit("landed").alias("part"), n)))
+
+
+LANDED_ORDERS_SCHEMA = StructType([*BRONZE_ORDERS_SCHEMA.fields, StructField("landed_at", TimestampType())])
+
+
+@query("stateful_dedupe", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
+def q_stateful_dedupe(spark, sf_dir):
+    """ST2 with state: two increments, a replay of the first within the horizon,
+    then a heartbeat past it. Every key is appended once, and the result is a
+    plain scan of the target."""
+    bronze = Views(spark, sf_dir).bronze_orders
+    root = scratch_path(spark, "stateful-dedupe")
+    landing, target, ckpt = f"{root}/landing", f"{root}/orders", f"{root}/_checkpoint"
+    early = bronze.filter(F.col("date") < F.lit(CUT).cast("timestamp_ntz"))
+    late = bronze.filter(F.col("date") >= F.lit(CUT).cast("timestamp_ntz"))
+    at = lambda df, day: df.withColumn("landed_at", F.lit(f"2024-03-0{day} 00:00:00").cast("timestamp"))
+    for batch in (at(early, 1), at(late, 2), at(early, 4), I.heartbeat(spark, LANDED_ORDERS_SCHEMA, "landed_at", "2024-06-01 00:00:00")):
+        _land_batch(batch, landing)
+        I.dedupe_stateful(spark, landing, target, ckpt, LANDED_ORDERS_SCHEMA, ["uuid"], silver.ORDER_TIES, "landed_at",
+                          options=_read_options())
+    return silver.typed_orders(spark.read.parquet(target))

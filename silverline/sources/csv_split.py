@@ -88,9 +88,9 @@ def block_starts(lines: DataFrame) -> DataFrame:
     return known.select("file", "block", "inside", F.last(begun, ignorenulls=True).over(earlier).alias("open"))
 
 
-def _record(lines: DataFrame) -> DataFrame:
+def _record(lines: DataFrame, starts: DataFrame) -> DataFrame:
     """Lines with the place of their record and whether they are a whole one."""
-    found = lines.join(block_starts(lines), ["file", "block"])
+    found = lines.join(starts, ["file", "block"])
     begun = F.when(F.col("inside") == 0, F.col("open_0")).otherwise(F.col("open_1"))
     here = begun >= 0
     return found.select(
@@ -106,7 +106,8 @@ def _ended(value: Column) -> Column:
 
 def csv_records(spark: SparkSession, path: str, header: bool = True, quote: str = '"', most_lines: int = MOST_LINES) -> tuple[DataFrame, DataFrame]:
     """(records, unassembled): file, record_block, record_line, n_lines, record; and the lines of overlong records."""
-    lines = _record(numbered_lines(spark, path, quote))
+    numbered = numbered_lines(spark, path, quote)
+    lines = _record(numbered, stored(block_starts(numbered), "csv-blocks"))     # one small row a block
     whole = lines.where("whole").select(*RECORD, F.lit(1).cast("bigint").alias("n_lines"), "value")
     pieces = lines.where("NOT whole")
     sizes = pieces.groupBy(*RECORD).agg(F.count("*").alias("n_lines"))

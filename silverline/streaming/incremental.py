@@ -11,7 +11,12 @@ plus idempotent sinks:
   `epoch=<id>` folder with overwrite, so a retried epoch replaces itself
   instead of doubling rows. Silver is merge-on-read: the latest version per
   key over all epochs (a partial + final aggregate, skew-safe); `compact`
-  folds the epochs into a base so reads stay bounded.
+  folds the epochs into a base, so reads take the base and the later epochs
+  (compacted epochs stay stored until they are removed by hand);
+* the stateful form keeps the winner of a key in the state store, as a session
+  that lasts until no copy has arrived for a horizon, and appends it once then.
+  Its target holds each key once, so reading it is a plain scan, and its state
+  holds the keys of the last horizon only.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from silverline.operators.dedupe import latest_per_key
+from silverline.operators.dedupe import Order, latest_per_key, rank_struct
 from silverline.sources import fs
 
 
@@ -113,3 +118,41 @@ def compact(spark: SparkSession, changes_dir: str, keys: Sequence[str], order) -
     merged_view(spark, changes_dir, keys, order, upto).write.mode("overwrite").parquet(
         f"{changes_dir}/_compacted/upto={upto}")
     return upto
+
+
+def stateful_latest(stream: DataFrame, keys: Sequence[str], order: Order, arrived: str, horizon: str) -> DataFrame:
+    """Streaming dedupe with state: the first row by `order` of each key, once no
+    copy of it has arrived for `horizon`.
+
+    `arrived` is the time of arrival, not of the event, so no row is late and none
+    is dropped: it must not run backwards by landing. A copy that comes later than
+    the horizon starts a new session and is appended again; choose the horizon
+    above the longest replay. Rows without a key are no rows of the result, but
+    their arrival moves the clock (see `heartbeat`)."""
+    keep = [c for c in stream.columns if c not in (*keys, arrived)]
+    winner = F.max_by(F.struct(*[F.col(c) for c in (*keys, *keep)]), rank_struct(stream, order))
+    best = (stream.withWatermark(arrived, "0 seconds").groupBy(*keys, F.session_window(arrived, horizon))
+            .agg(winner.alias("_w")).select("_w.*"))
+    return best.where(F.concat(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) != "")
+
+
+def dedupe_stateful(spark: SparkSession, landing_dir: str, target_dir: str, checkpoint: str, schema: StructType,
+                    keys: Sequence[str], order: Order, arrived: str, horizon: str = "7 days", fmt: str = "csv",
+                    options: dict | None = None) -> None:
+    """One availableNow run of the stateful dedupe: settled rows are appended to
+    `target_dir`, rows of malformed records with their text to
+    `target_dir`_quarantine. A run starts from the checkpoint, state included."""
+    options = options or {}
+    landed = _file_stream(spark, landing_dir, schema, fmt, options)
+    settled = stateful_latest(good_rows(landed), keys, order, arrived, horizon)
+    runs = [(settled, target_dir, checkpoint),
+            (_file_stream(spark, landing_dir, schema, fmt, options).where(F.col(CORRUPT).isNotNull()), f"{target_dir}_quarantine", f"{checkpoint}_quarantine")]
+    for frame, target, at in runs:
+        (frame.writeStream.format("parquet").outputMode("append").option("checkpointLocation", at)
+         .trigger(availableNow=True).start(target).awaitTermination())
+
+
+def heartbeat(spark: SparkSession, schema: StructType, arrived: str, at: str) -> DataFrame:
+    """A row without data that says the time has come to `at`: landing it settles
+    every key whose horizon has passed."""
+    return spark.range(1).select(*[(F.lit(at).cast("timestamp") if f.name == arrived else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])

@@ -4,7 +4,6 @@ import csv
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from silverline.sources import csv_split as CS, text as T
@@ -106,10 +105,10 @@ def test_unclosed_quote_is_quarantined_not_gathered(spark, tmp_path, block):
         CS.read_csv_split(spark, str(path), SCHEMA, most_lines=20).collect()
 
 
-def test_only_pieces_of_records_are_shuffled(spark, tmp_path):
-    """Whole records are parsed where they are: one exchange by record for the rest."""
+def test_small_block_table_is_not_shuffled_against(spark, tmp_path):
+    """Lines meet the one row of their block in a broadcast join, while that table is small."""
     path = written(tmp_path / "csv", [(1, "a\nb", "c"), (2, "d", "e")])
     records, _ = CS.csv_records(spark, path)
-    plan = records._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning(file") <= 6 and "Generate" not in plan
-    assert records.where(F.col("n_lines") == 2).count() == 1
+    assert sorted((r["n_lines"], r["record"]) for r in records.collect()) == [(1, "2,d,e"), (2, '1,"a\nb",c')]
+    whole = records._jdf.queryExecution().executedPlan().toString().split("left_anti")[0]
+    assert "BroadcastHashJoin" in whole
