@@ -130,3 +130,32 @@ def profile_columns(df: DataFrame, exact: bool = False, nulls: bool = False) ->
         F.col("distinct_values").alias("approx_unique" if not exact else "distinct_values"), *(["nulls"] if nulls else []),
         null_pct.alias("null_percentage"),
     )
+
+
+# ---------------------------------------------------------------- profiles that add up
+
+def profile_parts(df: DataFrame, batch: str, lg_size: int = 12) -> DataFrame:
+    """A15 in parts: one row per column of a batch with its rows, its nulls and a
+    HyperLogLog sketch of its values (2^lg_size registers, standard error about
+    1.04 / sqrt of that), in one pass. Parts of batches are merged by
+    `profile_merged`; the batches themselves are not read again."""
+    def sketch(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        return F.hll_sketch_agg(c if kind in ("int", "bigint", "string", "binary") else c.cast("string"), F.lit(lg_size))
+
+    kinds = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    wide = df.agg(count_rows("_rows"), *[F.struct(F.count_if(F.col(f"`{n}`").isNull()).alias("nulls"), sketch(n, k).alias("sketch")).alias(f"c{i}")
+                                         for i, (n, k) in enumerate(kinds)])
+    return wide.select("_rows", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.lit(k).alias("column_type"), F.col(f"c{i}.nulls").alias("nulls"), F.col(f"c{i}.sketch").alias("sketch"))
+        for i, (n, k) in enumerate(kinds)])).alias("p")).select(
+        F.lit(batch).alias("batch"), "p.column_name", "p.column_type", F.col("_rows").alias("rows"), "p.nulls", "p.sketch")
+
+
+def profile_merged(parts: DataFrame) -> DataFrame:
+    """The profile of all batches together: rows, nulls and null percentage exact,
+    distinct values estimated from the union of the sketches."""
+    merged = parts.groupBy("column_name", "column_type").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_unique"))
+    share = F.when(F.col("rows") == 0, F.lit(0)).otherwise(F.round(F.col("nulls").cast("decimal(38,6)") * 100 / F.col("rows"), 2))
+    return merged.withColumn("null_percentage", share.cast("decimal(9,2)"))

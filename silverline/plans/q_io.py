@@ -19,6 +19,8 @@ from silverline.operators import reconcile as R
 from silverline.plans import silver
 from silverline.plans.registry import query
 from silverline.plans.views import Views
+from silverline.operators.dedupe import latest_per_key
+from silverline.sinks import bucketed as BK
 from silverline.sinks import files as K
 from silverline.sources import csv_split as CS
 from silverline.sources import landing as L
@@ -473,3 +475,28 @@ def q_quarantined_text_rows(spark, sf_dir):
         F.when(F.col("uuid") % 29 == 0, "many").otherwise(F.col("quantity").cast("string")).alias("quantity"))
     _good, bad = C.cast_columns(orders, {"uuid": C.try_long("uuid"), "quantity": C.try_int("quantity")})
     return stored(bad, "quarantine")
+
+
+# ---------------------------------------------------------------- bucketed tables
+
+BUCKETS = 16
+
+
+@query("bucketed_dedupe", oracle="SELECT * FROM stg_orders", views=("stg_orders",))
+def q_bucketed_dedupe(spark, sf_dir):
+    """W1/M1 on bronze orders bucketed by their id: no exchange above the table."""
+    orders = BK.write_bucketed(Views(spark, sf_dir).bronze_orders, "uuid", BUCKETS, "bronze-orders")
+    return silver.typed_orders(orders.by_key(lambda part: latest_per_key(part, ["uuid"], silver.ORDER_TIES)))
+
+
+@query("bucketed_dedupe_join", oracle="""
+SELECT user_id, order_id, ordered_at, quantity, product, username, birthdate FROM stg_orders JOIN stg_users USING (user_id)""",
+       views=("stg_users",))
+def q_bucketed_dedupe_join(spark, sf_dir):
+    """Deduplicated orders and users, both bucketed by user: no exchange below the join."""
+    v = Views(spark, sf_dir)
+    bronze = BK.write_bucketed(v.bronze_orders, "uuid", BUCKETS, "bronze-orders")
+    latest = silver.typed_orders(bronze.by_key(lambda part: latest_per_key(part, ["uuid"], silver.ORDER_TIES)))
+    orders = BK.write_bucketed(latest, "user_id", BUCKETS, "orders-by-user")
+    users = BK.write_bucketed(silver.stg_users(v.bronze_users, orders.rows()).select("user_id", "username", "birthdate"), "user_id", BUCKETS, "users")
+    return BK.join_bucketed(orders, users).select("user_id", "order_id", "ordered_at", "quantity", "product", "username", "birthdate")
