@@ -2,9 +2,9 @@
 
 A table is a Parquet folder partitioned by `batch`: every load appends one
 batch, and nothing is rewritten. Reading up to a batch is a partition filter
-(pruned at listing), so an earlier state, or the state before a batch that was
-taken back, is the same read with another bound. Columns that a later batch
-adds are null in the earlier ones (schema merging).
+(pruned at listing), so an earlier state is the same read with another bound.
+Columns that a later batch adds are null in the earlier ones (schema merging). A
+batch is taken back by overwriting its folder with no rows.
 
 This is plain DataFrame use, not a table format: there is no commit protocol,
 so give each batch one writer. A batch is written with overwrite into its own
@@ -24,13 +24,25 @@ def write_batch(df: DataFrame, root: str, batch: int) -> None:
 
 
 def read_batches(spark: SparkSession, root: str, upto: int | None = None, keep_batch: bool = False) -> DataFrame:
-    """V5/V6: the table, or its state after batch `upto`; columns of all batches (V7)."""
+    """V5: the table, or its state after batch `upto`; columns of all batches (V7)."""
     rows = spark.read.option("mergeSchema", "true").parquet(root)
     if upto is not None:
         rows = rows.where(F.col(BATCH) <= upto)
     return rows if keep_batch else rows.drop(BATCH)
 
 
+def take_back(spark: SparkSession, root: str, batch: int) -> None:
+    """V6: undoes one load for every later read. Its folder is overwritten with
+    an empty batch that has the columns of the other loads, so a column that only
+    it had added goes as well. The rows are gone; load the batch again to redo it."""
+    root = root.rstrip("/")
+    others = [r[0] for r in read_batches(spark, root, keep_batch=True).where(F.col(BATCH) != batch).select(BATCH).distinct().collect()]  # one a load
+    if not others:
+        raise ValueError("the only batch of a table cannot be taken back")
+    kept = spark.read.option("mergeSchema", "true").parquet(*[f"{root}/{BATCH}={b}" for b in others])
+    write_batch(spark.createDataFrame([], kept.schema), root, batch)
+
+
 def with_null_column(df: DataFrame, name: str, kind: str) -> DataFrame:
     """V7: the rows with one more, empty column."""
     if name in df.columns:

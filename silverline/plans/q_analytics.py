@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from silverline.catalog import Tables, stored
 from silverline.functions import scalars as S
-from silverline.functions.reference import AGE_REFERENCE_DATE, DRIVER_PRODUCTS, MILITARY_STATES
+from silverline.functions.reference import AGE_REFERENCE_DATE, DRIVER_PRODUCTS, MILITARY_STATES, UUID_PATTERN
 from silverline.operators import aggregates as A
 from silverline.operators import windows as W
 from silverline.operators.dedupe import latest_per_key
@@ -178,6 +180,15 @@ def q_ordered_every_product(spark, sf_dir):
     return v.stg_users.select("user_id", "username", "name").join(qualifying, "user_id")
 
 
+@query("division_bitmap", oracle="""
+SELECT user_id, len(bought) AS products_ordered
+FROM (SELECT user_id, list_sort(list(DISTINCT product)) AS bought FROM stg_orders GROUP BY user_id)
+WHERE bought = (SELECT list_sort(list(DISTINCT product)) FROM stg_orders)""", views=("stg_orders",))
+def q_division_bitmap(spark, sf_dir):
+    """A11 by bit sets: users who ordered every product."""
+    return A.every_value_bits(Views(spark, sf_dir).stg_orders, ["user_id"], "product", "products_ordered")
+
+
 @query("missing_city_by_state", oracle="""
 SELECT state, count(*) AS users, CAST(sum(CASE WHEN city IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_city
 FROM stg_users GROUP BY state""", views=("stg_users",))
@@ -492,6 +503,43 @@ def q_parameterised_sql(spark, sf_dir):
         args={"min_quantity": 25}, o=Views(spark, sf_dir).stg_orders)
 
 
+@query("session_variable_report", oracle=_MONTHLY_ORACLE.format(cond="product = 'large' AND quantity >= 10"), views=("stg_orders",))
+def q_session_variable_report(spark, sf_dir):
+    """The monthly report with session variables (declared, set from a
+    query, read by name) over a relation named by IDENTIFIER."""
+    name = f"orders_{uuid.uuid4().hex[:8]}"
+    Views(spark, sf_dir).stg_orders.createOrReplaceTempView(name)
+    spark.sql("DECLARE OR REPLACE VARIABLE report_product STRING DEFAULT NULL")
+    spark.sql("DECLARE OR REPLACE VARIABLE report_least INT DEFAULT 1")
+    spark.sql("SET VARIABLE report_product = 'large'")
+    spark.sql("SET VARIABLE report_least = (SELECT CAST(max(r_regionkey) + 6 AS INT) FROM {region})", region=Tables(spark, sf_dir).region)
+    report = spark.sql("""
+        SELECT date_format(ordered_at, 'yyyy-MM') AS month, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity
+        FROM IDENTIFIER(:relation)
+        WHERE (report_product IS NULL OR product = report_product) AND quantity >= report_least
+        GROUP BY 1""", args={"relation": name})
+    return report
+
+
+@query("split_and_element", oracle="""
+SELECT uuid, string_split(address, chr(10))[1] AS first_line, string_split(address, chr(10))[2] AS second_line, NULL::VARCHAR AS third_line,
+       string_split(address, ' ')[-1] AS last_word FROM bronze_users""", views=("bronze_users",))
+def q_split_and_element(spark, sf_dir):
+    """2.9: split, and elements by place from either end; a place that is not there is null, not an error."""
+    lines, words = F.split("address", "\n"), F.split("address", " ")
+    at = lambda parts, k: F.try_element_at(parts, F.lit(k))
+    return Views(spark, sf_dir).bronze_users.select("uuid", at(lines, 1).alias("first_line"), at(lines, 2).alias("second_line"),
+                                                    at(lines, 3).alias("third_line"), at(words, -1).alias("last_word"))
+
+
+@query("generated_uuids", oracle="SELECT count(*) AS rows, count(*) AS distinct_ids, count(*) AS shaped FROM customer")
+def q_generated_uuids(spark, sf_dir):
+    """2.9: a random UUID a row, all different and well formed."""
+    ids = stored(Tables(spark, sf_dir).customer.select("c_custkey", F.uuid().alias("id")), "uuids")
+    return ids.agg(F.count("*").alias("rows"), F.count_distinct("id").alias("distinct_ids"),
+                   F.count_if(F.col("id").rlike(f"^{UUID_PATTERN}$")).alias("shaped"))
+
+
 @query("filter_not_in_list", oracle="SELECT user_id, state FROM stg_users WHERE state NOT IN (" + ", ".join(
     f"'{s}'" for s in MILITARY_STATES) + ")", views=("stg_users",))
 def q_filter_not_in_list(spark, sf_dir):

@@ -7,12 +7,15 @@ result stays valid after the call.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
+from silverline.functions.reference import UUID_PATTERN
 from silverline.catalog import DRIVER_TABLES, Tables, scratch_path, stored
 from silverline.operators import casting as C
 from silverline.operators import reconcile as R
@@ -99,6 +102,54 @@ def q_csv_record_lines(spark, sf_dir):
     return records.groupBy(F.least("n_lines", F.lit(4)).alias("lines")).agg(F.count("*").alias("records"))
 
 
+@query("csv_lines_without_header", oracle="""
+SELECT o_orderkey || ',' || o_custkey || ',' || o_orderpriority AS line FROM orders""")
+def q_csv_lines_without_header(spark, sf_dir):
+    """S3: lines of headed CSV files and of a file of blank ones, without header and blank lines."""
+    path = scratch_path(spark, "orders-lines")
+    T.write_csv(Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderpriority"), path)
+    spark.sql("SELECT explode(array('', '  ')) AS value").write.mode("append").text(path)
+    lines = T.drop_header_and_blank(T.read_lines(spark, path), header="o_orderkey,o_custkey,o_orderpriority")
+    return lines.select(F.col("value").alias("line"))
+
+
+@query("uuid_record_starts", oracle="""
+SELECT CAST(sum(len(string_split(address, chr(10)))) AS BIGINT) AS physical_lines, count(*) AS records FROM bronze_users""",
+       views=("bronze_users",))
+def q_uuid_record_starts(spark, sf_dir):
+    """Physical lines and the records that a UUID key begins, of text with two-line addresses."""
+    digest = F.md5(F.col("uuid").cast("string"))
+    key = F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+    path = scratch_path(spark, "users-uuid-text")
+    Views(spark, sf_dir).bronze_users.select(F.concat(key, F.lit(","), "address").alias("value")).write.text(path)
+    return T.record_start_counts(T.read_lines(spark, path), f"^{UUID_PATTERN},")
+
+
+@query("seed_from_file", oracle="""
+SELECT lpad(CAST(c_custkey * 37 % 100000 AS VARCHAR), 5, '0') AS zip_code, c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM customer""")
+def q_seed_from_file(spark, sf_dir):
+    """A seed from CSV files; the ZIP code stays text with its zeros, other columns are inferred."""
+    path = scratch_path(spark, "seed")
+    k = F.col("c_custkey")
+    T.write_csv(Tables(spark, sf_dir).customer.select(
+        F.lpad((k * 37 % 100000).cast("string"), 5, "0").alias("zip_code"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")), path)
+    return T.read_seed(spark, path, {"zip_code": "string"})
+
+
+@query("csv_dialect_quoted", oracle="""
+SELECT ';' AS delimiter, '"' AS quote, 4 AS fields, count(*) AS records, true AS consistent FROM bronze_users""", views=("bronze_users",))
+def q_csv_dialect_quoted(spark, sf_dir):
+    """The dialect of a CSV whose quoted texts hold more commas, pipes and newlines than there are delimiters."""
+    users = Views(spark, sf_dir).bronze_users
+    noisy = F.concat(F.lit("a, b, c | d; "), "address", F.lit(', said "x"; 1,2,3'))
+    path = scratch_path(spark, "dialect-csv")
+    rows = users.select("uuid", "name", noisy.alias("note"), "birthdate")
+    rows.write.options(**T.CSV_OPTIONS | {"header": "false"}).option("sep", ";").csv(path)
+    best = CS.sniff_quoted_dialect(spark, path)
+    return best.select("delimiter", "quote", "fields", "records", (F.col("share") == 1).alias("consistent"))
+
+
 @query("csv_round_trip", oracle="SELECT * FROM bronze_users", views=("bronze_users",))
 def q_csv_round_trip(spark, sf_dir):
     """K6: CSV write + typed read gives back every row unchanged (padding,
@@ -295,20 +346,24 @@ def q_file_inventory(spark, sf_dir):
         (F.min("file_size_in_bytes") > 0).alias("has_bytes"), F.sum("record_count").alias("record_count"))
 
 
-@query("parquet_footer_profile")
+@query("parquet_footer_profile", oracle="""
+WITH t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)
+SELECT 'c_custkey' AS column_name, 'bigint' AS column_type, count(*) AS rows, count(*) - count(c_custkey) AS nulls, CAST(min(c_custkey) AS VARCHAR) AS least, CAST(max(c_custkey) AS VARCHAR) AS largest FROM t
+UNION ALL SELECT 'c_name', 'string', count(*), count(*) - count(c_name), min(c_name), max(c_name) FROM t
+UNION ALL SELECT 'c_nationkey', 'int', count(*), count(*) - count(c_nationkey), CAST(min(c_nationkey) AS VARCHAR), CAST(max(c_nationkey) AS VARCHAR) FROM t
+UNION ALL SELECT 'c_mktsegment', 'string', count(*), count(*) - count(c_mktsegment), min(c_mktsegment), max(c_mktsegment) FROM t""")
 def q_parquet_footer_profile(spark, sf_dir):
-    """K8: footer metadata of the driver tables themselves."""
-    return K.parquet_footer_profile(spark, sf_dir)
+    """K8: rows, nulls and extremes of each file of a table by column (the table is one file)."""
+    return K.file_profile(spark, f"{sf_dir}/customer.parquet").where("column_name <> 'c_acctbal'").drop("file_path")
 
 
 @query("footer_row_counts", oracle="\nUNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in DRIVER_TABLES))
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in DRIVER_TABLES))
 def q_footer_row_counts(spark, sf_dir):
-    """K8 (exact part): row counts of every table from footers only, no data read."""
-    prof = K.parquet_footer_profile(spark, sf_dir)
-    per_group = prof.select("file_path", "row_group", "num_rows").distinct()
-    named = per_group.withColumn("table_name", F.regexp_extract("file_path", r"([^/]+)\.parquet$", 1))
-    return named.groupBy("table_name").agg(F.sum("num_rows").cast("long").alias("num_rows"))
+    """K8: rows of every table's files, counted by the file they are read from."""
+    tables = [K.rows_per_file(spark, f"{sf_dir}/{t}.parquet").agg(F.lit(t).alias("table_name"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+              for t in DRIVER_TABLES]
+    return reduce(lambda a, b: a.unionByName(b), tables)
 
 
 @query("partition_balance", oracle="""

@@ -478,3 +478,15 @@ SELECT rule, run, (SELECT count(*) FROM found f WHERE f.rule = rules.rule AND f.
 def q_failures_by_run(spark, sf_dir):
     """Q11: number of failures by rule and run, rules that passed included."""
     return Q.failures_by_run(spark, _audited_runs(spark, sf_dir))
+
+
+@query("schema_difference", oracle="""
+SELECT 'birthdate' AS column_name, 'date' AS left_type, 'string' AS right_type UNION ALL SELECT 'loaded_at', NULL, 'timestamp'
+UNION ALL SELECT 'zip_code', 'string', NULL""")
+def q_schema_difference(spark, sf_dir):
+    """M4: columns of the silver users and of a copy stored by another tool whose presence or type differs."""
+    from silverline.catalog import stored
+
+    users = Views(spark, sf_dir).stg_users
+    other = stored(users.drop("zip_code").withColumns({"birthdate": F.col("birthdate").cast("string"), "loaded_at": F.current_timestamp()}), "other-users")
+    return R.schema_diff(spark, users, other)

@@ -60,8 +60,10 @@ def q_ver_as_of(spark, sf_dir):
 
 @query("ver_rollback", oracle=_AFTER_APPEND, views=("stg_orders",))
 def q_ver_rollback(spark, sf_dir):
-    """V6: the third batch taken back: later reads stop before it."""
-    return V.read_batches(spark, _evolved(spark, sf_dir), upto=2).drop("source")
+    """V6: the third batch taken back: a plain read shows neither its row nor its column."""
+    root = _evolved(spark, sf_dir)
+    V.take_back(spark, root, 3)
+    return V.read_batches(spark, root)
 
 
 @query("ver_snapshots", oracle="""

@@ -6,15 +6,14 @@ Layout choices are made for scale:
   small values together, with no fixed fan-out;
 * range-clustered writes sort within range partitions so row-group min/max
   statistics prune date filters;
-* file inventories and footer profiles read metadata only (file listing,
-  Parquet footers) in executor tasks, never row data.
+* file inventories read the listing; file profiles are aggregations by the file
+  that a row is read from.
 """
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverline.catalog import scratch_path
@@ -87,53 +86,24 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataF
             .option("recursiveFileLookup", "true").load(path).select("path", "length"))
 
 
-FOOTER_SCHEMA = (
-    "file_path string, row_group int, num_rows long, column_name string, physical_type string, "
-    "compression string, compressed_bytes long, uncompressed_bytes long, null_count long, "
-    "min_value string, max_value string"
-)
-
-
-def _local_or_uri(path: str):
-    """(pyarrow FileSystem, path) for a Spark path string."""
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return pafs.LocalFileSystem(), local
-    if path.startswith("/"):
-        return pafs.LocalFileSystem(), path
-    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
-    return pafs.FileSystem.from_uri(uri)
-
-
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            fs, local = _local_or_uri(path)
-            with fs.open_input_file(local) as fh:
-                meta = pq.ParquetFile(fh).metadata
-                for rg in range(meta.num_row_groups):
-                    g = meta.row_group(rg)
-                    for ci in range(g.num_columns):
-                        c = g.column(ci)
-                        st = c.statistics
-                        has = st is not None and st.has_min_max
-                        rows.append((path, rg, g.num_rows, c.path_in_schema, c.physical_type, c.compression,
-                                     c.total_compressed_size, c.total_uncompressed_size,
-                                     st.null_count if st is not None and st.has_null_count else None,
-                                     str(st.min) if has else None, str(st.max) if has else None))
-        yield pd.DataFrame(rows, columns=[f.split()[0] for f in FOOTER_SCHEMA.split(", ")])
-
-
-def parquet_footer_profile(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """K8: per file, row group and column: type, codec, compressed and
-    uncompressed bytes, null count, min/max. Each executor task opens only
-    the footers of its share of the files."""
-    files = list_files(spark, path, glob).select("path")
-    return files.repartition(F.col("path")).mapInPandas(_footers, FOOTER_SCHEMA)
+
+
+def file_profile(spark: SparkSession, path: str) -> DataFrame:
+    """K8, re-aimed: per file and column of a Parquet table its type, rows, nulls,
+    least and largest value as text, from the data (codecs and byte sizes of column
+    chunks are of the storage format and not told). One aggregation by file."""
+    table = spark.read.parquet(path)
+    fields = [(f.name, f.dataType.simpleString()) for f in table.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
+    wide = table.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("rows"), *[
+        F.struct(F.count_if(F.col(f"`{n}`").isNull()).alias("nulls"), F.min(f"`{n}`").cast("string").alias("least"),
+                 F.max(f"`{n}`").cast("string").alias("largest")).alias(f"c{i}") for i, (n, _) in enumerate(fields)])
+    return wide.select("file_path", "rows", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.lit(k).alias("column_type"), F.col(f"c{i}.nulls").alias("nulls"),
+                 F.col(f"c{i}.least").alias("least"), F.col(f"c{i}.largest").alias("largest")) for i, (n, k) in enumerate(fields)])).alias("p")
+    ).select("file_path", "rows", "p.*")
+
+
+def rows_per_file(spark: SparkSession, path: str) -> DataFrame:
+    """K8, re-aimed: rows of every file of a table, by the file they are read from."""
+    return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file_path"),
+                                            F.col("_metadata.file_size").alias("file_size_in_bytes")).agg(F.count(F.lit(1)).alias("rows"))

@@ -62,6 +62,17 @@ def read_csv_typed(spark: SparkSession, path: str, schema, multiline: bool = Tru
             .option("mode", mode).schema(schema).csv(path))
 
 
+def read_seed(spark: SparkSession, path: str, column_types: dict[str, str]) -> DataFrame:
+    """A seed table from CSV files with a header. Columns named in
+    `column_types` get that type as they are written (text keeps its leading
+    zeros); the others are inferred. An unknown name is an error."""
+    inferred = read_csv_inferred(spark, path).schema
+    if unknown := set(column_types) - set(inferred.fieldNames()):
+        raise ValueError(f"no such seed column: {sorted(unknown)}")
+    ddl = ", ".join(f"`{f.name}` {column_types.get(f.name, f.dataType.simpleString())}" for f in inferred.fields)
+    return read_csv_typed(spark, path, ddl)
+
+
 def parsed_count(df: DataFrame) -> Column:
     """Row count over every column: an aggregate that no pruning can narrow, so
     a bad value in any column fails the read."""
