@@ -26,6 +26,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Every Column call would otherwise ask the JVM for a setting and note its
+    # Python call site: several calls a column, seconds for a contract of rules.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
