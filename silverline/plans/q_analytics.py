@@ -150,10 +150,10 @@ def q_scalar_ratio(spark, sf_dir):
 
 
 @query("join_left_first_last", oracle="""
-SELECT user_id, username, at[1] AS first_order, at[-1] AS last_order,
-       CAST(CAST(at[-1] AS DATE) - CAST(at[1] AS DATE) AS INTEGER) AS days_between
+SELECT user_id, username, bought[1] AS first_order, bought[-1] AS last_order,
+       CAST(CAST(bought[-1] AS DATE) - CAST(bought[1] AS DATE) AS INTEGER) AS days_between
 FROM (SELECT user_id, username FROM stg_users)
-LEFT JOIN (SELECT user_id, list_sort(list(ordered_at)) AS at FROM stg_orders GROUP BY user_id) USING (user_id)""", views=("stg_users",))
+LEFT JOIN (SELECT user_id, list_sort(list(ordered_at)) AS bought FROM stg_orders GROUP BY user_id) USING (user_id)""", views=("stg_users",))
 def q_join_left_first_last(spark, sf_dir):
     """J2 + A14: users without orders are kept (NULL dates). The order side
     is aggregated to one row per user before the join, so the join is

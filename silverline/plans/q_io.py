@@ -27,6 +27,7 @@ from silverline.sinks import bucketed as BK
 from silverline.sinks import files as K
 from silverline.sources import csv_split as CS
 from silverline.sources import landing as L
+from silverline.sources import ranges as RG
 from silverline.sources import text as T
 
 BRONZE_USERS_SCHEMA = StructType([
@@ -456,6 +457,28 @@ def q_verify_landing(spark, sf_dir):
     return row("users", u_count, F.lit(0).cast("long")).unionByName(row("orders", o_count, orphan_count))
 
 
+@query("verify_ranges", oracle="""
+SELECT count(*) AS lines, count(*) FILTER (o_orderkey % 500 = 1) AS altered_lines, CAST(0 AS BIGINT) AS missed_ranges,
+       CAST(0 AS BIGINT) AS wrongly_reported FROM orders""")
+def q_verify_ranges(spark, sf_dir):
+    """Landed lines of which some had one byte altered. Every range with
+    such a line is reported, and no other."""
+    size = 4_096
+    o = stored(Tables(spark, sf_dir).orders.select("o_orderkey", F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate").alias("line")), "orders-lines")
+    source, landed = scratch_path(spark, "ranges-source"), scratch_path(spark, "ranges-landed")
+    o.select("line").write.text(source)
+    altered = F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit("#"))
+    o.select(F.when(F.col("o_orderkey") % 500 == 1, altered).otherwise(F.col("line")).alias("line")).write.text(landed)
+    name = r"(part-[0-9]+)"
+    left = RG.line_places(spark, source, size, name, also={"chosen": F.split_part("value", F.lit(","), F.lit(1)).cast("bigint") % 500 == 1})
+    found = RG.compared_ranges(RG.range_digests(left), RG.range_digests(RG.line_places(spark, landed, size, name)), size)
+    held = left.groupBy("file", "range").agg(F.count_if("chosen").alias("chosen"))
+    both = found.join(held, ["file", "range"], "left")
+    reported, touched = F.col("status") != "equal", F.coalesce(F.col("chosen") > 0, F.lit(False))
+    return both.agg(F.sum("lines").alias("lines"), F.sum("chosen").alias("altered_lines"),
+                    F.count_if(touched & ~reported).alias("missed_ranges"), F.count_if(reported & ~touched).alias("wrongly_reported"))
+
+
 # ---------------------------------------------------------------- typed from text
 
 

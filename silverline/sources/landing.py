@@ -9,13 +9,13 @@ anti join; it returns a DataFrame, nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-
 def _local_or_uri(path: str):
     """(pyarrow FileSystem, path) for a Spark path string."""
     import pyarrow.fs as pafs
@@ -38,14 +38,15 @@ def _copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sfs, spath = _local_or_uri(src)
             dfs, dpath = _local_or_uri(dst)
             dfs.create_dir(dpath.rsplit("/", 1)[0], recursive=True)
-            n = 0
-            with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(dpath) as fout:
+            n, own = 0, f"{dpath}.{uuid.uuid4().hex}.copying"       # two attempts never write one file together
+            with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(own) as fout:
                 while True:
                     chunk = fin.read(8 << 20)
                     if not chunk:
                         break
                     fout.write(chunk)
                     n += len(chunk)
+            dfs.move(own, dpath)
             sizes.append(n)
         yield pd.DataFrame({"src": batch["src"], "dst": batch["dst"], "bytes": sizes})
 
@@ -54,8 +55,9 @@ def land_files(spark: SparkSession, source_dir: str, bronze_root: str, dataset:
                glob: str = "*.csv") -> DataFrame:
     """Copy every file of `source_dir` to
     `bronze_root/<dataset>/ingest_date=<date>/<name>`. Returns the copy log
-    (src, dst, bytes). Re-running overwrites the same targets (idempotent),
-    so a retried task after an executor loss is harmless."""
+    (src, dst, bytes). A file is copied under a name of its own and moved to its
+    target when it is whole, so a second or speculative attempt replaces it and
+    never mixes with it."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(source_dir)
              .select(F.col("path").alias("src")))
     target = f"{bronze_root.rstrip('/')}/{dataset}/ingest_date={ingest_date}/"
