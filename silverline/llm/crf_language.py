@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from silverline.llm import flat_text as ft
 from silverline.llm.frames import held_out, only, rows_in
@@ -258,18 +258,17 @@ def train(docs: DataFrame, learn: Column) -> Model:
     count = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not count:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)))
-    # a hash threshold per language that about 1.3 x PER_LANGUAGE documents pass, then the smallest hashes
+    # a hash threshold per language that about 1.3 x PER_LANGUAGE documents pass, repeated rows put together, then the
+    # smallest hashes of each language
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     below = F.create_map(*[x for lang, n in count.items() for x in
                            (F.lit(lang), F.lit(1_000_000 if n <= PER_LANGUAGE else int(1_300_000 * PER_LANGUAGE / n) + 1))])
-    picked = rows.where(h < below[F.col("lang")]).orderBy(h, "doc_id").limit(2 * PER_LANGUAGE * len(count)).collect()
-    languages, texts, labels, taken = sorted(count), [], [], {}
-    for r in picked:
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= PER_LANGUAGE:
-            texts.append(r["text"])
-            labels.append(languages.index(r["lang"]))
-    return Model(languages, *fit(texts, labels, len(languages)))
+    near = rows.where(h < below[F.col("lang")]).groupBy("lang", h.alias("h"), "doc_id", F.xxhash64("text").alias("digest")).agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id", "digest")
+    picked = (near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PER_LANGUAGE)
+              .orderBy("h", "doc_id", "digest").select("lang", "text").collect())          # at most PER_LANGUAGE texts a language
+    languages = sorted(count)
+    return Model(languages, *fit([r["text"] for r in picked], [languages.index(r["lang"]) for r in picked], len(languages)))
 
 
 def label(docs: DataFrame, model: Model) -> DataFrame:

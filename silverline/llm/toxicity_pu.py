@@ -134,7 +134,8 @@ def fit_nnpu(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = STE
              l2: float = L2, beta: float = 0.0) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier by the non-negative PU risk
     (logistic loss, Adam). `positive`: confirmed rows; all others are unlabelled."""
-    xp, xu = x[positive], x[~positive]
+    first = int(positive.sum())
+    xp, xu = (x[:first], x[first:]) if positive[:first].all() else (x[positive], x[~positive])      # no copy of rows in order
     w, b = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
@@ -191,17 +192,26 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, prior: float | None
         prior = min(toxic / n, seen)
     prior = float(np.clip(prior, 1e-3, 0.5))
     held = np.sort(np.array([r["gram"] for r in chosen], np.int64).view(np.uint64))
-    rows = sample.mapInArrow(_rows(held), "positive boolean, slot array<int>, twice array<boolean>, share array<double>").collect()
-    x = np.zeros((len(rows), 3 * len(held)), np.float32)
-    for i, r in enumerate(rows):
-        slot = np.array(r["slot"], np.int64)
-        x[i, slot] = 1.0
-        x[i, slot + len(held)] = r["twice"]
-        x[i, slot + 2 * len(held)] = r["share"]
-    w, b = fit_nnpu(x, np.array([r["positive"] for r in rows]), prior)
+    x, positive = _design(sample.mapInArrow(_rows(held), "positive boolean, slot array<int>, twice array<boolean>, share array<double>").toArrow(), len(held))
+    w, b = fit_nnpu(x, positive, prior)
     return Model(held, w, b)
 
 
+def _design(rows: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sample's dense rows, confirmed ones first, from its columns: no Python object is made per gram."""
+    positive = rows["positive"].to_numpy()
+    place = np.empty(len(positive), np.int64)
+    place[np.argsort(~positive, kind="stable")] = np.arange(len(positive))
+    x = np.zeros((len(positive), 3 * n), np.float32)
+    flat = [rows[c].combine_chunks() for c in ("slot", "twice", "share")]
+    at = np.repeat(place, np.diff(flat[0].offsets.to_numpy()))
+    slot, twice, share_ = (c.flatten().to_numpy(zero_copy_only=False) for c in flat)
+    x[at, slot] = 1.0
+    x[at, slot + n] = twice
+    x[at, slot + 2 * n] = share_
+    return x, np.sort(positive)[::-1]
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) of every document row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

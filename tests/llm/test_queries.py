@@ -83,6 +83,17 @@ def test_pipeline_stages_against_brute_force(spark, frame, monkeypatch):
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_near_duplicate_rows_that_share_an_id(spark, frame):
+    """Each (id, text) is decided on its own: no clean text goes, no copy stays."""
+    t1 = "a text of quite some words that stands in two rows of the table and is long enough"
+    t2 = "nothing like the other one at all here are other words altogether about the sea and the ships"
+    rows = [(3, t1), (5, t2), (5, t1), (5, t2), (None, t1), (None, t1), (None, t2), (None, None), (None, None), (9, None), (8, "")]
+    near = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    for order in (rows, rows[::-1]):
+        got = sorted([(r["doc_id"], r["text"]) for r in near(spark, frame(order), SF_SMALL).collect()], key=repr)
+        assert got == sorted([(3, t1), (5, t2), (None, t1), (None, t2), (None, None), (9, None), (8, "")], key=repr)
+
+
 def test_pipeline_of_an_empty_table(spark, frame):
     docs = frame([(1, "a")]).limit(0)
     for name, stage in corpus_pipeline.STAGES:

@@ -240,3 +240,34 @@ def test_language_without_training_rows(spark, frame):
     from pyspark.sql import functions as F
     model = C.train(frame([(1, "a", None)]), F.lit(True))
     assert [tuple(r) for r in C.label(frame([(1, "abc")]), model).collect()] == [(1, "und", 0.0)]
+
+
+def test_language_sample_holds_every_language_when_an_id_repeats(spark, frame):
+    """2,000 texts of one doc_id do not crowd out the other language; repeated rows count once."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    word = {"aa": lambda: "".join(rng.choice("aeiou") for _ in range(5)), "bb": lambda: "".join(rng.choice("bcdfg") for _ in range(5))}
+    text = lambda lang: " ".join(word[lang]() for _ in range(12))
+    rows = [(3139, text("aa"), "aa") for _ in range(2000)] + [(i, text("bb"), "bb") for i in range(5000, 5200)]
+    rows += [rows[0]] * 50
+    docs = frame(rows)
+    model = C.train(docs, F.lit(True))
+    assert model.languages == ["aa", "bb"]
+    got = C.label(docs, model).groupBy("doc_id", "lang_pred").count().collect()
+    assert {r["lang_pred"] for r in got if r["doc_id"] == 3139} == {"aa"}
+    assert {r["lang_pred"] for r in got if r["doc_id"] >= 5000} == {"bb"}
+
+
+def test_toxicity_rows_that_repeat(spark, frame):
+    """Repeated rows and ids are scored each, and alike."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, ("vile " if i % 3 == 0 else "kind ") * 3 + f"text number {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    docs = frame(rows + [rows[0]] * 5 + [(0, rows[1][1])])
+    model = T.train(docs, labels, F.lit(True))
+    got = T.score(docs, model).where("doc_id = 0").collect()
+    assert len(got) == 7 and len({r["score"] for r in got}) <= 2
