@@ -43,11 +43,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the group's smallest doc_id stays; of rows that share it, one."""
+    """Of each group the row with the smallest doc_id stays. Rows are told apart by
+    id and text: texts that share an id are decided one by one, and a repeated row
+    is one. Rows without doc_id never link to others; of equal ones, one stays."""
     rows = _documents(docs)
-    kept = superminhash.near_duplicates(rows).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    with_id = rows.join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return _documents(with_id.unionByName(rows.where("doc_id IS NULL")))
+    with_id = rows.where("doc_id IS NOT NULL").withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = superminhash.near_duplicates(with_id.select(F.col("_key").alias("doc_id"), "text"))
+    group = found.select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    kept = (with_id.select("_key", "doc_id").distinct().join(group, "_key")
+            .groupBy("_group").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key"))
+    one_each = with_id.join(stored(kept, "kept"), "_key").dropDuplicates(["_key"])
+    return _documents(one_each).unionByName(rows.where("doc_id IS NULL").dropDuplicates(["text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
