@@ -6,14 +6,19 @@ word positions (delta-coded), plus the word range of every document. Segments
 are rows of a Parquet table in the shared folder, so the index is partitioned
 by document, holds every document, and a lost executor re-reads its own rows.
 
-`search` takes phrases or proximity groups of terms to all segments. Within a
-segment the lists of a phrase are intersected from the rarest term on: its
-positions, adjusted by the term's offset, are candidate starts, and each
+The index holds the postings of all terms at every size. `decontaminate` cuts
+the benchmark into windows in tasks too. A directory of the index (segment,
+term, number of positions; terms of some window only) gives each window its
+rarest term over all documents, and a join on that term sends the window to the
+segments that hold it, so neither side is broadcast by this code and no
+benchmark text reaches the driver. A window with a term that no document has
+goes nowhere.
+
+Within a segment the lists of a phrase are intersected from the rarest term on:
+its positions, adjusted by the term's offset, are candidate starts, and each
 further list (next rarest first) keeps those that it holds too. A phrase with a
-term that the segment lacks costs one lookup.
-
-The query side is taken in blocks of bounded size, so no broadcast grows with
-the benchmark; every block searches the whole index.
+term that the segment lacks costs one lookup. `search` takes a few given
+phrases or proximity groups to all segments in the same way.
 
 Defined cases: null and empty texts have no words (documents: zero hits;
 items: no window). Repeated documents and repeated doc_ids are rows of their
@@ -25,7 +30,7 @@ ignored.
 
 from __future__ import annotations
 
-import uuid
+import secrets
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -33,69 +38,68 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from silverline.catalog import scratch_path
+from silverline.catalog import scratch_path, stored
 from silverline.llm import flat_text as ft
 from silverline.llm.frames import only, rows_in
 
 SEGMENT_BYTES = 1 << 20
 WINDOW = 10
-# Words of benchmark text searched for at a time (about 100 bytes each in a task).
-QUERY_BLOCK_WORDS = 200_000
+# Windows of the benchmark in one Arrow batch.
+WINDOW_ROWS = 10_000
 
-SEGMENT_SCHEMA = ("segment string, doc_ids binary, null_ids binary, first binary, "
+SEGMENT_SCHEMA = ("segment bigint, doc_ids binary, null_ids binary, first binary, "
                   "terms binary, ptr binary, deltas binary")
-HIT_SCHEMA = ("segment string, ord int, doc_id bigint, n_words bigint, "
+DIRECTORY = "segment bigint, term bigint, n bigint"
+WINDOWS = "terms array<bigint>, item_id bigint"
+HIT_SCHEMA = ("segment bigint, ord int, doc_id bigint, n_words bigint, "
               "spans array<struct<lo:int,hi:int>>, item_ids array<bigint>")
 
 
 # ---------------------------------------------------------------- index
 
-def _segment(ids: pa.Array, w: ft.Words, keep: np.ndarray | None) -> tuple:
+def _segment(ids: pa.Array, w: ft.Words) -> tuple:
     h = ft.word_hashes(w)
-    pos = np.arange(len(h), dtype=np.int32)
-    if keep is not None:
-        slot = np.minimum(np.searchsorted(keep, h), max(len(keep) - 1, 0))
-        held = keep[slot] == h if len(keep) else np.zeros(len(h), bool)
-        h, pos = h[held], pos[held]
     order = np.argsort(h, kind="stable")
-    h, pos = h[order], pos[order]
+    h, pos = h[order], order.astype(np.int32)
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     ptr = np.flatnonzero(new).astype(np.int32)
     deltas = np.diff(pos, prepend=np.int32(0)).astype(np.int32)
     deltas[ptr] = pos[ptr]
-    return (uuid.uuid4().hex, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),
+    return (secrets.randbits(63), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),
             np.asarray(ids.is_null()).astype(np.uint8).tobytes(), w.first.astype(np.int32).tobytes(),
             h[ptr].tobytes(), np.append(ptr, np.int32(len(h))).astype(np.int32).tobytes(), deltas.tobytes())
 
 
-def _segments(keep: np.ndarray | None) -> Callable:
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SEGMENT_SCHEMA.split(", ")]
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_in(batches):
-            ids = batch.column(0).cast(pa.int64())
-            for low, high, data, offsets in ft.blocks(batch.column(1), SEGMENT_BYTES):
-                w = ft.words_of(data, offsets, ft.ALNUM_LOWER)
-                row = _segment(ids[low:high], w, keep)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], pa.string() if n == "segment" else pa.binary()) for n, v in zip(names, row)], names)
-
-    return build
+    for batch in rows_in(batches):
+        ids = batch.column(0).cast(pa.int64())
+        for low, high, data, offsets in ft.blocks(batch.column(1), SEGMENT_BYTES):
+            row = _segment(ids[low:high], ft.words_of(data, offsets, ft.ALNUM_LOWER))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], pa.int64() if n == "segment" else pa.binary()) for n, v in zip(names, row)], names)
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFrame:
-    """Positional postings of (doc_id, text), stored in the shared folder.
-
-    `vocabulary`: sorted term hashes to store postings of; None stores all
-    terms. Documents and their word counts are complete either way."""
+def build_index(docs: DataFrame) -> DataFrame:
+    """Positional postings of all terms of (doc_id, text), stored in the shared folder."""
     spark = docs.sparkSession
     path = scratch_path(spark, "positional-index")
-    only(docs, "doc_id", "text").mapInArrow(_segments(vocabulary), SEGMENT_SCHEMA) \
+    only(docs, "doc_id", "text").mapInArrow(_segments, SEGMENT_SCHEMA) \
         .write.option("compression", "zstd").parquet(path)
     return spark.read.schema(SEGMENT_SCHEMA).parquet(path)
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of each segment and how many positions they have."""
+    for batch in rows_in(batches):
+        for segment, terms, ptr in zip(*(batch.column(k) for k in range(3))):
+            term = np.frombuffer(terms.as_py(), np.int64)
+            n = np.diff(np.frombuffer(ptr.as_py(), np.int32)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(term), segment.as_py(), np.int64)), pa.array(term), pa.array(n)], ["segment", "term", "n"])
+
+
 class Segment:
     """One row of the index, opened."""
 
@@ -165,92 +169,114 @@ def windows_of(items: list[tuple], size: int = WINDOW) -> dict[int, tuple[np.nda
     return {n: (np.frombuffer(b"".join(w), np.uint64).reshape(-1, n), list(w.values())) for n, w in found.items()}
 
 
-def _search(windows: dict, slack: int | None) -> Callable:
+def _hits(seg: Segment, windows: dict, slack: int | None) -> pa.RecordBatch:
+    """The rows of a segment's documents."""
     kind = pa.struct([("lo", pa.int32()), ("hi", pa.int32())])
+    n_docs = len(seg.ids)
+    lo, hi, pairs = [], [], defaultdict(set)
+    for n, (hashes, items) in windows.items():
+        terms = seg.lookup(hashes)
+        for k in np.flatnonzero((terms >= 0).all(axis=1)):
+            at = seg.phrase(terms[k]) if slack is None else seg.near(np.unique(terms[k]), slack)
+            if len(at):
+                lo.append(at)
+                hi.append(at + (n if slack is None else 1))
+                for d in np.unique(seg.doc_of(at)):
+                    pairs[int(d)].update(x for x in items[k] if x is not None)
+    spans: list[list] = [[] for _ in range(n_docs)]
+    if lo:
+        cover = np.zeros(int(seg.first[-1]) + 1, np.int32)
+        np.add.at(cover, np.concatenate(lo), 1)
+        np.add.at(cover, np.concatenate(hi), -1)
+        inside = np.concatenate([[False], np.cumsum(cover[:-1]) > 0, [False]])
+        inside_doc = inside[1:-1]
+        cut = np.zeros(len(inside_doc) + 1, bool)
+        cut[seg.first] = True
+        starts = np.flatnonzero(inside_doc & (~inside[:-2] | cut[:-1]))
+        ends = np.flatnonzero(inside_doc & (~inside[2:] | cut[1:])) + 1
+        for s, e, d in zip(starts, ends, seg.doc_of(starts)):
+            base = seg.first[d]
+            spans[d].append({"lo": int(s - base), "hi": int(e - base)})
+    return pa.RecordBatch.from_arrays([
+        pa.array([seg.name] * n_docs, pa.int64()), pa.array(np.arange(n_docs, dtype=np.int32)),
+        pa.array(seg.ids, pa.int64(), mask=seg.null.astype(bool)), pa.array(np.diff(seg.first).astype(np.int64)),
+        pa.array(spans, pa.list_(kind)),
+        pa.array([sorted(pairs.get(d, ())) for d in range(n_docs)], pa.list_(pa.int64())),
+    ], ["segment", "ord", "doc_id", "n_words", "spans", "item_ids"])
 
-    def one(seg: Segment) -> pa.RecordBatch:
-        n_docs = len(seg.ids)
-        lo, hi, pairs = [], [], defaultdict(set)
-        for n, (hashes, items) in windows.items():
-            terms = seg.lookup(hashes)
-            for k in np.flatnonzero((terms >= 0).all(axis=1)):
-                at = seg.phrase(terms[k]) if slack is None else seg.near(np.unique(terms[k]), slack)
-                if len(at):
-                    lo.append(at)
-                    hi.append(at + (n if slack is None else 1))
-                    for d in np.unique(seg.doc_of(at)):
-                        pairs[int(d)].update(x for x in items[k] if x is not None)
-        spans: list[list] = [[] for _ in range(n_docs)]
-        if lo:
-            cover = np.zeros(int(seg.first[-1]) + 1, np.int32)
-            np.add.at(cover, np.concatenate(lo), 1)
-            np.add.at(cover, np.concatenate(hi), -1)
-            inside = np.concatenate([[False], np.cumsum(cover[:-1]) > 0, [False]])
-            inside_doc = inside[1:-1]
-            cut = np.zeros(len(inside_doc) + 1, bool)
-            cut[seg.first] = True
-            starts = np.flatnonzero(inside_doc & (~inside[:-2] | cut[:-1]))
-            ends = np.flatnonzero(inside_doc & (~inside[2:] | cut[1:])) + 1
-            for s, e, d in zip(starts, ends, seg.doc_of(starts)):
-                base = seg.first[d]
-                spans[d].append({"lo": int(s - base), "hi": int(e - base)})
-        return pa.RecordBatch.from_arrays([
-            pa.array([seg.name] * n_docs, pa.string()), pa.array(np.arange(n_docs, dtype=np.int32)),
-            pa.array(seg.ids, pa.int64(), mask=seg.null.astype(bool)), pa.array(np.diff(seg.first).astype(np.int64)),
-            pa.array(spans, pa.list_(kind)),
-            pa.array([sorted(pairs.get(d, ())) for d in range(n_docs)], pa.list_(pa.int64())),
-        ], ["segment", "ord", "doc_id", "n_words", "spans", "item_ids"])
 
+def search(index: DataFrame, windows: dict, slack: int | None = None) -> DataFrame:
+    """One row per document: the word spans inside any occurrence, and the
+    items found, of a few windows given by `windows_of`. `slack` None: exact
+    phrases; else all terms of a window within `slack` words of its rarest one,
+    in any order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in(batches):
             for i in range(batch.num_rows):
-                yield one(Segment({n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}))
+                yield _hits(Segment({n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}), windows, slack)
 
-    return run
+    return index.mapInArrow(run, HIT_SCHEMA)
 
 
-def search(index: DataFrame, windows: dict, slack: int | None = None) -> DataFrame:
-    """One row per document: the word spans inside any occurrence, and the
-    items found. `slack` None: exact phrases; else all terms of a window
-    within `slack` words of its rarest one, in any order."""
-    return index.mapInArrow(_search(windows, slack), HIT_SCHEMA)
-
+def _windows(size: int, rows: int) -> Callable:
+    """Windows of items, each with its item_id: an item of fewer words than `size`, but not none, is one."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_in(batches):
+            ids = batch.column(0).cast(pa.int64())
+            for low, high, data, offsets in ft.blocks(batch.column(1)):
+                w = ft.words_of(data, offsets, ft.ALNUM_LOWER)
+                h = ft.word_hashes(w).view(np.int64)
+                short = [(np.flatnonzero(w.per_doc == n), n) for n in range(1, size)]
+                parts = [(*ft.window_starts(w.first, size), size), *((w.first[doc], doc, n) for doc, n in short)]
+                for at, doc, n in parts:
+                    for k in range(0, len(at), rows):
+                        terms = h[at[k:k + rows, None] + np.arange(n)]
+                        ends = np.arange(len(terms) + 1, dtype=np.int32) * n
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.ListArray.from_arrays(ends, terms.ravel()), ids.take(pa.array(doc[k:k + rows] + low))], ["terms", "item_id"])
+
+    return cut
+
+
+def _candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """(segment, terms, item_id): the segments that hold a window's rarest term."""
+    each = windows.select("terms").distinct().select("terms", F.explode("terms").alias("term"))
+    listed = stored(index.select("segment", "terms", "ptr").mapInArrow(_listed, DIRECTORY)
+                    .join(each.select("term").distinct(), "term", "left_semi"), "directory")
+    total = listed.groupBy("term").agg(F.sum("n").alias("n"))
+    rarest = (each.join(total, "term", "left").groupBy("terms")
+              .agg(F.min_by("term", F.struct("n", "term")).alias("term"), F.count_if(F.col("n").isNull()).alias("lacking"))
+              .where("lacking = 0").select("terms", "term"))
+    return windows.join(rarest, "terms").join(listed, "term").select("segment", "terms", "item_id")
+
+
+def _search_sent(slack: int | None) -> Callable:
+    """Hits of a segment for the windows sent to it."""
+    def run(segment: pa.Table, sent: pa.Table) -> pa.Table:
+        by_size: dict[int, dict[bytes, set]] = defaultdict(lambda: defaultdict(set))
+        for terms, item_id in zip(sent["terms"], sent["item_id"].to_pylist()):
+            t = terms.values.to_numpy()
+            by_size[len(t)][t.tobytes()].add(item_id)
+        windows = {n: (np.frombuffer(b"".join(w), np.uint64).reshape(-1, n), list(w.values())) for n, w in by_size.items()}
+        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
+                            ("spans", pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))), ("item_ids", pa.list_(pa.int64()))])
+        hits = [_hits(Segment(row), windows, slack) for row in segment.to_pylist()]
+        return pa.Table.from_batches([x.select(schema.names).cast(schema) for x in hits], schema)
 
-def _query_blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
-    items = only(benchmark, "item_id", "text").distinct()
-    words = F.coalesce(F.size(F.split(F.col("text"), r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0))
-    total = items.agg(F.sum(words)).first()[0] or 0
-    n = -(-total // block_words) or 1
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [items.where(part == k) if n > 1 else items for k in range(n)]
+    return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-                  block_words: int = QUERY_BLOCK_WORDS, slack: int | None = None) -> DataFrame:
+                  block_words: int = WINDOW_ROWS, slack: int | None = None) -> DataFrame:
     """doc_id, n_words, spans (disjoint word ranges inside occurrences of a
-    benchmark window) and item_ids (sorted) of every document row."""
-    queries = _query_blocks(benchmark, block_words)
-    if len(queries) == 1:
-        windows = windows_of([tuple(r) for r in queries[0].toLocalIterator()], size)
-        vocabulary = np.unique(np.concatenate([h.ravel() for h, _ in windows.values()] or [np.zeros(0, np.uint64)]))
-        return search(build_index(docs, vocabulary), windows, slack).drop("segment", "ord")
+    benchmark window) and item_ids (sorted) of every document row. Windows
+    travel `block_words` at a time."""
     index = build_index(docs)
-    found = None
-    for q in queries:
-        hits = search(index, windows_of([tuple(r) for r in q.toLocalIterator()], size), slack)
-        found = hits if found is None else found.unionByName(hits)
-    merged = found.groupBy("segment", "ord", "doc_id", "n_words").agg(
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
-    joined = F.aggregate(
-        "s", F.expr("CAST(array() AS ARRAY<STRUCT<lo:INT,hi:INT>>)"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (x["lo"] <= F.element_at(acc, -1)["hi"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["lo"].alias("lo"),
-                F.greatest(F.element_at(acc, -1)["hi"], x["hi"]).alias("hi")))),
-        ).otherwise(F.concat(acc, F.array(x))))
-    return merged.select("doc_id", "n_words", joined.alias("spans"), "item_ids")
+    items = only(benchmark, "item_id", "text").distinct()
+    windows = stored(items.mapInArrow(_windows(size, block_words), WINDOWS).distinct(), "windows")
+    sent = stored(_candidates(index, windows), "candidates")
+    return index.groupBy("segment").cogroup(sent.groupBy("segment")).applyInArrow(
+        _search_sent(slack), HIT_SCHEMA.removeprefix("segment bigint, ord int, "))
 
 
 def digest(found: DataFrame) -> DataFrame:
