@@ -57,6 +57,16 @@ HIT_SCHEMA = ("segment bigint, ord int, doc_id bigint, n_words bigint, "
 
 # ---------------------------------------------------------------- index
 
+def _packed(deltas: np.ndarray) -> bytes:
+    """Byte planes of int32 values, compressed."""
+    return pa.compress(np.ascontiguousarray(deltas.view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
 def _segment(ids: pa.Array, w: ft.Words) -> tuple:
     h = ft.word_hashes(w)
     order = np.argsort(h, kind="stable")
@@ -68,7 +78,7 @@ def _segment(ids: pa.Array, w: ft.Words) -> tuple:
     deltas[ptr] = pos[ptr]
     return (secrets.randbits(63), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),
             np.asarray(ids.is_null()).astype(np.uint8).tobytes(), w.first.astype(np.int32).tobytes(),
-            h[ptr].tobytes(), np.append(ptr, np.int32(len(h))).astype(np.int32).tobytes(), deltas.tobytes())
+            h[ptr].tobytes(), np.append(ptr, np.int32(len(h))).astype(np.int32).tobytes(), _packed(deltas))
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +120,7 @@ class Segment:
         self.first = np.frombuffer(row["first"], np.int32)
         self.terms = np.frombuffer(row["terms"], np.uint64)
         self.ptr = np.frombuffer(row["ptr"], np.int32)
-        self.deltas = np.frombuffer(row["deltas"], np.int32)
+        self.deltas = _unpacked(row["deltas"], int(self.ptr[-1]))
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers, -1 for terms that the segment lacks."""
