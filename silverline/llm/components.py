@@ -3,8 +3,11 @@
 Each partition first runs union-find over its own edges and keeps only a
 spanning star per local set (path halving, smaller root wins). The remaining
 edges are contracted by alternating star steps: every node re-hangs its larger
-neighbours, then itself, below the smallest node it knows, until no edge
-changes. Labels are the smallest node of the component.
+neighbours, then itself, below the smallest node it knows, and each partition
+contracts the result once more, until the edges are stars: a node hangs below
+one smaller node, or others hang below it, never both. One aggregation sees
+that, so no round is made only to find that nothing changes. Labels are the
+smallest node of the component.
 
 All steps are aggregations and joins on a node, with partial aggregation before
 the shuffle, so a node with very many edges is never gathered in one task, and
@@ -57,19 +60,20 @@ def _small_star(e: DataFrame) -> DataFrame:
     return hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v") % 1_000_000_007), F.lit(0))).first())
+def _are_stars(e: DataFrame) -> bool:
+    """No node has two nodes above it, or nodes on both sides."""
+    node = e.select(F.col("u").alias("node"), F.col("v").alias("above")).unionByName(
+        e.select(F.col("v").alias("node"), F.lit(None).cast("bigint").alias("above")))
+    per = node.groupBy("node").agg(F.min("above").alias("low"), F.max("above").alias("high"),
+                                   F.count_if(F.col("above").isNull()).alias("below"))
+    return per.where("low < high OR (low IS NOT NULL AND below > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge in `edges` (u, v: bigint)."""
     e = stored(edges.select("u", "v").where("u <> v").mapInArrow(_local, EDGE), "cc-0")
-    before, k = _state(e), 0
-    while True:
+    k = 0
+    while not _are_stars(e):
         k += 1
-        e = stored(_small_star(_large_star(e)), f"cc-{k}")
-        after = _state(e)
-        if after == before:
-            break
-        before = after
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        e = stored(_small_star(_large_star(e)).mapInArrow(_local, EDGE), f"cc-{k}")
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).distinct()

@@ -114,6 +114,70 @@ def test_suffix_tree_probabilities(spark, frame):
     assert sum(r["score"] for r in outside) > sum(r["base_score"] for r in outside)
 
 
+class DictionaryTree:
+    """The suffix tree over tuples of words, one document after another."""
+
+    def __init__(self, texts):
+        self.c = {}
+        for words in texts:
+            for size in range(1, M.DEPTH + 2):
+                for i in range(len(words) - size + 1):
+                    s = words[i:i + size]
+                    self.c[s] = self.c.get(s, 0) + 1
+        self.c = {s: c for s, c in self.c.items() if len(s) == 1 or c >= M.LEAST}
+        ones = [c for s, c in self.c.items() if len(s) == 1]
+        self.n, self.v, once = sum(ones), len(ones), ones.count(1)
+        self.discount = once / (once + 2 * ones.count(2)) if once else 0.0
+        followers = {}
+        for s in self.c:
+            if len(s) > 1:
+                followers.setdefault(s[:-1], []).append(s)
+        self.rest, passed = {}, set()
+        for s, found in followers.items():
+            total, above = self.c[s], self.c[s[1:]] if len(s) > 1 else self.n
+            gain = sum(self.c[f] * math.log(self.c[f] * above / (self.c[f[1:]] * total)) for f in found)
+            lost, left = total - sum(self.c[f] for f in found), above - sum(self.c[f[1:]] for f in found)
+            if lost > 0 and left > 0:
+                gain += lost * math.log(lost * above / (left * total))
+            if gain > len(found) / 2 + 3 * math.sqrt(len(found) / 2) + 3:
+                passed.add(s)
+            self.rest[s] = 1 - sum(self.c[f] - M.DISCOUNT for f in found) / total
+        self.states = {s[k:] for s in passed for k in range(len(s))}
+
+    def probability(self, context, w):
+        if not context:
+            c = self.c.get((w,), 0)
+            return (c - self.discount if c else self.discount * self.v or self.n) / self.n
+        longest = next((context[k:] for k in range(len(context)) if context[k:] in self.states), ())
+        if longest != context:
+            return self.probability(longest, w)
+        c = self.c.get((*context, w), 0)
+        return max(c - M.DISCOUNT, 0) / self.c[context] + self.rest[context] * self.probability(context[1:], w)
+
+    def score(self, words):
+        return sum(math.log10(self.probability(words[max(i - M.DEPTH, 0):i], w)) for i, w in enumerate(words))
+
+
+def test_suffix_tree_scores_against_dictionary_tree(spark, frame, monkeypatch):
+    from pyspark.sql import functions as F
+    from silverline.llm.frames import held_out
+
+    monkeypatch.setattr(M, "BLOCK_TEXT", 4000)
+    monkeypatch.setattr(M, "COUNT_BYTES", 3000)
+    rows = list(enumerate(lm_texts())) + [(1000, None), (1001, ""), (1002, "Unseen words new york HERE"), (1003, "w1 " * 700), (None, "w1 w2 once"), (0, "new york city")]
+    rows += [(2000 + k, "left same word one . right same word two .") for k in range(40)]       # three words back
+    words = [tuple((t or "").lower().split()) + (None,) for _, t in rows]
+    learned = [i is None or zlib.crc32(str(i).encode()) % M.FOLDS != M.HELD_OUT for i, _ in rows]
+    tree = DictionaryTree([w for w, told in zip(words, learned) if told])
+    assert {len(s) for s in tree.states} == {1, 2, 3}
+    df = frame(rows)
+    got = M.score(df, *M.train(df, ~held_out(F.col("doc_id"), M.FOLDS, M.HELD_OUT))).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], x[2])
+    expected = sorted([(i, len(w), tree.score(w)) for (i, _), w in zip(rows, words)], key=key)
+    for (i, n, s), r in zip(expected, sorted([(r["doc_id"], r["n_tokens"], r["score"]) for r in got], key=key), strict=True):
+        assert (i, n) == r[:2] and r[2] == pytest.approx(s, abs=1e-6)
+
+
 def test_suffix_tree_without_training_rows(spark, frame):
     from pyspark.sql import functions as F
     docs = frame([(1, "a b"), (2, None)])
