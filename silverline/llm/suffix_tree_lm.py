@@ -212,7 +212,7 @@ def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
     grams = grams.withColumn("key", F.when(F.col("size") == 1, F.col("tail")).otherwise(F.xxhash64("context", "tail")))
     n, v, once, twice = grams.where("size = 1").agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    discount = once / (once + 2 * twice) if once else 0.0
+    discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
     states = _states(grams, n)
     own = states.select(F.col("key").alias("own"), "rest")
     above = states.select(F.col("key").alias("above"), "total")

@@ -127,7 +127,7 @@ class DictionaryTree:
         self.c = {s: c for s, c in self.c.items() if len(s) == 1 or c >= M.LEAST}
         ones = [c for s, c in self.c.items() if len(s) == 1]
         self.n, self.v, once = sum(ones), len(ones), ones.count(1)
-        self.discount = once / (once + 2 * ones.count(2)) if once else 0.0
+        self.discount = once / (once + 2 * max(ones.count(2), 1)) if once else 0.0
         followers = {}
         for s in self.c:
             if len(s) > 1:
