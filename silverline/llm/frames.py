@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from silverline.catalog import scratch_path
+from silverline.sources.fs import _fs_and_path
 
 
 def fold(id_col: Column, folds: int) -> Column:
@@ -32,3 +38,42 @@ def rows_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, whatever else (and whatever case) the input carries."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def packed(x: np.ndarray) -> bytes:
+    """A numeric array as compressed byte planes."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(raw: bytes, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8)
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(planes.reshape(width, len(planes) // width).T).reshape(-1).view(dtype)
+
+
+class Scratch:
+    """Tables of one run, under one folder of the shared checkpoint directory."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path = spark, scratch_path(spark, label)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self) -> None:
+        fs, path = _fs_and_path(self.spark, self.path)
+        fs.delete(path, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query go when it ends, not when the driver's garbage is collected."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -12,18 +12,24 @@ The root is the unigram distribution with absolute discounting, whose discount
 (estimated from the counts of counts) is the probability of an unseen word.
 
 Contexts and followers enter with LEAST occurrences at any corpus size, so the
-model grows with the corpus; it is a table and never on the driver. Sequences
-are counted by one aggregation. A sequence's id is the hash of the ids of its
-context (all but its last word) and of its tail (all but its first), so every
-sequence links to its suffix by a join. A context is retained when its
-distribution diverges from its suffix's by more than chance explains (weighted
-divergence over its followers against the chi-square mean plus three
-deviations); suffixes of retained contexts are retained too. A word is scored
-from the state of the longest retained suffix of the words before it.
-
-Texts are scored in blocks of BLOCK_TEXT bytes: a block asks for the ids of its
-sequences, each once, and gets the model's rows of them, so a frequent sequence
-has one row per block in the join, and a task holds one block and its rows.
+model grows with the corpus; it is a table and never on the driver. A sequence's
+id is the hash of the ids of its context (all but its last word) and of its tail
+(all but its first). A context is retained when its distribution diverges from
+its suffix's by more than chance explains (weighted divergence over its
+followers against the chi-square mean plus three deviations); suffixes of
+retained contexts are retained too. A word is scored from the state of the
+longest retained suffix of the words before it.
+
+Texts become blocks of word numbers, one row a block. Blocks and cells (ranges
+of the id space, about CELL_TOKENS tokens each) exchange sorted ids as compressed
+arrays: a block asks each cell for its distinct ids, the cell answers in the same
+order. Lengths go one after another, and a longer sequence is asked for only
+where the answers leave it a chance: in training where its context and its tail
+occur LEAST times, in scoring where its context is a state, or its suffix is and
+it may be one. Of the blocks that hold a sequence the first one owns it; as a
+block holds all parts of its sequences, owners write the model and the
+statistics of contexts without a join. Every id is sent once a block, so a
+frequent sequence has at most one entry a block and cells are even.
 
 Defined cases: a null, empty or word-less text is its end mark alone. With no
 training row N = V = 0 and every score is 0. A null doc_id is not held out.
@@ -33,24 +39,26 @@ Repeated documents are rows of their own; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silverline.catalog import stored
 from silverline.llm import flat_text as ft
-from silverline.llm.frames import held_out, only, rows_in
+from silverline.llm.frames import Scratch, held_out, only, packed, rows_in, shuffles_dropped, unpacked
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
 LEAST = 2               # a sequence seen once is no context
 DISCOUNT = 0.5
-COUNT_BYTES = 8 << 20   # text counted at once
-BLOCK_TEXT = 4 << 20    # bytes of a scored block; a longer text is a block of its own
+COUNT_BYTES = 8 << 20   # text of a block in training
+BLOCK_TEXT = 8 << 20    # and in scoring; a longer text is a block of its own
 ROW_BYTES = 64          # what a row adds to its block besides its text
+CELL_TOKENS = 4 << 20   # tokens a cell stands for
 END = int(ft.hash_words([b"\x00end"])[0])
 
 
@@ -88,88 +96,223 @@ def sequences(t: np.ndarray) -> list[np.ndarray]:
     return ids
 
 
-def _signed(keys: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(keys).view(np.int64))
+# ---------------------------------------------------------------- blocks and cells
 
+BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, lengths binary, words binary, places binary"
+ASKED = "size int, cell bigint, block bigint, keys binary, c binary"
+ANSWERS = "size int, cell bigint, block bigint, c binary, lost binary, m binary"
+MODEL = "size int, cell bigint, keys binary, c binary, lost binary, m binary, words bigint, once bigint, twice bigint"
+CONTEXTS = "size int, cell bigint, keys binary, suffix binary, total binary, above binary, m binary, kept binary, below binary, gain binary"
+STATES = "size int, cell bigint, keys binary, lost binary, m binary"
 
-COUNTED = "size int, context bigint, tail bigint, c bigint"
+_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
 
 
-def _sequence_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequences of some texts, counted; context and tail of a word are the word."""
-    names = [c.split()[0] for c in COUNTED.split(", ")]
-    for batch in rows_in(batches):
-        for _, _, data, offsets in ft.blocks(batch.column(0), COUNT_BYTES):
-            t, first = tokens(data, offsets)
-            ids = sequences(t)
-            for size in range(1, DEPTH + 2):
-                at, _ = ft.window_starts(first, size)
-                _, one, c = np.unique(ids[size - 1][at], return_index=True, return_counts=True)
-                at = at[one]
-                shorter = ids[max(size - 2, 0)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(at), size, np.int32)), _signed(shorter[at]), _signed(shorter[at + (size > 1)]),
-                    pa.array(c.astype(np.int64))], names)
+def _schema(ddl: str) -> pa.Schema:
+    return pa.schema([(c.split()[0], _TYPES[c.split()[1]]) for c in ddl.split(", ")])
 
 
-# ---------------------------------------------------------------- the tree
+def _batch(ddl: str, rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, _schema(ddl))
 
-@dataclass
-class Rows:
-    """Rows of the model by sorted id: word count (0: none), rest mass of a state and share of a follower (NaN: none)."""
-    keys: np.ndarray
-    counts: np.ndarray
-    rest: np.ndarray
-    share: np.ndarray
 
-    @classmethod
-    def of(cls, table: pa.Table) -> "Rows":
-        keys = table["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        return cls(keys[order], table["c"].fill_null(0).to_numpy()[order],
-                   *[table[x].fill_null(float("nan")).to_numpy()[order] for x in ("rest", "share")])
+def _sent(keys: np.ndarray) -> bytes:
+    """Sorted ids, by their steps."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
 
-    def at(self, values: np.ndarray, ids: np.ndarray, none: float) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(ids), none)
-        slot = np.minimum(np.searchsorted(self.keys, ids), len(self.keys) - 1)
-        return np.where(self.keys[slot] == ids, values[slot], none)
 
-    def weights(self, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _got(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
+
+
+def _joined(parts: list[np.ndarray], dtype: type) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype)
+
+
+def _by_cell(keys: np.ndarray, bits: int) -> list[tuple[int, slice]]:
+    """Cells that have some of the sorted ids, and which."""
+    if not len(keys):
+        return []
+    cell = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    edge = np.flatnonzero(np.diff(cell, prepend=-1))
+    return [(int(cell[low]), slice(low, high)) for low, high in zip(edge.tolist(), [*edge[1:].tolist(), len(keys)])]
+
+
+def _cell_bits(tokens: int, cell_tokens: int) -> int:
+    """Cells are a power of two, so that they grow with the corpus and are even."""
+    return max((max(tokens, 1) - 1) // cell_tokens, 0).bit_length()
+
+
+def _blocked(limit: int) -> Callable:
+    """Texts as blocks: distinct words, and the number of each token's word."""
+    def block(number: int, held: list) -> pa.Table:
+        t = np.concatenate([h[0] for h in held])
+        words, places = np.unique(t, return_inverse=True)
+        return _batch(BLOCKS, [{
+            "block": number, "doc_ids": [i for h in held for i in h[2]], "tokens": len(t),
+            "lengths": packed(np.concatenate([h[1] for h in held])), "words": _sent(words), "places": packed(places.astype(np.uint32))}])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in rows_in(batches):
+            for low, high, data, offsets in ft.blocks(batch.column(1), max(limit // 8, 1)):
+                t, first = tokens(data, offsets)
+                more = len(data) + ROW_BYTES * (high - low)
+                if held and size + more > limit:
+                    yield from block(number, held).to_batches()
+                    number, held, size = number + 1, [], 0
+                held.append((t, np.diff(first), batch.column(0).slice(low, high - low).to_pylist()))
+                size += more
+        if held:
+            yield from block(number, held).to_batches()
+    return run
+
+
+class Block:
+    """Tokens of a block, and what has been answered about its sequences."""
+
+    def __init__(self, t: np.ndarray, first: np.ndarray):
+        self.t, self.first, self.ids = t, first, sequences(t)
+        self.at: dict[int, np.ndarray] = {}         # first tokens of the sequences asked for
+        self.keys: dict[int, np.ndarray] = {}       # their ids, sorted, each once
+        self.place: dict[int, np.ndarray] = {}      # of `at` in `keys`
+        self.known: dict[int, dict[str, np.ndarray]] = {}   # by first token; 0: nothing
+
+    @classmethod
+    def of(cls, row: pa.Table) -> "Block":
+        t = _got(row["words"][0].as_py())[unpacked(row["places"][0].as_py(), np.uint32)]
+        return cls(t, np.concatenate([[0], np.cumsum(unpacked(row["lengths"][0].as_py(), np.int64))]))
+
+    def ask(self, size: int, chance: Callable) -> None:
+        at, _ = ft.window_starts(self.first, size)
+        if size > 2:
+            at = at[chance(self, size, at)]
+        self.at[size] = at
+        self.keys[size], self.place[size] = np.unique(self.ids[size - 1][at], return_inverse=True)
+
+    def learn(self, size: int, answer: dict[str, np.ndarray]) -> None:
+        """Values in the order of `keys`."""
+        self.known[size] = {}
+        for name, values in answer.items():
+            self.known[size][name] = np.zeros(len(self.t) + 1, np.int64)
+            self.known[size][name][self.at[size]] = values[self.place[size]]
+
+    def hear(self, answers: pa.Table | None, chance: Callable, longest: int = DEPTH + 1) -> None:
+        """All lengths answered so far, shortest first."""
+        rows = sorted(answers.to_pylist(), key=lambda r: (r["size"], r["cell"])) if answers is not None else []
+        for size in range(1, longest + 1):
+            self.ask(size, chance)
+            mine = [r for r in rows if r["size"] == size]
+            self.learn(size, {name: _joined([unpacked(r[name], np.int64) for r in mine], np.int64)
+                              for name in ("c", "lost", "m") if not mine or mine[0][name] is not None})
+
+    def weights(self) -> tuple[np.ndarray, np.ndarray]:
         """(a, b) of every token: its probability is a + b * root."""
-        a, b = np.zeros(len(t)), np.ones(len(t))
-        live = np.arange(len(t))
-        start = np.repeat(first[:-1], np.diff(first))
-        ids = sequences(t)
+        a, b = np.zeros(len(self.t)), np.ones(len(self.t))
+        live = np.arange(len(self.t))
+        start = np.repeat(self.first[:-1], np.diff(self.first))
         for d in range(1, DEPTH + 1):
             live = live[live - start[live] >= d]
-            rest = self.at(self.rest, ids[d - 1][live - d], np.nan)
-            live, rest = live[~np.isnan(rest)], rest[~np.isnan(rest)]
-            a[live] = np.nan_to_num(self.at(self.share, ids[d][live - d], 0.0)) + rest * a[live]
+            live = live[self.known[d]["m"][live - d] > 0]
+            total = self.known[d]["c"][live - d].astype(float)
+            rest = (self.known[d]["lost"][live - d] + DISCOUNT * self.known[d]["m"][live - d]) / total
+            a[live] = np.maximum(self.known[d + 1]["c"][live - d] - DISCOUNT, 0) / total + rest * a[live]
             b[live] *= rest
         return a, b
 
 
+def _frequent(block: Block, size: int, at: np.ndarray) -> np.ndarray:
+    """Training: context and tail occur often enough (the low bit of a count tells the owner)."""
+    c = block.known[size - 1]["c"]
+    return (c[at] >> 1 >= LEAST) & (c[at + 1] >> 1 >= LEAST)
+
+
+def _reachable(block: Block, size: int, at: np.ndarray) -> np.ndarray:
+    """Scoring: the context is a state, or the suffix is one and the sequence may be."""
+    m = block.known[size - 1]["m"]
+    return (m[at] > 0) | ((m[at + 1] > 0) if size <= DEPTH else False)
+
+
+def _asks(sizes: tuple[int, ...], bits: int, chance: Callable) -> Callable:
+    def run(blocks: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        rows = []
+        if blocks.num_rows:
+            block = Block.of(blocks)
+            block.hear(answers, chance, sizes[0] - 1)
+            for size in sizes:
+                block.ask(size, chance)
+                c = np.bincount(block.place[size], minlength=len(block.keys[size]))
+                rows += [{"size": size, "cell": cell, "block": blocks["block"][0].as_py(), "keys": _sent(block.keys[size][of]), "c": packed(c[of])}
+                         for cell, of in _by_cell(block.keys[size], bits)]
+        return _batch(ASKED, rows)
+    return run
+
+
+def _each(run: Callable) -> Callable:
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_in(rows):
+            for k in range(batch.num_rows):
+                yield from run(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
+    return batches
+
+
+def _answered(blocks: DataFrame, bits: int, chance: Callable, answer: Callable, scratch: Scratch, name: str) -> DataFrame:
+    """Answers to all blocks: lengths 1 and 2 together, then one by one."""
+    answers = None
+    for sizes in [(1, 2), *[(size,) for size in range(3, DEPTH + 2)]]:
+        asks = _asks(sizes, bits, chance)
+        asked = blocks.mapInArrow(_each(asks), ASKED) if answers is None else \
+            blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(asks, ASKED)
+        new = scratch.stored(answer(asked, sizes), f"{name}-{sizes[-1]}")
+        answers = new if answers is None else answers.unionByName(new)
+    return answers
+
+
+# ---------------------------------------------------------------- the tree
+
+class Rows:
+    """Rows of the model, decoded: counts of sequences; lost occurrences and followers of states."""
+
+    def __init__(self, model: pa.Table):
+        rows = model.to_pylist()
+        self.columns = {name: self._sorted([r for r in rows if r[name] is not None], name) for name in ("c", "lost", "m")}
+
+    @staticmethod
+    def _sorted(rows: list[dict], name: str) -> tuple[np.ndarray, np.ndarray]:
+        keys = _joined([_got(r["keys"]) for r in rows], np.uint64)
+        order = np.argsort(keys)
+        return keys[order], _joined([unpacked(r[name], np.int64) for r in rows], np.int64)[order]
+
+    def at(self, name: str, ids: np.ndarray) -> np.ndarray:
+        keys, values = self.columns[name]
+        if not len(keys):
+            return np.zeros(len(ids), np.int64)
+        slot = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
+        return np.where(keys[slot] == ids, values[slot], 0)
+
+
 @dataclass
 class Tree:
     n: int                                  # training tokens
     v: int                                  # distinct ones
     discount: float                         # of the root
-    model: DataFrame                        # key, context, c, rest, share
-    _seen: dict[bytes, Rows] = field(default_factory=dict)
+    bits: int                               # of the cells
+    model: DataFrame                        # MODEL
 
     def root(self, c: np.ndarray) -> np.ndarray:
         """Root probability of words by training count; 0: unseen."""
         return root(self.n, self.v, self.discount, c)
 
     def weights(self, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """As `Rows.weights`, for a few tokens: reads the states of their contexts and these' followers."""
-        contexts = np.unique(np.concatenate([ids[:-1] for ids in sequences(t)[:DEPTH]]))
-        if contexts.tobytes() not in self._seen:
-            wanted = contexts.view(np.int64).tolist()
-            rows = self.model.where(F.col("key").isin(wanted) | F.col("context").isin(wanted))
-            self._seen[contexts.tobytes()] = Rows.of(rows.toArrow())
-        return self._seen[contexts.tobytes()].weights(t, first)
+        """As `Block.weights`, for a few tokens: reads the cells of their sequences."""
+        block = Block(t, first)
+        cells = {cell for ids in block.ids for cell, _ in _by_cell(np.unique(ids), self.bits)}
+        rows = self.model.where(F.col("cell").isin(sorted(cells))).toArrow()
+        for size in range(1, DEPTH + 2):
+            found = Rows(rows.filter(pa.compute.equal(rows["size"], size)))
+            block.ask(size, _reachable)
+            block.learn(size, {name: found.at(name, block.keys[size]) for name in found.columns})
+        return block.weights()
 
 
 def root(n: int, v: int, discount: float, c: np.ndarray) -> np.ndarray:
@@ -177,52 +320,133 @@ def root(n: int, v: int, discount: float, c: np.ndarray) -> np.ndarray:
     return np.where(c > 0, np.maximum(c - discount, 0), unseen) / max(n, 1)
 
 
-def _states(grams: DataFrame, n: int) -> DataFrame:
-    """key, total and rest of the retained contexts."""
-    tails = grams.where(F.col("size") <= DEPTH).select(F.col("key").alias("_key"), F.col("c").alias("tail_c"))
-    linked = grams.where("size > 1").join(tails, F.col("tail") == F.col("_key"))
-    c = F.col("c").cast("double")
-    followed = linked.groupBy((F.col("size") - 1).alias("d"), "context").agg(
-        F.count("*").alias("m"), F.sum("c").alias("kept"), F.sum("tail_c").alias("below"),
-        F.sum(c * F.ln(c / F.col("tail_c"))).alias("gain"), F.sum(F.greatest(c - DISCOUNT, F.lit(0.0))).alias("mass"))
-    contexts = (grams.where("size = 1").select("key", F.col("c").alias("total"), F.lit(None).cast("bigint").alias("suffix"), F.lit(n).cast("bigint").alias("suffix_total"))
-                .unionByName(linked.where(F.col("size") <= DEPTH).select("key", F.col("c").alias("total"), F.col("tail").alias("suffix"), F.col("tail_c").alias("suffix_total"))))
-    lost = (F.col("total") - F.col("kept")).cast("double")
-    left = (F.col("suffix_total") - F.col("below")).cast("double")
-    divergence = F.col("gain") + F.col("kept") * F.ln(F.col("suffix_total").cast("double") / F.col("total")) + F.when(
-        (lost > 0) & (left > 0), lost * F.ln(F.try_divide(lost * F.col("suffix_total"), left * F.col("total")))).otherwise(0.0)
-    tested = stored(followed.join(contexts, F.col("context") == F.col("key")).select(
-        "d", "key", "suffix", "total", (1.0 - F.col("mass") / F.col("total")).alias("rest"),
-        (divergence > F.col("m") / 2 + 3 * F.sqrt(F.col("m") / 2) + 3).alias("passed")), "contexts")
-    retained = tested.where((F.col("d") == DEPTH) & F.col("passed"))
-    states = retained
-    for d in range(DEPTH - 1, 0, -1):      # a state's suffix is a state
-        needed = retained.select(F.col("suffix").alias("needed")).distinct()
-        retained = tested.where(F.col("d") == d).join(needed, F.col("key") == F.col("needed"), "left") \
-            .where(F.col("passed") | F.col("needed").isNotNull()).drop("needed")
-        states = states.unionByName(retained)
-    return stored(states.select("key", "total", "rest"), "states")
+def _counts(asked: pa.Table) -> pa.Table:
+    """Training: twice the occurrences of each sequence (0: too few), plus one for the first block that has it."""
+    rows = sorted(asked.to_pylist(), key=lambda r: r["block"])
+    keys = [_got(r["keys"]) for r in rows]
+    _, one, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.zeros(len(one), np.int64)
+    np.add.at(total, place, np.concatenate([unpacked(r["c"], np.int64) for r in rows]))
+    if rows[0]["size"] > 1:
+        total[total < LEAST] = 0
+    c = 2 * total[place]
+    c[one] += total > 0
+    end = np.cumsum([len(k) for k in keys])
+    return _batch(ANSWERS, [{"size": r["size"], "cell": r["cell"], "block": r["block"], "c": packed(c[high - len(k):high])}
+                            for r, k, high in zip(rows, keys, end)])
+
+
+def _owned(block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By length: ids of the block's own sequences and a first token of each."""
+    for size in range(1, DEPTH + 2):
+        token = np.zeros(len(block.keys[size]), np.int64)
+        token[block.place[size]] = block.at[size]
+        mine = block.known[size]["c"][token] & 1 > 0
+        yield size, block.keys[size][mine], token[mine]
+
+
+def _written(bits: int) -> Callable:
+    """Counts of the block's own sequences, as rows of the model."""
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = []
+        if blocks.num_rows:
+            block = Block.of(blocks)
+            block.hear(answers, _frequent)
+            for size, keys, token in _owned(block):
+                c = block.known[size]["c"][token] >> 1
+                for cell, of in _by_cell(keys, bits):
+                    words = {"words": len(c[of]), "once": int((c[of] == 1).sum()), "twice": int((c[of] == 2).sum())} if size == 1 else {}
+                    rows.append({"size": size, "cell": cell, "keys": _sent(keys[of]), "c": packed(c[of]), **words})
+        return _batch(MODEL, rows)
+    return run
+
+
+def _contexts(n: int, bits: int) -> Callable:
+    """Statistics of contexts from the block's own sequences: what follows, how often, and how often after the suffix."""
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = []
+        if blocks.num_rows:
+            block = Block.of(blocks)
+            block.hear(answers, _frequent)
+            count = {size: known["c"] >> 1 for size, known in block.known.items()}
+            for size, _, token in _owned(block):
+                if size == 1:
+                    continue
+                d = size - 1
+                c, tail = count[size][token], count[d][token + 1]
+                keys, one, place = np.unique(block.ids[d - 1][token], return_index=True, return_inverse=True)
+                at = token[one]
+                sums = {"m": np.bincount(place, minlength=len(keys)), "kept": np.bincount(place, c, len(keys)).astype(np.int64),
+                        "below": np.bincount(place, tail, len(keys)).astype(np.int64), "gain": np.bincount(place, c * np.log(c / tail), len(keys)),
+                        "total": count[d][at], "above": count[d - 1][at + 1] if d > 1 else np.full(len(at), n),
+                        "suffix": block.ids[d - 2][at + 1] if d > 1 else np.zeros(len(at), np.uint64)}
+                rows += [{"size": d, "cell": cell, "keys": _sent(keys[of]), **{name: packed(x[of]) for name, x in sums.items()}}
+                         for cell, of in _by_cell(keys, bits)]
+        return _batch(CONTEXTS, rows)
+    return run
+
+
+def _retained(d: int, bits: int) -> Callable:
+    """States of d words, and, without `m`, the suffixes that they need."""
+    def run(contexts: pa.Table, needed: pa.Table | None) -> pa.Table:
+        found = contexts.to_pylist()
+        if not found:
+            return _batch(STATES, [])
+
+        def column(name: str, dtype: type) -> np.ndarray:
+            return np.concatenate([unpacked(r[name], dtype) for r in found])
+
+        keys, one, place = np.unique(np.concatenate([_got(r["keys"]) for r in found]), return_index=True, return_inverse=True)
+        m, kept, below, gain = (np.bincount(place, column(x, np.float64 if x == "gain" else np.int64), len(keys)) for x in ("m", "kept", "below", "gain"))
+        total, above, suffix = column("total", np.int64)[one], column("above", np.int64)[one], column("suffix", np.uint64)[one]
+        lost, left = total - kept, above - below
+        both = (lost > 0) & (left > 0)
+        divergence = gain + kept * np.log(above / total)
+        divergence[both] += lost[both] * np.log(lost[both] * above[both] / (left[both] * total[both]))
+        state = divergence > m / 2 + 3 * np.sqrt(m / 2) + 3
+        if needed is not None and needed.num_rows:
+            state |= np.isin(keys, np.concatenate([_got(x.as_py()) for x in needed["keys"]]))
+        rows = [{"size": d, "cell": found[0]["cell"], "keys": _sent(keys[state]),
+                 "lost": packed(lost[state].astype(np.int64)), "m": packed(m[state].astype(np.int64))}]
+        if d > 1:
+            wanted = np.unique(suffix[state])
+            rows += [{"size": d - 1, "cell": cell, "keys": _sent(wanted[of])} for cell, of in _by_cell(wanted, bits)]
+        return _batch(STATES, rows)
+    return run
+
+
+def _states(contexts: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
+    """Rows of the model of all states; a state's suffix is one too."""
+    states, found = None, None
+    for d in range(DEPTH, 0, -1):
+        grouped = contexts.where(F.col("size") == d).groupBy("cell")
+        retained = _retained(d, bits)
+        found = grouped.applyInArrow(lambda rows: retained(rows, None), STATES) if found is None else \
+            grouped.cogroup(found.where("m IS NULL").groupBy("cell")).applyInArrow(retained, STATES)
+        found = scratch.stored(found, f"states-{d}")
+        states = found if states is None else states.unionByName(found)
+    return states.where("m IS NOT NULL")
 
 
 def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
-    """The tree, and its table: key, context, c (of words), rest (of states), share (of their followers)."""
-    texts = only(docs, "doc_id", "text").where(learn).select("text")
-    grams = stored(texts.mapInArrow(_sequence_counts, COUNTED).groupBy("size", "context", "tail").agg(F.sum("c").alias("c"))
-                   .where(f"size = 1 OR c >= {LEAST}"), "sequences")
-    grams = grams.withColumn("key", F.when(F.col("size") == 1, F.col("tail")).otherwise(F.xxhash64("context", "tail")))
-    n, v, once, twice = grams.where("size = 1").agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+    """The tree, and its table: per length and cell the ids and counts of sequences, and the ids, lost
+    occurrences and followers of states."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "suffix-tree")
+    with shuffles_dropped(spark):
+        texts = only(docs, "doc_id", "text").where(learn).select(F.lit(None).cast("bigint").alias("doc_id"), "text")
+        blocks = scratch.stored(texts.mapInArrow(_blocked(COUNT_BYTES), BLOCKS), "blocks")
+        n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+        bits = _cell_bits(n, CELL_TOKENS)
+        answers = _answered(blocks, bits, _frequent, lambda asked, _: asked.groupBy("size", "cell").applyInArrow(_counts, ANSWERS), scratch, "counts")
+        heard = blocks.groupBy("block").cogroup(answers.groupBy("block"))
+        contexts = scratch.stored(heard.applyInArrow(_contexts(n, bits), CONTEXTS), "contexts")
+        counts = scratch.stored(heard.applyInArrow(_written(bits), MODEL), "written")
+        model = stored(counts.unionByName(_states(contexts, bits, scratch), allowMissingColumns=True), "model")
+        v, once, twice = model.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
+        scratch.drop()
     discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
-    states = _states(grams, n)
-    own = states.select(F.col("key").alias("own"), "rest")
-    above = states.select(F.col("key").alias("above"), "total")
-    word = F.col("size") == 1
-    model = stored(
-        grams.join(own, F.col("key") == F.col("own"), "left").join(above, F.col("context") == F.col("above"), "left").select(
-            "key", F.when(~word, F.col("context")).alias("context"), F.when(word, F.col("c")).alias("c"), "rest",
-            F.when(~word, F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("share"))
-        .where("c IS NOT NULL OR rest IS NOT NULL OR share IS NOT NULL"), "model")
-    return Tree(n, v, discount, model), model
+    return Tree(n, v, discount, bits, model), model
 
 
 # ---------------------------------------------------------------- scoring
@@ -230,57 +454,51 @@ def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
 SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the number of their block."""
-    task, size = TaskContext.get().partitionId(), 0
-    for batch in rows_in(batches):
-        _, offsets = ft.flatten(batch.column(1))
-        end = size + np.cumsum(np.diff(offsets) + ROW_BYTES)
-        block = (task << 32) + np.concatenate([[size], end[:-1]]) // BLOCK_TEXT
-        size = int(end[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int64)), *batch.columns], ["block", "doc_id", "text"])
-
-
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of all sequences of each block."""
-    for batch in rows_in(batches):
-        block = batch.column(0).to_numpy()
-        edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
-        for low, high in zip(edge[:-1], edge[1:]):
-            for _, _, data, offsets in ft.blocks(batch.column(1).slice(low, high - low), 2 * BLOCK_TEXT):
-                t, first = tokens(data, offsets)
-                for size, ids in enumerate(sequences(t), 1):
-                    keys = np.unique(ids[ft.window_starts(first, size)[0]])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block[low])), _signed(keys)], ["block", "key"])
+def _found(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """Counts, and of states the lost occurrences and followers, in the order asked."""
+    rows = asked.to_pylist()
+    found = Rows(model) if rows else None
+    out = []
+    for r in rows:
+        keys = _got(r["keys"])
+        out.append({"size": r["size"], "cell": r["cell"], "block": r["block"],
+                    **{name: packed(found.at(name, keys)) for name in found.columns}})
+    return _batch(ANSWERS, out)
 
 
 def _scored(n: int, v: int, discount: float) -> Callable:
-    names = [c.split()[0] for c in SCORED.split(", ")]
     floor = np.log10(n + v + 1)
 
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        model, parts = Rows.of(found), []
-        ids = texts["doc_id"].combine_chunks()
-        for low, high, data, offsets in ft.blocks(texts["text"]):
-            t, first = tokens(data, offsets)
-            doc = np.repeat(np.arange(high - low), np.diff(first))
-            a, b = model.weights(t, first)
-            c = model.at(model.counts, t, 0)
-            p = a + b * root(n, v, discount, c)
-            known, base, score = (np.bincount(doc, x, high - low) for x in (c > 0, np.log10(c + 1.0) - floor, np.log10(np.maximum(p, 1e-300))))
-            parts.append(pa.Table.from_arrays([
-                ids.slice(low, high - low), pa.array(np.diff(first)), pa.array(known.astype(np.int64)),
-                pa.array(np.full(high - low, n, np.int64)), pa.array(base), pa.array(score)], names))
-        return pa.concat_tables(parts)
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        if not blocks.num_rows:
+            return _batch(SCORED, [])
+        block = Block.of(blocks)
+        block.hear(answers, _reachable)
+        docs = len(block.first) - 1
+        doc = np.repeat(np.arange(docs), np.diff(block.first))
+        a, b = block.weights()
+        c = block.known[1]["c"][:-1]
+        p = a + b * root(n, v, discount, c)
+        known, base, score = (np.bincount(doc, x, docs) for x in (c > 0, np.log10(c + 1.0) - floor, np.log10(np.maximum(p, 1e-300))))
+        return pa.Table.from_arrays([
+            blocks["doc_ids"].combine_chunks().flatten(), pa.array(np.diff(block.first)), pa.array(known.astype(np.int64)),
+            pa.array(np.full(docs, n, np.int64)), pa.array(base), pa.array(score)], schema=_schema(SCORED))
     return run
 
 
 def score(docs: DataFrame, tree: Tree, model: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every document row."""
-    texts = stored(only(docs, "doc_id", "text").mapInArrow(_blocked, "block bigint, doc_id bigint, text string"), "blocks")
-    asked = texts.select("block", "text").mapInArrow(_asked, "block bigint, key bigint")
-    found = asked.join(model.select("key", "c", "rest", "share"), "key").select("block", "key", "c", "rest", "share")
-    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_scored(tree.n, tree.v, tree.discount), SCORED)
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "suffix-tree-scores")
+
+    def answer(asked: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+        rows = model.where(F.col("size").isin(*sizes))
+        return asked.groupBy("size", "cell").cogroup(rows.groupBy("size", "cell")).applyInArrow(_found, ANSWERS)
+
+    with shuffles_dropped(spark):
+        blocks = scratch.stored(only(docs, "doc_id", "text").mapInArrow(_blocked(BLOCK_TEXT), BLOCKS), "blocks")
+        answers = _answered(blocks, tree.bits, _reachable, answer, scratch, "found")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(tree.n, tree.v, tree.discount), SCORED)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

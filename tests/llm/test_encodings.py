@@ -178,6 +178,24 @@ def test_suffix_tree_scores_against_dictionary_tree(spark, frame, monkeypatch):
         assert (i, n) == r[:2] and r[2] == pytest.approx(s, abs=1e-6)
 
 
+def test_suffix_tree_over_many_cells(spark, frame, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = list(enumerate(lm_texts())) + [(1003, "w1 " * 700), (None, None)]
+    df = frame(rows)
+
+    def scores():
+        tree, model = M.train(df, F.coalesce(F.col("doc_id") % 7 != 2, F.lit(True)))
+        got = M.score(df, tree, model).collect()
+        return tree.bits, sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_known"], round(r["score"], 9)) for r in got)
+
+    one, expected = scores()
+    monkeypatch.setattr(M, "CELL_TOKENS", 1000)
+    monkeypatch.setattr(M, "COUNT_BYTES", 2000)
+    monkeypatch.setattr(M, "BLOCK_TEXT", 3000)
+    many, got = scores()
+    assert one == 0 and many >= 3 and got == expected
+
+
 def test_suffix_tree_without_training_rows(spark, frame):
     from pyspark.sql import functions as F
     docs = frame([(1, "a b"), (2, None)])
