@@ -47,7 +47,6 @@ import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from silverline.catalog import stored
 from silverline.llm import flat_text as ft
 from silverline.llm.frames import Scratch, held_out, only, packed, rows_in, shuffles_dropped, unpacked
 
@@ -101,8 +100,7 @@ def sequences(t: np.ndarray) -> list[np.ndarray]:
 BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, lengths binary, words binary, places binary"
 ASKED = "size int, cell bigint, block bigint, keys binary, c binary"
 ANSWERS = "size int, cell bigint, block bigint, c binary, lost binary, m binary"
-MODEL = "size int, cell bigint, keys binary, c binary, lost binary, m binary, words bigint, once bigint, twice bigint"
-CONTEXTS = "size int, cell bigint, keys binary, suffix binary, total binary, above binary, m binary, kept binary, below binary, gain binary"
+WRITTEN = "size int, cell bigint, keys binary, c binary, words bigint, once bigint, twice bigint, suffix binary, total binary, above binary, m binary, kept binary, below binary, gain binary"
 STATES = "size int, cell bigint, keys binary, lost binary, m binary"
 
 _TYPES = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
@@ -171,8 +169,9 @@ def _blocked(limit: int) -> Callable:
 class Block:
     """Tokens of a block, and what has been answered about its sequences."""
 
-    def __init__(self, t: np.ndarray, first: np.ndarray):
-        self.t, self.first, self.ids = t, first, sequences(t)
+    def __init__(self, words: np.ndarray, places: np.ndarray, first: np.ndarray):
+        self.words, self.places, self.first = words, places, first
+        self.ids = [words[places]]                  # by length, by first token
         self.at: dict[int, np.ndarray] = {}         # first tokens of the sequences asked for
         self.keys: dict[int, np.ndarray] = {}       # their ids, sorted, each once
         self.place: dict[int, np.ndarray] = {}      # of `at` in `keys`
@@ -180,10 +179,15 @@ class Block:
 
     @classmethod
     def of(cls, row: pa.Table) -> "Block":
-        t = _got(row["words"][0].as_py())[unpacked(row["places"][0].as_py(), np.uint32)]
-        return cls(t, np.concatenate([[0], np.cumsum(unpacked(row["lengths"][0].as_py(), np.int64))]))
+        return cls(_got(row["words"][0].as_py()), unpacked(row["places"][0].as_py(), np.uint32),
+                   np.concatenate([[0], np.cumsum(unpacked(row["lengths"][0].as_py(), np.int64))]))
 
     def ask(self, size: int, chance: Callable) -> None:
+        if size == 1:
+            self.at[1], self.keys[1], self.place[1] = np.arange(len(self.places)), self.words, self.places
+            return
+        if size > len(self.ids):
+            self.ids.append(linked_id(self.ids[-1][:-1], self.ids[-1][1:]))
         at, _ = ft.window_starts(self.first, size)
         if size > 2:
             at = at[chance(self, size, at)]
@@ -194,7 +198,7 @@ class Block:
         """Values in the order of `keys`."""
         self.known[size] = {}
         for name, values in answer.items():
-            self.known[size][name] = np.zeros(len(self.t) + 1, np.int64)
+            self.known[size][name] = np.zeros(len(self.places) + 1, np.int64)
             self.known[size][name][self.at[size]] = values[self.place[size]]
 
     def hear(self, answers: pa.Table | None, chance: Callable, longest: int = DEPTH + 1) -> None:
@@ -208,8 +212,8 @@ class Block:
 
     def weights(self) -> tuple[np.ndarray, np.ndarray]:
         """(a, b) of every token: its probability is a + b * root."""
-        a, b = np.zeros(len(self.t)), np.ones(len(self.t))
-        live = np.arange(len(self.t))
+        a, b = np.zeros(len(self.places)), np.ones(len(self.places))
+        live = np.arange(len(self.places))
         start = np.repeat(self.first[:-1], np.diff(self.first))
         for d in range(1, DEPTH + 1):
             live = live[live - start[live] >= d]
@@ -233,7 +237,7 @@ def _reachable(block: Block, size: int, at: np.ndarray) -> np.ndarray:
     return (m[at] > 0) | ((m[at + 1] > 0) if size <= DEPTH else False)
 
 
-def _asks(sizes: tuple[int, ...], bits: int, chance: Callable) -> Callable:
+def _asks(sizes: tuple[int, ...], bits: int, chance: Callable, counted: bool) -> Callable:
     def run(blocks: pa.Table, answers: pa.Table | None = None) -> pa.Table:
         rows = []
         if blocks.num_rows:
@@ -241,8 +245,9 @@ def _asks(sizes: tuple[int, ...], bits: int, chance: Callable) -> Callable:
             block.hear(answers, chance, sizes[0] - 1)
             for size in sizes:
                 block.ask(size, chance)
-                c = np.bincount(block.place[size], minlength=len(block.keys[size]))
-                rows += [{"size": size, "cell": cell, "block": blocks["block"][0].as_py(), "keys": _sent(block.keys[size][of]), "c": packed(c[of])}
+                c = np.bincount(block.place[size], minlength=len(block.keys[size])) if counted else None
+                rows += [{"size": size, "cell": cell, "block": blocks["block"][0].as_py(), "keys": _sent(block.keys[size][of]),
+                          "c": packed(c[of]) if counted else None}
                          for cell, of in _by_cell(block.keys[size], bits)]
         return _batch(ASKED, rows)
     return run
@@ -260,7 +265,7 @@ def _answered(blocks: DataFrame, bits: int, chance: Callable, answer: Callable,
     """Answers to all blocks: lengths 1 and 2 together, then one by one."""
     answers = None
     for sizes in [(1, 2), *[(size,) for size in range(3, DEPTH + 2)]]:
-        asks = _asks(sizes, bits, chance)
+        asks = _asks(sizes, bits, chance, chance is _frequent)
         asked = blocks.mapInArrow(_each(asks), ASKED) if answers is None else \
             blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(asks, ASKED)
         new = scratch.stored(answer(asked, sizes), f"{name}-{sizes[-1]}")
@@ -275,20 +280,23 @@ class Rows:
 
     def __init__(self, model: pa.Table):
         rows = model.to_pylist()
-        self.columns = {name: self._sorted([r for r in rows if r[name] is not None], name) for name in ("c", "lost", "m")}
-
-    @staticmethod
-    def _sorted(rows: list[dict], name: str) -> tuple[np.ndarray, np.ndarray]:
-        keys = _joined([_got(r["keys"]) for r in rows], np.uint64)
-        order = np.argsort(keys)
-        return keys[order], _joined([unpacked(r[name], np.int64) for r in rows], np.int64)[order]
-
-    def at(self, name: str, ids: np.ndarray) -> np.ndarray:
-        keys, values = self.columns[name]
-        if not len(keys):
-            return np.zeros(len(ids), np.int64)
-        slot = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-        return np.where(keys[slot] == ids, values[slot], 0)
+        self.groups = []
+        for names in (("c",), ("lost", "m")):
+            mine = [r for r in rows if r[names[0]] is not None]
+            keys = _joined([_got(r["keys"]) for r in mine], np.uint64)
+            order = np.argsort(keys)
+            self.groups.append((keys[order], {x: _joined([unpacked(r[x], np.int64) for r in mine], np.int64)[order] for x in names}))
+
+    def at(self, ids: np.ndarray) -> dict[str, np.ndarray]:
+        """c, lost and m of some ids; 0: none."""
+        out = {}
+        for keys, columns in self.groups:
+            slot = np.minimum(np.searchsorted(keys, ids), max(len(keys) - 1, 0))
+            same = keys[slot] == ids if len(keys) else np.zeros(len(ids), bool)
+            for name, values in columns.items():
+                out[name] = np.zeros(len(ids), np.int64)
+                out[name][same] = values[slot[same]]
+        return out
 
 
 @dataclass
@@ -297,7 +305,7 @@ class Tree:
     v: int                                  # distinct ones
     discount: float                         # of the root
     bits: int                               # of the cells
-    model: DataFrame                        # MODEL
+    model: DataFrame                        # size, cell, keys, c, lost, m
 
     def root(self, c: np.ndarray) -> np.ndarray:
         """Root probability of words by training count; 0: unseen."""
@@ -305,13 +313,13 @@ class Tree:
 
     def weights(self, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As `Block.weights`, for a few tokens: reads the cells of their sequences."""
-        block = Block(t, first)
-        cells = {cell for ids in block.ids for cell, _ in _by_cell(np.unique(ids), self.bits)}
+        block = Block(*np.unique(t, return_inverse=True), first)
+        cells = {cell for ids in sequences(t) for cell, _ in _by_cell(np.unique(ids), self.bits)}
         rows = self.model.where(F.col("cell").isin(sorted(cells))).toArrow()
         for size in range(1, DEPTH + 2):
             found = Rows(rows.filter(pa.compute.equal(rows["size"], size)))
             block.ask(size, _reachable)
-            block.learn(size, {name: found.at(name, block.keys[size]) for name in found.columns})
+            block.learn(size, found.at(block.keys[size]))
         return block.weights()
 
 
@@ -324,9 +332,10 @@ def _counts(asked: pa.Table) -> pa.Table:
     """Training: twice the occurrences of each sequence (0: too few), plus one for the first block that has it."""
     rows = sorted(asked.to_pylist(), key=lambda r: r["block"])
     keys = [_got(r["keys"]) for r in rows]
-    _, one, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.zeros(len(one), np.int64)
-    np.add.at(total, place, np.concatenate([unpacked(r["c"], np.int64) for r in rows]))
+    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(place, np.concatenate([unpacked(r["c"], np.int64) for r in rows])).astype(np.int64)     # exact below 2^53
+    one = np.empty(len(total), np.int64)
+    one[place[::-1]] = np.arange(len(place))[::-1]      # the last written, so the first block
     if rows[0]["size"] > 1:
         total[total < LEAST] = 0
     c = 2 * total[place]
@@ -345,44 +354,33 @@ def _owned(block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield size, block.keys[size][mine], token[mine]
 
 
-def _written(bits: int) -> Callable:
-    """Counts of the block's own sequences, as rows of the model."""
+def _written(n: int, bits: int) -> Callable:
+    """From the block's own sequences: their counts, as rows of the model, and statistics of their contexts
+    (what follows, how often, and how often after the suffix), as rows without `c`."""
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         if blocks.num_rows:
             block = Block.of(blocks)
             block.hear(answers, _frequent)
+            count = {size: known["c"] >> 1 for size, known in block.known.items()}
             for size, keys, token in _owned(block):
-                c = block.known[size]["c"][token] >> 1
+                c = count[size][token]
                 for cell, of in _by_cell(keys, bits):
                     words = {"words": len(c[of]), "once": int((c[of] == 1).sum()), "twice": int((c[of] == 2).sum())} if size == 1 else {}
                     rows.append({"size": size, "cell": cell, "keys": _sent(keys[of]), "c": packed(c[of]), **words})
-        return _batch(MODEL, rows)
-    return run
-
-
-def _contexts(n: int, bits: int) -> Callable:
-    """Statistics of contexts from the block's own sequences: what follows, how often, and how often after the suffix."""
-    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = []
-        if blocks.num_rows:
-            block = Block.of(blocks)
-            block.hear(answers, _frequent)
-            count = {size: known["c"] >> 1 for size, known in block.known.items()}
-            for size, _, token in _owned(block):
                 if size == 1:
                     continue
-                d = size - 1
-                c, tail = count[size][token], count[d][token + 1]
-                keys, one, place = np.unique(block.ids[d - 1][token], return_index=True, return_inverse=True)
-                at = token[one]
-                sums = {"m": np.bincount(place, minlength=len(keys)), "kept": np.bincount(place, c, len(keys)).astype(np.int64),
-                        "below": np.bincount(place, tail, len(keys)).astype(np.int64), "gain": np.bincount(place, c * np.log(c / tail), len(keys)),
+                d, tail = size - 1, count[size - 1][token + 1]
+                contexts, place = np.unique(block.ids[d - 1][token], return_inverse=True)
+                at = np.empty(len(contexts), np.int64)
+                at[place] = token
+                sums = {"m": np.bincount(place, minlength=len(at)), "kept": np.bincount(place, c, len(at)).astype(np.int64),
+                        "below": np.bincount(place, tail, len(at)).astype(np.int64), "gain": np.bincount(place, c * np.log(c / tail), len(at)),
                         "total": count[d][at], "above": count[d - 1][at + 1] if d > 1 else np.full(len(at), n),
                         "suffix": block.ids[d - 2][at + 1] if d > 1 else np.zeros(len(at), np.uint64)}
-                rows += [{"size": d, "cell": cell, "keys": _sent(keys[of]), **{name: packed(x[of]) for name, x in sums.items()}}
-                         for cell, of in _by_cell(keys, bits)]
-        return _batch(CONTEXTS, rows)
+                rows += [{"size": d, "cell": cell, "keys": _sent(contexts[of]), **{name: packed(x[of]) for name, x in sums.items()}}
+                         for cell, of in _by_cell(contexts, bits)]
+        return _batch(WRITTEN, rows)
     return run
 
 
@@ -432,19 +430,18 @@ def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
     """The tree, and its table: per length and cell the ids and counts of sequences, and the ids, lost
     occurrences and followers of states."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "suffix-tree")
+    scratch, lasting = Scratch(spark, "suffix-tree"), Scratch(spark, "suffix-tree-model")
     with shuffles_dropped(spark):
         texts = only(docs, "doc_id", "text").where(learn).select(F.lit(None).cast("bigint").alias("doc_id"), "text")
         blocks = scratch.stored(texts.mapInArrow(_blocked(COUNT_BYTES), BLOCKS), "blocks")
         n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
         bits = _cell_bits(n, CELL_TOKENS)
         answers = _answered(blocks, bits, _frequent, lambda asked, _: asked.groupBy("size", "cell").applyInArrow(_counts, ANSWERS), scratch, "counts")
-        heard = blocks.groupBy("block").cogroup(answers.groupBy("block"))
-        contexts = scratch.stored(heard.applyInArrow(_contexts(n, bits), CONTEXTS), "contexts")
-        counts = scratch.stored(heard.applyInArrow(_written(bits), MODEL), "written")
-        model = stored(counts.unionByName(_states(contexts, bits, scratch), allowMissingColumns=True), "model")
-        v, once, twice = model.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
+        written = lasting.stored(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_written(n, bits), WRITTEN), "written")
         scratch.drop()
+        counts = written.where("c IS NOT NULL").select("size", "cell", "keys", "c", "words", "once", "twice")
+        model = counts.unionByName(_states(written.where("c IS NULL"), bits, lasting), allowMissingColumns=True)
+        v, once, twice = counts.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
     discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
     return Tree(n, v, discount, bits, model), model
 
@@ -460,9 +457,8 @@ def _found(asked: pa.Table, model: pa.Table) -> pa.Table:
     found = Rows(model) if rows else None
     out = []
     for r in rows:
-        keys = _got(r["keys"])
         out.append({"size": r["size"], "cell": r["cell"], "block": r["block"],
-                    **{name: packed(found.at(name, keys)) for name in found.columns}})
+                    **{name: packed(x) for name, x in found.at(_got(r["keys"])).items()}})
     return _batch(ANSWERS, out)
 
 
