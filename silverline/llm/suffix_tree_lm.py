@@ -430,18 +430,19 @@ def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
     """The tree, and its table: per length and cell the ids and counts of sequences, and the ids, lost
     occurrences and followers of states."""
     spark = docs.sparkSession
-    scratch, lasting = Scratch(spark, "suffix-tree"), Scratch(spark, "suffix-tree-model")
+    scratch, statistics, lasting = (Scratch(spark, f"suffix-tree-{x}") for x in ("blocks", "statistics", "model"))
     with shuffles_dropped(spark):
         texts = only(docs, "doc_id", "text").where(learn).select(F.lit(None).cast("bigint").alias("doc_id"), "text")
         blocks = scratch.stored(texts.mapInArrow(_blocked(COUNT_BYTES), BLOCKS), "blocks")
         n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
         bits = _cell_bits(n, CELL_TOKENS)
         answers = _answered(blocks, bits, _frequent, lambda asked, _: asked.groupBy("size", "cell").applyInArrow(_counts, ANSWERS), scratch, "counts")
-        written = lasting.stored(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_written(n, bits), WRITTEN), "written")
+        written = statistics.stored(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_written(n, bits), WRITTEN), "written")
         scratch.drop()
-        counts = written.where("c IS NOT NULL").select("size", "cell", "keys", "c", "words", "once", "twice")
+        counts = lasting.stored(written.where("c IS NOT NULL").select("size", "cell", "keys", "c", "words", "once", "twice"), "counts")
         model = counts.unionByName(_states(written.where("c IS NULL"), bits, lasting), allowMissingColumns=True)
         v, once, twice = counts.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
+        statistics.drop()
     discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
     return Tree(n, v, discount, bits, model), model
 
