@@ -16,11 +16,14 @@ plus idempotent sinks:
 * the stateful form keeps the winner of a key in the state store, as a session
   that lasts until no copy has arrived for a horizon, and appends it once then.
   Its target holds each key once, so reading it is a plain scan, and its state
-  holds the keys of the last horizon only.
+  holds the keys of the last horizon only. The state is RocksDB's, on local disk
+  with changes logged to the checkpoint, so its size is not bounded by the heap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,6 +34,26 @@ from silverline.sources import fs
 
 
 CORRUPT = "_corrupt_record"
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",         # of all partitions of an executor together
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1500",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",    # each write would read the key first
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """New streaming queries keep their state in RocksDB; a checkpoint goes on with the store it was begun with."""
+    before = {key: spark.conf.get(key, None) for key in STATE_ON_DISK}
+    for key, value in STATE_ON_DISK.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _file_stream(spark: SparkSession, landing_dir: str, schema: StructType, fmt: str, options: dict) -> DataFrame:
@@ -147,9 +170,10 @@ def dedupe_stateful(spark: SparkSession, landing_dir: str, target_dir: str, chec
     settled = stateful_latest(good_rows(landed), keys, order, arrived, horizon)
     runs = [(settled, target_dir, checkpoint),
             (_file_stream(spark, landing_dir, schema, fmt, options).where(F.col(CORRUPT).isNotNull()), f"{target_dir}_quarantine", f"{checkpoint}_quarantine")]
-    for frame, target, at in runs:
-        (frame.writeStream.format("parquet").outputMode("append").option("checkpointLocation", at)
-         .trigger(availableNow=True).start(target).awaitTermination())
+    with state_on_disk(spark):
+        for frame, target, at in runs:
+            (frame.writeStream.format("parquet").outputMode("append").option("checkpointLocation", at)
+             .trigger(availableNow=True).start(target).awaitTermination())
 
 
 def heartbeat(spark: SparkSession, schema: StructType, arrived: str, at: str) -> DataFrame:

@@ -68,3 +68,15 @@ def test_state_not_rescans(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).csv(str(tmp_path)).where("id > 0")
     plan = I.stateful_latest(stream, ["id"], ORDER, "at", "7 days")._jdf.queryExecution().logical().toString()
     assert "EventTimeWatermark" in plan and "session_window" in plan
+
+
+def test_state_is_on_disk_and_settings_are_put_back(job, spark, tmp_path):
+    land, run, beat, _ = job
+    before = {key: spark.conf.get(key, None) for key in I.STATE_ON_DISK}
+    land([(1, 5), (2, 1)], 1)
+    run()
+    beat(20)
+    assert run() == [(1, 5), (2, 1)]
+    kinds = {p.suffix for p in (tmp_path / "checkpoint" / "state").rglob("*") if p.is_file() and not p.name.startswith(".")}
+    assert ".changelog" in kinds and ".delta" not in kinds
+    assert before == {key: spark.conf.get(key, None) for key in I.STATE_ON_DISK}
