@@ -167,15 +167,15 @@ def _blocked(limit: int) -> Callable:
 
 
 class Block:
-    """Tokens of a block, and what has been answered about its sequences."""
+    """Tokens of a block, and what has been answered about its sequences. Ids, keys
+    and answers are kept once a distinct sequence, a token holds their place only."""
 
     def __init__(self, words: np.ndarray, places: np.ndarray, first: np.ndarray):
-        self.words, self.places, self.first = words, places, first
+        self.words, self.places, self.first = words, places.astype(np.int32), first
         self.ids = [words[places]]                  # by length, by first token
-        self.at: dict[int, np.ndarray] = {}         # first tokens of the sequences asked for
-        self.keys: dict[int, np.ndarray] = {}       # their ids, sorted, each once
-        self.place: dict[int, np.ndarray] = {}      # of `at` in `keys`
-        self.known: dict[int, dict[str, np.ndarray]] = {}   # by first token; 0: nothing
+        self.keys: dict[int, np.ndarray] = {}       # ids of the sequences asked for, sorted, each once
+        self.slot: dict[int, np.ndarray] = {}       # their place in `keys` by first token; -1: not asked for
+        self.known: dict[int, dict[str, np.ndarray]] = {}   # in the order of `keys`, and 0 for what is not asked for
 
     @classmethod
     def of(cls, row: pa.Table) -> "Block":
@@ -184,22 +184,30 @@ class Block:
 
     def ask(self, size: int, chance: Callable) -> None:
         if size == 1:
-            self.at[1], self.keys[1], self.place[1] = np.arange(len(self.places)), self.words, self.places
+            self.keys[1], self.slot[1] = self.words, np.append(self.places, np.int32(-1))
             return
         if size > len(self.ids):
             self.ids.append(linked_id(self.ids[-1][:-1], self.ids[-1][1:]))
         at, _ = ft.window_starts(self.first, size)
         if size > 2:
             at = at[chance(self, size, at)]
-        self.at[size] = at
-        self.keys[size], self.place[size] = np.unique(self.ids[size - 1][at], return_inverse=True)
+        self.slot[size] = np.full(len(self.places) + 1, -1, np.int32)
+        self.keys[size], self.slot[size][at] = np.unique(self.ids[size - 1][at], return_inverse=True)
 
     def learn(self, size: int, answer: dict[str, np.ndarray]) -> None:
         """Values in the order of `keys`."""
-        self.known[size] = {}
-        for name, values in answer.items():
-            self.known[size][name] = np.zeros(len(self.places) + 1, np.int64)
-            self.known[size][name][self.at[size]] = values[self.place[size]]
+        self.known[size] = {name: np.append(values, 0) for name, values in answer.items()}
+
+    def told(self, size: int, name: str, at: np.ndarray | slice) -> np.ndarray:
+        """Answers about the sequences that begin at some tokens; 0: not asked for."""
+        return self.known[size][name][self.slot[size][at]]
+
+    def tokens_of(self, size: int) -> np.ndarray:
+        """A first token of each of `keys`."""
+        at = np.flatnonzero(self.slot[size] >= 0)
+        token = np.zeros(len(self.keys[size]), np.int64)
+        token[self.slot[size][at]] = at
+        return token
 
     def hear(self, answers: pa.Table | None, chance: Callable, longest: int = DEPTH + 1) -> None:
         """All lengths answered so far, shortest first."""
@@ -217,24 +225,26 @@ class Block:
         start = np.repeat(self.first[:-1], np.diff(self.first))
         for d in range(1, DEPTH + 1):
             live = live[live - start[live] >= d]
-            live = live[self.known[d]["m"][live - d] > 0]
-            total = self.known[d]["c"][live - d].astype(float)
-            rest = (self.known[d]["lost"][live - d] + DISCOUNT * self.known[d]["m"][live - d]) / total
-            a[live] = np.maximum(self.known[d + 1]["c"][live - d] - DISCOUNT, 0) / total + rest * a[live]
+            live = live[self.told(d, "m", live - d) > 0]
+            total = self.told(d, "c", live - d).astype(float)
+            rest = (self.told(d, "lost", live - d) + DISCOUNT * self.told(d, "m", live - d)) / total
+            a[live] = np.maximum(self.told(d + 1, "c", live - d) - DISCOUNT, 0) / total + rest * a[live]
             b[live] *= rest
         return a, b
 
 
 def _frequent(block: Block, size: int, at: np.ndarray) -> np.ndarray:
     """Training: context and tail occur often enough (the low bit of a count tells the owner)."""
-    c = block.known[size - 1]["c"]
-    return (c[at] >> 1 >= LEAST) & (c[at + 1] >> 1 >= LEAST)
+    often = block.known[size - 1]["c"] >> 1 >= LEAST
+    slot = block.slot[size - 1]
+    return often[slot[at]] & often[slot[at + 1]]
 
 
 def _reachable(block: Block, size: int, at: np.ndarray) -> np.ndarray:
     """Scoring: the context is a state, or the suffix is one and the sequence may be."""
-    m = block.known[size - 1]["m"]
-    return (m[at] > 0) | ((m[at + 1] > 0) if size <= DEPTH else False)
+    state = block.known[size - 1]["m"] > 0
+    slot = block.slot[size - 1]
+    return state[slot[at]] | (state[slot[at + 1]] if size <= DEPTH else False)
 
 
 def _asks(sizes: tuple[int, ...], bits: int, chance: Callable, counted: bool) -> Callable:
@@ -245,7 +255,7 @@ def _asks(sizes: tuple[int, ...], bits: int, chance: Callable, counted: bool) ->
             block.hear(answers, chance, sizes[0] - 1)
             for size in sizes:
                 block.ask(size, chance)
-                c = np.bincount(block.place[size], minlength=len(block.keys[size])) if counted else None
+                c = np.bincount(block.slot[size] + 1, minlength=len(block.keys[size]) + 1)[1:] if counted else None
                 rows += [{"size": size, "cell": cell, "block": blocks["block"][0].as_py(), "keys": _sent(block.keys[size][of]),
                           "c": packed(c[of]) if counted else None}
                          for cell, of in _by_cell(block.keys[size], bits)]
@@ -348,10 +358,8 @@ def _counts(asked: pa.Table) -> pa.Table:
 def _owned(block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """By length: ids of the block's own sequences and a first token of each."""
     for size in range(1, DEPTH + 2):
-        token = np.zeros(len(block.keys[size]), np.int64)
-        token[block.place[size]] = block.at[size]
-        mine = block.known[size]["c"][token] & 1 > 0
-        yield size, block.keys[size][mine], token[mine]
+        mine = block.known[size]["c"][:-1] & 1 > 0
+        yield size, block.keys[size][mine], block.tokens_of(size)[mine]
 
 
 def _written(n: int, bits: int) -> Callable:
@@ -362,21 +370,24 @@ def _written(n: int, bits: int) -> Callable:
         if blocks.num_rows:
             block = Block.of(blocks)
             block.hear(answers, _frequent)
-            count = {size: known["c"] >> 1 for size, known in block.known.items()}
+
+            def count(size: int, at: np.ndarray) -> np.ndarray:
+                return block.told(size, "c", at) >> 1
+
             for size, keys, token in _owned(block):
-                c = count[size][token]
+                c = count(size, token)
                 for cell, of in _by_cell(keys, bits):
                     words = {"words": len(c[of]), "once": int((c[of] == 1).sum()), "twice": int((c[of] == 2).sum())} if size == 1 else {}
                     rows.append({"size": size, "cell": cell, "keys": _sent(keys[of]), "c": packed(c[of]), **words})
                 if size == 1:
                     continue
-                d, tail = size - 1, count[size - 1][token + 1]
+                d, tail = size - 1, count(size - 1, token + 1)
                 contexts, place = np.unique(block.ids[d - 1][token], return_inverse=True)
                 at = np.empty(len(contexts), np.int64)
                 at[place] = token
                 sums = {"m": np.bincount(place, minlength=len(at)), "kept": np.bincount(place, c, len(at)).astype(np.int64),
                         "below": np.bincount(place, tail, len(at)).astype(np.int64), "gain": np.bincount(place, c * np.log(c / tail), len(at)),
-                        "total": count[d][at], "above": count[d - 1][at + 1] if d > 1 else np.full(len(at), n),
+                        "total": count(d, at), "above": count(d - 1, at + 1) if d > 1 else np.full(len(at), n),
                         "suffix": block.ids[d - 2][at + 1] if d > 1 else np.zeros(len(at), np.uint64)}
                 rows += [{"size": d, "cell": cell, "keys": _sent(contexts[of]), **{name: packed(x[of]) for name, x in sums.items()}}
                          for cell, of in _by_cell(contexts, bits)]
@@ -474,7 +485,7 @@ def _scored(n: int, v: int, discount: float) -> Callable:
         docs = len(block.first) - 1
         doc = np.repeat(np.arange(docs), np.diff(block.first))
         a, b = block.weights()
-        c = block.known[1]["c"][:-1]
+        c = block.told(1, "c", slice(0, -1))
         p = a + b * root(n, v, discount, c)
         known, base, score = (np.bincount(doc, x, docs) for x in (c > 0, np.log10(c + 1.0) - floor, np.log10(np.maximum(p, 1e-300))))
         return pa.Table.from_arrays([
