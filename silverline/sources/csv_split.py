@@ -12,9 +12,9 @@ their number is even (a doubled quote counts two). So
    inside (`open_1`) quotes. The text is read once, whatever the splits were;
 2. one row a block is enough for the rest: a prefix sum over the blocks of a file
    says how each block begins, and which record is open there;
-3. with that, every line knows its record. Lines that are whole records, nearly
-   all, are parsed where they are; only pieces of records of several lines are
-   grouped, by record.
+3. with that, every line knows its record. Neighbouring lines of a record are put
+   together where they are read, so nearly all records are whole there; only those
+   cut by the end of a block or batch are grouped, by record.
 
 Quotes must stand in quoted fields only, doubled inside them, as writers that
 quote do. A record of more than `most_lines` lines (an unclosed quote swallows
@@ -40,6 +40,7 @@ from silverline.catalog import stored
 MOST_LINES = 100_000
 LINES = "file string, block bigint, line bigint, odd int, before int, open_0 bigint, open_1 bigint, value string"
 RECORD = "file", "record_block", "record_line"
+PIECES = "file string, record_block bigint, record_line bigint, block bigint, line bigint, n_lines bigint, whole boolean, value string"
 
 
 def _numbered(quote: str) -> Callable:
@@ -90,14 +91,31 @@ def block_starts(lines: DataFrame) -> DataFrame:
 
 
 def _record(lines: DataFrame, starts: DataFrame) -> DataFrame:
-    """Lines with the place of their record and whether they are a whole one."""
+    """Lines with the place of their record and whether they begin and end it."""
     found = lines.join(starts, ["file", "block"])
     begun = F.when(F.col("inside") == 0, F.col("open_0")).otherwise(F.col("open_1"))
     here = begun >= 0
     return found.select(
         "file", F.when(here, F.col("block")).otherwise(F.col("open.block")).alias("record_block"),
         F.when(here, begun).otherwise(F.col("open.line")).alias("record_line"), "block", "line", "value",
-        (((F.col("before") + F.col("inside")) % 2 == 0) & (F.col("odd") == 0)).alias("whole"))
+        ((F.col("before") + F.col("inside")) % 2 == 0).alias("begins"), ((F.col("before") + F.col("inside") + F.col("odd")) % 2 == 0).alias("ends"))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of a record that follow each other in a batch, put together: whole records, or pieces of one."""
+    for batch in batches:
+        if not (n := batch.num_rows):
+            continue
+        file, block, line, begins, ends = (batch.column(x) for x in ("file", "block", "line", "begins", "ends"))
+        begins, ends, number = begins.to_numpy(zero_copy_only=False), ends.to_numpy(zero_copy_only=False), line.to_numpy()
+        apart = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(block[1:], block[:-1])).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.concatenate([[True], begins[1:] | apart | (number[1:] != number[:-1] + 1)]))
+        edges = np.append(first, n)
+        lines = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), batch.column("value"))
+        at = pa.array(first)
+        yield pa.RecordBatch.from_arrays([
+            *[batch.column(x).take(at) for x in (*RECORD, "block", "line")], pa.array(np.diff(edges).astype(np.int64)),
+            pa.array(begins[first] & ends[edges[1:] - 1]), pc.binary_join(lines, "\n")], [c.split()[0] for c in PIECES.split(", ")])
 
 
 def _ended(value: Column) -> Column:
@@ -109,18 +127,21 @@ def csv_records(spark: SparkSession, path: str, header: bool = True, quote: str
     """(records, unassembled): file, record_block, record_line, n_lines, record; and the lines of overlong records."""
     numbered = numbered_lines(spark, path, quote)
     lines = _record(numbered, stored(block_starts(numbered), "csv-blocks"))     # one small row a block
-    whole = lines.where("whole").select(*RECORD, F.lit(1).cast("bigint").alias("n_lines"), "value")
-    pieces = lines.where("NOT whole")
-    sizes = pieces.groupBy(*RECORD).agg(F.count("*").alias("n_lines"))
+    found = stored(lines.mapInArrow(_pieces, PIECES), "csv-pieces")
+    assembled = F.col("whole") & (F.col("n_lines") <= most_lines)
+    whole = found.where(assembled).select(*RECORD, "n_lines", "value")
+    pieces = found.where(~assembled)
+    sizes = pieces.groupBy(*RECORD).agg(F.sum("n_lines").alias("n_lines"))
     long = sizes.where(F.col("n_lines") > most_lines)
-    joined = (pieces.join(long.drop("n_lines"), list(RECORD), "left_anti").groupBy(*RECORD)
-              .agg(F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
-              .select(*RECORD, F.size("parts").cast("bigint").alias("n_lines"),
-                      F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value")))
+    joined = (pieces.join(long.select(*RECORD), list(RECORD), "left_anti").groupBy(*RECORD)
+              .agg(F.sum("n_lines").alias("n_lines"), F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
+              .select(*RECORD, "n_lines", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value")))
     records = whole.unionByName(joined).select(*RECORD, "n_lines", _ended(F.col("value")).alias("record")).where("record <> ''")
     if header:
         records = records.where("NOT (record_block = 0 AND record_line = 0)")
-    return records, pieces.join(long, list(RECORD)).select(*RECORD, "n_lines", "block", "line", "value")
+    unassembled = pieces.drop("n_lines").join(long, list(RECORD)).select(
+        *RECORD, "n_lines", "block", F.col("line").alias("from"), F.posexplode(F.split("value", "\n")).alias("at", "value"))
+    return records, unassembled.select(*RECORD, "n_lines", "block", (F.col("from") + F.col("at")).alias("line"), "value")
 
 
 def read_csv_split(spark: SparkSession, path: str, schema: StructType, header: bool = True, sep: str = ",", quote: str = '"',
