@@ -9,6 +9,7 @@ and inlined as a literal) instead of an unpartitioned window or a join.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -119,13 +120,31 @@ def pivot_sum(df: DataFrame, row_key, pivot_col: str, values: Sequence[str], mea
     return df.groupBy(row_key).pivot(pivot_col, list(values)).agg(F.sum(measure).cast("long"))
 
 
-def profile_columns(df: DataFrame, exact: bool = False, nulls: bool = False) -> DataFrame:
-    """One aggregation pass for every column's distinct estimate and null
-    percentage (with `nulls`, the number too), then `stack` to one row per column."""
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """column_name, distinct_values (exact, nulls apart). Each column goes by itself, so a
+    task holds and sends distinct values of one column, not every row once a column; `df`
+    is read once a column and should be a stored table."""
+    each = [df.select(F.col(f"`{f.name}`").alias("v")).distinct().agg(F.count("v").alias("distinct_values"))
+            .select(F.lit(f.name).alias("column_name"), "distinct_values") for f in df.schema.fields]
+    return reduce(lambda a, b: a.unionByName(b), each)
+
+
+def profile_columns(df: DataFrame, exact: bool = False, nulls: bool = False, materialize: bool = True) -> DataFrame:
+    """Every column's distinct estimate and null percentage (with `nulls`, the
+    number too) in one aggregation pass, then `stack` to one row per column. With
+    `exact`, distinct values are counted column by column over the input, which is
+    stored once unless `materialize` says that it is a table already."""
+    if exact:
+        if materialize:
+            from silverline.catalog import stored
+
+            df = stored(df, "profiled", "zstd")
+        near = profile_columns(df, nulls=True).drop("approx_unique")
+        return near.join(distinct_counts(df), "column_name").select(
+            "column_name", "column_type", "distinct_values", *(["nulls"] if nulls else []), "null_percentage")
     aggs = []
     for f in df.schema.fields:
-        distinct = F.count_distinct(f.name) if exact else F.approx_count_distinct(f.name)
-        aggs.append(distinct.alias(f"d_{f.name}"))
+        aggs.append(F.approx_count_distinct(f.name).alias(f"d_{f.name}"))
         aggs.append(F.count_if(F.col(f.name).isNull()).alias(f"n_{f.name}"))
     aggs.append(count_rows("_total"))
     wide = df.agg(*aggs)
@@ -142,7 +161,7 @@ def profile_columns(df: DataFrame, exact: bool = False, nulls: bool = False) ->
     ).cast("decimal(9,2)")
     return stacked.select(
         "column_name", "column_type",
-        F.col("distinct_values").alias("approx_unique" if not exact else "distinct_values"), *(["nulls"] if nulls else []),
+        F.col("distinct_values").alias("approx_unique"), *(["nulls"] if nulls else []),
         null_pct.alias("null_percentage"),
     )
 

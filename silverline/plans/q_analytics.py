@@ -275,8 +275,8 @@ def q_profile_all_columns(spark, sf_dir):
     """A15 (SUMMARIZE form) of every column of bronze_orders: type, nulls, null
     percentage, and whether the distinct estimate is within a fifth of the exact
     count (four deviations)."""
-    orders = Views(spark, sf_dir).bronze_orders
-    exact = A.profile_columns(orders, exact=True).select("column_name", F.col("distinct_values").alias("exact"))
+    orders = stored(Views(spark, sf_dir).bronze_orders, "profile-orders", "zstd")
+    exact = A.profile_columns(orders, exact=True, materialize=False).select("column_name", F.col("distinct_values").alias("exact"))
     near = F.abs(F.col("approx_unique") - F.col("exact")) <= F.col("exact") * 0.2
     return A.profile_columns(orders, exact=False, nulls=True).join(exact, "column_name").select(
         "column_name", "column_type", "nulls", "null_percentage", near.alias("close"))
@@ -290,10 +290,11 @@ def q_profile_merged(spark, sf_dir):
     """A15 by batches: two loads profiled apart, the stored sketches merged; the
     merged estimate is within 8 % (five deviations) of the exact count."""
     orders = Views(spark, sf_dir).bronze_orders.withColumn("product", F.when(F.col("uuid") % 10 != 0, F.col("product")))
+    orders = stored(orders, "profile-orders", "zstd")       # the bronze joins run once, not once a load and once for the counts
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     early, late = orders.where(F.col("date") < cut), orders.where(F.coalesce(F.col("date") >= cut, F.lit(True)))
     parts = stored(A.profile_parts(early, "1"), "profile-1").unionByName(stored(A.profile_parts(late, "2"), "profile-2"))
-    exact = A.profile_columns(orders, exact=True).select("column_name", F.col("distinct_values").alias("exact"))
+    exact = A.profile_columns(orders, exact=True, materialize=False).select("column_name", F.col("distinct_values").alias("exact"))
     near = F.abs(F.col("approx_unique") - F.col("exact")) <= F.greatest(F.col("exact") * 0.08, F.lit(1))
     return A.profile_merged(parts).join(exact, "column_name").select(
         "column_name", "column_type", "rows", "nulls", "null_percentage", near.alias("close"))

@@ -135,3 +135,12 @@ def test_file_profiles(spark, tmp_path):
     assert got.where("column_name = 's'").agg(F.sum("nulls"), F.count("*")).first()[:] == (25, 3)
     assert got.where("column_name = 'id'").agg(F.min(F.col("least").cast("int")), F.max(F.col("largest").cast("int"))).first()[:] == (0, 99)
     assert "MapInPandas" not in plan_of(got)
+
+
+def test_exact_profile_counts_column_by_column(spark):
+    df = spark.createDataFrame([(1, "a", 0.5), (1, None, 0.5), (2, "b", None), (None, "b", 1.5)], "k int, v string, x double")
+    got = {r["column_name"]: (r["distinct_values"], r["nulls"]) for r in A.profile_columns(df, exact=True, nulls=True).collect()}
+    assert got == {"k": (2, 1), "v": (2, 1), "x": (2, 1)}
+    profile = A.profile_columns(df, exact=True)
+    assert "Expand" not in plan_of(profile)                 # no row is multiplied by the columns
+    assert A.profile_columns(df.limit(0).select("k"), exact=True).first()["distinct_values"] == 0
