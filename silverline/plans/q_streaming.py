@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-from silverline.catalog import scratch_path
+from silverline.catalog import scratch_path, stored
 from silverline.plans import silver
 from silverline.plans.q_io import BRONZE_ORDERS_SCHEMA
 from silverline.plans.registry import query
@@ -46,7 +46,7 @@ def q_incremental_dedupe(spark, sf_dir):
     increment (new files, same records); silver keeps the latest copy per
     key and the replay adds no rows. The first two increments are compacted
     into a base before the replay arrives."""
-    bronze = Views(spark, sf_dir).bronze_orders
+    bronze = stored(Views(spark, sf_dir).bronze_orders, "bronze-orders", "zstd")    # the joins run once, not once a landing
     root = scratch_path(spark, "incremental-dedupe")
     landing, changes, ckpt = f"{root}/landing", f"{root}/changes", f"{root}/_checkpoint"
     early = bronze.filter(F.col("date") < F.lit(CUT).cast("timestamp_ntz"))
@@ -95,7 +95,7 @@ def q_stateful_dedupe(spark, sf_dir):
     """ST2 with state: two increments, a replay of the first within the horizon,
     then a heartbeat past it. Every key is appended once, and the result is a
     plain scan of the target."""
-    bronze = Views(spark, sf_dir).bronze_orders
+    bronze = stored(Views(spark, sf_dir).bronze_orders, "bronze-orders", "zstd")
     root = scratch_path(spark, "stateful-dedupe")
     landing, target, ckpt = f"{root}/landing", f"{root}/orders", f"{root}/_checkpoint"
     early = bronze.filter(F.col("date") < F.lit(CUT).cast("timestamp_ntz"))

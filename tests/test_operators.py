@@ -201,3 +201,18 @@ def test_partition_balance_reports_both_methods(spark):
 
     out = K.partition_balance(spark.range(1000).repartition(4), 2).groupBy("method").agg(F.sum("rows")).collect()
     assert {r[0]: r[1] for r in out} == {"repartition": 1000, "coalesce": 1000}
+
+
+def test_landing_queries_run_the_bronze_joins_once(spark, tmp_path, monkeypatch):
+    """Early, late and replayed rows come from one stored table."""
+    from silverline.plans import q_streaming as Q
+
+    calls = []
+    monkeypatch.setattr(Q, "_land_batch", lambda df, landing: calls.append(df._jdf.queryExecution().optimizedPlan().toString()) or T.write_csv(df, landing, mode="append"))
+    spark.sql("""SELECT id AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, 1 AS l_linenumber, 2D AS l_quantity, 3D AS l_extendedprice, 0D AS l_discount,
+        0D AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus, CAST(concat(1996 + id % 4, '-01-01') AS timestamp_ntz) AS l_shipdate FROM range(8)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("""SELECT id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1D AS o_totalprice, CAST('1996-01-01' AS timestamp_ntz) AS o_orderdate,
+        '1' AS o_orderpriority FROM range(8)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 'tin' AS p_type, 1 AS p_size, 1D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    assert Q.q_incremental_dedupe(spark, str(tmp_path)).count() == 8
+    assert len(calls) == 3 and not any("Join" in plan for plan in calls)
