@@ -143,12 +143,9 @@ def _rows(spark: SparkSession, values: list, schema: str) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^a-z0-9.+-]+"), lambda w: w.rlike("[a-z0-9]"))
-
-
-def plain(w: Column) -> Column:
-    """Words without the dots and dashes around them."""
-    return F.transform(w, lambda x: F.regexp_replace(x, r"^[.+-]+|[.+-]+$", ""))
+    """Runs of letters, digits, dots, plus signs and dashes, lower-cased, without the
+    dots, plus signs and dashes around them; runs of these alone are no words."""
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9](?:[a-z0-9.+-]*[a-z0-9])?"), F.lit(0))
 
 
 def pairs(w: Column) -> Column:
@@ -173,14 +170,14 @@ def _examples(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(words, label, variant) of the training and calibration paragraphs."""
     fixed = [{"label": float(k), "text": t} for k, family in enumerate(FAMILIES) for t in TEMPLATES[family]]
     fixed += [{"label": float(len(FAMILIES)), "text": t} for t in OTHERWISE]
-    base = _rows(spark, fixed, "label:double,text:string").select("label", plain(words(F.col("text"))).alias("w"))
+    base = _rows(spark, fixed, "label:double,text:string").select("label", words(F.col("text")).alias("w"))
     varied = base.select("label", "w", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("variant"))
     dropped = F.filter("w", lambda x, i: (F.col("variant") == 0) | (F.pmod(F.xxhash64(x, i, "variant"), F.lit(5)) != 0))
     lines = only(docs, "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     lines = lines.where(~has_term(F.col("line")) & F.col("line").rlike("[A-Za-z]"))
     key = F.xxhash64("doc_id", "at")
     sample = lines.orderBy(key, "doc_id", "at").limit(BACKGROUND).select(
-        F.lit(float(len(FAMILIES))).alias("label"), plain(words(F.col("line"))).alias("w"),
+        F.lit(float(len(FAMILIES))).alias("label"), words(F.col("line")).alias("w"),
         F.pmod(key, F.lit(VARIANTS)).cast("int").alias("variant"))
     return varied.select("label", dropped.alias("w"), "variant").unionByName(sample).where("size(w) > 0") \
         .select("label", "variant", "w", grams(F.col("w")).alias("grams"))
@@ -221,7 +218,7 @@ def train(spark: SparkSession, docs: DataFrame) -> Model:
     highest = left.where(F.col("label") == len(FAMILIES)).agg(F.max(family)).first()[0]
     shapes = [{"family": f, "template": f"{f}/{k}", "text": t} for f in FAMILIES for k, t in enumerate(TEMPLATES[f])]
     templates = _rows(spark, shapes, "family:string,template:string,text:string").select(
-        "family", "template", F.array_distinct(pairs(plain(words(F.col("text"))))).alias("all")).select(
+        "family", "template", F.array_distinct(pairs(words(F.col("text")))).alias("all")).select(
         "family", "template", F.explode("all").alias("pair"), F.size("all").alias("held"))
     return Model(weights, intercepts, temperature, max(LEAST, min(float(highest or 0.0), 0.99)), templates)
 
@@ -257,7 +254,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
              .select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")))
     # the one-element explode keeps filters on the words from computing them anew for every pair
     told = lines.select("doc_id", "paragraph", F.xxhash64("line").alias("line"), has_term(F.col("line")).alias("term"),
-                        F.explode(F.array(plain(words(F.col("line"))))).alias("w"))
+                        F.explode(F.array(words(F.col("line")))).alias("w"))
 
     def near(w: Column) -> Column:
         two = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))

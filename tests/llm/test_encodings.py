@@ -380,3 +380,28 @@ def test_licence_plan_has_no_python(spark, frame):
     docs = frame([(1, "Released under the MIT License.")])
     plan = L.scan(docs, L.train(spark, docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_licence_words_are_found_in_one_pass(spark):
+    """As by runs, those without a letter or digit left out, stripped of the marks around them; no step a word."""
+    from pyspark.sql import functions as F
+
+    texts = ["", "...", "A-B. -c+d- (x) 1.0/2..3 ..a", "é-ü Zürich+", "a" * 5000 + "." * 5000, "--a--b--", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    runs = F.transform(F.filter(F.split(F.lower("t"), r"[^a-z0-9.+-]+"), lambda w: w.rlike("[a-z0-9]")), lambda x: F.regexp_replace(x, r"^[.+-]+|[.+-]+$", ""))
+    assert df.where(~L.words(F.col("t")).eqNullSafe(runs)).count() == 0
+    assert "lambda" not in df.select(L.words(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_suffix_tree_block_keeps_tokens_narrow():
+    """Per token a place of 32 bits; answers once a distinct sequence."""
+    places = np.array([0, 1, 0, 1, 2, 0, 1], np.uint32)
+    block = M.Block(np.array([5, 7, 9], np.uint64), places, np.array([0, 5, 7]))
+    for size in (1, 2):
+        block.ask(size, M._reachable)
+        block.learn(size, {"m": np.arange(1, len(block.keys[size]) + 1)})
+    assert all(s.dtype == np.int32 and len(s) == 8 for s in block.slot.values())
+    assert len(block.known[2]["m"]) == len(block.keys[2]) + 1 and len(block.keys[2]) == 3       # 5 7, 7 5, 7 9
+    said = block.told(2, "m", np.arange(8))
+    assert said[0] == said[2] == said[5] > 0 and said[4] == said[6] == said[7] == 0              # none across documents
+    assert (block.ids[1][block.tokens_of(2)] == block.keys[2]).all()
