@@ -24,7 +24,13 @@ COLUMNS = [c.split()[0] for c in TABLE_SCHEMAS["documents"].split(", ")]
 LEAST_LANGUAGE_CERTAINTY = 0.5
 
 
+# Bytes of an Arrow batch. Rows to Python tasks go by thousands otherwise, tens of MB at a time on both sides.
+BATCH_BYTES = 4 << 20
+
+
 def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of `documents`, handed to Python tasks in batches of bounded bytes."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs.select(*[F.col(f"`{c}`") for c in COLUMNS])
 
 
