@@ -13,9 +13,10 @@ its smallest doc_id. Classes are banded (32 bands of 4 values: two sets of
 similarity 0.75 share no band with probability 5e-6). In each bucket the
 members are compared with the bucket's smallest class, so a group of thousands
 of near copies costs a pair per member, not all pairs. Members of buckets that
-still hold several components are compared with further heads, drawn by hash
-per bucket and round, as long as that finds links and many pairs remain. What
-then remains is compared member by member across components. Pairs are filtered
+still hold several components are compared with a few further heads, drawn by
+hash per bucket and round, as long as more pairs than that remain and the last
+round left clearly fewer of them. What then remains is compared member by
+member across components. Pairs are filtered
 inside the joins by bounds that no link breaks: set sizes, the odd sketch (512
 parities; its distance never exceeds the sets'), and a 256-bit sketch of the
 signature at five standard deviations below similarity 0.75. Every
@@ -45,8 +46,10 @@ SIMILAR = 75          # percent
 M, BANDS = 128, 32
 ROWS = M // BANDS
 CHUNK = 1 << 16       # elements ranked at a time
-# Rounds against bucket heads go on while more pairs than this remain per member.
-PAIRS_PER_MEMBER = 1_000
+# Rounds against this many heads a bucket go on while more pairs than that remain per
+# member, and each round leaves less than three quarters of them.
+HEADS = 8
+PAIRS_PER_MEMBER = 8
 # Of the 128 two-bit cells, sets of similarity 0.75 agree in 104 on average
 # (standard deviation 4.4).
 SKETCH_AGREE = 82
@@ -254,10 +257,11 @@ def _remaining(rest: DataFrame) -> tuple[int, int]:
 
 
 def _to_heads(rest: DataFrame, k: int) -> DataFrame:
-    """Pairs of every member with its bucket's head of round k, drawn by hash,
-    where they are in different components: a pair per member and bucket at most."""
-    head = rest.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key", F.lit(k))).alias("head"))
-    y = rest.join(head.withColumnRenamed("key", "in"), (F.col("key") == F.col("in")) & (F.col("id") == F.col("head"))).alias("y")
+    """Pairs of every member with its bucket's heads of round k, drawn by hash,
+    where they are in different components: HEADS pairs per member and bucket at most."""
+    drawn = [F.min_by("id", F.xxhash64("id", "key", F.lit(k * HEADS + n))) for n in range(HEADS)]
+    head = rest.groupBy("key").agg(F.array(*drawn).alias("heads")).select("key", F.explode(F.array_distinct("heads")).alias("id"))
+    y = rest.join(head, ["key", "id"]).alias("y")
     return (rest.alias("x").join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & _plausible("x", "y"))
             .select(F.greatest("x.id", "y.id").alias("u"), F.least("x.id", "y.id").alias("v")).distinct())
 
@@ -289,16 +293,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = stored(verified(star, pool), "links-1")
     found = components(first)
 
-    links, k, stuck = first, 0, False
+    links, k, before = first, 0, None
     while k >= 0:
         rest = _mixed(shared, found, of, k)
         members, pairs = _remaining(rest)
         if not pairs:
             break
         k += 1
-        if pairs > PAIRS_PER_MEMBER * members and not stuck:
+        if pairs > PAIRS_PER_MEMBER * members and (before is None or 4 * pairs < 3 * before):
             new = stored(verified(_to_heads(rest, k), pool), f"links-{k + 1}")
-            stuck = new.isEmpty()
+            before = pairs
         else:
             new = stored(verified(_across(rest), pool), "links-last")
             k = -1

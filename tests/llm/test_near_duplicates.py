@@ -67,6 +67,21 @@ def test_hot_group_goes_through_heads(spark, frame, monkeypatch):
     assert got == brute(rows)
 
 
+def test_rest_of_a_large_group_is_not_compared_by_all_pairs(spark, frame, monkeypatch):
+    left, across = [], S._across
+
+    def counted(rest):
+        pairs = across(rest)
+        left.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(S, "_across", counted)
+    rng = random.Random(4)
+    rows = [(i * 7919 % 400, t) for i, t in enumerate(near_copies(rng, 400, words=200, edits=8))]
+    got = {r["doc_id"]: r["component_id"] for r in S.near_duplicates(frame(rows)).collect()}
+    assert got == brute(rows)
+    assert sum(left) < 3 * len(rows)
+
+
 def test_repeated_and_null_ids_and_empty_table(spark, frame):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f")]
     got = S.near_duplicates(frame(rows)).collect()
