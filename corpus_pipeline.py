@@ -17,20 +17,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverline.catalog import TABLE_SCHEMAS, Tables, stored
 from silverline.llm import crf_language, piece_bpe, positional_index, superminhash, toxicity_pu
-from silverline.llm.frames import held_out
+from silverline.llm.frames import bound_batches, held_out
 
 COLUMNS = [c.split()[0] for c in TABLE_SCHEMAS["documents"].split(", ")]
 # Mean over words of the largest posterior, below which a text's language is not determined.
 LEAST_LANGUAGE_CERTAINTY = 0.5
 
 
-# Bytes of an Arrow batch. Rows to Python tasks go by thousands otherwise, tens of MB at a time on both sides.
-BATCH_BYTES = 4 << 20
-
-
 def _documents(docs: DataFrame) -> DataFrame:
     """The columns of `documents`, handed to Python tasks in batches of bounded bytes."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    bound_batches(docs.sparkSession)
     return docs.select(*[F.col(f"`{c}`") for c in COLUMNS])
 
 

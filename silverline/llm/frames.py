@@ -52,6 +52,15 @@ def unpacked(raw: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, len(planes) // width).T).reshape(-1).view(dtype)
 
 
+# Bytes of an Arrow batch. Rows to Python tasks go by thousands otherwise, tens of MB at a time on both sides.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python tasks in batches of bounded bytes, from here on (plans are made when they run)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 class Scratch:
     """Tables of one run, under one folder of the shared checkpoint directory."""
 

@@ -31,6 +31,11 @@ block holds all parts of its sequences, owners write the model and the
 statistics of contexts without a join. Every id is sent once a block, so a
 frequent sequence has at most one entry a block and cells are even.
 
+Where the texts to score hold those to learn from, their blocks are made and
+answered once: all texts ask, only the learned ones count, so the answers of
+training hold every count that scoring needs. Cells also note the ranks of a
+block's ids among their own, and answer by them which are states, unasked.
+
 Defined cases: a null, empty or word-less text is its end mark alone. With no
 training row N = V = 0 and every score is 0. A null doc_id is not held out.
 Repeated documents are rows of their own; other columns are ignored.
@@ -48,13 +53,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silverline.llm import flat_text as ft
-from silverline.llm.frames import Scratch, held_out, only, packed, rows_in, shuffles_dropped, unpacked
+from silverline.llm.frames import Scratch, bound_batches, held_out, only, packed, rows_in, shuffles_dropped, unpacked
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
 LEAST = 2               # a sequence seen once is no context
 DISCOUNT = 0.5
-COUNT_BYTES = 8 << 20   # text of a block in training
+COUNT_BYTES = 4 << 20   # text of a block in training
 BLOCK_TEXT = 8 << 20    # and in scoring; a longer text is a block of its own
 ROW_BYTES = 64          # what a row adds to its block besides its text
 CELL_TOKENS = 4 << 20   # tokens a cell stands for
@@ -97,9 +102,9 @@ def sequences(t: np.ndarray) -> list[np.ndarray]:
 
 # ---------------------------------------------------------------- blocks and cells
 
-BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, lengths binary, words binary, places binary"
+BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, learned binary, lengths binary, words binary, places binary"
 ASKED = "size int, cell bigint, block bigint, keys binary, c binary"
-ANSWERS = "size int, cell bigint, block bigint, c binary, lost binary, m binary"
+ANSWERS = "size int, cell bigint, block bigint, c binary, lost binary, m binary, ranks binary"
 WRITTEN = "size int, cell bigint, keys binary, c binary, words bigint, once bigint, twice bigint, suffix binary, total binary, above binary, m binary, kept binary, below binary, gain binary"
 STATES = "size int, cell bigint, keys binary, lost binary, m binary"
 
@@ -142,13 +147,13 @@ def _cell_bits(tokens: int, cell_tokens: int) -> int:
 
 
 def _blocked(limit: int) -> Callable:
-    """Texts as blocks: distinct words, and the number of each token's word."""
+    """Texts as blocks: distinct words, the number of each token's word, and which texts are learned (and their tokens)."""
     def block(number: int, held: list) -> pa.Table:
-        t = np.concatenate([h[0] for h in held])
-        words, places = np.unique(t, return_inverse=True)
+        words, places = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        lengths, learned = np.concatenate([h[1] for h in held]), np.concatenate([h[3] for h in held])
         return _batch(BLOCKS, [{
-            "block": number, "doc_ids": [i for h in held for i in h[2]], "tokens": len(t),
-            "lengths": packed(np.concatenate([h[1] for h in held])), "words": _sent(words), "places": packed(places.astype(np.uint32))}])
+            "block": number, "doc_ids": [i for h in held for i in h[2]], "tokens": int(lengths[learned].sum()),
+            "learned": packed(learned), "lengths": packed(lengths), "words": _sent(words), "places": packed(places.astype(np.uint32))}])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -159,7 +164,8 @@ def _blocked(limit: int) -> Callable:
                 if held and size + more > limit:
                     yield from block(number, held).to_batches()
                     number, held, size = number + 1, [], 0
-                held.append((t, np.diff(first), batch.column(0).slice(low, high - low).to_pylist()))
+                held.append((t, np.diff(first), batch.column(0).slice(low, high - low).to_pylist(),
+                             batch.column(2).slice(low, high - low).to_numpy(zero_copy_only=False)))
                 size += more
         if held:
             yield from block(number, held).to_batches()
@@ -170,8 +176,9 @@ class Block:
     """Tokens of a block, and what has been answered about its sequences. Ids, keys
     and answers are kept once a distinct sequence, a token holds their place only."""
 
-    def __init__(self, words: np.ndarray, places: np.ndarray, first: np.ndarray):
+    def __init__(self, words: np.ndarray, places: np.ndarray, first: np.ndarray, learned: np.ndarray | None = None):
         self.words, self.places, self.first = words, places.astype(np.int32), first
+        self.learned = learned                      # by text
         self.ids = [words[places]]                  # by length, by first token
         self.keys: dict[int, np.ndarray] = {}       # ids of the sequences asked for, sorted, each once
         self.slot: dict[int, np.ndarray] = {}       # their place in `keys` by first token; -1: not asked for
@@ -180,7 +187,8 @@ class Block:
     @classmethod
     def of(cls, row: pa.Table) -> "Block":
         return cls(_got(row["words"][0].as_py()), unpacked(row["places"][0].as_py(), np.uint32),
-                   np.concatenate([[0], np.cumsum(unpacked(row["lengths"][0].as_py(), np.int64))]))
+                   np.concatenate([[0], np.cumsum(unpacked(row["lengths"][0].as_py(), np.int64))]),
+                   unpacked(row["learned"][0].as_py(), np.bool_))
 
     def ask(self, size: int, chance: Callable) -> None:
         if size == 1:
@@ -202,6 +210,11 @@ class Block:
         """Answers about the sequences that begin at some tokens; 0: not asked for."""
         return self.known[size][name][self.slot[size][at]]
 
+    def counts(self, size: int) -> np.ndarray:
+        """Occurrences in learned texts of each of `keys`."""
+        slot = self.slot[size][:-1][np.repeat(self.learned, np.diff(self.first))]
+        return np.bincount(slot + 1, minlength=len(self.keys[size]) + 1)[1:]
+
     def tokens_of(self, size: int) -> np.ndarray:
         """A first token of each of `keys`."""
         at = np.flatnonzero(self.slot[size] >= 0)
@@ -255,7 +268,7 @@ def _asks(sizes: tuple[int, ...], bits: int, chance: Callable, counted: bool) ->
             block.hear(answers, chance, sizes[0] - 1)
             for size in sizes:
                 block.ask(size, chance)
-                c = np.bincount(block.slot[size] + 1, minlength=len(block.keys[size]) + 1)[1:] if counted else None
+                c = block.counts(size) if counted else None
                 rows += [{"size": size, "cell": cell, "block": blocks["block"][0].as_py(), "keys": _sent(block.keys[size][of]),
                           "c": packed(c[of]) if counted else None}
                          for cell, of in _by_cell(block.keys[size], bits)]
@@ -277,7 +290,7 @@ def _answered(blocks: DataFrame, bits: int, chance: Callable, answer: Callable,
     for sizes in [(1, 2), *[(size,) for size in range(3, DEPTH + 2)]]:
         asks = _asks(sizes, bits, chance, chance is _frequent)
         asked = blocks.mapInArrow(_each(asks), ASKED) if answers is None else \
-            blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(asks, ASKED)
+            blocks.groupBy("block").cogroup(answers.drop("ranks").groupBy("block")).applyInArrow(asks, ASKED)
         new = scratch.stored(answer(asked, sizes), f"{name}-{sizes[-1]}")
         answers = new if answers is None else answers.unionByName(new)
     return answers
@@ -339,7 +352,8 @@ def root(n: int, v: int, discount: float, c: np.ndarray) -> np.ndarray:
 
 
 def _counts(asked: pa.Table) -> pa.Table:
-    """Training: twice the occurrences of each sequence (0: too few), plus one for the first block that has it."""
+    """Training: twice the occurrences of each sequence (0: too few), plus one for the first block that has it.
+    And the ranks of a block's sequences among those of the cell, of such as may be states."""
     rows = sorted(asked.to_pylist(), key=lambda r: r["block"])
     keys = [_got(r["keys"]) for r in rows]
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -350,9 +364,14 @@ def _counts(asked: pa.Table) -> pa.Table:
         total[total < LEAST] = 0
     c = 2 * total[place]
     c[one] += total > 0
-    end = np.cumsum([len(k) for k in keys])
-    return _batch(ANSWERS, [{"size": r["size"], "cell": r["cell"], "block": r["block"], "c": packed(c[high - len(k):high])}
-                            for r, k, high in zip(rows, keys, end)])
+    may, out, low = total >= LEAST, [], 0
+    rank = np.cumsum(may) - 1
+    for r, k in zip(rows, keys):
+        mine = place[low:low + len(k)]
+        out.append({"size": r["size"], "cell": r["cell"], "block": r["block"], "c": packed(c[low:low + len(k)]),
+                    "ranks": packed(np.diff(rank[mine[may[mine]]], prepend=0).astype(np.uint32)) if r["size"] <= DEPTH else None})
+        low += len(k)
+    return _batch(ANSWERS, out)
 
 
 def _owned(block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -437,25 +456,37 @@ def _states(contexts: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
     return states.where("m IS NOT NULL")
 
 
+def _texts(docs: DataFrame, learned: Column) -> DataFrame:
+    return docs.select("doc_id", "text", F.coalesce(learned, F.lit(False)).alias("learned"))
+
+
+def _trained(texts: DataFrame, scratch: Scratch) -> tuple[Tree, DataFrame, DataFrame, DataFrame]:
+    """The tree, its table, and in `scratch` the blocks of all texts and what they were told about their sequences."""
+    statistics, lasting = (Scratch(texts.sparkSession, f"suffix-tree-{x}") for x in ("statistics", "model"))
+    blocks = scratch.stored(texts.mapInArrow(_blocked(COUNT_BYTES), BLOCKS), "blocks")
+    n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    bits = _cell_bits(n, CELL_TOKENS)
+    answers = _answered(blocks, bits, _frequent, lambda asked, _: asked.groupBy("size", "cell").applyInArrow(_counts, ANSWERS), scratch, "counts")
+    written = statistics.stored(blocks.groupBy("block").cogroup(answers.drop("ranks").groupBy("block")).applyInArrow(_written(n, bits), WRITTEN), "written")
+    counts = lasting.stored(written.where("c IS NOT NULL").select("size", "cell", "keys", "c", "words", "once", "twice"), "counts")
+    model = counts.unionByName(_states(written.where("c IS NULL"), bits, lasting), allowMissingColumns=True)
+    v, once, twice = counts.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
+    statistics.drop()
+    discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
+    return Tree(n, v, discount, bits, model), model, blocks, answers
+
+
 def train(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame]:
     """The tree, and its table: per length and cell the ids and counts of sequences, and the ids, lost
     occurrences and followers of states."""
     spark = docs.sparkSession
-    scratch, statistics, lasting = (Scratch(spark, f"suffix-tree-{x}") for x in ("blocks", "statistics", "model"))
+    bound_batches(spark)
+    scratch = Scratch(spark, "suffix-tree-blocks")
     with shuffles_dropped(spark):
-        texts = only(docs, "doc_id", "text").where(learn).select(F.lit(None).cast("bigint").alias("doc_id"), "text")
-        blocks = scratch.stored(texts.mapInArrow(_blocked(COUNT_BYTES), BLOCKS), "blocks")
-        n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-        bits = _cell_bits(n, CELL_TOKENS)
-        answers = _answered(blocks, bits, _frequent, lambda asked, _: asked.groupBy("size", "cell").applyInArrow(_counts, ANSWERS), scratch, "counts")
-        written = statistics.stored(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_written(n, bits), WRITTEN), "written")
+        texts = only(docs, "doc_id", "text").where(learn).withColumn("doc_id", F.lit(None).cast("bigint"))
+        tree, model, _, _ = _trained(_texts(texts, F.lit(True)), scratch)
         scratch.drop()
-        counts = lasting.stored(written.where("c IS NOT NULL").select("size", "cell", "keys", "c", "words", "once", "twice"), "counts")
-        model = counts.unionByName(_states(written.where("c IS NULL"), bits, lasting), allowMissingColumns=True)
-        v, once, twice = counts.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
-        statistics.drop()
-    discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
-    return Tree(n, v, discount, bits, model), model
+    return tree, model
 
 
 # ---------------------------------------------------------------- scoring
@@ -474,14 +505,44 @@ def _found(asked: pa.Table, model: pa.Table) -> pa.Table:
     return _batch(ANSWERS, out)
 
 
-def _scored(n: int, v: int, discount: float) -> Callable:
+def _states_of(ranked: pa.Table, model: pa.Table) -> pa.Table:
+    """Lost occurrences and followers of states, 0 for others, by rank among the cell's frequent sequences."""
+    rows = ranked.to_pylist()
+    if not rows:
+        return _batch(ANSWERS, [])
+    found = Rows(model)
+    keys, counted = found.groups[0]
+    told = found.at(keys[counted["c"] >= LEAST])
+    out = []
+    for r in rows:
+        rank = np.cumsum(unpacked(r["ranks"], np.uint32), dtype=np.int64)
+        out.append({"size": r["size"], "cell": r["cell"], "block": r["block"], **{name: packed(told[name][rank]) for name in ("lost", "m")}})
+    return _batch(ANSWERS, out)
+
+
+def _hear_training(block: Block, answers: pa.Table) -> None:
+    """Counts by what training was told, and states by what cells told after it."""
+    block.hear(answers.filter(answers["c"].is_valid()), _frequent)
+    states = sorted(answers.filter(answers["m"].is_valid()).to_pylist(), key=lambda r: r["cell"])
+    for size in range(1, DEPTH + 2):
+        known = block.known[size] = {"c": block.known[size]["c"]}
+        if size <= DEPTH:
+            may = np.flatnonzero(known["c"][:-1] >> 1 >= LEAST)
+            for name in ("lost", "m"):
+                known[name] = np.zeros(len(known["c"]), np.int64)
+                known[name][may] = _joined([unpacked(r[name], np.int64) for r in states if r["size"] == size], np.int64)
+    for known in block.known.values():
+        known["c"] = known["c"] >> 1
+
+
+def _scored(n: int, v: int, discount: float, hear: Callable) -> Callable:
     floor = np.log10(n + v + 1)
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         if not blocks.num_rows:
             return _batch(SCORED, [])
         block = Block.of(blocks)
-        block.hear(answers, _reachable)
+        hear(block, answers)
         docs = len(block.first) - 1
         doc = np.repeat(np.arange(docs), np.diff(block.first))
         a, b = block.weights()
@@ -497,6 +558,7 @@ def _scored(n: int, v: int, discount: float) -> Callable:
 def score(docs: DataFrame, tree: Tree, model: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every document row."""
     spark = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark, "suffix-tree-scores")
 
     def answer(asked: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
@@ -504,9 +566,25 @@ def score(docs: DataFrame, tree: Tree, model: DataFrame) -> DataFrame:
         return asked.groupBy("size", "cell").cogroup(rows.groupBy("size", "cell")).applyInArrow(_found, ANSWERS)
 
     with shuffles_dropped(spark):
-        blocks = scratch.stored(only(docs, "doc_id", "text").mapInArrow(_blocked(BLOCK_TEXT), BLOCKS), "blocks")
+        blocks = scratch.stored(_texts(docs, F.lit(False)).mapInArrow(_blocked(BLOCK_TEXT), BLOCKS), "blocks")
         answers = _answered(blocks, tree.bits, _reachable, answer, scratch, "found")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(tree.n, tree.v, tree.discount), SCORED)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _scored(tree.n, tree.v, tree.discount, lambda block, told: block.hear(told, _reachable)), SCORED)
+
+
+def train_and_score(docs: DataFrame, learn: Column) -> tuple[Tree, DataFrame, DataFrame]:
+    """As `train` and `score` of the same rows, with one set of blocks: the tree, its table and the scores."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    scratch = Scratch(spark, "suffix-tree-scores")
+    with shuffles_dropped(spark):
+        tree, model, blocks, answers = _trained(_texts(docs, learn), scratch)
+        ranked = answers.where(F.col("size") <= DEPTH).select("size", "cell", "block", "ranks").groupBy("size", "cell")
+        cells = model.where(F.col("size") <= DEPTH).select("size", "cell", "keys", "c", "lost", "m").groupBy("size", "cell")
+        found = scratch.stored(ranked.cogroup(cells).applyInArrow(_states_of, ANSWERS), "found")
+    told = answers.unionByName(found).drop("ranks")
+    return tree, model, blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        _scored(tree.n, tree.v, tree.discount, _hear_training), SCORED)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,5 +592,5 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = Tables(spark, sf_dir).documents
     out = held_out(F.col("doc_id"), FOLDS, HELD_OUT)
-    tree, model = train(docs, ~out)
-    return score(docs, tree, model).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    _, _, scores = train_and_score(docs, ~out)
+    return scores.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -178,6 +178,32 @@ def test_suffix_tree_scores_against_dictionary_tree(spark, frame, monkeypatch):
         assert (i, n) == r[:2] and r[2] == pytest.approx(s, abs=1e-6)
 
 
+def test_suffix_tree_of_one_set_of_blocks(spark, frame, monkeypatch):
+    from pyspark.sql import functions as F
+    from silverline.llm.frames import BATCH_BYTES, held_out
+
+    rows = list(enumerate(lm_texts())) + [(1000, None), (1001, ""), (1003, "w1 " * 700), (None, "w1 w2 once"), (0, "new york city"), (2, "w1 w2 new york")]
+    rows += [(2000 + k, "left same word one . right same word two .") for k in range(40)]
+    df, learn = frame(rows), ~held_out(F.col("doc_id"), M.FOLDS, M.HELD_OUT)
+
+    def of(scores):
+        return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 9), round(r["score"], 9))
+                      for r in scores.collect())
+
+    tree, model = M.train(df, learn)
+    expected = of(M.score(df, tree, model))
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    for cell_tokens, block in ((M.CELL_TOKENS, M.COUNT_BYTES), (1000, 2000)):
+        monkeypatch.setattr(M, "CELL_TOKENS", cell_tokens)
+        monkeypatch.setattr(M, "COUNT_BYTES", block)
+        one, table, scores = M.train_and_score(df, learn)
+        assert (one.n, one.v, one.discount) == (tree.n, tree.v, tree.discount) and of(scores) == expected
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == BATCH_BYTES
+    _, _, scores = M.train_and_score(df, F.lit(False))
+    assert {(r["n_known"], r["train_tokens"], r["score"]) for r in scores.collect()} == {(0, 0, 0.0)}
+    assert M.train_and_score(df.limit(0), learn)[2].collect() == []
+
+
 def test_suffix_tree_over_many_cells(spark, frame, monkeypatch):
     from pyspark.sql import functions as F
     rows = list(enumerate(lm_texts())) + [(1003, "w1 " * 700), (None, None)]
