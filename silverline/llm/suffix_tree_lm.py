@@ -59,7 +59,7 @@ FOLDS, HELD_OUT = 7, 2
 DEPTH = 3
 LEAST = 2               # a sequence seen once is no context
 DISCOUNT = 0.5
-COUNT_BYTES = 4 << 20   # text of a block in training
+COUNT_BYTES = 6 << 20   # text of a block in training
 BLOCK_TEXT = 8 << 20    # and in scoring; a longer text is a block of its own
 ROW_BYTES = 64          # what a row adds to its block besides its text
 CELL_TOKENS = 4 << 20   # tokens a cell stands for
@@ -104,7 +104,7 @@ def sequences(t: np.ndarray) -> list[np.ndarray]:
 
 BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, learned binary, lengths binary, words binary, places binary"
 ASKED = "size int, cell bigint, block bigint, keys binary, c binary"
-ANSWERS = "size int, cell bigint, block bigint, c binary, lost binary, m binary, ranks binary"
+ANSWERS = "size int, cell bigint, block bigint, c binary, mass binary, ranks binary"
 WRITTEN = "size int, cell bigint, keys binary, c binary, words bigint, once bigint, twice bigint, suffix binary, total binary, above binary, m binary, kept binary, below binary, gain binary"
 STATES = "size int, cell bigint, keys binary, lost binary, m binary"
 
@@ -229,7 +229,7 @@ class Block:
             self.ask(size, chance)
             mine = [r for r in rows if r["size"] == size]
             self.learn(size, {name: _joined([unpacked(r[name], np.int64) for r in mine], np.int64)
-                              for name in ("c", "lost", "m") if not mine or mine[0][name] is not None})
+                              for name in ("c", "mass") if not mine or mine[0][name] is not None})
 
     def weights(self) -> tuple[np.ndarray, np.ndarray]:
         """(a, b) of every token: its probability is a + b * root."""
@@ -238,9 +238,9 @@ class Block:
         start = np.repeat(self.first[:-1], np.diff(self.first))
         for d in range(1, DEPTH + 1):
             live = live[live - start[live] >= d]
-            live = live[self.told(d, "m", live - d) > 0]
+            live = live[self.told(d, "mass", live - d) > 0]
             total = self.told(d, "c", live - d).astype(float)
-            rest = (self.told(d, "lost", live - d) + DISCOUNT * self.told(d, "m", live - d)) / total
+            rest = DISCOUNT * self.told(d, "mass", live - d) / total
             a[live] = np.maximum(self.told(d + 1, "c", live - d) - DISCOUNT, 0) / total + rest * a[live]
             b[live] *= rest
         return a, b
@@ -255,7 +255,7 @@ def _frequent(block: Block, size: int, at: np.ndarray) -> np.ndarray:
 
 def _reachable(block: Block, size: int, at: np.ndarray) -> np.ndarray:
     """Scoring: the context is a state, or the suffix is one and the sequence may be."""
-    state = block.known[size - 1]["m"] > 0
+    state = block.known[size - 1]["mass"] > 0
     slot = block.slot[size - 1]
     return state[slot[at]] | (state[slot[at + 1]] if size <= DEPTH else False)
 
@@ -299,7 +299,8 @@ def _answered(blocks: DataFrame, bits: int, chance: Callable, answer: Callable,
 # ---------------------------------------------------------------- the tree
 
 class Rows:
-    """Rows of the model, decoded: counts of sequences; lost occurrences and followers of states."""
+    """Rows of the model, decoded: counts of sequences; mass of states that goes to the rest,
+    lost occurrences and DISCOUNT of each follower, in parts of DISCOUNT."""
 
     def __init__(self, model: pa.Table):
         rows = model.to_pylist()
@@ -308,10 +309,11 @@ class Rows:
             mine = [r for r in rows if r[names[0]] is not None]
             keys = _joined([_got(r["keys"]) for r in mine], np.uint64)
             order = np.argsort(keys)
-            self.groups.append((keys[order], {x: _joined([unpacked(r[x], np.int64) for r in mine], np.int64)[order] for x in names}))
+            got = {x: _joined([unpacked(r[x], np.int64) for r in mine], np.int64)[order] for x in names}
+            self.groups.append((keys[order], got if "c" in got else {"mass": (got["lost"] / DISCOUNT).astype(np.int64) + got["m"]}))
 
     def at(self, ids: np.ndarray) -> dict[str, np.ndarray]:
-        """c, lost and m of some ids; 0: none."""
+        """c and mass of some ids; 0: none."""
         out = {}
         for keys, columns in self.groups:
             slot = np.minimum(np.searchsorted(keys, ids), max(len(keys) - 1, 0))
@@ -495,7 +497,7 @@ SCORED = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, b
 
 
 def _found(asked: pa.Table, model: pa.Table) -> pa.Table:
-    """Counts, and of states the lost occurrences and followers, in the order asked."""
+    """Counts, and masses of states, in the order asked."""
     rows = asked.to_pylist()
     found = Rows(model) if rows else None
     out = []
@@ -506,7 +508,7 @@ def _found(asked: pa.Table, model: pa.Table) -> pa.Table:
 
 
 def _states_of(ranked: pa.Table, model: pa.Table) -> pa.Table:
-    """Lost occurrences and followers of states, 0 for others, by rank among the cell's frequent sequences."""
+    """Masses of states, 0 for others, by rank among the cell's frequent sequences."""
     rows = ranked.to_pylist()
     if not rows:
         return _batch(ANSWERS, [])
@@ -516,21 +518,20 @@ def _states_of(ranked: pa.Table, model: pa.Table) -> pa.Table:
     out = []
     for r in rows:
         rank = np.cumsum(unpacked(r["ranks"], np.uint32), dtype=np.int64)
-        out.append({"size": r["size"], "cell": r["cell"], "block": r["block"], **{name: packed(told[name][rank]) for name in ("lost", "m")}})
+        out.append({"size": r["size"], "cell": r["cell"], "block": r["block"], "mass": packed(told["mass"][rank])})
     return _batch(ANSWERS, out)
 
 
 def _hear_training(block: Block, answers: pa.Table) -> None:
     """Counts by what training was told, and states by what cells told after it."""
     block.hear(answers.filter(answers["c"].is_valid()), _frequent)
-    states = sorted(answers.filter(answers["m"].is_valid()).to_pylist(), key=lambda r: r["cell"])
+    states = sorted(answers.filter(answers["mass"].is_valid()).to_pylist(), key=lambda r: r["cell"])
     for size in range(1, DEPTH + 2):
         known = block.known[size] = {"c": block.known[size]["c"]}
         if size <= DEPTH:
             may = np.flatnonzero(known["c"][:-1] >> 1 >= LEAST)
-            for name in ("lost", "m"):
-                known[name] = np.zeros(len(known["c"]), np.int64)
-                known[name][may] = _joined([unpacked(r[name], np.int64) for r in states if r["size"] == size], np.int64)
+            known["mass"] = np.zeros(len(known["c"]), np.int64)
+            known["mass"][may] = _joined([unpacked(r["mass"], np.int64) for r in states if r["size"] == size], np.int64)
     for known in block.known.values():
         known["c"] = known["c"] >> 1
 
