@@ -67,12 +67,13 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.path = spark, scratch_path(spark, label)
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.path}/{name}")
+    def stored(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        (df.write.partitionBy(by) if by else df.write).parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
-    def drop(self) -> None:
-        fs, path = _fs_and_path(self.spark, self.path)
+    def drop(self, name: str | None = None) -> None:
+        """All of it, or one table or part of a table."""
+        fs, path = _fs_and_path(self.spark, f"{self.path}/{name}" if name else self.path)
         fs.delete(path, True)
 
 

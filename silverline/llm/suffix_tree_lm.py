@@ -36,6 +36,10 @@ answered once: all texts ask, only the learned ones count, so the answers of
 training hold every count that scoring needs. Cells also note the ranks of a
 block's ids among their own, and answer by them which are states, unasked.
 
+What is stored at once is kept small: word numbers go from frequent to rare
+words, counts are written where they stay, apart from the statistics, and a
+longest context whose counts alone show that it cannot diverge enough has none.
+
 Defined cases: a null, empty or word-less text is its end mark alone. With no
 training row N = V = 0 and every score is 0. A null doc_id is not held out.
 Repeated documents are rows of their own; other columns are ignored.
@@ -102,7 +106,7 @@ def sequences(t: np.ndarray) -> list[np.ndarray]:
 
 # ---------------------------------------------------------------- blocks and cells
 
-BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, learned binary, lengths binary, words binary, places binary"
+BLOCKS = "block bigint, doc_ids array<bigint>, tokens bigint, learned binary, lengths binary, words binary, rarity binary, places binary"
 ASKED = "size int, cell bigint, block bigint, keys binary, c binary"
 ANSWERS = "size int, cell bigint, block bigint, c binary, mass binary, ranks binary"
 WRITTEN = "size int, cell bigint, keys binary, c binary, words bigint, once bigint, twice bigint, suffix binary, total binary, above binary, m binary, kept binary, below binary, gain binary"
@@ -128,6 +132,16 @@ def _got(raw: bytes) -> np.ndarray:
     return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
 
 
+def _rarity(n: np.ndarray) -> np.ndarray:
+    """Of words by their occurrences: one less for twice as many."""
+    return (64 - np.frexp(n)[1]).astype(np.uint8)
+
+
+def _by_rarity(rarity: np.ndarray) -> np.ndarray:
+    """Sorted words in the order of their numbers, frequent ones first: small numbers compress best."""
+    return np.argsort(rarity, kind="stable").astype(np.uint32)
+
+
 def _joined(parts: list[np.ndarray], dtype: type) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
@@ -149,11 +163,14 @@ def _cell_bits(tokens: int, cell_tokens: int) -> int:
 def _blocked(limit: int) -> Callable:
     """Texts as blocks: distinct words, the number of each token's word, and which texts are learned (and their tokens)."""
     def block(number: int, held: list) -> pa.Table:
-        words, places = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        words, places, n = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True, return_counts=True)
+        rarity = _rarity(n)
+        number_of = np.empty(len(words), np.uint32)
+        number_of[_by_rarity(rarity)] = np.arange(len(words), dtype=np.uint32)
         lengths, learned = np.concatenate([h[1] for h in held]), np.concatenate([h[3] for h in held])
         return _batch(BLOCKS, [{
             "block": number, "doc_ids": [i for h in held for i in h[2]], "tokens": int(lengths[learned].sum()),
-            "learned": packed(learned), "lengths": packed(lengths), "words": _sent(words), "places": packed(places.astype(np.uint32))}])
+            "learned": packed(learned), "lengths": packed(lengths), "words": _sent(words), "rarity": packed(rarity), "places": packed(number_of[places])}])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -186,7 +203,8 @@ class Block:
 
     @classmethod
     def of(cls, row: pa.Table) -> "Block":
-        return cls(_got(row["words"][0].as_py()), unpacked(row["places"][0].as_py(), np.uint32),
+        order = _by_rarity(unpacked(row["rarity"][0].as_py(), np.uint8))
+        return cls(_got(row["words"][0].as_py()), order[unpacked(row["places"][0].as_py(), np.uint32)],
                    np.concatenate([[0], np.cumsum(unpacked(row["lengths"][0].as_py(), np.int64))]),
                    unpacked(row["learned"][0].as_py(), np.bool_))
 
@@ -376,6 +394,16 @@ def _counts(asked: pa.Table) -> pa.Table:
     return _batch(ANSWERS, out)
 
 
+def _chance(m: np.ndarray | int) -> np.ndarray:
+    """Divergence that chance explains, over m followers."""
+    return m / 2 + 3 * np.sqrt(m / 2) + 3
+
+
+def _may_diverge(total: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """No follower is likelier than always, before or after: a context's divergence is at most total * log(above / total)."""
+    return total * np.log(above / total) > _chance(1) * (1 - 1e-6)
+
+
 def _owned(block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """By length: ids of the block's own sequences and a first token of each."""
     for size in range(1, DEPTH + 2):
@@ -385,7 +413,8 @@ def _owned(block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def _written(n: int, bits: int) -> Callable:
     """From the block's own sequences: their counts, as rows of the model, and statistics of their contexts
-    (what follows, how often, and how often after the suffix), as rows without `c`."""
+    (what follows, how often, and how often after the suffix), as rows without `c`. Longest contexts that are
+    no states whatever follows are left out; a single follower's gain is told by its counts."""
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         if blocks.num_rows:
@@ -407,10 +436,15 @@ def _written(n: int, bits: int) -> Callable:
                 at = np.empty(len(contexts), np.int64)
                 at[place] = token
                 sums = {"m": np.bincount(place, minlength=len(at)), "kept": np.bincount(place, c, len(at)).astype(np.int64),
-                        "below": np.bincount(place, tail, len(at)).astype(np.int64), "gain": np.bincount(place, c * np.log(c / tail), len(at)),
+                        "below": np.bincount(place, tail, len(at)).astype(np.int64),
                         "total": count(d, at), "above": count(d - 1, at + 1) if d > 1 else np.full(len(at), n),
                         "suffix": block.ids[d - 2][at + 1] if d > 1 else np.zeros(len(at), np.uint64)}
-                rows += [{"size": d, "cell": cell, "keys": _sent(contexts[of]), **{name: packed(x[of]) for name, x in sums.items()}}
+                gain = np.bincount(place, c * np.log(c / tail), len(at))
+                if d == DEPTH:
+                    may = _may_diverge(sums["total"], sums["above"])
+                    contexts, gain, sums = contexts[may], gain[may], {name: x[may] for name, x in sums.items()}
+                rows += [{"size": d, "cell": cell, "keys": _sent(contexts[of]), **{name: packed(x[of]) for name, x in sums.items()},
+                          "gain": packed(gain[of][sums["m"][of] > 1])}
                          for cell, of in _by_cell(contexts, bits)]
         return _batch(WRITTEN, rows)
     return run
@@ -427,13 +461,16 @@ def _retained(d: int, bits: int) -> Callable:
             return np.concatenate([unpacked(r[name], dtype) for r in found])
 
         keys, one, place = np.unique(np.concatenate([_got(r["keys"]) for r in found]), return_index=True, return_inverse=True)
-        m, kept, below, gain = (np.bincount(place, column(x, np.float64 if x == "gain" else np.int64), len(keys)) for x in ("m", "kept", "below", "gain"))
+        sums = [column(x, np.int64) for x in ("m", "kept", "below")]
+        sums.append(sums[1] * np.log(sums[1] / sums[2]))
+        sums[-1][sums[0] > 1] = column("gain", np.float64)
+        m, kept, below, gain = (np.bincount(place, x, len(keys)) for x in sums)
         total, above, suffix = column("total", np.int64)[one], column("above", np.int64)[one], column("suffix", np.uint64)[one]
         lost, left = total - kept, above - below
         both = (lost > 0) & (left > 0)
         divergence = gain + kept * np.log(above / total)
         divergence[both] += lost[both] * np.log(lost[both] * above[both] / (left[both] * total[both]))
-        state = divergence > m / 2 + 3 * np.sqrt(m / 2) + 3
+        state = divergence > _chance(m)
         if needed is not None and needed.num_rows:
             state |= np.isin(keys, np.concatenate([_got(x.as_py()) for x in needed["keys"]]))
         rows = [{"size": d, "cell": found[0]["cell"], "keys": _sent(keys[state]),
@@ -464,16 +501,17 @@ def _texts(docs: DataFrame, learned: Column) -> DataFrame:
 
 def _trained(texts: DataFrame, scratch: Scratch) -> tuple[Tree, DataFrame, DataFrame, DataFrame]:
     """The tree, its table, and in `scratch` the blocks of all texts and what they were told about their sequences."""
-    statistics, lasting = (Scratch(texts.sparkSession, f"suffix-tree-{x}") for x in ("statistics", "model"))
+    lasting = Scratch(texts.sparkSession, "suffix-tree-model")
     blocks = scratch.stored(texts.mapInArrow(_blocked(COUNT_BYTES), BLOCKS), "blocks")
     n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     bits = _cell_bits(n, CELL_TOKENS)
     answers = _answered(blocks, bits, _frequent, lambda asked, _: asked.groupBy("size", "cell").applyInArrow(_counts, ANSWERS), scratch, "counts")
-    written = statistics.stored(blocks.groupBy("block").cogroup(answers.drop("ranks").groupBy("block")).applyInArrow(_written(n, bits), WRITTEN), "written")
-    counts = lasting.stored(written.where("c IS NOT NULL").select("size", "cell", "keys", "c", "words", "once", "twice"), "counts")
-    model = counts.unionByName(_states(written.where("c IS NULL"), bits, lasting), allowMissingColumns=True)
+    written = blocks.groupBy("block").cogroup(answers.drop("ranks").groupBy("block")).applyInArrow(_written(n, bits), WRITTEN)
+    written = lasting.stored(written.withColumn("counted", F.col("c").isNotNull()), "written", by="counted")
+    counts = written.where("counted").select("size", "cell", "keys", "c", "words", "once", "twice")
+    model = counts.unionByName(_states(written.where("NOT counted"), bits, lasting), allowMissingColumns=True)
+    lasting.drop("written/counted=false")
     v, once, twice = counts.where("size = 1").agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("words", "once", "twice")]).first()
-    statistics.drop()
     discount = once / (once + 2 * max(twice, 1)) if once else 0.0      # below 1: a known word keeps some mass
     return Tree(n, v, discount, bits, model), model, blocks, answers
 

@@ -246,6 +246,57 @@ def test_suffix_tree_keeps_rare_contexts_of_large_input(spark, frame):
     assert got[1] > got[2] + 9
 
 
+def test_suffix_tree_stores_little_at_once(spark, frame, monkeypatch):
+    """Counts are written once; statistics without longest contexts that cannot diverge enough, gains where several words follow."""
+    from pathlib import Path
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    rows = list(enumerate(lm_texts())) + [(2000 + k, "left same word one . right same word two .") for k in range(40)]
+    words = [tuple(t.split()) + (None,) for _, t in rows]
+    tree = DictionaryTree(words)
+    h = dict(zip(sorted({w for t in words for w in t if w}), M.ft.hash_words([w.encode() for w in sorted({w for t in words for w in t if w})]).tolist())) | {None: M.END}
+    longest = {s[:-1] for s in tree.c if len(s) == M.DEPTH + 1}
+    may = {s for s in longest if tree.c[s] * math.log(tree.c[s[1:]] / tree.c[s]) > 0.5 + 3 * math.sqrt(0.5) + 3}
+    assert {s for s in tree.states if len(s) == M.DEPTH} <= may and 0 < len(may) < len(longest)
+    statistics, stored, states = [], [], M._states
+
+    def seen(contexts, bits, scratch):
+        statistics.extend(contexts.toArrow().to_pylist())
+        folder = Path(scratch.path.removeprefix("file:")).parent
+        tables = [pq.ParquetFile(f) for f in folder.rglob("*.parquet") if f not in before]
+        stored.extend(t.read(["c"])["c"] for t in tables if {"keys", "c"} <= set(t.schema_arrow.names))
+        return states(contexts, bits, scratch)
+
+    from silverline.catalog import scratch_path
+    before = set(Path(scratch_path(spark, "x").removeprefix("file:")).parent.rglob("*.parquet"))
+    monkeypatch.setattr(M, "_states", seen)
+    monkeypatch.setattr(M, "COUNT_BYTES", 3000)
+    _, model = M.train(frame(rows), F.lit(True))
+    got = {x for r in statistics if r["size"] == M.DEPTH for x in M._got(r["keys"]).tolist()}
+    assert got == {int(M.sequences(np.array([h[w] for w in s], np.uint64))[M.DEPTH - 1][0]) for s in may}
+    several = 0
+    for r in statistics:
+        m = M.unpacked(r["m"], np.int64)
+        several += (m > 1).sum()
+        assert len(M.unpacked(r["gain"], np.float64)) == (m > 1).sum()
+    assert several
+    assert sum(len(c) - c.null_count for c in stored) == model.where("c IS NOT NULL").count()
+
+
+def test_suffix_tree_blocks_number_frequent_words_first(spark, frame):
+    from pyspark.sql import functions as F
+
+    texts = ["rare1 the of the and the of the", "the of and rare2 the", None, ""]
+    rows = frame(list(enumerate(texts))).select("doc_id", "text", F.lit(True)).coalesce(1).mapInArrow(M._blocked(M.COUNT_BYTES), M.BLOCKS).toArrow()
+    block = M.Block.of(rows)
+    t = [w for x in texts for w in [*(x or "").split(), None]]
+    assert block.words[block.places].tolist() == [M.END if w is None else int(M.ft.hash_words([w.encode()])[0]) for w in t]
+    assert (np.diff(block.words.astype(float)) > 0).all()
+    places = M.unpacked(rows["places"][0].as_py(), np.uint32)
+    assert {places[t.index(w)] for w in ("the", None)} == {0, 1} and {places[t.index(w)] for w in ("rare1", "rare2")} == {4, 5}
+
+
 def test_sequence_ids_are_those_of_spark(spark):
     from pyspark.sql import functions as F
     x = np.random.default_rng(1).integers(0, 1 << 63, 200).astype(np.uint64) * np.uint64(2)
