@@ -10,8 +10,10 @@ is exact and needs no multiplication.
 
 Cells and blocks of anchors are two small tables. Every block of anchors goes to
 every lane of cells (an equi-join on the lane), so each anchor meets each row
-once, no task holds more than one cell and one block, and only the best few of
-an anchor in a cell leave a task. Cells hold a fixed number of rows as they come,
+once, no task holds more than the few cells of a lane and one block, and only the
+best few of an anchor in a cell leave a task. Blocks are many times more rows once
+they are sent to the lanes, which Spark's estimate of their size does not see: the
+join is a sorted one, so that neither side is gathered on the driver. Cells hold a fixed number of rows as they come,
 so neither a hot label nor a hot id makes one larger. A first pass finds an
 anchor's positives among rows of its label, a second one the negatives under
 each positive's score.
@@ -43,6 +45,7 @@ LOW, HIGH = 80, 100     # least score of a negative, in HIGH-ths of the positive
 CELL = 8_192            # candidates packed together
 BLOCK = 128             # anchors
 CHUNK = 1_024           # candidates scored at once
+LANES, LANE_CELLS = 256, 16     # a cell has a lane of its own up to so many, then so many cells share one
 _LIMIT = 1 << 62
 
 CELLS = "ids binary, labels binary, dims int, bits int, planes binary"
@@ -158,7 +161,8 @@ def _pack_blocks(size: int) -> Callable:
 def cells(rows: DataFrame, size: int = CELL) -> tuple[DataFrame, int]:
     """The packed candidates with the lane each is met in, and the number of lanes."""
     packed = stored(rows.select("vec_id", "label", "vector").mapInArrow(_pack_cells(size), CELLS), "cells")
-    lanes = max(packed.count(), 1)
+    n = packed.count()
+    lanes = max(min(n, LANES), -(-n // LANE_CELLS), 1)
     return packed.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes))), lanes
 
 
@@ -168,7 +172,9 @@ def _met(anchors: DataFrame, packed: DataFrame, lanes: int, block: int) -> DataF
     blocks = anchors.select("key", "vec_id", "label", "vector", "wanted").mapInArrow(_pack_blocks(block), BLOCKS)
     blocks = stored(blocks, "anchor-blocks").select(*[F.col(c).alias(f"a_{c}") for c in names])
     sent = blocks.withColumn("a_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    return packed.join(sent, F.col("lane") == F.col("a_lane")).drop("lane", "a_lane")
+    # as many tasks as lanes, whatever their bytes: the work is in the pairs. Blocks stream past the cells of their lane, which are held.
+    return (sent.repartition(lanes, "a_lane").join(packed.repartition(lanes, "lane").hint("merge"), F.col("lane") == F.col("a_lane"))
+            .drop("lane", "a_lane"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -274,10 +280,11 @@ def hard_negatives(embeddings: DataFrame, every: int = EVERY, positives: int = P
     first = _met(anchors.withColumn("wanted", none), packed, lanes, block).mapInArrow(_mined(_Meeting.same_label, positives), FOUND)
     near = stored(_first(first, positives).select("key", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
     bounds = near.groupBy("key").agg(F.collect_set("positive_score").alias("wanted"))
-    second = _met(anchors.join(bounds, "key"), packed, lanes, block).mapInArrow(_mined(_Meeting.other_labels, negatives), FOUND)
+    second = _met(anchors.join(bounds.hint("merge"), "key"), packed, lanes, block).mapInArrow(_mined(_Meeting.other_labels, negatives), FOUND)
     below = _first(second, negatives).select("key", F.col("bound").alias("positive_score"), "rank",
                                              F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
-    return (near.join(below, ["key", "positive_score"]).join(anchors.select("key", F.col("vec_id").alias("anchor_id")), "key")
+    named = anchors.select("key", F.col("vec_id").alias("anchor_id"))
+    return (near.hint("merge").join(below, ["key", "positive_score"]).join(named.hint("merge"), "key")
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))
 
 

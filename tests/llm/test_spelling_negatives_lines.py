@@ -252,3 +252,31 @@ def test_lines_of_small_batches(spark, frame):
 def test_lines_of_an_empty_table(spark, frame):
     docs = frame([(1, "a")]).limit(0)
     assert L.keep_bitmaps(docs).count() == 0 and L.kept_digests(docs, L.keep_bitmaps(docs)).count() == 0
+
+
+# ---------------------------------------------------------------- nothing is gathered on the driver
+
+
+def plans_of(monkeypatch, module):
+    """The plans of all that the module stores from here on."""
+    plans, store = [], module.stored
+
+    def noted(df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, *more)
+    monkeypatch.setattr(module, "stored", noted)
+    return plans
+
+
+def test_anchors_meet_cells_without_a_broadcast_and_in_shared_lanes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], int(i % 3)) for i in range(400)]
+    rows = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    whole = sorted(map(tuple, B.hard_negatives(rows, every=20).collect()))
+    monkeypatch.setattr(B, "LANES", 2, raising=False)
+    monkeypatch.setattr(B, "LANE_CELLS", 3, raising=False)
+    plans = plans_of(monkeypatch, B)
+    out = B.hard_negatives(rows, every=20, cell=16, block=4)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, out.collect())) == whole and len(whole) > 50
+    assert sum("Join" in p for p in plans) >= 2 and not any("Broadcast" in p for p in plans)
