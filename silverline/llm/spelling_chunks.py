@@ -14,7 +14,9 @@ long or one longer, so only these are sent, four for each of the three lengths.
 Chunks and grams are joined on the hash of the key; the banded edit distance of
 the whole words is part of the join condition, so only verified pairs leave it,
 and each by the first of its common keys, so once. The smaller word of a pair
-brings the chunks. Nothing is gathered by chunk or gram.
+brings the chunks. Nothing is gathered by chunk or gram. Every join is a sorted
+one: words stored in a few MB are some hundred MB as keys, which Spark's estimate
+does not see and would have the driver gather for a broadcast.
 
 Words are counted in blocks of text by 64-bit hashes (one hash per block stands
 for one word), then by Spark.
@@ -164,7 +166,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     both = list(zip(_keys(F.col("a"), length), _keys(F.col("b"), length)))
     first = F.coalesce(*[F.when(x == y, F.lit(k)) for k, (x, y) in enumerate(both)])
     near = (F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1) & (F.col("a_part") == first)
-    return chunks.join(grams, (F.col("a_key") == F.col("b_key")) & near).select("a", "a_n", "b", "b_n")
+    return chunks.join(grams.hint("merge"), (F.col("a_key") == F.col("b_key")) & near).select("a", "a_n", "b", "b_n")
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -174,7 +176,7 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         k += 1
         ahead = chain.select(F.col("word").alias("at"), F.col("root").alias("next"))
-        moved = stored(chain.join(ahead, F.col("root") == F.col("at"), "left")
+        moved = stored(chain.join(ahead.hint("merge"), F.col("root") == F.col("at"), "left")
                        .select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), f"roots-{k}")
         if not moved.where("moved").limit(1).count():
             return moved.select("word", "root")
@@ -190,7 +192,7 @@ def variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     formed = stored(per.select(F.col("a").alias("word"), "n_near", F.when(likelier, F.col("best.b")).alias("form"),
                                F.when(likelier, -F.col("best.less")).alias("form_n")), "forms")
     last = roots(formed.where("form IS NOT NULL"))
-    return (words.select("word", "n").join(formed, "word", "left").join(last, "word", "left")
+    return (words.select("word", "n").join(formed.hint("merge"), "word", "left").join(last.hint("merge"), "word", "left")
             .select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form", "form_n", F.coalesce("root", "word").alias("root")))
 
 

@@ -268,6 +268,15 @@ def plans_of(monkeypatch, module):
     return plans
 
 
+def test_spelling_joins_are_no_broadcasts(spark, monkeypatch):
+    plans = plans_of(monkeypatch, S)
+    words = S.stored(spark.createDataFrame([("words", 9), ("word", 4), ("sword", 2), ("swords", 1)], "word string, n bigint"), "words")
+    out = S.variants(words)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert told(out)["swords"] == ["words", "words", 1, 2, 9]
+    assert sum("Join" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_anchors_meet_cells_without_a_broadcast_and_in_shared_lanes(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=8)], int(i % 3)) for i in range(400)]
