@@ -18,6 +18,9 @@ plus idempotent sinks:
   Its target holds each key once, so reading it is a plain scan, and its state
   holds the keys of the last horizon only. The state is RocksDB's, on local disk
   with changes logged to the checkpoint, so its size is not bounded by the heap.
+  Each partition's store has a write buffer of its own, a share of a fixed sum: of
+  one budget for all, stores at rest would hold the most and those at work flush
+  ever smaller files, until writes wait for compaction.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from silverline.operators.dedupe import Order, latest_per_key, rank_struct
+from silverline.session import settings
 from silverline.sources import fs
 
 
@@ -37,23 +41,23 @@ CORRUPT = "_corrupt_record"
 STATE_ON_DISK = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",         # of all partitions of an executor together
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1500",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "false",        # see `state_on_disk`
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "3",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",    # each write would read the key first
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",                 # stores of an ended run are closed by then
 }
+WRITE_BUFFER = "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB"
+WRITE_BUFFERS_MB, LEAST_BUFFER_MB, MOST_BUFFER_MB = 1_500, 4, 64        # of all partitions together, of one
 
 
 @contextmanager
 def state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """New streaming queries keep their state in RocksDB; a checkpoint goes on with the store it was begun with."""
-    before = {key: spark.conf.get(key, None) for key in STATE_ON_DISK}
-    for key, value in STATE_ON_DISK.items():
-        spark.conf.set(key, value)
-    try:
+    """New streaming queries keep their state in RocksDB; a checkpoint goes on with the store it was begun with.
+
+    Memory outside the heap grows with the number of state partitions up to a fixed sum, not with the state."""
+    each = min(max(WRITE_BUFFERS_MB // int(spark.conf.get("spark.sql.shuffle.partitions")), LEAST_BUFFER_MB), MOST_BUFFER_MB)
+    with settings(spark, STATE_ON_DISK | {WRITE_BUFFER: str(each)}):
         yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def _file_stream(spark: SparkSession, landing_dir: str, schema: StructType, fmt: str, options: dict) -> DataFrame:
@@ -143,6 +147,14 @@ def compact(spark: SparkSession, changes_dir: str, keys: Sequence[str], order) -
     return upto
 
 
+def _ordered(stream: DataFrame, key: str) -> Column:
+    """The key as it is grouped by. The store sorts an integer by its lowest byte, Spark's sort by value, so each
+    lookup would go to another block; its eight bytes, the highest first, lie in one order in both."""
+    if not isinstance(stream.schema[key].dataType, IntegralType):
+        return F.col(key)
+    return F.unhex(F.lpad(F.hex(F.col(key).cast("bigint")), 16, "0")).alias(f"_{key}")
+
+
 def stateful_latest(stream: DataFrame, keys: Sequence[str], order: Order, arrived: str, horizon: str) -> DataFrame:
     """Streaming dedupe with state: the first row by `order` of each key, once no
     copy of it has arrived for `horizon`.
@@ -154,7 +166,7 @@ def stateful_latest(stream: DataFrame, keys: Sequence[str], order: Order, arrive
     their arrival moves the clock (see `heartbeat`)."""
     keep = [c for c in stream.columns if c not in (*keys, arrived)]
     winner = F.max_by(F.struct(*[F.col(c) for c in (*keys, *keep)]), rank_struct(stream, order))
-    best = (stream.withWatermark(arrived, "0 seconds").groupBy(*keys, F.session_window(arrived, horizon))
+    best = (stream.withWatermark(arrived, "0 seconds").groupBy(*[_ordered(stream, k) for k in keys], F.session_window(arrived, horizon))
             .agg(winner.alias("_w")).select("_w.*"))
     return best.where(F.concat(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) != "")
 

@@ -80,3 +80,38 @@ def test_state_is_on_disk_and_settings_are_put_back(job, spark, tmp_path):
     kinds = {p.suffix for p in (tmp_path / "checkpoint" / "state").rglob("*") if p.is_file() and not p.name.startswith(".")}
     assert ".changelog" in kinds and ".delta" not in kinds
     assert before == {key: spark.conf.get(key, None) for key in I.STATE_ON_DISK}
+
+
+def test_stores_share_no_write_budget(spark):
+    """One budget would be held by stores at rest; each store has a share of a fixed sum."""
+    prefix = "spark.sql.streaming.stateStore.rocksdb"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, each in ((8, "64"), (100, "15"), (5_000, "4")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            with I.state_on_disk(spark):
+                assert spark.conf.get(f"{prefix}.boundedMemoryUsage") == "false"
+                assert spark.conf.get(f"{prefix}.writeBufferSizeMB") == each
+            assert spark.conf.get(f"{prefix}.writeBufferSizeMB", None) is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_integer_keys_lie_in_the_store_as_they_are_sorted(spark):
+    ids = [0, 1, 255, 256, 65_536, 2 ** 40, 2 ** 63 - 1, -2 ** 63, -1]      # negative ones come after the others
+    df = spark.createDataFrame([(i, "x") for i in ids] + [(None, "y")], "id bigint, s string")
+    kept = [r[0] for r in df.select(I._ordered(df, "id")).collect()]
+    assert kept[-1] is None and all(len(k) == 8 for k in kept[:-1])
+    assert sorted(map(bytes, kept[:-1])) == [bytes(k) for k in kept[:-1]]
+    assert str(df.select(I._ordered(df, "s")).schema["s"].dataType) == "StringType()"
+
+
+def test_integer_and_text_keys_together(spark, tmp_path):
+    schema = StructType([StructField("a", IntegerType()), *spark.range(0).selectExpr("'' AS s").schema.fields, *SCHEMA.fields[1:]])
+    landing, target, ckpt = (str(tmp_path / x) for x in ("landing", "target", "checkpoint"))
+    rows = spark.createDataFrame([(-1, "x", 1), (-1, "x", 3), (-1, "y", 2), (7, "x", 4), (None, "x", 5), (None, "x", 6)], "a int, s string, v int")
+    for df in (rows.withColumn("at", F.lit("2024-01-01").cast("timestamp")), I.heartbeat(spark, schema, "at", "2024-01-20")):
+        df.write.mode("append").option("header", True).csv(landing)
+        I.dedupe_stateful(spark, landing, target, ckpt, schema, ["a", "s"], ORDER, "at", "7 days", options={"header": "true"})
+    got = sorted(map(tuple, spark.read.schema("a int, s string, v int").parquet(target).collect()), key=str)
+    assert got == [(-1, "x", 3), (-1, "y", 2), (7, "x", 4), (None, "x", 6)]
