@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -75,15 +74,3 @@ class Scratch:
         """All of it, or one table or part of a table."""
         fs, path = _fs_and_path(self.spark, f"{self.path}/{name}" if name else self.path)
         fs.delete(path, True)
-
-
-@contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a query go when it ends, not when the driver's garbage is collected."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)

@@ -57,7 +57,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silverline.llm import flat_text as ft
-from silverline.llm.frames import Scratch, bound_batches, held_out, only, packed, rows_in, shuffles_dropped, unpacked
+from silverline.llm.frames import Scratch, bound_batches, held_out, only, packed, rows_in, unpacked
+from silverline.session import shuffles_dropped
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 3

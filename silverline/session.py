@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -108,6 +108,11 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def shuffles_dropped(spark: SparkSession) -> AbstractContextManager:
+    """Shuffle files of a query go when it ends, not when the driver's garbage is collected."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def is_single_process(master: str) -> bool:
     """True for `local`, `local[n]`, `local[n,f]`; false for `local-cluster[...]`
     and every real cluster."""

@@ -23,9 +23,10 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K6: CSV with header and exact-round-trip quoting."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none", file_rows: int = 0) -> None:
+    """K6: CSV with header and exact-round-trip quoting. A compressed file is read
+    by one task; `file_rows` bounds its rows (0: no bound)."""
+    df.write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", file_rows).csv(path, compression=compression)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

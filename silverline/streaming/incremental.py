@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from silverline.operators.dedupe import Order, latest_per_key, rank_struct
@@ -88,19 +88,24 @@ def land_increment(spark: SparkSession, landing_dir: str, target_dir: str, check
     q.awaitTermination()
 
 
+def _store(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path, compression="zstd")
+
+
 def dedupe_increment(spark: SparkSession, landing_dir: str, changes_dir: str, checkpoint: str,
                      schema: StructType, keys: Sequence[str], order, fmt: str = "csv",
                      options: dict | None = None) -> None:
     """ST2: per micro-batch keep the latest row per key and store it under
     `changes_dir/epoch=<id>`, malformed records under `changes_dir/_quarantine`
-    (idempotent overwrite per epoch)."""
+    (idempotent overwrite per epoch). The batch is not kept: malformed records are
+    counted as it is deduplicated, and only where there are some it is read again."""
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()
-        latest = latest_per_key(good_rows(batch), keys, order)
-        latest.write.mode("overwrite").parquet(f"{changes_dir}/epoch={epoch_id}")
-        quarantined(batch).write.mode("overwrite").parquet(f"{changes_dir}/_quarantine/epoch={epoch_id}")
-        batch.unpersist()
+        seen = Observation()
+        counted = batch.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"))
+        _store(latest_per_key(good_rows(counted), keys, order), f"{changes_dir}/epoch={epoch_id}")
+        bad = quarantined(batch)
+        _store(bad if seen.get.get("malformed", 1) else bad.limit(0), f"{changes_dir}/_quarantine/epoch={epoch_id}")
 
     stream = _file_stream(spark, landing_dir, schema, fmt, options or {})
     q = (stream.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
@@ -142,8 +147,7 @@ def compact(spark: SparkSession, changes_dir: str, keys: Sequence[str], order) -
     if not epochs:
         raise ValueError("nothing to compact")
     upto = max(epochs)
-    merged_view(spark, changes_dir, keys, order, upto).write.mode("overwrite").parquet(
-        f"{changes_dir}/_compacted/upto={upto}")
+    _store(merged_view(spark, changes_dir, keys, order, upto), f"{changes_dir}/_compacted/upto={upto}")
     return upto
 
 

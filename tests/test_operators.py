@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from silverline.operators import reconcile as R
 from silverline.operators import versioned as V
@@ -216,3 +216,40 @@ def test_landing_queries_run_the_bronze_joins_once(spark, tmp_path, monkeypatch)
     spark.sql("SELECT 1L AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 'tin' AS p_type, 1 AS p_size, 1D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
     assert Q.q_incremental_dedupe(spark, str(tmp_path)).count() == 8
     assert len(calls) == 3 and not any("Join" in plan for plan in calls)
+
+
+def test_incremental_dedupe_leaves_little_on_disk(spark, tmp_path, monkeypatch):
+    """Landed files are compressed and bounded, batches are not kept, shuffle files go with their query."""
+    from pathlib import Path
+
+    from silverline.plans import q_streaming as Q
+
+    key, kept, landings, land = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], [], Q._land_batch
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: kept.append(df) or df)
+    monkeypatch.setattr(Q, "FILE_ROWS", 3, raising=False)
+    monkeypatch.setattr(Q, "_land_batch", lambda df, landing: land(df, landing) or landings.append((landing.removeprefix("file:"), spark.conf.get(key, None))))
+    spark.sql("""SELECT id AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, 1 AS l_linenumber, 2D AS l_quantity, 3D AS l_extendedprice, 0D AS l_discount,
+        0D AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus, timestamp_ntz'1996-01-01' AS l_shipdate FROM range(0, 8, 1, 1)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("""SELECT id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1D AS o_totalprice, CAST('1996-01-01' AS timestamp_ntz) AS o_orderdate,
+        '1' AS o_orderpriority FROM range(8)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L AS p_partkey, 'n' AS p_name, 'b' AS p_brand, 'tin' AS p_type, 1 AS p_size, 1D AS p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    assert Q.q_incremental_dedupe(spark, str(tmp_path)).count() == 8
+    files = [p.name for p in Path(landings[0][0]).glob("part-*")]
+    assert len(files) >= 6 and all(name.endswith(".csv.gz") for name in files)
+    assert [how for _, how in landings] == ["true"] * 3 and spark.conf.get(key, None) == before
+    assert not kept
+
+
+def test_malformed_records_of_a_deduplicated_batch_are_kept(spark, tmp_path):
+    landing, changes = tmp_path / "in", str(tmp_path / "chg")
+    t1 = dt.datetime(2020, 1, 1)
+
+    def run():
+        I.dedupe_increment(spark, str(landing), changes, str(tmp_path / "ck"), BRONZE_ORDERS_SCHEMA, ["uuid"], ORDER_TIES, options=dict(T.CSV_OPTIONS))
+        return [sorted(r[0] for r in spark.read.parquet(f"{changes}/_quarantine/epoch={k}").collect()) for k in range(len(list((tmp_path / "chg" / "_quarantine").glob("epoch=*"))))]
+    T.write_csv(_orders(spark, [(1, 10, t1, 2, " a", 5, 6, 1.0), (1, 10, t1, 3, " a", 5, 6, 1.0)]), str(landing), mode="append")
+    assert run() == [[]]
+    (landing / "bad.csv").write_text(",".join(BRONZE_ORDERS_SCHEMA.fieldNames()) + "\nx,1\n2,1\n")
+    assert run() == [[], ["2,1", "x,1"]]
+    assert [r.uuid for r in I.merged_view(spark, changes, ["uuid"], ORDER_TIES).collect()] == [1]
